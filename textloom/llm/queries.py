@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import common, exact_dedup, mixing, packing, quality_rules, sharding, token_counts, token_files, tokenizing
+from textloom.llm import common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, token_counts, token_files, tokenizing
 from textloom.llm.common import documents
 
-MIX = mixing.Target(repeats=4.0, budget=1.0)
-
-
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), mixing.Target(entropy=0.97, budget=1.0))
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.resolve(documents(spark, sf_dir), neardup.Settings(words=2)).drop("cls")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load, the load again, a second tokenizer, a revision of counts and a deletion."""
     docs = documents(spark, sf_dir).select("source", "lang", "text")
@@ -71,7 +72,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op5_packing": op5_packing,
+    "op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op5_packing": op5_packing,
     "op7_sharding": op7_sharding, "op8_exact_dedup": op8_exact_dedup, "op9_token_files": op9_token_files,
 }
 ORACLE_SQL: dict[str, str] = {"op3_token_counts": OP3_SQL, "op8_exact_dedup": OP8_SQL}
