@@ -71,10 +71,21 @@ def slots_for(rows: int, rows_per_bucket: int = 1_000) -> int:
     return max(16, -(-rows // rows_per_bucket))
 
 
-def bucket_of(key: Column, buckets: int) -> Column:
+def bucket_of(key: Column, buckets: int | Column) -> Column:
     """Order-preserving bucket of a uniformly spread signed 64-bit key."""
+    buckets = F.lit(buckets) if isinstance(buckets, int) else buckets
     unit = (key.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    return F.least(F.floor(unit * buckets), F.lit(buckets - 1)).cast("long")
+    return F.least(F.floor(unit * buckets), buckets - 1).cast("long")
+
+
+def slots_of(size: Column, rows_per_bucket: int = 500) -> Column:
+    """Buckets for a group of ``size`` rows, so that large and small groups fill them alike."""
+    return F.ceil(size / F.lit(rows_per_bucket)).cast("long")
+
+
+def attach(rows: DataFrame, small: DataFrame, key: str, most: int = 50_000) -> DataFrame:
+    """Join per-group values: broadcast up to ``most`` groups (a few MB), else by shuffle."""
+    return rows.join(F.broadcast(small) if small.count() <= most else small, key)
 
 
 def before(per: DataFrame, group: list[str], bucket: str, sums: list[str]) -> DataFrame:

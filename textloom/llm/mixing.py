@@ -95,11 +95,6 @@ def weighted(per: DataFrame, target: Target) -> DataFrame:
     return common.table(per.withColumn("cut_tokens", F.when(F.col("p") > 0, F.greatest(F.lit(0), F.floor(F.col("goal") - F.col("whole_blocks") * F.col("source_tokens") + F.lit(1e-6)))).otherwise(F.lit(0)).cast("long")), "mix-weights")
 
 
-def with_sources(rows: DataFrame, per: DataFrame, most: int = 50_000) -> DataFrame:
-    """Join per-source values: broadcast up to ``most`` sources (a few MB), else by shuffle."""
-    return rows.join(F.broadcast(per) if per.count() <= most else per, "__g")
-
-
 def prepared(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", tokens().alias("n_tokens"), F.crc32(common.utf8()).alias("__c")).withColumn("__g", source_key())
 
@@ -108,9 +103,9 @@ def block_key(seed: int, block: Column) -> Column:
     return F.xxhash64(F.lit(seed), block, F.col("doc_id"), F.col("__c"))
 
 
-def permute(rows: DataFrame, n_rows: int, seed: int) -> DataFrame:
+def permute(rows: DataFrame, seed: int) -> DataFrame:
     """Adds row_in_block and tokens_before for the rows of each (source, block)."""
-    rows = rows.withColumn("__h", block_key(seed, F.col("block"))).withColumn("__b", common.bucket_of(F.col("__h"), common.slots_for(n_rows)))
+    rows = rows.withColumn("__h", block_key(seed, F.col("block"))).withColumn("__b", common.bucket_of(F.col("__h"), common.slots_of(F.col("source_rows"))))
     got = common.ranked(rows, ["__g", "block"], "__b", ["__h", "doc_id", "__c"], "row_in_block", carry="n_tokens")
     return got.withColumnRenamed("row_in_block_n_tokens", "tokens_before").drop("__b")
 
@@ -118,11 +113,10 @@ def permute(rows: DataFrame, n_rows: int, seed: int) -> DataFrame:
 def mix(docs: DataFrame, target: Target) -> DataFrame:
     """Each drawn row: doc_id, source, n_tokens, block, row_in_block, tokens_before, weight, exponent."""
     rows = common.table(prepared(docs), "mix-rows")
-    n = rows.count()
     per = weighted(totals(rows), target)
-    keep = per.select("__g", "weight", "exponent", "whole_blocks", "cut_tokens")
-    drawn = with_sources(rows, keep).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("whole_blocks"))))
-    drawn = permute(drawn, n, target.seed)
+    keep = per.select("__g", "weight", "exponent", "whole_blocks", "cut_tokens", "source_rows")
+    drawn = common.attach(rows, keep, "__g").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("whole_blocks"))))
+    drawn = permute(drawn, target.seed)
     inside = (F.col("block") < F.col("whole_blocks")) | (F.col("tokens_before") + F.col("n_tokens") <= F.col("cut_tokens")) & (F.col("cut_tokens") > 0)
     return drawn.filter(inside).select("doc_id", "source", "n_tokens", "block", "row_in_block", "tokens_before", "weight", "exponent")
 
@@ -134,15 +128,14 @@ def mixed_rows(docs: DataFrame, target: Target) -> DataFrame:
     are in.  Rows that tie with the first one left out are left out with it.
     """
     rows = common.table(prepared(docs), "mix-rows")
-    n = rows.count()
     per = weighted(totals(rows), target)
-    cut = with_sources(rows, per.filter("cut_tokens > 0").select("__g", "whole_blocks", "cut_tokens")).withColumnRenamed("whole_blocks", "block")
-    cut = permute(cut, n, target.seed)
+    cut = common.attach(rows, per.filter("cut_tokens > 0").select("__g", "whole_blocks", "cut_tokens", "source_rows"), "__g").withColumnRenamed("whole_blocks", "block")
+    cut = permute(cut, target.seed)
     out = cut.filter(F.col("tokens_before") + F.col("n_tokens") > F.col("cut_tokens")).groupBy("__g").agg(F.min("__h").alias("__stop"))
     plan = common.table(per.select("__g", "whole_blocks", "cut_tokens").join(out, "__g", "left"), "mix-cuts")
     cols = docs.columns
     got = docs.withColumn("__g", source_key()).withColumn("__c", F.crc32(common.utf8()))
-    got = with_sources(got, plan)
+    got = common.attach(got, plan, "__g")
     partial = (F.col("cut_tokens") > 0) & (F.col("__stop").isNull() | (block_key(target.seed, F.col("whole_blocks")) < F.col("__stop")))
     times = F.col("whole_blocks") + F.when(partial, 1).otherwise(0)
     got = got.withColumn("__n", times).filter("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n"))))

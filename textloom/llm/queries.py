@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, token_counts, token_files, tokenizing
+from textloom.llm import classifier, common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, token_counts, token_files, tokenizing
 from textloom.llm.common import documents
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizing.public("word_bpe_49k.json"))
 
 
+def op6_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return classifier.score(docs, classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
@@ -73,6 +78,6 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op5_packing": op5_packing,
-    "op7_sharding": op7_sharding, "op8_exact_dedup": op8_exact_dedup, "op9_token_files": op9_token_files,
+    "op6_classifier": op6_classifier, "op7_sharding": op7_sharding, "op8_exact_dedup": op8_exact_dedup, "op9_token_files": op9_token_files,
 }
 ORACLE_SQL: dict[str, str] = {"op3_token_counts": OP3_SQL, "op8_exact_dedup": OP8_SQL}
