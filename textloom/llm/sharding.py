@@ -24,10 +24,11 @@ def _source_key(source: str) -> Column:
 
 def interleave(rows: DataFrame, n_rows: int, seed: int = 7, id_col: str = "doc_id", source: str = "source", tie: str = "text_crc32") -> DataFrame:
     """Adds ``position``: the 0-based place of each row in the interleaved order."""
+    rows = rows.withColumn("__g", _source_key(source)).withColumn("__h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(tie)))
+    sizes = common.table(rows.groupBy("__g").agg(F.count(F.lit(1)).alias("__size")), "shard-sources")
+    rows = common.attach(rows, sizes, "__g").withColumn("__b", common.bucket_of(F.col("__h"), common.slots_of(F.col("__size"))))
+    one = common.ranked(rows, ["__g"], "__b", ["__h", id_col, tie], "__rank")
     buckets = common.slots_for(n_rows)
-    rows = rows.withColumn("__g", _source_key(source)).withColumn("__h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(tie))).withColumn("__b", common.bucket_of(F.col("__h"), buckets))
-    sizes = rows.groupBy("__g").agg(F.count(F.lit(1)).alias("__size"))
-    one = common.ranked(rows, ["__g"], "__b", ["__h", id_col, tie], "__rank").join(sizes, "__g")
     one = common.table(one.withColumn("__f", (2 * F.col("__rank") + 1) / (2 * F.col("__size"))).drop("__b", "__size", "__rank"), "shard-ranks")
     two = one.withColumn("__b", F.least(F.floor(F.col("__f") * buckets), F.lit(buckets - 1)).cast("long"))
     return common.ranked(two, [], "__b", ["__f", "__h", id_col, tie], "position").drop("__g", "__h", "__b", "__f")
