@@ -7,6 +7,7 @@ committer, so a lost executor costs a task retry and never a result.
 
 from __future__ import annotations
 
+import gc
 import io
 import tempfile
 import uuid
@@ -62,6 +63,12 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the context drop shuffle files and broadcasts that no live plan refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import classifier, common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, token_counts, token_files, tokenizing
+from textloom.llm import classifier, common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, suffix_dedup, token_counts, token_files, tokenizing
 from textloom.llm.common import documents
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +76,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op5_packing": op5_packing,
-    "op6_classifier": op6_classifier, "op7_sharding": op7_sharding, "op8_exact_dedup": op8_exact_dedup, "op9_token_files": op9_token_files,
+    "op6_classifier": op6_classifier, "op7_sharding": op7_sharding, "op8_exact_dedup": op8_exact_dedup, "op9_token_files": op9_token_files, "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op3_token_counts": OP3_SQL, "op8_exact_dedup": OP8_SQL}
