@@ -9,9 +9,10 @@
    collisions (1/16 a lane).  A pair more than six deviations below the threshold is dropped;
    any other is confirmed by the exact intersection of the full sets.
 4. Confirmed links join into components.  Groups that still span several components are
-   compared once more without centres: the packed bits of all their classes, block by block,
-   and every plausible pair across components is confirmed.  So no link within a group is
-   lost for having met the wrong centre.  Large groups are cut into blocks of bounded size.
+   compared once more without centres: blocks of their classes, with full sets, each pair of
+   different components in the first group that it shares; plausible pairs are confirmed in
+   place and a block returns one link at most for each component that it joins.  So no link
+   within a group is lost for having met the wrong centre, and no pairs are written out.
 
 At similarity 0.8 a link shares no band with probability 2e-5.  A text with fewer than k
 words has its whole sequence as its one shingle; null, empty and blank texts have an empty
@@ -44,7 +45,7 @@ class Settings:
     bits: int = 4
     seed: int = 5
     deviations: float = 6.0
-    block: int = 1024
+    block: int = 512
     """Most classes of a group that one block of the last comparison holds."""
 
     @property
@@ -216,28 +217,72 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         lab = common.table(lab.join(jump, lab["label"] == jump["at"], "left").select("cls", "rep", F.least("label", "to").alias("label")), "near-labels")
 
 
-def _across(members: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
-    """Plausible pairs of different labels in the same group; blocks of at most about s.block rows meet."""
+def _inside(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all sets of x with all sets of y: products of 0/1 matrices over
+    the shingles that either side shares, a slice of them at a time."""
+    common_ = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    out = np.zeros((len(x), len(y)), np.float32)
+    for at in range(0, len(common_), 4096):
+        some = common_[at : at + 4096]
+        sides = []
+        for side in (x, y):
+            m = np.zeros((len(side), len(some)), np.float32)
+            for i, members in enumerate(side):
+                own = members[np.searchsorted(members, some[0]) : np.searchsorted(members, some[-1], "right")]
+                k = np.searchsorted(some, own)
+                m[i, k[some[k] == own]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return np.rint(out).astype(np.int64)
+
+
+def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Links between different labels in the same group, confirmed on full sets in place.
+
+    Blocks of at most about s.block rows meet.  A pair is looked at in the first group that
+    both share, and a block gives at most one link for each component that it joins.
+    """
     size = members.groupBy("bk").agg(F.count(F.lit(1)).alias("n"))
-    rows = members.join(size, "bk").join(classes.select("cls", "packed"), "cls")
+    rows = members.join(size, "bk").join(classes.select("cls", "packed", "bands"), "cls").join(sets, "cls")
     rows = rows.withColumn("parts", F.ceil(F.col("n") / s.block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("bk", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "label", "packed")
+    rows = rows.select("bk", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "label", "packed", "bands", "members")
 
     def run(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         mine, label, cls = group["mine"].to_numpy(), group["label"].to_numpy(), group["cls"].to_pylist()
         bits = np.frombuffer(b"".join(group["packed"].to_pylist()), np.uint8).reshape(len(cls), -1)
+        keys = np.array(group["bands"].to_pylist(), np.int64)
+        here = int(np.flatnonzero((keys == group["bk"][0].as_py()).all(0))[0])
+        sets_ = [np.frombuffer(x, np.uint64) for x in group["members"].to_pylist()]
+        size = np.array([len(x) for x in sets_])
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        root = {int(v): int(v) for v in np.unique(label)}
+
+        def find(v: int) -> int:
+            while root[v] != v:
+                root[v] = root[root[v]]
+                v = root[v]
+            return v
+
         a: list[bytes] = []
         b: list[bytes] = []
         for at in range(0, len(left), 32):
             some = left[at : at + 32]
-            ok = (estimate(bits[some][:, None], bits[right][None], s) >= s.floor) & (label[some][:, None] != label[right][None])
-            for x, y in zip(*np.nonzero(ok), strict=True):
-                if (p := cls[some[x]]) < (q := cls[right[y]]) or i != j:
-                    a.append(min(p, q))
-                    b.append(max(p, q))
+            tops = np.array([find(int(v)) for v in label])
+            ok = (tops[some][:, None] != tops[right][None]) & (estimate(bits[some][:, None], bits[right][None], s) >= s.floor)
+            ok &= ~(keys[some, None, :here] == keys[None, right, :here]).any(-1)
+            x, y = (np.flatnonzero(ok.any(k)) for k in (1, 0))
+            if not len(x):
+                continue
+            both = _inside([sets_[k] for k in some[x]], [sets_[k] for k in right[y]])
+            linked = ok[np.ix_(x, y)] & (100 * both >= s.percent * (size[some[x]][:, None] + size[right[y]][None] - both))
+            for p, q in zip(*np.nonzero(linked), strict=True):
+                u, v = some[x[p]], right[y[q]]
+                if (m := find(int(label[u]))) != (n := find(int(label[v]))):
+                    root[max(m, n)] = min(m, n)
+                    a.append(min(cls[u], cls[v]))
+                    b.append(max(cls[u], cls[v]))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return rows.groupBy("bk", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
@@ -266,10 +311,11 @@ def resolve(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     tried = common.table(_plausible(star, classes, s), "near-pairs")
     links = _confirmed(tried, classes, docs, s)
     labels = components(classes, links)
-    more = _across(_open_groups(members, labels, classes), classes, s).join(tried, ["a", "b"], "left_anti")
-    more = common.table(more, "near-more")
-    if not more.isEmpty():
-        links = links.unionByName(_confirmed(more, classes, docs, s))
+    open_ = _open_groups(members, labels, classes)
+    if not open_.isEmpty():
+        wanted = common.table(open_.select("cls").distinct().join(classes.select("cls", "rep"), "cls"), "near-wanted")
+        sets = common.table(full_sets(docs, wanted, s), "near-sets")
+        links = links.unionByName(common.table(_across(open_, classes, sets, s), "near-more"))
         labels = components(classes, links)
     named = common.table(classes.select("cls", "rep").join(labels, "cls", "left").select("cls", F.coalesce("label", "rep").alias("label")), "near-named")
     got = rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
