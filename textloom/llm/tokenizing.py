@@ -4,10 +4,11 @@ Both vocabularies in use cut a text at white space before they merge, so a text
 encoded chunk by chunk: the ids of the whole are those of its chunks in a row.  Chunks are
 kept in a bounded table as raw little-endian ids, which a join of bytes puts together.
 
-``lower``: white space is dropped; chunks are split off at spaces and line feeds only, the
-library sees all other characters.  ``bytes``: white space leads the word after it; chunks
-are runs of white space with the run of other characters that follows, where white space
-is Unicode's White_Space, as in the tokenizer's own pattern.
+``lower``: white space is dropped; chunks are split off at spaces and line feeds, and marks
+that close a word are parted from it, as the tokenizer's own pattern does; the library sees
+all other characters.  ``bytes``: white space leads the word after it; chunks are runs of
+white space with the run of other characters that follows, where white space is Unicode's
+White_Space, and closing marks and a lone line feed before a word are chunks themselves.
 """
 
 from __future__ import annotations
@@ -16,10 +17,16 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-KEEP, LONGEST = 400_000, 64
-_TAIL = ".,;:!?"
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_MARKS = ".,;:!?"
+#: A lone line feed before a letter; a word up to its closing marks; else white space and what follows.
+_CHUNK = re.compile(f"\\n(?=[{LETTERS}])|[{WHITE}]*[{LETTERS}]+(?=[{_MARKS}]+(?:[{WHITE}]|$))|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+#: Marks that close a word of unaccented letters: parted from it, they stay the pieces they were.
+_CLOSING = re.compile(f"(?<=[A-Za-z])([{_MARKS}]+)(?=[ \\n]|$)")
+KEEP, LONGEST = 800_000, 64
 _open: dict[str, "Encoder"] = {}
 
 
@@ -37,54 +44,59 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     def _chunks(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ") if self.lower else _CHUNK.findall(text)
+        if not self.lower:
+            return _CHUNK.findall(text)
+        if text.isascii():
+            text = text.lower()
+        return _CLOSING.sub(r" \1", text).replace("\n", " ").split(" ")
+
+    def _one_by_one(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _words(self, words: list[str], between: str) -> list[bytes]:
+        """Words of letters alone, each one piece of the tokenizer's pattern, encoded as one text
+        and parted at the pieces.  Should the pattern see more pieces, each is encoded alone."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 2_000):
+            some = words[at : at + 2_000]
+            e = self.tokenizer.encode(between.join(some), add_special_tokens=False)
+            piece = np.array(e.word_ids, np.int64)
+            cut = np.concatenate(([0], np.flatnonzero(np.diff(piece)) + 1, [len(piece)])) * 4
+            raw, cut = array("I", e.ids).tobytes(), cut.tolist()
+            parts = [raw[i:j] for i, j in zip(cut, cut[1:], strict=False)]
+            if between == "\n":  # the line feeds are pieces themselves
+                parts = parts[::2] if len(parts) == 2 * len(some) - 1 else []
+            out += parts if len(parts) == len(some) else self._one_by_one(some)
+        return out
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that aren't known.  A word and the marks after it are cut by either
-        tokenizer's pattern, so "word," is put together from "word" and ","."""
-        got, parts = {}, {}
-        for c in chunks:
-            if (found := self.older.get(c)) is not None:
-                got[c] = found
-            elif c and c[-1] in _TAIL and (base := c.rstrip(_TAIL)) and base[-1].isascii() and base[-1].isalpha():
-                parts[c] = base, c[len(base) :]
-            else:
-                got[c] = b""
-        lone = {x for pair in parts.values() for x in pair}
-        for x in lone - got.keys():
-            got[x] = self.known.get(x) or self.older.get(x) or b""
-        new = [c for c, v in got.items() if not v and c]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            got[c] = array("I", e.ids).tobytes()
-        for c, (base, tail) in parts.items():
-            got[c] = got[base] + got[tail]
+        """Ids of chunks that aren't known."""
+        got = {c: self.older[c] for c in chunks if c in self.older}
+        new = chunks - got.keys()
+        bare = [c for c in new if c.isalpha()]
+        spaced = [] if self.lower else [c for c in new if c[:1] == " " and c[1:].isalpha()]
+        got.update(zip(bare, self._words(bare, " " if self.lower else "\n"), strict=True))
+        got.update(zip(spaced, self._words(spaced, ""), strict=True))
+        others = [c for c in new if c not in got]
+        got.update(zip(others, self._one_by_one(others), strict=True))
         return got
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
-        for at in range(0, len(texts), 16):
-            split = [self._chunks(t or "") for t in texts[at : at + 16]]
-            missing = {c for chunks in split for c in chunks if c not in self.known}
+        for at in range(0, len(texts), 64):
+            split = [self._chunks(t or "") for t in texts[at : at + 64]]
+            found = [list(map(self.known.get, chunks)) for chunks in split]
+            missing = {c for chunks, ids in zip(split, found, strict=True) for c, i in zip(chunks, ids, strict=True) if i is None}
             got = self._learn(missing) if missing else {}
+            for chunks, ids in zip(split, found, strict=True):
+                out.append(b"".join([got[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]))
+            self.known.update((k, v) for k, v in got.items() if len(k) <= LONGEST)
             if len(self.known) > KEEP:
                 self.older, self.known = self.known, {}
-                got |= {c: self.older[c] for chunks in split for c in chunks if c not in got}
-            self.known.update((k, v) for k, v in got.items() if len(k) <= LONGEST)
-            look = _Over(got, self.known) if any(len(k) > LONGEST for k in got) else self.known
-            out.extend(b"".join(map(look.__getitem__, chunks)) for chunks in split)
         return out
 
 
-class _Over(dict):
-    def __init__(self, first: dict[str, bytes], then: dict[str, bytes]):
-        super().__init__(first)
-        self.then = then
-
-    def __missing__(self, key: str) -> bytes:
-        return self.then[key]
-
-
 def encoder(path: str) -> Encoder:
     """One encoder a worker process and vocabulary file."""
     if path not in _open:
