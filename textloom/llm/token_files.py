@@ -55,11 +55,14 @@ def decode_values(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out & MASKS[length - 1]
 
 
+def _keys(ids: list[int | None]) -> tuple[bytes, bytes]:
+    return np.array([0 if i is None else i for i in ids], "<i8").tobytes(), np.array([i is None for i in ids], np.uint8).tobytes()
+
+
 def to_image(ids: list[int | None], lengths: np.ndarray, values: np.ndarray) -> bytes:
     control, data = encode_values(values)
-    key = np.array([0 if i is None else i for i in ids], "<i8")
-    null = np.array([i is None for i in ids], np.uint8)
-    return b"".join((MAGIC, np.uint32(len(ids)).tobytes(), np.uint64(len(values)).tobytes(), key.tobytes(), null.tobytes(), lengths.astype("<u8").tobytes(), control, data))
+    key, null = _keys(ids)
+    return b"".join((MAGIC, np.uint32(len(ids)).tobytes(), np.uint64(len(values)).tobytes(), key, null, lengths.astype("<u8").tobytes(), control, data))
 
 
 def from_image(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -75,78 +78,96 @@ def from_image(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if z else int(k) for k, z in zip(key, null, strict=True)], lengths, values
 
 
-def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian uint32, end id included)."""
+_BLOCKS = "file long, block long, n_tokens long, image binary"
+
+
+def _block(file: int, block: int, n: int, image: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([file], pa.int64()), pa.array([block], pa.int64()), pa.array([n], pa.int64()), pa.array([image], pa.binary())], ["file", "block", "n_tokens", "image"])
+
+
+def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0, per_block: int = 500_000, bytes_per_file: int = 16_000_000) -> DataFrame:
+    """Blocks of plain ids in ascending doc_id: ranges of doc_id are dealt out and sorted as
+    texts, so ids are made once, in place, and never shuffled."""
     common.ship(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     end = int(end_id).to_bytes(4, "little")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         coder = tokenizing.encoder(vocabulary)
+        file, block, held = TaskContext.get().partitionId(), 0, 0
+        keys: list = []
+        raws: list[bytes] = []
         for part in parts:
-            for at in range(0, part.num_rows, 256):
-                some = part.slice(at, 256)
-                raw = [x + end for x in coder.encode(some.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array(raw, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            for at in range(0, part.num_rows, 64):
+                some = part.slice(at, 64)
+                for key, raw in zip(some.column(0).to_pylist(), coder.encode(some.column(1).to_pylist()), strict=True):
+                    keys.append(key)
+                    raws.append(raw + end)
+                    held += len(raws[-1]) // 4
+                    if held >= per_block:
+                        yield _block(file, block, held, to_plain(keys, raws))
+                        keys, raws, held, block = [], [], 0, block + 1
+        if keys:
+            yield _block(file, block, held, to_plain(keys, raws))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return rows.repartitionByRange(max(1, -(-size // bytes_per_file)), "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, _BLOCKS)
 
 
-def frequencies(tokens: DataFrame) -> np.ndarray:
+def to_plain(keys: list, raws: list[bytes]) -> bytes:
+    """A block image whose values are plain: two bytes each if all fit, else four."""
+    ids = np.frombuffer(b"".join(raws), "<u4")
+    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
+    key, null = _keys(keys)
+    return b"".join((b"W" if wide else b"S", np.uint32(len(keys)).tobytes(), key, null, np.array([len(r) // 4 for r in raws], "<u8").tobytes(), ids.astype("<u4" if wide else "<u2").tobytes()))
+
+
+def from_plain(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    rows = int(np.frombuffer(raw, "<u4", 1, 1)[0])
+    key, null = np.frombuffer(raw, "<i8", rows, 5), np.frombuffer(raw, np.uint8, rows, 5 + 8 * rows)
+    lengths = np.frombuffer(raw, "<u8", rows, 5 + 9 * rows).astype(np.int64)
+    return [None if z else int(k) for k, z in zip(key, null, strict=True)], lengths, np.frombuffer(raw, "<u4" if raw[:1] == b"W" else "<u2", offset=5 + 17 * rows)
+
+
+def frequencies(blocks: DataFrame) -> np.ndarray:
     """Ids by falling count, ties by id; as many rows as the vocabulary has, never more."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for part in parts:
-            for at in range(0, part.num_rows, 256):
-                got = np.bincount(np.frombuffer(b"".join(part.column(0).slice(at, 256).to_pylist()), "<u4"))
+            for image in part.column(0):
+                got = np.bincount(from_plain(image.as_py())[2])
                 if len(got) > len(total):
                     got, total = total, got
                 total[: len(got)] += got
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    per = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    per = blocks.select("image").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = per.collect()
     ids, n = np.array([r["id"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
     return ids[np.lexsort((ids, -n))]
 
 
-def write(docs: DataFrame, path: str, vocabulary: str, per_file: int = 8_000_000, per_block: int = 500_000) -> None:
-    """Write the store.  Tokens are counted on a table of ids, so texts are encoded once."""
+def write(docs: DataFrame, path: str, vocabulary: str, per_block: int = 500_000) -> None:
+    """Write the store.  Counts are taken from plain blocks, so texts are encoded once."""
     spark = docs.sparkSession
-    tokens = common.table(tokenise(docs, vocabulary), "token-ids")
-    ranked = frequencies(tokens)
-    spark.createDataFrame(pa.table({"rank": pa.array(np.arange(len(ranked)), pa.int64()), "id": pa.array(ranked, pa.int64())}).to_pandas(), "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
-    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
+    plain = common.table(tokenise(docs, vocabulary, per_block=per_block), "token-ids")
+    common.release(spark)
+    ranked = frequencies(plain)
+    spark.createDataFrame([(i, int(v)) for i, v in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.zeros(int(ranked.max()) + 1 if len(ranked) else 1, np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        file, block, size = TaskContext.get().partitionId(), 0, 0
-        keys: list = []
-        raws: list[bytes] = []
-
-        def image() -> pa.RecordBatch:
-            lengths = np.array([len(r) // 4 for r in raws], np.int64)
-            values = rank_of[np.frombuffer(b"".join(raws), "<u4")]
-            return pa.RecordBatch.from_arrays([pa.array([file], pa.int64()), pa.array([block], pa.int64()), pa.array([len(values)], pa.int64()), pa.array([to_image(keys, lengths, values)], pa.binary())], ["file", "block", "n_tokens", "image"])
-
         for part in parts:
-            for key, raw in zip(part.column(0), part.column(1), strict=True):
-                keys.append(key.as_py())
-                raws.append(raw.as_py())
-                size += len(raws[-1]) // 4
-                if size >= per_block:
-                    yield image()
-                    keys, raws, size, block = [], [], 0, block + 1
-        if keys:
-            yield image()
+            for file, block, image in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
+                keys, lengths, ids = from_plain(image.as_py())
+                yield _block(file, block, len(ids), to_image(keys, lengths, rank_of[ids]))
 
-    files = max(1, -(-total // per_file))
-    ordered = tokens.select("doc_id", "ids").repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(run, "file long, block long, n_tokens long, image binary").write.parquet(f"{path}/blocks")
+    plain.select("file", "block", "image").mapInArrow(run, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, most_broadcast: int = 200_000) -> DataFrame:
