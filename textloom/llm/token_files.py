@@ -31,28 +31,36 @@ from textloom.llm import common, tokenizing
 MAGIC = b"TLV1"
 _FOUR = np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3
 LENGTHS = (_FOUR + 1).astype(np.uint8)
-MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     values = values.astype("<u4")
-    code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    code = (values > 0xFF).astype(np.uint8)
+    for limit in (0xFFFF, 0xFFFFFF):
+        if len(values) and values.max() > limit:
+            code += values > limit
     padded = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     padded[: len(values)] = code
-    control = padded.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    used = np.arange(4) <= code[:, None]
-    return control.astype(np.uint8).tobytes(), values.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    control = padded[0::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
+    end = np.cumsum(code, dtype=np.int64) + np.arange(1, len(code) + 1)
+    data = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
+    at = end - 1 - code
+    data[at] = values & 0xFF
+    for k in range(1, int(code.max()) + 1 if len(code) else 1):
+        more = np.flatnonzero(code >= k)
+        data[at[more] + k] = values[more] >> np.uint32(8 * k) & 0xFF
+    return control.tobytes(), data.tobytes()
 
 
 def decode_values(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     length = LENGTHS[control].ravel()[:n]
     end = np.cumsum(length, dtype=np.int64)
     at = end - length
-    data = np.concatenate((data[: int(end[-1]) if n else 0], np.zeros(3, np.uint8)))
     out = data[at].astype(np.uint32)
     for k in range(1, int(length.max()) if n else 0):
-        out |= data[at + k].astype(np.uint32) << np.uint32(8 * k)
-    return out & MASKS[length - 1]
+        more = np.flatnonzero(length > k)
+        out[more] |= data[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
+    return out
 
 
 def _keys(ids: list[int | None]) -> tuple[bytes, bytes]:

@@ -26,6 +26,8 @@ _MARKS = ".,;:!?"
 _CHUNK = re.compile(f"\\n(?=[{LETTERS}])|[{WHITE}]*[{LETTERS}]+(?=[{_MARKS}]+(?:[{WHITE}]|$))|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Marks that close a word of unaccented letters: parted from it, they stay the pieces they were.
 _CLOSING = re.compile(f"(?<=[A-Za-z])([{_MARKS}]+)(?=[ \\n]|$)")
+#: What is not plain spacing: other white space, runs of it, any at either end, or the sign used below.
+_ODD = re.compile("[\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\x00]|[ \\n][ \\n]|\\A[ \\n]|[ \\n]\\Z")
 KEEP, LONGEST = 800_000, 64
 _open: dict[str, "Encoder"] = {}
 
@@ -45,7 +47,10 @@ class Encoder:
 
     def _chunks(self, text: str) -> list[str]:
         if not self.lower:
-            return _CHUNK.findall(text)
+            # a chunk behind the sign "\0" is as it stands; any other has lost the space that leads it
+            if _ODD.search(text):
+                return [c[1:] if c[:1] == " " and c[1:2] != "\0" else "\0" + c for c in _CHUNK.findall(text)]
+            return ("\0" + _CLOSING.sub(" \0\\1", text).replace("\n", " \0\n")).split(" ")
         if text.isascii():
             text = text.lower()
         return _CLOSING.sub(r" \1", text).replace("\n", " ").split(" ")
@@ -72,13 +77,13 @@ class Encoder:
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks that aren't known."""
         got = {c: self.older[c] for c in chunks if c in self.older}
-        new = chunks - got.keys()
-        bare = [c for c in new if c.isalpha()]
-        spaced = [] if self.lower else [c for c in new if c[:1] == " " and c[1:].isalpha()]
-        got.update(zip(bare, self._words(bare, " " if self.lower else "\n"), strict=True))
-        got.update(zip(spaced, self._words(spaced, ""), strict=True))
-        others = [c for c in new if c not in got]
-        got.update(zip(others, self._one_by_one(others), strict=True))
+        new = [c for c in chunks if c not in got]
+        real = new if self.lower else [c[1:] if c[:1] == "\0" else " " + c for c in new]
+        bare, spaced, others = [], [], []
+        for c, r in zip(new, real, strict=True):
+            (bare if r.isalpha() else spaced if not self.lower and r[:1] == " " and r[1:].isalpha() else others).append((c, r))
+        for some, encode in ((bare, lambda w: self._words(w, " " if self.lower else "\n")), (spaced, lambda w: self._words(w, "")), (others, self._one_by_one)):
+            got.update(zip([c for c, _ in some], encode([r for _, r in some]), strict=True))
         return got
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
