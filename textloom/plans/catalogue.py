@@ -1,10 +1,441 @@
-"""Every registered query and its SQL."""
+"""Every registered query over the driver's tables (Latin profile) and its SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from textloom.functions import text as T
+from textloom.operators import annotate, corpus, qc, sample, select, stats, vector
+from textloom.profile import LATIN, MAX_TOKENS, MAX_UNKNOWN, MIN_TOKENS, MIN_UNIQUE, WHITE
+from textloom.sources import readers, sinks
+
+Q = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Q] = {}
 ORACLE_SQL: dict[str, str] = {}
+QUALITY, LANGS = ["0", "1"], ["en", "fr", "de", "es"]
+
+
+def query(sql: str | None = None) -> Callable[[Q], Q]:
+    def add(f: Q) -> Q:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def docs(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "documents").select("doc_id", "text", "lang", "source")
+
+
+def doc_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return docs(spark, d).select("doc_id", "lang", "source", T.content(T.tokenize(T.clean(F.col("text"), LATIN), LATIN), LATIN).alias("tokens"))
+
+
+def pool(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.pool(docs(spark, d), LATIN)
+
+
+# -- SQL building blocks -----------------------------------------------------------------
+
+_PAT = LATIN.pattern.replace("'", "''")
+_SKIP = "(' ', '.', '?', '!', chr(9), chr(10), '')"
+
+
+def _clean(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(regexp_replace(lower({x}), '<[^>]+>', ' ', 'g'), '[^{LATIN.letters}{WHITE}]', ' ', 'g'), '[{WHITE}]+', ' ', 'g'))"
+
+
+def _tokens(x: str) -> str:
+    return f"[k FOR k IN regexp_extract_all({x}, '{_PAT}') IF k NOT IN {_SKIP}]"
+
+
+_C = f"c AS (SELECT doc_id, lang, source, {_clean('text')} AS clean FROM documents)"
+_T = f"WITH {_C}, t AS (SELECT doc_id, lang, source, {_tokens('clean')} AS tokens FROM c)"
+_TF = f"{_T}, tf AS (SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest(tokens) AS token FROM t) GROUP BY ALL)"
+_S = f"""WITH {_C}, p AS (SELECT doc_id, lang, source, [trim(x) FOR x IN regexp_split_to_array(clean, '[.]+') IF trim(x) <> ''] AS parts FROM c),
+s AS (SELECT doc_id, lang, source, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS sentence FROM p),
+a AS (SELECT *, regexp_extract_all(sentence, '{_PAT}') AS every FROM s),
+b AS (SELECT *, [k FOR k IN every IF k NOT IN {_SKIP}] AS tokens, length(regexp_replace(sentence, '[{WHITE}]', '', 'g')) AS letters, length(array_to_string(every, '')) AS covered FROM a),
+m AS (SELECT *, CAST(len(tokens) AS INT) AS n_tokens, CAST(len(list_distinct(tokens)) AS INT) AS n_unique, CASE WHEN letters > 0 THEN 1 - covered / letters ELSE 1.0 END AS unknown FROM b),
+r AS (SELECT *, CASE WHEN n_tokens < {MIN_TOKENS} THEN 'short' WHEN n_tokens > {MAX_TOKENS} THEN 'long' WHEN n_unique < {MIN_UNIQUE} OR unknown > {MAX_UNKNOWN} THEN 'quality' END AS reason FROM m),
+pool AS (SELECT *, sha256(sentence) AS hash FROM r WHERE reason IS NULL)"""
+
+
+# -- text --------------------------------------------------------------------------------
+
+
+@query()
+def record_metrics(spark: SparkSession, d: str) -> DataFrame:
+    c = docs(spark, d).select("doc_id", T.clean(F.col("text"), LATIN).alias("clean"))
+    c = c.withColumn("tokens", T.tokenize(F.col("clean"), LATIN))
+    return c.select("doc_id", F.sha2(F.col("clean").cast("binary"), 256).alias("clean_hash"), T.letter_count(F.col("clean"), LATIN).cast("long").alias("n_letters"), F.sha2(F.array_join("tokens", "|").cast("binary"), 256).alias("tokens_hash"), T.unmatched(F.col("clean"), F.col("tokens"), LATIN).cast("long").alias("n_unmatched"))
+
+
+ORACLE_SQL["record_metrics"] = f"""WITH {_C}, x AS (SELECT doc_id, clean, regexp_extract_all(clean, '{_PAT}') AS k FROM c),
+y AS (SELECT *, length(regexp_replace(clean, '[^{LATIN.letters}]', '', 'g')) AS n, length(regexp_replace(array_to_string(k, ''), '[^{LATIN.letters}]', '', 'g')) AS m FROM x)
+SELECT doc_id, sha256(clean) AS clean_hash, CAST(n AS BIGINT) AS n_letters, sha256(array_to_string(k, '|')) AS tokens_hash, CAST(greatest(0, n - m) AS BIGINT) AS n_unmatched FROM y"""
+
+
+@query(f"{_TF} SELECT lang, token, CAST(n AS BIGINT) AS n FROM tf")
+def token_frequency(spark: SparkSession, d: str) -> DataFrame:
+    return stats.token_frequency(doc_tokens(spark, d), ["lang"])
+
+
+@query(f"{_T} SELECT token, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_distinct(tokens)) AS token FROM t) GROUP BY ALL")
+def document_frequency(spark: SparkSession, d: str) -> DataFrame:
+    return stats.token_frequency(doc_tokens(spark, d), [], per_row=True)
+
+
+@query(f"{_S} SELECT doc_id, CAST(pos AS INT) AS pos, hash, n_tokens, n_unique, round(unknown, 6) AS unknown, array_to_string(list_sort(list_distinct(tokens)), ' ') AS unique_tokens FROM pool")
+def sentence_pool(spark: SparkSession, d: str) -> DataFrame:
+    return pool(spark, d).select("doc_id", "pos", "hash", "n_tokens", "n_unique", F.round("unknown", 6).alias("unknown"), F.array_join(F.array_sort(F.array_distinct("tokens")), " ").alias("unique_tokens"))
+
+
+@query(f"{_S} SELECT source, coalesce(reason, 'accepted') AS reason, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY ALL")
+def rejection_reasons(spark: SparkSession, d: str) -> DataFrame:
+    m = corpus.measured(corpus.sentences(docs(spark, d), LATIN), LATIN)
+    return m.groupBy("source", F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH p AS (SELECT doc_id, regexp_split_to_array(text, '[.!?]+') AS parts FROM documents), s AS (SELECT doc_id, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS raw FROM p),
+x AS (SELECT doc_id, pos, {_clean('raw')} AS sentence FROM s) SELECT doc_id, CAST(pos AS INT) AS pos, sha256(sentence) AS hash FROM x WHERE sentence <> ''""")
+def raw_sentences(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.sentences(docs(spark, d), LATIN, raw_first=True, keep=("doc_id",)).select("doc_id", "pos", F.sha2(F.col("sentence").cast("binary"), 256).alias("hash"))
+
+
+@query(r"SELECT page_id, CAST(generate_subscripts(p, 1) - 1 AS INT) AS pos, sha256(unnest(p)) AS hash FROM (SELECT page_id, regexp_extract_all(html, '(?is)<p[^>]*>(.*?)</p>', 1) AS p FROM pages)")
+def html_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return readers.paragraphs_by_pattern(t(spark, d, "pages"), "html", ["page_id"]).select("page_id", "pos", F.sha2(F.col("text").cast("binary"), 256).alias("hash"))
+
+
+@query("SELECT doc_id, 'sector' AS axis, CASE WHEN contains(lower(source), 'tech') OR contains(lower(source), 'ict') THEN 'technology' ELSE 'news' END AS hint, 'news' AS sector, coalesce(nullif(lang, ''), 'unknown') AS lang_value FROM documents")
+def source_sectors(spark: SparkSession, d: str) -> DataFrame:
+    return docs(spark, d).select("doc_id", F.lit("sector").alias("axis"), T.sector_hint(F.col("source")).alias("hint"), T.sector_of(F.col("source")).alias("sector"), T.metadata_value(F.col("lang")).alias("lang_value"))
+
+
+@query()
+def token_ids(spark: SparkSession, d: str) -> DataFrame:
+    ids = T.to_ids(F.col("tokens"), list(LATIN.vocabulary))
+    return doc_tokens(spark, d).select("doc_id", ids.alias("ids")).select("doc_id", F.size("ids").alias("n_ids"), F.aggregate("ids", F.lit(0).cast("long"), lambda s, x: s + x).alias("id_sum"))
+
+
+# -- dedup, overlap ------------------------------------------------------------------------
+
+
+@query(f"{_S} SELECT hash, min(source) AS first_corpus, array_to_string(list_sort(list_distinct(list(source))), ',') AS corpora, CAST(count(*) AS BIGINT) AS copies FROM pool GROUP BY hash")
+def priority_union(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.priority_union(pool(spark, d), "source").withColumn("corpora", F.array_join("corpora", ","))
+
+
+@query(f"{_S} SELECT hash, doc_id, CAST(pos AS INT) AS pos FROM (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY doc_id, pos) AS k FROM pool) WHERE k = 1")
+def exact_first(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.first_seen(pool(spark, d).select("hash", "doc_id", "pos"), "hash", ["doc_id", "pos"])
+
+
+_OV = f"{_S}, mem AS (SELECT DISTINCT hash, source FROM pool), z AS (SELECT source, count(*) AS n FROM mem GROUP BY source)"
+
+
+@query(f"{_OV}, pairs AS (SELECT x.source AS a, y.source AS b, count(*) AS k FROM mem x JOIN mem y ON x.hash = y.hash AND x.source < y.source GROUP BY ALL) SELECT a, b, CAST(k AS BIGINT) AS n_both, CAST(p.n + q.n - k AS BIGINT) AS n_union, round(k / (p.n + q.n - k), 8) AS jaccard FROM pairs JOIN z p ON p.source = a JOIN z q ON q.source = b")
+def corpus_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.overlap(pool(spark, d), "source")
+
+
+@query(f"{_S}, g AS (SELECT hash, source AS corpus, count(*) AS n FROM pool GROUP BY ALL), w AS (SELECT *, min(corpus) OVER (PARTITION BY hash) AS f, count(*) OVER (PARTITION BY hash) AS k FROM g) SELECT corpus, CAST(sum(n) AS BIGINT) AS n_usable, CAST(count(*) AS BIGINT) AS n_distinct, CAST(sum(n - 1) AS BIGINT) AS n_within, CAST(sum(CASE WHEN f = corpus THEN 1 ELSE 0 END) AS BIGINT) AS n_retained, CAST(sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_exclusive, CAST(sum(CASE WHEN k > 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_shared FROM w GROUP BY corpus")
+def corpus_contribution(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.contribution(pool(spark, d), "source")
+
+
+@query(f"{_S}, e AS (SELECT DISTINCT sha256({_clean('text')}) AS hash FROM benchmark) SELECT doc_id, CAST(pos AS INT) AS pos, pool.hash IN (SELECT hash FROM e) AS in_evaluation FROM pool")
+def evaluation_overlap(spark: SparkSession, d: str) -> DataFrame:
+    known = t(spark, d, "benchmark").select(T.text_hash(T.clean(F.col("text"), LATIN)).alias("hash")).distinct().withColumn("hit", F.lit(True))
+    return pool(spark, d).join(known, "hash", "left").select("doc_id", "pos", F.coalesce("hit", F.lit(False)).alias("in_evaluation"))
+
+
+_GRAM = "CASE WHEN length({0}) <= 5 THEN [{0}] ELSE list_distinct([substring({0}, i, 5) FOR i IN range(1, length({0}) - 3)]) END"
+
+
+@query(f"""WITH c AS (SELECT conv_id, turn, regexp_replace(trim(regexp_replace(text, '[{WHITE}]+', ' ', 'g')), '^ $', '') AS x FROM conversations),
+p AS (SELECT a.conv_id, a.turn, {_GRAM.format('a.x')} AS g, {_GRAM.format('b.x')} AS h FROM c a JOIN c b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)
+SELECT conv_id, turn, round(len(list_intersect(g, h)) / len(list_distinct(list_concat(g, h))), 6) AS jaccard FROM p""")
+def turn_similarity(spark: SparkSession, d: str) -> DataFrame:
+    c = t(spark, d, "conversations").select("conv_id", "turn", T.char_ngrams(F.col("text")).alias("g"))
+    b = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("g").alias("h"))
+    return c.join(b, ["conv_id", "turn"]).select("conv_id", "turn", F.round(T.jaccard(F.col("g"), F.col("h")), 6).alias("jaccard"))
+
+
+# -- statistics ----------------------------------------------------------------------------
+
+
+@query(f"""{_TF}, w AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n, token) AS i, sum(n) OVER (PARTITION BY lang) AS t FROM tf)
+SELECT lang, CAST(count(*) AS BIGINT) AS types, CAST(max(t) AS BIGINT) AS total, round(avg(n), 4) AS mean, quantile_cont(n, 0.5) AS median, round(stddev_pop(n), 4) AS sd, round(stddev_pop(n) / avg(n), 4) AS cv,
+round(sum(-(n / t) * log2(n / t)), 6) AS entropy, round(sum(-(n / t) * log2(n / t)) / log2(count(*)), 6) AS entropy_share, round(greatest(0.0, 2.0 * sum(i * n) / (count(*) * max(t)) - (count(*) + 1) / count(*)), 6) AS gini FROM w GROUP BY lang""")
+def distribution_by_lang(spark: SparkSession, d: str) -> DataFrame:
+    return stats.distribution(token_frequency(spark, d), ["lang"])
+
+
+@query(f"""{_TF}, g AS (SELECT token, sum(n) AS n FROM tf GROUP BY token), l AS (SELECT DISTINCT lang FROM tf),
+x AS (SELECT l.lang, g.token, coalesce(tf.n, 0) / sum(coalesce(tf.n, 0)) OVER (PARTITION BY l.lang) AS p, g.n / sum(g.n) OVER (PARTITION BY l.lang) AS q FROM l CROSS JOIN g LEFT JOIN tf ON tf.lang = l.lang AND tf.token = g.token)
+SELECT lang, round(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + q * log2(q / ((p + q) / 2))) / 2, 6) AS jsd FROM x GROUP BY lang""")
+def divergence_by_lang(spark: SparkSession, d: str) -> DataFrame:
+    f = token_frequency(spark, d)
+    return stats.divergence(f, f.groupBy("token").agg(F.sum("n").alias("n")), ["lang"])
+
+
+@query(f"{_TF} SELECT lang, CAST(sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS BIGINT) AS hapax, {', '.join(f'CAST(sum(CASE WHEN n < {k} THEN 1 ELSE 0 END) AS BIGINT) AS below_{k}' for k in (2, 5, 10, 20))} FROM tf GROUP BY lang")
+def rarity_by_lang(spark: SparkSession, d: str) -> DataFrame:
+    return stats.rarity(token_frequency(spark, d), ["lang"])
+
+
+_CUM = f"{_TF}, u AS (SELECT lang, token, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) AS rank, round(log10(n + 1), 6) AS log_n, round(sum(n) OVER (PARTITION BY lang ORDER BY n DESC, token ROWS UNBOUNDED PRECEDING) / sum(n) OVER (PARTITION BY lang), 8) AS share FROM tf)"
+
+
+@query(f"{_CUM} SELECT lang, token, CAST(n AS BIGINT) AS n, CAST(rank AS INT) AS rank, log_n, share FROM u")
+def frequency_series(spark: SparkSession, d: str) -> DataFrame:
+    return stats.cumulative(token_frequency(spark, d), ["lang"])
+
+
+@query(f"{_CUM} SELECT lang, {', '.join(f'CAST(min(CASE WHEN share * 100 >= {p} - 1e-7 THEN rank END) AS INT) AS top_{p}' for p in (50, 80, 90, 95, 99))} FROM u GROUP BY lang")
+def coverage_points(spark: SparkSession, d: str) -> DataFrame:
+    return stats.coverage_points(token_frequency(spark, d), ["lang"])
+
+
+@query(f"{_S} SELECT lang, CAST(count(*) AS BIGINT) AS rows, CAST(min(n_tokens) AS BIGINT) AS least, CAST(max(n_tokens) AS BIGINT) AS most, round(avg(n_tokens), 4) AS mean, CAST(quantile_disc(n_tokens, 0.5) AS BIGINT) AS median, CAST(quantile_disc(n_tokens, 0.95) AS BIGINT) AS p95, round(stddev_pop(n_tokens), 4) AS sd FROM pool GROUP BY lang")
+def sentence_lengths(spark: SparkSession, d: str) -> DataFrame:
+    return stats.lengths(pool(spark, d), ["lang"], "n_tokens")
+
+
+@query("WITH l AS (SELECT unnest(['0', '1']) AS label), x AS (SELECT CAST(quality AS VARCHAR) AS label, count(*) AS n FROM labels GROUP BY ALL), s AS (SELECT sum(n) AS t FROM x) SELECT label, CAST(coalesce(n, 0) AS BIGINT) AS n, round(100.0 * coalesce(n, 0) / t, 2) AS pct, round(100.0 * coalesce(n, 0) / t - 50.0, 2) AS off_even FROM l LEFT JOIN x USING (label) CROSS JOIN s")
+def quality_axis(spark: SparkSession, d: str) -> DataFrame:
+    return stats.axis(t(spark, d, "labels"), "quality", QUALITY)
+
+
+@query("WITH f AS (SELECT * FROM (SELECT unnest(['0', '1']) AS a) CROSS JOIN (SELECT unnest(['0', '1']) AS b)) SELECT a, b, CAST(count(quality) AS BIGINT) AS n FROM f LEFT JOIN labels ON CAST(quality AS VARCHAR) = a AND CAST(toxic AS VARCHAR) = b GROUP BY a, b")
+def label_crosstab(spark: SparkSession, d: str) -> DataFrame:
+    return stats.crosstab(t(spark, d, "labels"), "quality", "toxic", QUALITY, QUALITY)
+
+
+@query("WITH x AS (SELECT 'lang' AS axis, coalesce(nullif(lang, ''), 'unknown') AS value FROM documents UNION ALL SELECT 'source', coalesce(nullif(source, ''), 'unknown') FROM documents) SELECT axis, value, CAST(count(*) AS BIGINT) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY axis), 8) AS share FROM x GROUP BY axis, value")
+def metadata_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    return stats.breakdown(docs(spark, d), ["lang", "source"])
+
+
+def _inventory(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k, LATIN.tokens(k) == [k]) for k in LATIN.selectable], "token string, emittable boolean")
+
+
+@query()
+def vocabulary_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return stats.zero_filled(stats.token_frequency(doc_tokens(spark, d), []), _inventory(spark)).withColumn("observed", F.col("n") > 0)
+
+
+@query(f"{_TF}, g AS (SELECT token, sum(n) AS n FROM tf GROUP BY token) SELECT token, CAST(n AS BIGINT) AS n, round(100000.0 * sqrt(n) / (SELECT sum(sqrt(n)) FROM g), 6) AS target FROM g")
+def tempered_targets(spark: SparkSession, d: str) -> DataFrame:
+    return stats.tempered(stats.token_frequency(doc_tokens(spark, d), []), 100_000)
+
+
+@query("WITH r AS (SELECT quality, row_number() OVER (ORDER BY n_chars, doc_id) AS r FROM documents JOIN labels USING (doc_id)), a AS (SELECT sum(CASE WHEN quality = 1 THEN r END) AS s, sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS p, sum(CASE WHEN quality <> 1 THEN 1 ELSE 0 END) AS q FROM r) SELECT round((s - p * (p + 1) / 2) / (p * q), 6) AS auc FROM a")
+def length_auc(spark: SparkSession, d: str) -> DataFrame:
+    return stats.auc(t(spark, d, "documents").select("doc_id", "n_chars").join(t(spark, d, "labels"), "doc_id"), "n_chars", "quality", "doc_id")
+
+
+# -- annotation ----------------------------------------------------------------------------
+
+
+def _any(patterns: list[str], x: str = "clean") -> str:
+    return "(" + " OR ".join(f"regexp_matches({x}, '{p}')" for p in patterns) + ")"
+
+
+def _hits(patterns: list[str], x: str = "clean") -> str:
+    return "(" + " + ".join(f"len(regexp_extract_all({x}, '{p}'))" for p in patterns) + ")"
+
+
+_R = annotate.LATIN_RULES
+
+
+@query(f"""WITH {_C}, h AS (SELECT doc_id, {', '.join(f"CAST({_any(_R['tense'][k])} AS INT) AS {k}" for k in _R['tense'])}, {', '.join(f"{_hits(p)} AS {k}" for ax in ('polarity', 'gender') for k, p in _R[ax].items())}, {', '.join(f"{_hits(p)} AS s_{k}" for k, p in _R['sector'].items())} FROM c)
+SELECT doc_id, CASE past + present + future WHEN 0 THEN 'present' WHEN 1 THEN CASE WHEN past = 1 THEN 'past' WHEN present = 1 THEN 'present' ELSE 'future' END ELSE 'mixed' END AS tense,
+CASE WHEN negative > 0 AND negative >= positive THEN 'negative' WHEN positive > negative THEN 'positive' ELSE 'neutral' END AS polarity, CASE WHEN feminine > masculine THEN 'feminine' WHEN masculine > feminine THEN 'masculine' ELSE 'neutral' END AS gender,
+CASE WHEN s_conversational > 0 THEN 'conversational' WHEN s_formal > 0 THEN 'formal' WHEN greatest(s_sports, s_technology, s_health) >= 2 THEN CASE greatest(s_sports, s_technology, s_health) WHEN s_sports THEN 'sports' WHEN s_technology THEN 'technology' ELSE 'health' END ELSE 'news' END AS sector FROM h""")
+def annotated_documents(spark: SparkSession, d: str) -> DataFrame:
+    c = docs(spark, d).select("doc_id", T.clean(F.col("text"), LATIN).alias("clean"), T.sector_of(F.col("source")).alias("hint"))
+    return annotate.annotate(c, "clean", "hint", _R).drop("clean", "hint")
+
+
+# -- sampling, selection -------------------------------------------------------------------
+
+
+@query(f"{_T}, df AS (SELECT token, count(*) AS n FROM (SELECT unnest(list_distinct(tokens)) AS token FROM t) GROUP BY token), x AS (SELECT doc_id, len(tokens) AS len, unnest(list_distinct(tokens)) AS token FROM t) SELECT doc_id, round(sum(1 / sqrt(n)) / sqrt(greatest(max(len), 1)), 6) AS priority FROM x JOIN df USING (token) GROUP BY doc_id")
+def rarity_priority(spark: SparkSession, d: str) -> DataFrame:
+    rows = doc_tokens(spark, d)
+    return sample.priority(rows, "tokens", stats.token_frequency(rows, [], per_row=True), "doc_id")
+
+
+_PRI = ORACLE_SQL["rarity_priority"]
+
+
+@query(f"WITH pr AS ({_PRI}) SELECT doc_id, priority FROM pr ORDER BY priority DESC, doc_id DESC LIMIT 100")
+def top_priority(spark: SparkSession, d: str) -> DataFrame:
+    return sample.top(rarity_priority(spark, d), 100, F.desc("priority"), F.desc("doc_id"))
+
+
+@query(f"{_T}, pr AS ({_PRI}), x AS (SELECT doc_id, priority, unnest(list_distinct(tokens)) AS token FROM t JOIN pr USING (doc_id)) SELECT token, doc_id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY priority DESC, doc_id DESC) AS rank FROM x) WHERE rank <= 3")
+def top_per_token(spark: SparkSession, d: str) -> DataFrame:
+    rows = doc_tokens(spark, d).join(rarity_priority(spark, d), "doc_id")
+    return sample.top_per_token(rows, "tokens", 3, [F.desc("priority"), F.desc("doc_id")]).select("token", "doc_id", "rank")
+
+
+@query()
+def candidate_shortlist(spark: SparkSession, d: str) -> DataFrame:
+    rows = doc_tokens(spark, d).join(rarity_priority(spark, d), "doc_id")
+    return sample.shortlist(rows, "tokens", "doc_id", 2, 500).select("doc_id", "priority", "required")
+
+
+@query("SELECT doc_id, lang, source, CAST(k AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY sha256('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS k FROM documents) WHERE k <= 5")
+def cell_sample(spark: SparkSession, d: str) -> DataFrame:
+    return sample.per_cell(t(spark, d, "documents").select("doc_id", "lang", "source"), ["lang", "source"], 5, "doc_id")
+
+
+@query("SELECT doc_id, lang, source, CAST(round AS INT) AS round FROM (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY sha256('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS round FROM documents) ORDER BY round, lang, source LIMIT 150")
+def round_robin_sample(spark: SparkSession, d: str) -> DataFrame:
+    return sample.round_robin(t(spark, d, "documents").select("doc_id", "lang", "source"), ["lang", "source"], 150, "doc_id")
+
+
+@query()
+def balanced_selection(spark: SparkSession, d: str) -> DataFrame:
+    rows = sample.per_cell(doc_tokens(spark, d), ["lang", "source"], 5, "doc_id")
+    return select.balanced(rows, "doc_id", ["lang", "source"], "tokens", 100, 50.0)
+
+
+@query()
+def coverage_seed(spark: SparkSession, d: str) -> DataFrame:
+    rows = sample.top_per_token(doc_tokens(spark, d).withColumn("n", F.size("tokens")), "tokens", 3, ["n", "doc_id"]).select("doc_id", "tokens").dropDuplicates(["doc_id"])
+    return select.coverage_seed(rows, "doc_id", "tokens")
+
+
+@query()
+def diverse_selection(spark: SparkSession, d: str) -> DataFrame:
+    rows = t(spark, d, "embeddings")
+    rows = rows.join(vector.clusters(rows, "vec_id", "embedding", 8), "vec_id").withColumn("tokens", F.array(F.col("label").cast("string")))
+    return select.diverse(sample.per_cell(rows, ["cluster"], 200, "vec_id"), "vec_id", "tokens", "embedding", "cluster", 100)
+
+
+@query()
+def customer_split(spark: SparkSession, d: str) -> DataFrame:
+    return sample.speaker_split(t(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey")
+
+
+@query("SELECT o_orderkey, 'pool_' || lpad(CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS VARCHAR), 8, '0') AS pool_id FROM orders")
+def numbered_orders(spark: SparkSession, d: str) -> DataFrame:
+    return sinks.numbered(t(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], "pool_id", "pool_")
+
+
+@query("SELECT doc_id, min(batch) AS batch FROM (SELECT doc_id, 0 AS batch FROM documents WHERE lang = 'en' UNION ALL SELECT doc_id, 1 FROM documents) GROUP BY doc_id")
+def merged_batches(spark: SparkSession, d: str) -> DataFrame:
+    a = t(spark, d, "documents").select("doc_id", "lang")
+    return corpus.merge_batches([a.filter("lang = 'en'").withColumn("batch", F.lit(0)), a.withColumn("batch", F.lit(1))], F.col("doc_id")).select("doc_id", "batch")
+
+
+# -- vectors -------------------------------------------------------------------------------
+
+
+@query("WITH s AS (SELECT a.vec_id, b.vec_id AS nn, round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) SELECT vec_id, nn, cosine FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, nn) AS k FROM s) WHERE k = 1")
+def nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return vector.nearest(t(spark, d, "embeddings"), "vec_id", "embedding")
+
+
+@query(f"WITH n AS ({ORACLE_SQL['nearest_neighbours']}) SELECT round(quantile_cont(cosine, 0.5), 5) AS median, round(quantile_cont(cosine, 0.95), 5) AS p95, round(quantile_cont(cosine, 0.99), 5) AS p99, round(max(cosine), 5) AS most FROM n")
+def neighbour_statistics(spark: SparkSession, d: str) -> DataFrame:
+    q = lambda f: F.round(F.percentile("cosine", F.lit(f)), 5)
+    return nearest_neighbours(spark, d).agg(q(0.5).alias("median"), q(0.95).alias("p95"), q(0.99).alias("p99"), F.round(F.max("cosine"), 5).alias("most"))
+
+
+_PAIRS = "WITH o AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER (ORDER BY sha256('7:' || CAST(vec_id AS VARCHAR)), vec_id) AS r FROM embeddings), p AS (SELECT list_dot_product(a.e, b.e) AS cosine FROM o a JOIN o b ON b.r = a.r + 1)"
+
+
+@query(f"{_PAIRS} SELECT round(quantile_cont(cosine, 0.98), 6) AS t_2pc, round(quantile_cont(cosine, 0.99), 6) AS t_1pc, round(quantile_cont(cosine, 0.995), 6) AS t_05pc, round(avg(CASE WHEN cosine <= 0.1 THEN 1.0 ELSE 0.0 END), 6) AS below_01 FROM p")
+def similarity_thresholds(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    w = Window.orderBy(sample.hash_order("vec_id", "7"), "vec_id")  # the calibration sample, bounded by the caller
+    o = t(spark, d, "embeddings").select("embedding", F.lead("embedding").over(w).alias("next")).filter("next is not null").select(vector.dot(F.col("embedding"), F.col("next")).alias("cosine"))
+    q = lambda f: F.round(F.percentile("cosine", F.lit(f)), 6)
+    return o.agg(q(0.98).alias("t_2pc"), q(0.99).alias("t_1pc"), q(0.995).alias("t_05pc"), F.round(vector.percentile_of(F.lit(0.1) + F.col("cosine") * 0, F.col("cosine")), 6).alias("below_01"))
+
+
+@query()
+def embedding_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return vector.clusters(t(spark, d, "embeddings"), "vec_id", "embedding", 8)
+
+
+# -- quality control -----------------------------------------------------------------------
+
+_JOBS = "j AS (SELECT doc_id AS job_id, source AS phase, lang, (n_chars % 97) / 400.0 AS cer, (n_chars % 89) / 300.0 AS wer, 1 - (n_chars % 7) / 20.0 AS recall, n_chars % 11 <> 0 AS cpu_ok, n_chars FROM documents)"
+
+
+def _jobs(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("n_chars")
+    return t(spark, d, "documents").select(F.col("doc_id").alias("job_id"), F.col("source").alias("phase"), "lang", (n % 97 / 400.0).alias("cer"), (n % 89 / 300.0).alias("wer"), (1 - n % 7 / 20.0).alias("recall"), (n % 11 != 0).alias("cpu_ok"), "n_chars")
+
+
+_ACC = f"WITH {_JOBS}, a AS (SELECT *, [x FOR x IN [CASE WHEN NOT cpu_ok THEN 'cpu' END, CASE WHEN cer > 0.15 THEN 'cer' END, CASE WHEN wer > 0.2 THEN 'wer' END, CASE WHEN recall < 0.8 THEN 'recall' END] IF x IS NOT NULL] AS reasons FROM j)"
+
+
+@query(f"{_ACC} SELECT job_id, array_to_string(reasons, ',') AS reasons, len(reasons) = 0 AS accepted, (n_chars < 100 OR cer > 0.15 OR abs(cer - 0.15) <= 0.05 OR recall < 1) AS second FROM a")
+def acceptance(spark: SparkSession, d: str) -> DataFrame:
+    a = qc.acceptance(_jobs(spark, d), 0.15, 0.2, 0.8)
+    return a.select("job_id", F.array_join("reasons", ",").alias("reasons"), "accepted", qc.second_opinion(F.col("n_chars") < 100, F.col("cer"), F.col("recall"), 0.15).alias("second"))
+
+
+@query(f"{_ACC} SELECT phase, CAST(count(*) AS BIGINT) AS complete, CAST(sum(CASE WHEN len(reasons) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS passed, round(sum(CASE WHEN len(reasons) = 0 THEN 1 ELSE 0 END) / count(*), 6) AS rate, sum(CASE WHEN len(reasons) = 0 THEN 1 ELSE 0 END) / count(*) >= 0.3 AS open FROM a GROUP BY phase")
+def phase_gates(spark: SparkSession, d: str) -> DataFrame:
+    return qc.phase_gate(qc.acceptance(_jobs(spark, d), 0.15, 0.2, 0.8), "phase", "accepted", 0.3)
+
+
+@query(f"WITH {_JOBS} SELECT lang, job_id, cer FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cer, job_id) AS k FROM j) WHERE k = 1")
+def best_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return qc.best_candidate(_jobs(spark, d).select("lang", "job_id", "cer"), "lang", "cer", "job_id")
+
+
+@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' END AS reason FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
+def alignment(spark: SparkSession, d: str) -> DataFrame:
+    right = t(spark, d, "labels").select("doc_id", F.lit("x").alias("transcript")).distinct()
+    return qc.align(t(spark, d, "documents").select("doc_id"), right, "doc_id", "transcript").select("doc_id", "reason")
+
+
+@query("SELECT doc_id, count(*) OVER (PARTITION BY sha256(text)) > 1 AS is_repeated FROM documents")
+def repeated_hashes(spark: SparkSession, d: str) -> DataFrame:
+    return qc.repeated(docs(spark, d).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("h")), "h").select("doc_id", "is_repeated")
+
+
+@query("SELECT event_type, coalesce(round(sum(value), 4), 0.0) AS spent FROM events GROUP BY event_type")
+def spend_ledger(spark: SparkSession, d: str) -> DataFrame:
+    return qc.spend(t(spark, d, "events"), "event_type", "value")
+
+
+@query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, CAST(ceil(strlen(text) / 15) AS BIGINT) AS seconds, round(strlen(text) * 0.000125, 6) AS cost FROM documents")
+def cost_forecast(spark: SparkSession, d: str) -> DataFrame:
+    return docs(spark, d).select("doc_id", *(v.alias(k) for k, v in qc.forecast(F.col("text"), 0.000125).items()))
+
+
+@query()
+def turn_error_rates(spark: SparkSession, d: str) -> DataFrame:
+    c = t(spark, d, "conversations").select("conv_id", "turn", "text")
+    return qc.corpus_rates(c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("hyp")), ["conv_id", "turn"]), "text", "hyp")
+
+
+@query("WITH l AS (SELECT DISTINCT source FROM documents), a AS (SELECT DISTINCT lang FROM documents) SELECT source, lang, CAST((row_number() OVER (ORDER BY source, lang) - 1) % 3 AS INT) AS slot FROM l CROSS JOIN a")
+def audition_plan(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    x = t(spark, d, "documents")
+    plan = x.select("source").distinct().crossJoin(x.select("lang").distinct())  # voices x texts: two small dimensions
+    return plan.withColumn("slot", F.pmod(F.row_number().over(Window.orderBy("source", "lang")) - 1, F.lit(3)).cast("int"))
