@@ -1,0 +1,373 @@
+"""Each operator against a brute-force version, over rows that hold every awkward case."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+import corpus_pipeline
+from textloom.llm import classifier, common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, suffix_dedup, textkit, token_counts, token_files, tokenizing
+
+WORD, BYTE = tokenizing.public("word_bpe_49k.json"), tokenizing.public("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words string"
+SPACE = r"[^\x20\x09-\x0D]+"
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def rows():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéß", k=rng.randint(1, 9))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choice(words) + rng.choice(["", "", "", ",", ".", ".\n"]) for _ in range(n))
+    passage = prose(60)
+    texts = [prose(rng.randint(1, 260)) for _ in range(70)]
+    base = prose(200)
+    for _ in range(25):  # near copies of one text
+        w = base.split(" ")
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        texts.append(" ".join(w))
+    texts += [f"{prose(9)} {passage} {prose(9)}" for _ in range(12)]
+    texts += [texts[3]] * 9 + [base] * 4 + ["", " \n ", "one", "ONE", "a b", "same words " * 400, prose(9000), "\x00 \x85x  y", "x " * 3, None]
+    return [(i * 3, t, "en", None if i % 11 == 0 else f"s{i % 3 if i % 2 else 0}", i, "clash", "clash") for i, t in enumerate(texts)] + [(0, texts[0], "en", "s0", 0, "clash", "clash"), (None, "no id here", None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
+    spark.createDataFrame(rows(), SCHEMA).repartition(5).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def unique(docs):
+    """Without the repeated row and the null id, for comparisons by doc_id."""
+    return docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def data(df):
+    return sorted(((r["doc_id"], r["text"] or "") for r in df.collect()), key=lambda r: r[0])
+
+
+def table(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def shingles(text, k):
+    w = re.findall(SPACE, text.translate(LOW))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+
+
+def near_components(texts, k, percent=80):
+    sets = {d: shingles(t, k) for d, t in texts}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return sets, {d: find(d) for d in ids}
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates(unique, k):
+    sets, want = near_components(data(unique), k)
+    got = table(neardup.resolve(unique, neardup.Settings(words=k)))
+    assert {d: r["component_id"] for d, r in got.items()} == want
+    assert all(r["n_shingles"] == len(sets[d]) and r["kept"] == (d == want[d]) for d, r in got.items())
+
+
+def test_near_duplicates_edge_rows(docs, empty):
+    got = neardup.resolve(docs).collect()
+    assert len(got) == docs.count() and [r["kept"] for r in got if r["doc_id"] == 0] == [True] * 2
+    assert neardup.resolve(empty).count() == 0 and neardup.unique_rows(empty).columns == empty.columns
+    assert neardup.unique_rows(docs).columns == docs.columns
+
+
+def test_blocks_find_what_the_centres_miss(unique):
+    _, want = near_components(data(unique), 2)
+    got = table(neardup.resolve(unique, neardup.Settings(words=2, block=4)))
+    assert {d: r["component_id"] for d, r in got.items()} == want
+
+
+def test_estimate_follows_jaccard():
+    s, rng = neardup.Settings(), np.random.default_rng(1)
+    a = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    b = np.concatenate((a[:2400], rng.integers(0, 2**63, 300).astype(np.uint64)))
+    h = np.concatenate((a, b))
+    m = neardup.pack_bits(neardup.minima(h, np.array([0, 3000]), np.array([3000, 5700]), s))
+    assert abs(neardup.estimate(m[0], m[1], s) - 2400 / 3300) < 0.15 and s.floor < 0.7
+
+
+def test_quality_rules(docs, unique, empty):
+    got = table(quality_rules.annotate(unique, columns=["doc_id"]))
+    for d, t in data(unique):
+        w = re.findall(SPACE, t)
+        lines = [x for x in t.split("\n") if re.search(SPACE, x)]
+        grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        hit = {i + j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(3)} if len(grams) < 3000 else None
+        r = got[d]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"]) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)))
+        if hit is not None:
+            assert r["n_repeat_words"] == len(hit) and r["base_failed"] == (len(w) < 50 or 100 * len(hit) > 50 * len(w))
+        assert not (r["kept"] and r["base_failed"])
+    kept = quality_rules.filter_rows(docs)
+    assert kept.columns == docs.columns and {r["kept"] for r in kept.collect()} == {"clash"}
+    assert quality_rules.filter_rows(empty).count() == 0
+    assert not got[[d for d, t in data(unique) if t.startswith("same words")][0]]["kept"]
+
+
+def ids_of(path, text):
+    from tokenizers import Tokenizer
+
+    return np.array([*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 0], "<u4")
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_chunks_give_the_tokenizer_ids(path):
+    coder, rng = tokenizing.Encoder(path), random.Random(2)
+    bits = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", " ", "́", "a", "Zé", "'s", "9", "!", ".,", "ß", "Σ", "中", "İ", "\r\n", "word", "x" * 70, "\x00", " the"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 9))) for _ in range(3000)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert coder.encode(texts) == want and coder.encode(texts) == want
+
+
+def test_packing(docs, unique, empty):
+    got = packing.pack(unique, WORD, with_ids=True).collect()
+    assert [(p["doc_id"], p["piece"]) for p in sorted(got, key=lambda p: (p["doc_id"], p["piece"]))] == [(d, k) for d, t in data(unique) for k in range(-(-len(ids_of(WORD, t)) // 2048))]
+    for d, t in data(unique):
+        ids, mine = ids_of(WORD, t), sorted((p for p in got if p["doc_id"] == d), key=lambda p: p["piece"])
+        assert b"".join(p["ids"] for p in mine) == ids.tobytes() and all(zlib.crc32(p["ids"]) == p["ids_crc32"] and p["start"] == 2048 * k for k, p in enumerate(mine))
+    bins = {}
+    for p in got:
+        bins.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    for some in bins.values():
+        at = 0
+        for offset, length in sorted(some):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert packing.pack(docs, WORD).count() == len(got) + 2 and packing.pack(empty, WORD).count() == 0
+
+
+def test_plan_is_close_to_the_bound():
+    rng = random.Random(4)
+    for capacity in (10, 64, 2048):
+        for _ in range(30):
+            counts = {rng.randint(1, capacity): rng.randint(1, 9) for _ in range(rng.randint(0, 40))}
+            plan = packing.Plan(counts, capacity)
+            fill, seen = {}, set()
+            for length, n in counts.items():
+                seq, off = plan.place(np.full(n, length), np.arange(n))
+                for q, o in zip(seq, off, strict=True):
+                    fill[q] = fill.get(q, 0) + length
+                    assert (q, o) not in seen
+                    seen.add((q, o))
+            assert all(v <= capacity for v in fill.values()) and len(fill) == plan.bins
+            large = sum(n for k, n in counts.items() if 3 * k > capacity)
+            assert plan.bins <= max(large, 2 * -(-sum(k * n for k, n in counts.items()) // capacity) + 1)
+
+
+def test_token_files(spark, docs, unique, empty):
+    path = common.new_table_path(spark, "test")
+    token_files.write(unique, path, BYTE, per_block=700)
+    got, at = table(token_files.read(spark, path)), 0
+    for d, t in data(unique):
+        ids = ids_of(BYTE, t)
+        assert (got[d]["start"], got[d]["n_tokens"], bytes(got[d]["ids"])) == (at, len(ids), ids.tobytes())
+        at += len(ids)
+    for some, n in ((docs, docs.count()), (empty, 0)):
+        path = common.new_table_path(spark, "test")
+        token_files.write(some, path, BYTE)
+        assert token_files.read(spark, path).count() == n
+    for high in (3, 300, 70_000, 2**31):
+        v = np.random.default_rng(1).integers(0, high, 1001).astype(np.uint32)
+        control, raw = token_files.encode_values(v)
+        assert (token_files.decode_values(np.frombuffer(control, np.uint8), np.frombuffer(raw, np.uint8), len(v)) == v).all()
+
+
+def test_sharding(docs, empty):
+    got = sharding.shard(docs).collect()
+    size = [sum(r["shard"] == s for r in got) for s in range(8)]
+    assert sum(size) == docs.count() and max(size) - min(size) <= 1
+    for s in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(size[s]))
+    for source in {r["source"] for r in got}:
+        per = [sum(r["shard"] == s and r["source"] == source for r in got) for s in range(8)]
+        assert max(per) - min(per) <= 2
+    assert sharding.shard(empty).count() == 0
+
+
+def test_exact_dedup(docs, empty):
+    got = exact_dedup.resolve(docs).collect()
+    by = {}
+    for r in docs.collect():
+        by.setdefault(hashlib.sha256((r["text"] or "").encode()).hexdigest(), []).append(r["doc_id"])
+    assert len(got) == docs.count()
+    for r in got:
+        mine = by[r["text_sha256"]]
+        keep = max((i for i in mine if i is not None), default=None)
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, len(mine), r["doc_id"] == keep)
+    kept = exact_dedup.unique_rows(docs)
+    assert kept.columns == docs.columns and kept.count() == len(by) and exact_dedup.unique_rows(empty).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
+def test_fuse_filter(n):
+    rng = np.random.default_rng(n)
+    keys = rng.integers(0, 2**63, n).astype(np.uint64)
+    f = exact_dedup.FuseFilter.from_bytes(exact_dedup.FuseFilter.build(keys).to_bytes())
+    assert f.has(keys).all() and f.has(rng.integers(0, 2**63, 20_000).astype(np.uint64)).mean() < 0.02
+    assert n < 1000 or len(f.prints) < 1.6 * n
+
+
+def removed(texts, length=100):
+    seen, out = set(), {}
+    for d, t in texts:
+        raw, gone = t.encode(), set()
+        for i in range(len(raw) - length + 1):
+            w = raw[i : i + length]
+            gone.update(range(i, i + length)) if w in seen else seen.add(w)
+        kept = bytes(c for i, c in enumerate(raw) if i not in gone)
+        out[d] = (len(raw), len(gone), sum(i in gone and i - 1 not in gone for i in range(len(raw))), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("most", [1024, 1])
+def test_suffix_dedup(docs, unique, empty, most):
+    want = removed(data(unique))
+    got = {d: tuple(r)[1:] for d, r in table(suffix_dedup.remove(unique, most=most)).items()}
+    assert got == want and any(v[1] for v in want.values())
+    if most > 1:
+        again = {(r["doc_id"], r["n_removed"]) for r in suffix_dedup.remove(docs).collect()}
+        assert again >= {(d, v[1]) for d, v in want.items()} and suffix_dedup.remove(empty).count() == 0
+
+
+def test_suffix_order_is_right():
+    rng = np.random.default_rng(3)
+    for letters in (1, 2, 4):
+        text = rng.integers(97, 97 + letters, 900).astype(np.uint8)
+        text[500:700] = text[100:300]
+        starts = np.sort(rng.choice(800, 300, replace=False))
+        raw = text.tobytes() + bytes(300)
+        order = np.concatenate(list(suffix_dedup.suffix_order(text, starts, bucket=50)))
+        assert sorted(order) == starts.tolist()
+        assert all(raw[a : a + 100] <= raw[b : b + 100] for a, b in zip(order, order[1:], strict=False))
+
+
+def test_classifier(spark, docs, empty):
+    rng = random.Random(1)
+    texts = [(i, " ".join(rng.choice(["good", "fine", "text", "words"] if i % 3 else ["$$$", "***", "junk", "WORDS"]) for _ in range(60))) for i in range(400)]
+    train = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in texts] + [(None, 1), (5, None)], "doc_id long, quality int")
+    machine = classifier.train(train, labels, "quality")
+    got = classifier.score(train, machine).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1 for r in got)
+    assert np.mean([r["predicted"] == (r["doc_id"] % 3 > 0) for r in got if r["held_out"]]) > 0.95
+    assert classifier.score(docs, machine).count() == docs.count() and classifier.score(empty, machine).count() == 0
+    none = classifier.train(empty, labels.limit(0), "quality")
+    assert {round(r["score"], 6) for r in classifier.score(train, none).collect()} == {0.5}
+    data_, offsets = np.frombuffer(b"a b a c d", np.uint8), np.array([0, 9])
+    start, col, value = classifier.features(data_, offsets, classifier.Settings())
+    slow = machine.bias + machine.w[col] @ value + sum(float(machine.v[col[i]] @ machine.v[col[j]]) * value[i] * value[j] for i in range(len(col)) for j in range(i))
+    assert abs(machine.raw(start, col, value)[0] - slow) < 1e-3
+
+
+def test_token_counts(spark, docs, empty):
+    store = token_counts.new_store(spark)
+    t = token_counts
+    assert store.totals().count() == 0
+    assert store.commit("a", t.inserts(docs, "w", t.words)) and not store.commit("a", t.inserts(docs, "w", t.words))
+    store.commit("b", t.revisions(docs, "w", t.words, t.marked_words))
+    want = {}
+    for r in docs.collect():
+        text = r["text"] or ""
+        n = want.setdefault((r["source"], r["lang"]), [0, 0])
+        n[0] += 1
+        n[1] += len(re.findall(SPACE, text)) + len(re.findall(r"[#*$%&|<>]", text))
+    assert {(r["source"], r["lang"]): [r["n_docs"], r["n_tokens"]] for r in store.totals().collect()} == want
+    store.commit("c", t.deletes(docs, "w", t.marked_words))
+    assert store.totals().count() == 0
+    store.commit("d", t.inserts(empty, "w", t.words))
+    assert store.totals().count() == 0
+
+
+def test_mixing(docs, empty):
+    n = {}
+    for r in docs.collect():
+        n[r["source"]] = n.get(r["source"], 0) + len(re.findall(SPACE, r["text"] or ""))
+    whole = sum(n.values())
+    p = np.array([v / whole for v in n.values()])
+    entropy = lambda a: -sum(w * np.log(w) for w in p**a / (p**a).sum())
+    low, high = 0.0, 1.0
+    goal = 0.95 * np.log(len(n))
+    for _ in range(50):
+        mid = (low + high) / 2
+        low, high = (mid, high) if entropy(mid) >= goal else (low, mid)
+    low = 1.0 if entropy(1.0) >= goal else low
+    got = mixing.mix(docs, mixing.Target(entropy=0.95)).collect()
+    assert abs(got[0]["exponent"] - low) < 1e-6
+    rows_of = {s: sum(r["source"] == s for r in docs.collect()) for s in n}
+    for s, own in n.items():
+        mine = [r for r in got if r["source"] == s]
+        share = mine[0]["weight"] * whole
+        assert sum(r["n_tokens"] for r in mine) <= share + 1e-3
+        for b in range(int(share // own)):
+            assert sorted(r["row_in_block"] for r in mine if r["block"] == b) == list(range(rows_of[s]))
+    repeats = mixing.mix(docs, mixing.Target(repeats=1.3)).collect()
+    assert all(r["weight"] * whole <= 1.3 * n[r["source"]] + 1e-6 for r in repeats)
+    drawn = mixing.mixed_rows(docs, mixing.Target(entropy=0.95))
+    assert drawn.columns == docs.columns and abs(drawn.count() - len(got)) <= 2
+    assert mixing.mix(empty, mixing.Target(entropy=0.9)).count() == 0 and mixing.mixed_rows(empty, mixing.Target(entropy=0.9)).count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix(docs, mixing.Target())
+
+
+def test_kernels_on_null_and_empty_texts():
+    import pyarrow as pa
+
+    parts = list(textkit.batches(pa.array([None, "", "a b", None]), most=1))
+    assert [(a, b) for a, b, *_ in parts][-1][1] == 4 and sum(len(d) for *_, d, _ in parts) == 3
+
+
+def test_pipeline(spark, docs, tmp_path):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    at = docs
+    seen = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        at = common.table(stage(spark, at, str(tmp_path)), f"t{k}")
+        seen.append(at)
+        if k < 4:
+            assert at.columns == docs.columns
+    kept = {d: r["kept"] for d, r in table(quality_rules.annotate(docs.select("doc_id", "text"))).items()}
+    one = sorted(r["doc_id"] for r in seen[0].collect())
+    assert one == sorted(r["doc_id"] for r in docs.collect() if kept[r["doc_id"]])
+    best = {}
+    for r in seen[0].collect():
+        best[r["text"]] = max(best.get(r["text"], -1), r["doc_id"])
+    assert sorted(r["doc_id"] for r in seen[1].collect()) == sorted(best.values())
+    _, comp = near_components(data(seen[1]), 5)
+    assert sorted(r["doc_id"] for r in seen[2].collect()) == sorted(set(comp.values()))
+    assert {r["doc_id"] for r in seen[3].collect()} <= set(comp.values())
+    assert {p["doc_id"] for p in seen[4].collect()} == {r["doc_id"] for r in seen[3].collect()}
+    empty = spark.createDataFrame([], docs.schema)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.count() == 0
+        empty = out if isinstance(out.schema, T.StructType) and "text" in out.columns else empty

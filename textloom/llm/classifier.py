@@ -103,7 +103,7 @@ def fit(start: np.ndarray, col: np.ndarray, value: np.ndarray, label: np.ndarray
     n, size = len(label), s.buckets + STRUCTURE
     rng = np.random.default_rng(s.seed)
     share = float(label.mean()) if n else 0.5
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         p = min(max(share, 1e-6), 1 - 1e-6)
         return Machine(float(np.log(p / (1 - p))), np.zeros(size, np.float32), np.zeros((size, s.rank), np.float32))
     w, v = np.zeros(size, np.float32), rng.normal(0, 0.02, (size, s.rank)).astype(np.float32)
