@@ -7,8 +7,9 @@ doc_id, or earlier in its own text.  Matches never cross texts.
    hash is the window's anchor, so equal windows have equal anchors at the same distance.
    Consecutive windows share anchors; about 3 % of positions are one.  Anchors that occur
    once in the corpus end here, and with them nearly all of the text.
-2. Contexts.  An anchor that occurs again brings its context: the bytes of all windows that
-   it stands for.  Of rows with equal contexts all but the earliest repeat it in every window.
+2. Contexts.  An anchor that occurs again stands for a context: the bytes of all its windows.
+   Of rows with equal contexts (by digest) all but the earliest repeat it in every window.
+   Bytes are read for anchors with several different contexts alone.
 3. Suffix buckets.  The earliest rows of different contexts with one anchor form a bucket;
    tasks gather buckets into blocks of bounded size and sort each block's window suffixes,
    one bucket of leading bytes at a time.  The first 32 bytes decide; longer ties are settled
@@ -195,48 +196,100 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(raw).alias("x"), raw.alias("raw"))
 
 
-def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(h, d): the anchors of every text."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            ids = part.column(0).to_numpy(zero_copy_only=False)
-            for a, b, data, offsets in textkit.batches(part.column(1)):
-                p, _, _, h = anchors(data, offsets)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[a:b][np.searchsorted(offsets, p, "right") - 1])], ["h", "d"])
-
-    long = F.octet_length("raw") >= LENGTH
-    return _keyed(docs).filter(long).select("d", "raw").mapInArrow(run, "h long, d long")
+def _partitions(docs: DataFrame, bytes_each: int = 16_000_000) -> int:
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // bytes_each))
 
 
-_CONTEXT = "h long, c binary, d long, x long, lo long, n int, t int, ctx binary"
+def _shared(docs: DataFrame, parts: int) -> DataFrame:
+    """d, hs: the anchors of each text that occur again anywhere.
 
+    Within a slice of a task's texts all but the first row of an anchor are known to repeat:
+    they are dealt out at random, so a hot anchor sends one row a slice to its partition.
+    """
 
-def _contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """A row for each anchor that occurs again: its first window, windows, distance, context bytes."""
+    def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in rows:
+            ids = part.column(0).to_numpy(zero_copy_only=False)
+            for a, b, data, offsets in textkit.batches(part.column(1)):
+                p, _, _, h = anchors(data, offsets)
+                d = ids[a:b][np.searchsorted(offsets, p, "right") - 1]
+                order = np.argsort(h, kind="stable")
+                h, d = h[order], d[order]
+                again = np.concatenate(([False], h[1:] == h[:-1])) if len(h) else np.zeros(0, bool)
+                sure = again.copy()
+                sure[:-1] |= again[1:]
+                route = np.where(again, textkit.mix(h ^ textkit.mix(d.astype(np.uint64))), h)
+                yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(h.view(np.int64)), pa.array(d), pa.array(sure)], ["r", "h", "d", "sure"])
+
+    def repeated(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(rows)  # a partition: one row an anchor and slice, 25 bytes each
+        if not held:
+            return
+        r, h, d, sure = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in held]) for i in range(4))
+        order = np.lexsort((h, r))
+        same = np.concatenate(([False], (r[order][1:] == r[order][:-1]) & (h[order][1:] == h[order][:-1])))
+        keep = sure.copy()
+        keep[order] |= same
+        keep[order[:-1]] |= same[1:]
+        for at in range(0, len(held := np.flatnonzero(keep)), 100_000):
+            some = held[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(d[some])], ["h", "d"])
+
+    def listed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(rows)  # a partition of texts: their anchors, 16 bytes each
+        if not held:
+            return
+        h, d = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in held]) for i in range(2))
+        order = np.argsort(d, kind="stable")
+        h, d = h[order], d[order]
+        first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
+        edges = np.append(first, len(d)).astype(np.int32)
+        for at in range(0, len(first), 2_000):
+            e = edges[at : at + 2_001]
+            yield pa.RecordBatch.from_arrays([pa.array(d[first[at : at + 2_000]]), pa.ListArray.from_arrays(pa.array(e - e[0]), pa.array(h[e[0] : e[-1]]))], ["d", "hs"])
+
+    rows = _keyed(docs).filter(F.octet_length("raw") >= LENGTH).select("d", "raw").mapInArrow(cut, "r long, h long, d long, sure boolean")
+    rows = rows.repartition(parts, "r").mapInArrow(repeated, "h long, d long")
+    return rows.repartition(parts, "d").mapInArrow(listed, "d long, hs array<long>")
+
+
+_CONTEXT = "h long, c long, d long, x long, lo long, n int, t int, ctx binary"
+
+
+def _contexts(docs: DataFrame, wanted: DataFrame, with_bytes: bool) -> DataFrame:
+    """A row for each wanted anchor: its first window, windows, distance, digest of its context.
+
+    ``wanted``: d and hs, anchors; or, ``with_bytes``, d, x and los, first windows whose
+    context bytes are to be read.  Digest and anchor together have 128 bits.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for part in parts:
-            wanted = part.column(3)
+            lists = part.column(3)
             for a, b, data, offsets in textkit.batches(part.column(2)):
                 p, lo, hi, h = anchors(data, offsets)
                 owner = np.searchsorted(offsets, p, "right") - 1
+                seek = lo - offsets[owner] if with_bytes else h.view(np.int64)
                 keep = np.zeros(len(p), bool)
                 edge = np.searchsorted(owner, np.arange(b - a + 1))
                 for i in range(b - a):
                     s = slice(edge[i], edge[i + 1])
-                    keep[s] = np.isin(h[s].view(np.int64), wanted[a + i].values.to_numpy(zero_copy_only=False))
+                    keep[s] = np.isin(seek[s], lists[a + i].values.to_numpy(zero_copy_only=False))
                 p, lo, hi, h, owner = (v[keep] for v in (p, lo, hi, h, owner))
                 raw = data.tobytes()
-                ctx = [raw[s:e] for s, e in zip(lo, hi + LENGTH, strict=True)]
                 n, t = (hi - lo + 1).astype(np.int32), (p - lo).astype(np.int32)
-                c = [xxhash.xxh3_128_digest(x + bytes([k, j])) for x, k, j in zip(ctx, n, t, strict=True)]
-                ids, xs = part.column(0).slice(a, b - a).take(pa.array(owner)), part.column(1).slice(a, b - a).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c, pa.binary()), ids, xs, pa.array(lo - offsets[owner]), pa.array(n), pa.array(t), pa.array(ctx, pa.binary())], ["h", "c", "d", "x", "lo", "n", "t", "ctx"])
+                ctx = [raw[s:e] for s, e in zip(lo, hi + LENGTH, strict=True)]
+                c = np.array([xxhash.xxh3_64_intdigest(v) for v in ctx], np.uint64) ^ textkit.mix((n.astype(np.uint64) << np.uint64(32)) | t.astype(np.uint64))
+                ids, xs = (part.column(i).slice(a, b - a).take(pa.array(owner)) for i in (0, 1))
+                bytes_ = pa.array(ctx, pa.binary()) if with_bytes else pa.nulls(len(ctx), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), ids, xs, pa.array(lo - offsets[owner]), pa.array(n), pa.array(t), bytes_], ["h", "c", "d", "x", "lo", "n", "t", "ctx"])
 
-    return _keyed(docs).join(shared, "d").select("d", "x", "raw", "hs").mapInArrow(run, _CONTEXT)
+    keys, seek = (["d", "x"], "los") if with_bytes else (["d"], "hs")
+    got = _keyed(docs).join(wanted, keys).select("d", "x", "raw", seek).mapInArrow(run, _CONTEXT)
+    return got if with_bytes else got.drop("ctx")
 
 
 _SPANS = "d long, x long, lo long, hi long"
@@ -317,27 +370,23 @@ def spans(docs: DataFrame, most: int = 1024, block: int = 2_000_000) -> DataFram
     """d, x, lo, hi: byte spans to remove (they may overlap), d and x naming the row."""
     spark = docs.sparkSession
     common.ship(spark)
-    rows = _anchor_rows(docs)
-    again = common.table(rows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h"), "suffix-again")
+    shared = common.table(_shared(docs, _partitions(docs)), "suffix-shared")
     common.release(spark)
-    shared = rows.join(again, "h").groupBy("d").agg(F.collect_set("h").alias("hs"))  # a set per text, no longer than the text
-    shared = common.table(shared, "suffix-shared")
+    found = common.table(_contexts(docs, shared, with_bytes=False), "suffix-contexts")
     common.release(spark)
-    found = common.table(_contexts(docs, shared), "suffix-contexts")
+    firsts = common.table(found.groupBy("h", "c").agg(F.min(F.struct("d", "x", "lo")).alias("f"), F.count(F.lit(1)).alias("k")), "suffix-firsts")
+    sizes = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    open_ = common.table(firsts.join(sizes, "h").select("h", "m", "f.d", "f.x", "f.lo"), "suffix-open")
+    copied = firsts.filter("k > 1").select("h", "c", "f")
+    whole = found.join(copied, ["h", "c"]).filter(F.struct("d", "x", "lo") != F.col("f"))
+    whole = common.table(whole.select("d", "x", "lo", (F.col("lo") + F.col("n") - 1 + LENGTH).alias("hi")), "suffix-whole")
     common.release(spark)
-    firsts = found.groupBy("h", "c").agg(F.min(F.struct("d", "x", "lo")).alias("f"))
-    firsts = common.table(firsts, "suffix-firsts")
-    sizes = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m"))
-    firsts = common.table(firsts.join(sizes, "h"), "suffix-sized")
-    is_first = F.struct("d", "x", "lo") == F.col("f")
-    joined = found.join(firsts, ["h", "c"]).filter(~is_first | (F.col("m") > 1))
-    joined = joined.select("h", "c", "d", "x", "lo", "n", "t", "m", is_first.alias("first"), F.when(is_first, F.col("ctx")).alias("ctx"))
-    joined = common.table(joined, "suffix-joined")
+    seek = open_.groupBy("d", "x").agg(F.collect_set("lo").alias("los"))  # a list per text, no longer than the text
+    texts = _contexts(docs, common.table(seek, "suffix-seek"), with_bytes=True).dropDuplicates(["h", "d", "x", "lo"])
+    texts = common.table(texts.join(sizes, "h"), "suffix-texts")
     common.release(spark)
-    whole = joined.filter("not first").select("d", "x", "lo", (F.col("lo") + F.col("n") - 1 + LENGTH).alias("hi"))
-    open_ = joined.filter(F.col("first")).dropDuplicates(["h", "c"])
-    cold = _sorted_spans(open_.filter(F.col("m") <= most), block)
-    hot = _hot_spans(open_.filter(F.col("m") > most))
+    cold = _sorted_spans(texts.filter(F.col("m") <= most), block)
+    hot = _hot_spans(texts.filter(F.col("m") > most))
     return whole.unionByName(cold).unionByName(hot)
 
 
