@@ -32,8 +32,15 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out where the input has fewer splits than there are cores (one small file);
+    larger tables keep their splits and are not shuffled."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    return spread(t(spark, d, "documents").select("doc_id", "text", "lang", "source"))
 
 
 def doc_tokens(spark: SparkSession, d: str) -> DataFrame:
