@@ -36,7 +36,7 @@ class FuseFilter:
 
     @staticmethod
     def _places(keys: np.ndarray, seed: int, segment: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
-        h = mix(keys + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
+        h = mix(keys + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))
         window = ((h >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
         inner = mix(h ^ np.uint64(0xC2B2AE3D27D4EB4F))
         at = np.empty((ARITY, len(keys)), np.int64)
