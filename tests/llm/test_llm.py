@@ -259,6 +259,19 @@ def test_suffix_dedup(docs, unique, empty, most):
         assert again >= {(d, v[1]) for d, v in want.items()} and suffix_dedup.remove(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 3])
+def test_edges_of_shared_passages(spark, most):
+    """Many texts share a passage and differ around it, some in a few bytes only."""
+    rng = random.Random(11)
+    some = lambda n, letters: "".join(rng.choices(letters, k=n))
+    passage, short = some(160, "abcdefgh "), some(40, "abcdefgh ")
+    texts = [some(rng.randint(0, 130), "ab") + passage[rng.randint(0, 5) :] + some(rng.randint(0, 130), "xyz"[: i % 3 + 1]) for i in range(90)]
+    texts += [some(70, "pq") + short + some(70, "pq") for _ in range(40)] + ["ab" * 150, "ab" * 90 + "c" * 150, "é" * 120]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = removed(list(enumerate(texts)))
+    assert {d: tuple(r)[1:] for d, r in table(suffix_dedup.remove(docs, most=most)).items()} == want
+
+
 def test_suffix_order_is_right():
     rng = np.random.default_rng(3)
     for letters in (1, 2, 4):

@@ -17,8 +17,11 @@ doc_id, or earlier in its own text.  Matches never cross texts.
    difference cover {0, 1, 3, 8, 12, 18}: for any two suffixes some shift below 31 takes both
    to such positions.  Neighbours with 100 bytes in common repeat; the earliest stays.
 4. A bucket of more than ``most`` different contexts (the edge of a passage that very many
-   texts share) is not sorted in one task: its windows are exploded and grouped by a 128-bit
-   digest, with partial minima before the shuffle.
+   texts share) is not sorted in one task.  Its contexts are cut by the distance of a window
+   from its anchor, into parts 35, 7 and at last 1 windows wide; a part's new bucket is named
+   by a 128-bit digest of the bytes that all its windows hold.  Of equal parts the earliest
+   stays, by partial minima before the shuffle; new buckets of bounded size are sorted as in
+   step 3, the others cut again.  At width 1 a part is one window and no bucket is left open.
 
 Null doc_ids count as smaller than all others; null and empty texts, and texts below 100
 bytes, lose nothing.  Rows with one doc_id are ordered by a hash of their text; repeated rows
@@ -43,6 +46,7 @@ LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
 PERIOD = 31
 COVER = np.array([0, 1, 3, 8, 12, 18])
+WIDTHS = (35, 7, 1)
 NO_ID = -(2**63)
 _MASK = np.uint64((1 << 24) - 1)
 
@@ -345,25 +349,56 @@ def _sorted_spans(rows: DataFrame, block: int) -> DataFrame:
     return rows.select(*cols).repartition("h").sortWithinPartitions("h").mapInArrow(run, _SPANS)
 
 
-def _hot_spans(rows: DataFrame) -> DataFrame:
-    """Spans in buckets too large for one task: windows by digest, earliest by partial minima."""
+def _narrowed(rows: DataFrame, width: int) -> DataFrame:
+    """Contexts cut into parts of windows with equal ``distance // width``, in buckets of their own.
+
+    All windows of a part hold the bytes around the anchor that its least and its largest
+    distance have in common; a digest of those and of the bucket names the new bucket, so
+    equal windows stay together.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        names = ["h", "c", "d", "x", "lo", "n", "t", "ctx"]
+        types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         for part in parts:
-            for at in range(0, part.num_rows, 512):
-                out: list[list] = [[], [], [], []]
-                for d, x, lo, n, ctx in zip(*(c.slice(at, 512).to_pylist() for c in part.columns), strict=True):
-                    out[0].extend(xxhash.xxh3_128_digest(ctx[i : i + LENGTH]) for i in range(n))
-                    out[1].extend([d] * n)
-                    out[2].extend([x] * n)
-                    out[3].extend(range(lo, lo + n))
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), *(pa.array(o, pa.int64()) for o in out[1:])], ["w", "d", "x", "at"])
-
-    windows = common.table(rows.select("d", "x", "lo", "n", "ctx").mapInArrow(run, "w binary, d long, x long, at long"), "suffix-windows")
-    first = common.table(windows.groupBy("w").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("d", "x", "at")).alias("f")).filter("k > 1").select("w", "f"), "suffix-first")
-    return windows.join(first, "w").filter(F.struct("d", "x", "at") != F.col("f")).select("d", "x", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi"))
+            for at in range(0, part.num_rows, 2_000):
+                out: list[list] = [[] for _ in names]
+                for h, d, x, lo, n, t, ctx in zip(*(c.slice(at, 2_000).to_pylist() for c in part.columns), strict=True):
+                    for g in range((t - n + 1) // width, t // width + 1):
+                        near, far = g * width, min(SPAN - 1, g * width + width - 1)
+                        least, most = max(near, t - n + 1), min(far, t)
+                        cut = ctx[t - most : t - least + LENGTH]
+                        key = xxhash.xxh3_128_digest(h + bytes([g]) + ctx[t - near : t + LENGTH - far])
+                        c = xxhash.xxh3_64_intdigest(cut, seed=least << 8 | most)
+                        for column, value in zip(out, (key, c - (c >> 63 << 64), d, x, lo + t - most, most - least + 1, most, cut), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, types, strict=True)], names)
+
+    return rows.select("h", "d", "x", "lo", "n", "t", "ctx").mapInArrow(run, "h binary, c long, d long, x long, lo long, n int, t int, ctx binary")
+
+
+def _hot_spans(rows: DataFrame, most: int, block: int) -> Iterator[DataFrame]:
+    """Spans in buckets too large for one task: narrower buckets, until they can be sorted.
+
+    At the edge of a shared passage only windows that lie almost within it stay together,
+    so few parts of a context go on.  A part of width 1 is one window: equal or not.
+    """
+    rows = rows.withColumn("h", F.encode(F.col("h").cast("string"), "UTF-8"))
+    for width in WIDTHS:
+        if rows.isEmpty():
+            return
+        parts = common.table(_narrowed(rows, width), f"suffix-parts-{width}")
+        firsts = parts.groupBy("h", "c").agg(F.min(F.struct("d", "x", "lo", "n", "t", "ctx")).alias("f"), F.count(F.lit(1)).alias("k"))
+        firsts = common.table(firsts, f"suffix-part-firsts-{width}")
+        copied = firsts.filter("k > 1").select("h", "c", F.struct("f.d", "f.x", "f.lo").alias("f"))
+        again = parts.drop("ctx").join(copied, ["h", "c"]).filter(F.struct("d", "x", "lo") != F.col("f"))
+        yield again.select("d", "x", "lo", (F.col("lo") + F.col("n") - 1 + LENGTH).alias("hi"))
+        sizes = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+        open_ = common.table(firsts.join(sizes, "h").select("h", "m", "f.*"), f"suffix-part-open-{width}")
+        yield _sorted_spans(open_.filter(F.col("m") <= most), block)
+        rows = open_.filter(F.col("m") > most)
 
 
 def spans(docs: DataFrame, most: int = 1024, block: int = 2_000_000) -> DataFrame:
@@ -386,8 +421,10 @@ def spans(docs: DataFrame, most: int = 1024, block: int = 2_000_000) -> DataFram
     texts = common.table(texts.join(sizes, "h"), "suffix-texts")
     common.release(spark)
     cold = _sorted_spans(texts.filter(F.col("m") <= most), block)
-    hot = _hot_spans(texts.filter(F.col("m") > most))
-    return whole.unionByName(cold).unionByName(hot)
+    found = whole.unionByName(cold)
+    for hot in _hot_spans(texts.filter(F.col("m") > most), most, block):
+        found = found.unionByName(hot)
+    return found
 
 
 def remove(docs: DataFrame, with_text: bool = False, most: int = 1024) -> DataFrame:
