@@ -1,8 +1,9 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import annotate, corpus, qc, sample, select, stats, vector
+from textloom.operators import annotate, corpus, near, qc, report, sample, select, stats, vector
 from textloom.profile import DEVA, Profile
 from textloom.sources import readers, sinks
 from textloom.streaming import state
@@ -124,3 +125,85 @@ def test_stream_state(spark, tmp_path):
         spark.createDataFrame([("क ख क",)], "text string").write.mode("append").parquet(src)
         state.follow(spark, src, "text string", st, ck, SMALL).awaitTermination()
     assert {r["token"]: r["n"] for r in state.totals(spark, st).collect()} == {"क": 4, "ख": 2}
+
+
+def test_near_representatives(spark):
+    """Against the sequential definition, where similar texts are similar enough to share a band."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(400)]
+    rows = []
+    for group in range(12):
+        base = [str(w) for w in rng.choice(words, 60)]
+        for _ in range(8):
+            w = list(base)
+            for _ in range(int(rng.integers(0, 3))):
+                w[int(rng.integers(0, 60))] = str(rng.choice(words))
+            rows.append((len(rows), "  ".join(w), int(rng.integers(0, 4))))
+    rows += [(len(rows) + i, x, None) for i, x in enumerate(["", None, " ", "ab", "ab", "नेपालको सुन्दर प्राकृतिक वातावरण सबैका लागि महत्वपूर्ण छ", "नेपालको सुन्दर प्राकृतिक वातावरण सबैका लागि महत्वपूर्ण छन्"])]
+    df = spark.createDataFrame(rows, "id long, text string, score int").repartition(5)
+    got = {r["id"]: r for r in near.representatives(df, "id", "text", "score").collect()}
+    assert len(got) == len(rows)
+    text, score = {}, {}
+    for i, x, s in rows:
+        h = got[i]["hash"]
+        text[h], score[h] = " ".join((x or "").split()), max(score.get(h, 0), s or 0)
+    like = lambda a, b: (lambda p, q: len(p & q) / len(p | q))(near._grams(text[a]), near._grams(text[b]))
+    kept: list[str] = []
+    for h in sorted(text, key=lambda h: (-score[h], h)):
+        if not any(like(h, k) >= 0.85 for k in kept):
+            kept.append(h)
+    assert {r["hash"] for r in got.values() if not r["near_duplicate"]} == set(kept) and len(kept) < len(text)
+    assert all(like(r["hash"], r["representative"]) >= 0.85 for r in got.values())
+    assert near.representatives(df.limit(0), "id", "text", "score").count() == 0
+
+
+def test_acceptance_of_a_selection(spark):
+    rows = spark.createDataFrame([("x", ["a", "b"]), ("y", ["a", "a"])], "hash string, tokens array<string>")
+    count = lambda **n: spark.createDataFrame(list(n.items()), "token string, n long")
+    vocabulary = spark.createDataFrame([("a",), ("b",), ("c",)], "token string")
+    good = report.invariants(rows, "hash", "tokens", count(a=3, b=1), count(a=9, b=1, z=4), vocabulary, 2, floor=2)
+    assert all(good.values()) and len(good) == 6
+    bad = report.invariants(rows, "hash", "tokens", count(a=2), count(a=9, b=3, c=1), vocabulary.filter("token <> 'a'"), 3, floor=2)
+    assert not any(bad.values())
+    better = report.improvements(count(a=5, b=5), count(a=9, b=1, q=7), count(a=1, b=1), vocabulary, (0.4, 0.5), (0.6, 0.5))
+    assert better == {"entropy": True, "gini": True, "divergence": True, "median_similarity": True, "p95_similarity": False}
+    with pytest.raises(ValueError):
+        report.improvements(count(a=1), count(q=1), count(a=1), vocabulary, (0, 0), (0, 0))
+
+
+def test_voice_scores(spark):
+    voices = {"F1": ("female", [1.0, 0.0], 0.05), "F2": ("female", [0.9, 0.1], 0.08), "M1": ("male", [0.0, 1.0], 0.06), "M2": ("male", [-1.0, 0.0], 0.05)}
+    rows = [(v, g, c, 1.0, True, e) for v, (g, e, c) in voices.items() for _ in range(2)]
+    got = {r["v"]: r for r in report.voice_scores(spark.createDataFrame(rows, "v string, g string, cer double, r double, p boolean, e array<double>"), "v", "g", "cer", "r", "p", "e").collect()}
+    assert sum(r["rank"] == 1 for r in got.values()) == 2 and got["F1"]["rank"] == 1
+    cosine = 0.9 / np.hypot(0.9, 0.1)
+    assert abs(got["F1"]["separation"] - (1 - cosine)) < 1e-9 and got["M2"]["median_cer"] == 0.05
+
+
+def test_run_documents(spark, tmp_path):
+    log, doc = str(tmp_path / "log.md"), str(tmp_path / "report.json")
+    for body in ("one", "one", r"two \\1"):
+        report.run_log(spark, log, "r1", body)
+    report.run_log(spark, log, "r2", "other")
+    content = report.read_text(spark, log)
+    assert content.count("run:r1:start") == 1 and "two" in content and "one" not in content and content.count("run:r2:end") == 1
+    report.json_document(spark, doc, {"b": 1, "a": "é"})
+    assert report.read_text(spark, doc) == '{\n  "a": "é",\n  "b": 1\n}\n'
+
+
+def test_wav_metrics_and_results(spark, tmp_path):
+    import wave
+
+    (tmp_path / "a").mkdir()
+    with wave.open(str(tmp_path / "a" / "tone.wav"), "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(2)
+        w.setframerate(16000)
+        w.writeframes(np.full(4000, 16384, "<i2").tobytes())
+    r = readers.wav_metrics(spark, str(tmp_path / "a")).first()
+    assert (r["frames"], r["rate"], r["channels"], r["bits"], r["duration"], r["peak"], r["clipping"]) == (4000, 16000, 1, 16, 0.25, 0.5, 0.0)
+    (tmp_path / "q" / "deep").mkdir(parents=True)
+    (tmp_path / "q" / "deep" / "x.jsonl").write_text('{"job_id": "j1", "cer": 0.1}\n')
+    assert [tuple(r) for r in readers.results(spark, str(tmp_path / "q"), "job_id string, cer double").collect()] == [("j1", 0.1)]
+    spark.createDataFrame([("j2", 0.2)], "job_id string, cer double").write.parquet(str(tmp_path / "q" / "p"))
+    assert [r["job_id"] for r in readers.results(spark, str(tmp_path / "q"), "job_id string, cer double").collect()] == ["j2"]

@@ -37,8 +37,12 @@ def split_sentences(cleaned: Column, marks: str) -> Column:
     return F.filter(F.transform(F.split(cleaned, f"[{marks}]+"), lambda s: F.trim(s)), lambda s: s != "")
 
 
+def compact(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, f"[{WHITE}]+", " "))
+
+
 def text_hash(text: Column) -> Column:
-    return F.sha2(F.trim(F.regexp_replace(text, f"[{WHITE}]+", " ")).cast("binary"), 256)
+    return F.sha2(compact(text).cast("binary"), 256)
 
 
 def letter_count(text: Column, profile: Profile) -> Column:
@@ -69,13 +73,12 @@ def unknown_ratio(cleaned: Column, tokens: Column) -> Column:
 
 def char_ngrams(text: Column, size: int = 5) -> Column:
     """Distinct character n-grams of whitespace-compacted text; a short text is one gram."""
-    compact = F.trim(F.regexp_replace(text, f"[{WHITE}]+", " "))
 
     def grams(t: Column) -> Column:  # bound by a lambda, so that the text is compacted once
         many = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - (size - 1))), lambda i: F.substring(t, i, size))
         return F.when(F.length(t) <= size, F.array(t)).otherwise(many)
 
-    return F.array_distinct(F.flatten(F.transform(F.array(compact), grams)))
+    return F.array_distinct(F.flatten(F.transform(F.array(compact(text)), grams)))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -87,6 +90,13 @@ def metadata_value(value: Column) -> Column:
     return F.coalesce(F.nullif(value.cast("string"), F.lit("")), F.lit("unknown"))
 
 
+def style(sector: Column, rare: Column) -> Column:
+    """Speaking style by sector; texts taken for their rare tokens are read neutrally."""
+    formal = sector.isin("formal", "news", "education", "business", "health")
+    lively = sector.isin("conversational", "entertainment", "sports")
+    return F.when(F.coalesce(rare, F.lit(False)), "neutral").when(formal, "formal").when(lively, "conversational").otherwise("neutral")
+
+
 # Sector of a source domain; anything else is news.
 SECTOR_OF_DOMAIN = {
     "hamrokhelkud.com": "sports", "technologykhabar.com": "technology", "techpana.com": "technology", "ictsamachar.com": "technology",

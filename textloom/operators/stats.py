@@ -36,7 +36,10 @@ def distribution(freq: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def divergence(p: DataFrame, q: DataFrame, keys: list[str]) -> DataFrame:
-    """Jensen-Shannon divergence (base 2) of p's counts (by keys, token) from q's (by token)."""
+    """Jensen-Shannon divergence (base 2) of p's counts (by keys, token) from q's (by token).
+
+    Counts of 0 are as good as absent; keys whose counts are all 0 have no row."""
+    p, q = p.filter("n > 0"), q.filter("n > 0")
     pt = p.withColumn("__p", F.col("n") / F.sum("n").over(Window.partitionBy(*keys))).select(*keys, "token", "__p")
     qt = q.crossJoin(q.agg(F.sum("n").alias("__t"))).select("token", (F.col("n") / F.col("__t")).alias("__q"))
     both = pt.join(qt, "token")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import annotate, corpus, qc, sample, select, stats, vector
+from textloom.operators import annotate, corpus, near, qc, report, sample, select, stats, vector
 from textloom.profile import LATIN, MAX_TOKENS, MAX_UNKNOWN, MIN_TOKENS, MIN_UNIQUE, WHITE
 from textloom.sources import readers, sinks
 
@@ -418,6 +418,28 @@ def alignment(spark: SparkSession, d: str) -> DataFrame:
     return qc.align(t(spark, d, "documents").select("doc_id"), right, "doc_id", "transcript").select("doc_id", "reason")
 
 
+@query(f"{_ACC} SELECT job_id, CASE WHEN len(reasons) = 0 THEN 'accept' WHEN n_chars % 3 < 2 THEN 'regenerate' ELSE 'quarantine' END AS step FROM a")
+def next_steps(spark: SparkSession, d: str) -> DataFrame:
+    return qc.acceptance(_jobs(spark, d), 0.15, 0.2, 0.8).select("job_id", report.next_step(F.col("accepted"), F.col("n_chars") % 3).alias("step"))
+
+
+@query("WITH r AS (SELECT o_totalprice / 1000.0 / greatest(1, o_custkey % 50) AS r, o_totalprice / 1000.0 / greatest(1, o_custkey % 50) AS v FROM orders), k AS (SELECT r, row_number() OVER (ORDER BY r) - 1 AS i, count(*) OVER () AS n FROM r) SELECT round((SELECT avg(r) FROM r), 6) AS mean, round(r, 6) AS p95, round(greatest(0.35, r * 1.2), 6) AS cautious FROM k WHERE i = round_even((n - 1) * 0.95, 0)")
+def duration_calibration(spark: SparkSession, d: str) -> DataFrame:
+    rows = t(spark, d, "orders").select((F.col("o_totalprice") / 1000.0).alias("seconds"), (F.col("o_custkey") % 50).alias("n"))
+    return report.calibration(rows, "seconds", "n").select(*(F.round(c, 6).alias(c) for c in ("mean", "p95", "cautious")))
+
+
+@query("SELECT doc_id, CASE WHEN n_chars < 100 THEN 'neutral' WHEN contains(lower(source), 'tech') OR contains(lower(source), 'ict') THEN 'neutral' ELSE 'formal' END AS style FROM documents")
+def speaking_styles(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "documents").select("doc_id", T.style(T.sector_hint(F.col("source")), F.col("n_chars") < 100).alias("style"))
+
+
+@query()
+def near_representatives(spark: SparkSession, d: str) -> DataFrame:
+    """Longer documents come first; whole texts."""
+    return near.representatives(spread(t(spark, d, "documents").select("doc_id", "text", "n_chars")), "doc_id", "text", "n_chars")
+
+
 @query("SELECT doc_id, count(*) OVER (PARTITION BY sha256(text)) > 1 AS is_repeated FROM documents")
 def repeated_hashes(spark: SparkSession, d: str) -> DataFrame:
     return qc.repeated(docs(spark, d).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("h")), "h").select("doc_id", "is_repeated")
