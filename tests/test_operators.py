@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import annotate, corpus, near, qc, report, sample, select, stats, vector
+from textloom.operators import annotate, corpus, jobs, near, qc, report, sample, select, stats, vector
 from textloom.profile import DEVA, Profile
 from textloom.sources import readers, sinks
 from textloom.streaming import state
@@ -199,11 +199,68 @@ def test_wav_metrics_and_results(spark, tmp_path):
         w.setnchannels(1)
         w.setsampwidth(2)
         w.setframerate(16000)
-        w.writeframes(np.full(4000, 16384, "<i2").tobytes())
+        w.writeframes(np.concatenate((np.zeros(800), np.full(1000, 16384), np.zeros(1600), np.full(400, 16384), np.zeros(200))).astype("<i2").tobytes())
     r = readers.wav_metrics(spark, str(tmp_path / "a")).first()
     assert (r["frames"], r["rate"], r["channels"], r["bits"], r["duration"], r["peak"], r["clipping"]) == (4000, 16000, 1, 16, 0.25, 0.5, 0.0)
+    assert (r["lead"], r["gap"], r["trail"]) == (0.05, 0.1, 0.0125)
+    m = readers.wav_metrics(spark, str(tmp_path / "a"))
+    assert m.filter(qc.structural(m)).count() == 1 and m.filter(qc.structural(m, rate=8000)).count() == 0
     (tmp_path / "q" / "deep").mkdir(parents=True)
     (tmp_path / "q" / "deep" / "x.jsonl").write_text('{"job_id": "j1", "cer": 0.1}\n')
     assert [tuple(r) for r in readers.results(spark, str(tmp_path / "q"), "job_id string, cer double").collect()] == [("j1", 0.1)]
     spark.createDataFrame([("j2", 0.2)], "job_id string, cer double").write.parquet(str(tmp_path / "q" / "p"))
     assert [r["job_id"] for r in readers.results(spark, str(tmp_path / "q"), "job_id string, cer double").collect()] == ["j2"]
+
+
+def test_speech_jobs(spark):
+    voices = [("F1", "female"), ("F2", "female"), ("M1", "male"), ("M2", "male")]
+    texts = spark.createDataFrame([(f"u{i}", "news" if i else "sports", ["ne"] if i < 2 else []) for i in range(6)], "uid string, sector string, rare array<string>")
+    assert jobs.audition(texts, "uid", "sector", voices).select("job_id").distinct().count() == 24
+    full = jobs.canonical(texts.repartition(3), "uid", "sector", voices, "full").cache()
+    assert [r["voice"] for r in full.orderBy("uid").collect()] == ["F1", "F2", "M1", "M2", "F1", "F2"]
+    assert {r["uid"]: r["style"] for r in full.collect()}["u0"] == "conversational"
+    supports = spark.createDataFrame([(0, "u0", ["ne"], "news"), (1, "u1", ["ne"], "news"), (2, "u1", ["ne"], "news"), (3, "u5", [], "news")], "n int, uid string, need array<string>, sector string")
+    more = jobs.extra(supports, "n", "uid", "need", full, "rare", "sector", voices).orderBy("n").collect()
+    # ne was spoken by F1 and F2; M1 and M2 are fresh; then the text's unused voices by use, name
+    assert [(r["voice"], r["style"]) for r in more] == [("M1", "neutral"), ("M2", "neutral"), ("F1", "neutral"), ("F1", "neutral")]
+    requests = spark.createDataFrame([("u1", 1, "full_u1"), ("u1", 2, "x")], "uid string, attempt int, failed_job_id string")
+    got = {r["job_id"]: (r["voice"], r["style"], r["realisation"]) for r in jobs.again(requests, full, "uid", "rare", "sector", voices).collect()}
+    assert got == {"regen1_u1": ("M1", "neutral", "regeneration_1"), "regen2_u1": ("M2", "neutral", "regeneration_2")}
+    assert jobs.requested(requests, requests.unionByName(requests), ["uid", "attempt"]).count() == 2
+    with pytest.raises(Exception, match="not enough voices"):
+        jobs.extra(supports, "n", "uid", "need", full, "rare", "sector", voices[:1]).collect()
+
+
+def test_checks_of_results(spark):
+    new = spark.createDataFrame([("a", "1", 0.1), ("b", "1", 0.1), ("c", "2", 0.1), ("d", "1", 0.1), ("d", "1", 0.1), ("e", "1", 0.2)], "job string, sum string, cer double")
+    known = spark.createDataFrame([("a", 0.1), ("e", 0.1)], "job string, cer double")
+    planned = spark.createDataFrame([(j, "1") for j in "acde"], "job string, sum string")
+    assert {r["job"]: r["fault"] for r in qc.import_faults(new, planned, known, "job", "sum", ["cer"]).collect()} == {"b": "unknown", "c": "checksum", "d": "repeated", "e": "conflict"}
+    assert qc.same_keys(known, known, "job") and not qc.same_keys(known, planned, "job")
+    rows = spark.createDataFrame([(1, ["a", "a", "b", "c"], ["a", "b", "b"]), (2, ["a"], [])], "id int, r array<string>, h array<string>")
+    assert tuple(qc.clipped_recall(rows, "id", "r", "h", ["a", "b"]).first())[:2] == (2, 4)
+    said = spark.createDataFrame([("train", "s1", 1800.0), ("train", "s2", 1800.0), ("dev", "s2", 36.0)], "split string, speaker string, sec double")
+    assert {tuple(r) for r in qc.split_summary(said, "split", "speaker", "sec").collect()} == {("train", 2, 2, 1.0), ("dev", 1, 1, 0.01)}
+    assert [tuple(r) for r in qc.shared_speakers(said, "split", "speaker").collect()] == [("s2", ["dev", "train"])]
+    pooled = spark.createDataFrame([([[3.0, 0.0], [0.0, 4.0], [9.0, 9.0]], [1, 1, 0])], "s array<array<float>>, m array<int>").select(vector.mean_pool(F.col("s"), F.col("m")).alias("v")).first()["v"]
+    assert np.allclose(pooled, [0.6, 0.8])
+    build = spark.createDataFrame([(["a"], "x"), (["b"], "y")], "t array<string>, ax string")
+    targets = spark.createDataFrame([("a",), ("b",)], "token string")
+    assert all(report.build_gates(build, "t", targets, ["ax"], 2).values()) and not any(report.build_gates(build.filter("ax = 'x'").unionByName(build.filter("ax = 'x'")).unionByName(build.select(F.array(F.lit("a")).alias("t"), "ax")), "t", targets, ["ax"], 2).values())
+
+
+def test_targets_vocabulary_and_sources(spark, tmp_path):
+    put = lambda name, content: ((tmp_path / name).write_text(content), str(tmp_path / name))[1]
+    tokens = lambda path: {r["token"] for r in readers.coverage_targets(spark, path, {"?"}).collect()}
+    assert tokens(put("a.json", '["x", "?", "y"]')) == tokens(put("b.json", '{"syllables": ["y", "x"]}')) == tokens(put("c.json", '{"syllable_sentence_frequency": {"x": 1, "y": 2}}')) == tokens(put("d.txt", "x\n\n y \n?\n")) == {"x", "y"}
+    for bad in ('["?"]', "3", "[]"):
+        with pytest.raises(ValueError):
+            readers.coverage_targets(spark, put("bad.json", bad), {"?"})
+    assert sorted(readers.vocabulary(spark, put("v.txt", "a\n \n\nb\n"))) == [" ", "a", "b"]
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    info = readers.validated(spark, "ids", "parquet", str(tmp_path / "p"), ("id",))
+    assert info["files"] >= 1 and info["bytes"] > 0
+    with pytest.raises(ValueError):
+        readers.validated(spark, "ids", "parquet", str(tmp_path / "p"), ("text",))
+    with pytest.raises(FileNotFoundError):
+        readers.validated(spark, "ids", "text", str(tmp_path / "none"))

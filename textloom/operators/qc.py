@@ -86,3 +86,44 @@ def forecast(text: Column, per_char: float, bytes_per_second: int = 32_000) -> d
     """Bytes of input, seconds of speech (rounded up) and cost of a text."""
     size = F.octet_length(text)
     return {"n_bytes": size.cast("long"), "seconds": F.ceil(size / 15).cast("long"), "cost": F.round(size * F.lit(per_char), 6)}
+
+
+def structural(m: DataFrame, rate: int = 16_000, least: float = 0.2, most: float = 655.0, max_clipping: float = 0.001) -> Column:
+    """Whether a WAV file (``readers.wav_metrics``) is usable: mono, 16 bits, rate, length, sound, no clipping."""
+    ok = (m.channels == 1) & (m.bits == 16) & (m.rate == rate) & m.duration.between(least, most) & (m.rms > 0) & (m.clipping <= max_clipping)
+    return F.coalesce(ok, F.lit(False))
+
+
+def clipped_recall(rows: DataFrame, key: str, ref: str, hyp: str, wanted: list[str]) -> DataFrame:
+    """matched, n, recall of the wanted tokens over the corpus; a token counts at most as often as it was found."""
+    count = lambda c, n: rows.select(key, F.explode(c).alias("token")).filter(F.col("token").isin(wanted)).groupBy(key, "token").agg(F.count(F.lit(1)).alias(n))
+    both = count(ref, "a").join(count(hyp, "b"), [key, "token"], "left").fillna(0, ["b"])
+    got = both.agg(F.coalesce(F.sum(F.least("a", "b")), F.lit(0)).alias("matched"), F.coalesce(F.sum("a"), F.lit(0)).alias("n"))
+    return got.withColumn("recall", F.when(F.col("n") > 0, F.col("matched") / F.col("n")).otherwise(F.lit(1.0)))
+
+
+def split_summary(rows: DataFrame, split: str, speaker: str, seconds: str) -> DataFrame:
+    return rows.groupBy(split).agg(F.count(F.lit(1)).alias("utterances"), F.countDistinct(speaker).alias("speakers"), F.round(F.coalesce(F.sum(seconds), F.lit(0)) / 3600, 6).alias("hours"))
+
+
+def import_faults(results: DataFrame, jobs: DataFrame, known: DataFrame, key: str, checksum: str, values: list[str]) -> DataFrame:
+    """key, fault of results that cannot be taken: repeated, unknown, checksum (not the job's), conflict (differs from the row known)."""
+    r = results.select(key, checksum, F.struct(*values).alias("__r"), F.lit(1).alias("__one"))
+    per = r.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct(checksum, "__r")).alias("__v"))
+    x = per.join(jobs.select(key, F.col(checksum).alias("__want"), F.lit(True).alias("__job")), key, "left").join(known.select(key, F.struct(*values).alias("__k"), F.lit(True).alias("__had")), key, "left")
+    fault = (
+        F.when(F.col("__n") > 1, "repeated").when(F.col("__job").isNull(), "unknown").when(~F.col(f"__v.{checksum}").eqNullSafe(F.col("__want")), "checksum")
+        .when(F.col("__had") & ~F.col("__v.__r").eqNullSafe(F.col("__k")), "conflict")
+    )
+    return x.select(key, fault.alias("fault")).filter("fault IS NOT NULL")
+
+
+def same_keys(a: DataFrame, b: DataFrame, key: str) -> bool:
+    """Whether both sides hold the same set of keys (scoring needs that)."""
+    x, y = a.select(key).distinct().withColumn("__a", F.lit(1)), b.select(key).distinct().withColumn("__b", F.lit(1))
+    return x.join(y, key, "full").filter("__a IS NULL OR __b IS NULL").isEmpty()
+
+
+def shared_speakers(rows: DataFrame, split: str, speaker: str) -> DataFrame:
+    """Speakers in more than one split; a sound split has none."""
+    return rows.groupBy(speaker).agg(F.array_sort(F.collect_set(split)).alias("splits")).filter(F.size("splits") > 1)  # a few splits

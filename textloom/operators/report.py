@@ -57,6 +57,17 @@ def improvements(selected: DataFrame, baseline: DataFrame, target: DataFrame, at
     }
 
 
+def build_gates(rows: DataFrame, tokens: str, targets: DataFrame, axes: list[str], size: int, most: float = 0.02) -> dict[str, bool]:
+    """Whether a build has its exact size, covers all target tokens, and strays from an even
+    share of the labels present by ``most`` at most on each axis."""
+    covered = rows.select(F.explode(tokens).alias("token")).distinct()
+    out = {"exact_size": rows.count() == size, "full_coverage": targets.select("token").join(covered, "token", "left_anti").isEmpty()}
+    for axis in axes:
+        n = [r["count"] for r in rows.groupBy(axis).count().collect()]  # a row a label
+        out[f"balanced_{axis}"] = all(abs(v / sum(n) - 1 / len(n)) <= most for v in n)
+    return out
+
+
 def voice_scores(rows: DataFrame, voice: str, gender: str, cer: str, recall: str, passed: str, vector: str) -> DataFrame:
     """voice, gender, median_cer, recall, passed, separation, score, rank (in its gender).
 

@@ -65,3 +65,12 @@ def percentile_of(value: Column, background: Column) -> Column:
     return F.avg((background <= value).cast("double"))
 
 
+
+
+def mean_pool(states: Column, mask: Column) -> Column:
+    """Unit-length mean of the hidden states (array of vectors) whose mask is not 0; zeros if none is."""
+    kept = F.filter(F.arrays_zip(states.alias("s"), mask.alias("m")), lambda x: x["m"] != 0)
+    size = F.size(F.get(states, F.lit(0)))
+    total = F.aggregate(kept, F.array_repeat(F.lit(0.0), size), lambda acc, x: F.zip_with(acc, x["s"], lambda a, b: a + b.cast("double")))
+    norm = F.sqrt(F.aggregate(total, F.lit(0.0), lambda acc, v: acc + v * v))
+    return F.transform(total, lambda v: v / F.greatest(norm, F.lit(1e-12)))

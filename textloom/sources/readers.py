@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -110,26 +111,86 @@ def results(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return found if not found.isEmpty() else reader.option("pathGlobFilter", "*.jsonl").json(path)
 
 
-def wav_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """file, frames, rate, channels, bits, duration, peak, rms, clipping share of WAV files."""
+_WAV = "file string, frames long, rate long, channels int, bits int, duration double, peak double, rms double, clipping double, lead double, trail double, gap double"
+
+
+def wav_metrics(spark: SparkSession, path: str, clip: float = 0.999) -> DataFrame:
+    """Measures of WAV files: frames, rate, channels, bits, duration, peak, rms, clipping share,
+    and seconds of silence at the start, at the end and the longest within.
+
+    Silence is below a tenth of the rms, or below -50 dB; channels are averaged.  A file that
+    is all silence has its duration thrice; other than 16 bits has no measures of samples.
+    """
     import io
     import wave
 
     import numpy as np
 
+    def measure(raw: bytes) -> tuple:
+        with wave.open(io.BytesIO(raw)) as w:
+            frames, rate, channels, bits = w.getnframes(), w.getframerate(), w.getnchannels(), 8 * w.getsampwidth()
+            data = w.readframes(frames)
+        duration = frames / rate if rate else 0.0
+        if bits != 16:
+            return frames, rate, channels, bits, duration, *[None] * 6
+        x = np.frombuffer(data, "<i2").astype(float).reshape(-1, channels).mean(1) / 32768
+        if not len(x):
+            return frames, rate, channels, bits, 0.0, *[0.0] * 6
+        loud, rms = np.abs(x), float(np.sqrt((x * x).mean()))
+        active = np.flatnonzero(loud >= max(rms * 0.1, 10**-2.5))
+        still = [active[0], len(x) - 1 - active[-1], max(0, np.diff(active).max(initial=1) - 1)] if len(active) else [len(x)] * 3
+        return frames, rate, channels, bits, duration, float(loud.max()), rms, float((loud >= clip).mean()), *(float(n / rate) for n in still)
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            rows = []
-            for file, raw in zip(pdf.path, pdf.content, strict=True):
-                with wave.open(io.BytesIO(raw)) as w:
-                    frames, rate, channels, bits = w.getnframes(), w.getframerate(), w.getnchannels(), 8 * w.getsampwidth()
-                    x = np.frombuffer(w.readframes(frames), "<i2").astype(float) / 32768 if bits == 16 else np.zeros(0)
-                peak, rms = (float(np.abs(x).max()), float(np.sqrt((x * x).mean()))) if len(x) else (0.0, 0.0)
-                rows.append((file, frames, rate, channels, bits, frames / rate, peak, rms, float((np.abs(x) >= 0.999).mean()) if len(x) else 0.0))
-            yield pd.DataFrame(rows, columns=["file", "frames", "rate", "channels", "bits", "duration", "peak", "rms", "clipping"])
+            yield pd.DataFrame([(file, *measure(raw)) for file, raw in zip(pdf.path, pdf.content, strict=True)], columns=[c.split()[0] for c in _WAV.split(", ")])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path).select("path", "content")
-    return files.mapInPandas(run, "file string, frames long, rate long, channels int, bits int, duration double, peak double, rms double, clipping double")
+    return files.mapInPandas(run, _WAV)
+
+
+def vocabulary(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Tokens of a vocabulary file, one a line; a line of one space is a token, an empty one is not."""
+    return tuple(r["value"] for r in spark.read.text(path).filter("value <> ''").collect())  # a vocabulary
+
+
+def coverage_targets(spark: SparkSession, path: str, skip: set[str]) -> DataFrame:
+    """token: from a JSON list, a JSON object (``syllables``, else the keys of
+    ``syllable_sentence_frequency``) or plain lines; none left is an error."""
+    raw = bytes(spark.read.format("binaryFile").load(path).first()["content"]).decode()
+    try:
+        value = json.loads(raw)
+    except json.JSONDecodeError:
+        value = [line.strip() for line in raw.splitlines()]
+    if isinstance(value, dict):
+        value = value["syllables"] if value.get("syllables") is not None else list(value.get("syllable_sentence_frequency", {}))
+    if not isinstance(value, list):
+        raise ValueError("targets are a list, or an object that holds one")
+    found = sorted({str(v) for v in value} - skip - {""})
+    if not found:
+        raise ValueError(f"no targets in {path}")
+    return spark.createDataFrame([(v,) for v in found], "token string")
+
+
+def validated(spark: SparkSession, name: str, kind: str, path: str, columns: tuple[str, ...] = (), glob: str = "*") -> dict:
+    """Files and bytes of a source, looked at before any scan.  No file, an unknown kind or a
+    Parquet source without a column that is asked for is an error."""
+    if kind not in KINDS:
+        raise ValueError(f"{name}: unknown kind {kind!r}")
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder = fs.exists(at) and fs.getFileStatus(at).isDirectory()
+    found = (fs.globStatus(jvm.org.apache.hadoop.fs.Path(at, glob)) if folder else fs.globStatus(at)) or []
+    found = [f for f in found if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    if not found:
+        raise FileNotFoundError(f"{name}: no files at {path}")
+    if kind == "parquet":
+        for f in found:
+            lacking = sorted(set(columns) - set(spark.read.parquet(f.getPath().toString()).columns))
+            if lacking:
+                raise ValueError(f"{name}: {f.getPath().getName()} lacks {', '.join(lacking)}")
+    return {"name": name, "kind": kind, "files": len(found), "bytes": sum(f.getLen() for f in found)}
 
 
 KINDS = {"parquet": parquet, "jsonl": jsonl, "text": text_lines, "book": book}
