@@ -48,6 +48,7 @@ PERIOD = 31
 COVER = np.array([0, 1, 3, 8, 12, 18])
 WIDTHS = (35, 7, 1)
 NO_ID = -(2**63)
+SLICE = 2_000_000
 _MASK = np.uint64((1 << 24) - 1)
 
 
@@ -215,7 +216,7 @@ def _shared(docs: DataFrame, parts: int) -> DataFrame:
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
             ids = part.column(0).to_numpy(zero_copy_only=False)
-            for a, b, data, offsets in textkit.batches(part.column(1)):
+            for a, b, data, offsets in textkit.batches(part.column(1), SLICE):
                 p, _, _, h = anchors(data, offsets)
                 d = ids[a:b][np.searchsorted(offsets, p, "right") - 1]
                 order = np.argsort(h, kind="stable")
@@ -273,7 +274,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, with_bytes: bool) -> DataFrame
 
         for part in parts:
             lists = part.column(3)
-            for a, b, data, offsets in textkit.batches(part.column(2)):
+            for a, b, data, offsets in textkit.batches(part.column(2), SLICE):
                 p, lo, hi, h = anchors(data, offsets)
                 owner = np.searchsorted(offsets, p, "right") - 1
                 seek = lo - offsets[owner] if with_bytes else h.view(np.int64)

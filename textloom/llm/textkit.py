@@ -18,18 +18,21 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+KEPT = 1 << 21
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i up to n, kept between calls."""
-    if len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        for k, base in enumerate((BASE, _INVERSE)):
-            a = np.full(size, base, np.uint64)
-            a[0] = 1
-            _powers[k] = np.multiply.accumulate(a)
-    return _powers[0], _powers[1]
+    """BASE**i and BASE**-i for i up to n; kept between calls up to KEPT, not for longer texts."""
+    if len(_powers[0]) > n:
+        return _powers[0], _powers[1]
+    a = np.empty((2, max(n + 1, 1 << 16)), np.uint64)
+    a[0], a[1] = BASE, _INVERSE
+    a[:, 0] = 1
+    one, two = np.multiply.accumulate(a, axis=1, out=a)
+    if n <= KEPT:
+        _powers[:] = one, two
+    return one, two
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,7 +44,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def batches(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def batches(column: pa.Array, most: int = 500_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, data, offsets) of slices of about ``most`` bytes; null texts are empty.
 
     A text longer than ``most`` makes a slice of its own; texts are never cut.
