@@ -133,6 +133,28 @@ def test_quality_rules(docs, unique, empty):
     assert not got[[d for d, t in data(unique) if t.startswith("same words")][0]]["kept"]
 
 
+PARTS = "th he in er an re nd on en at ou ed ha to or it is hi es ng ing tion ent ble ly with what from".split()
+
+
+def sound(rng, size, end="", alphabet=None):
+    """Words of common word parts (or of single letters), each with an ending of its own."""
+    word = lambda: "".join(rng.choices(alphabet, k=rng.randint(2, 9)) if alphabet else rng.choices(PARTS, k=rng.randint(1, 4)))
+    return " ".join(word() + (rng.choice(end) * 3 if end else rng.choice(["", "", ",", "."])) for _ in range(size // 3))[:size]
+
+
+def verdicts(spark, texts):
+    got = table(quality_rules.annotate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    return [got[i] for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("size", [2500, 5000, 9000, 20000])
+def test_bands_alone_reject(spark, size):
+    rng = random.Random(2)
+    noise = [sound(rng, size, alphabet=a) for a in ("abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(33, 127))), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")]
+    got = verdicts(spark, [sound(rng, size), sound(rng, size, "#$%&*"), *noise])
+    assert [r["kept"] for r in got] == [True] + [False] * 4 and not any(r["base_failed"] for r in got)
+
+
 def ids_of(path, text):
     from tokenizers import Tokenizer
 

@@ -5,6 +5,12 @@ over size says how much of a text repeats: a low ratio is repetitive, a high one
 The ratio falls with length by itself, so each length class has a band of its own, and the
 chunks catch a stretch of junk inside a long text that looks sound as a whole.
 
+The limits are 0.98 times the least and 1 / 0.98 times the greatest ratio that labelled sound
+text of the class has, read from the labels that are not held out; above 64 KiB, where no sound
+text is labelled, the low limit falls on by 0.01 an octave.  They fit Latin-script prose: other
+scripts compress differently and need bands of their own.  Short texts spread widely, so random
+lower-case letters are told apart from about 1 KiB on, random hex digits from about 4 KiB on.
+
 A null or empty text has no words, fails the base rule (fewer than 50 words) and is not
 kept.  White-space-only texts likewise.  Repeated rows get the same verdict each.  Columns
 of the input whose names clash with a measure are replaced in ``annotate`` and left alone
@@ -30,10 +36,14 @@ class Bands:
     """Limits: ``whole`` lists (bytes below which the row holds, lowest ratio, highest ratio)."""
 
     level: int = 3
-    whole: tuple[tuple[float, float, float], ...] = ((512, 0.38, 0.98), (1_024, 0.34, 0.95), (2_048, 0.30, 0.92), (8_192, 0.27, 0.90), (65_536, 0.24, 0.85), (float("inf"), 0.20, 0.85))
+    whole: tuple[tuple[float, float, float], ...] = (
+        (384, 0.512, 0.759), (512, 0.527, 0.752), (640, 0.513, 0.703), (768, 0.506, 0.681), (1_024, 0.485, 0.664), (1_280, 0.476, 0.614), (1_536, 0.470, 0.584),
+        (2_048, 0.452, 0.576), (2_560, 0.452, 0.561), (3_072, 0.445, 0.539), (4_096, 0.439, 0.527), (5_120, 0.429, 0.522), (6_144, 0.427, 0.500), (8_192, 0.418, 0.484),
+        (12_288, 0.408, 0.471), (16_384, 0.406, 0.461), (32_768, 0.395, 0.449), (65_536, 0.385, 0.441), (131_072, 0.375, 0.441), (float("inf"), 0.365, 0.441),
+    )
     chunk: int = 4_096
-    chunk_low: float = 0.25
-    chunk_high: float = 0.90
+    chunk_low: float = 0.431
+    chunk_high: float = 0.508
     bad_chunks: float = 0.34
     """Share of chunks out of their band above which the text goes."""
 
