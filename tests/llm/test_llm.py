@@ -155,6 +155,23 @@ def test_bands_alone_reject(spark, size):
     assert [r["kept"] for r in got] == [True] + [False] * 4 and not any(r["base_failed"] for r in got)
 
 
+def test_chunks_reach_the_end_and_one_bad_stretch_counts(spark):
+    rng = random.Random(4)
+    phrase = "the same phrase again and again "
+    clean = sound(rng, 98_304, alphabet=None)
+    cases = [(4100, 2400), (8200, 3900), (1500, 700), (3000, 1100), (600, 300), (30_000, 4500)]
+    mixed = [clean[:a] + (phrase * b)[:b] for a, b in cases] + [clean[:20_000] + (phrase * 300)[:8192] + clean[20_000:40_000]]
+    got = verdicts(spark, [*(clean[: a + b] for a, b in cases), *mixed])
+    assert [r["kept"] for r in got] == [True] * len(cases) + [False] * len(mixed) and not any(r["base_failed"] for r in got)
+    bands = quality_rules.Bands(whole=((float("inf"), 0.0, 2.0),))
+    import zstandard
+
+    packer = zstandard.ZstdCompressor(level=3, write_content_size=False)
+    for a, b in cases:  # the chunks alone reject; every byte is judged
+        assert not quality_rules.compress(memoryview((clean[:a] + (phrase * b)[:b]).encode()), bands, packer)[3]
+    assert [quality_rules.compress(memoryview(clean[:n].encode()), bands, packer)[1] for n in (511, 512, 513, 2047, 2048, 8191, 8192, 8193)] == [0, 2, 3, 8, 2, 8, 2, 3]
+
+
 def ids_of(path, text):
     from tokenizers import Tokenizer
 

@@ -3,7 +3,10 @@
 Every whole text is compressed with zstandard, and again in fixed chunks.  Compressed size
 over size says how much of a text repeats: a low ratio is repetitive, a high one is noise.
 The ratio falls with length by itself, so each length class has a band of its own, and the
-chunks catch a stretch of junk inside a long text that looks sound as a whole.
+chunks catch a stretch of junk inside a text that looks sound as a whole: 4 KiB chunks from 8 KiB
+on, 1 KiB chunks from 2 KiB on, 256-byte chunks from 512 bytes on (a shorter text is judged as a
+whole).  The last chunk ends where the text ends, so every byte is in a chunk; one chunk out of
+its band is enough.
 
 The limits are 0.98 times the least and 1 / 0.98 times the greatest ratio that labelled sound
 text of the class has, read from the labels that are not held out; above 64 KiB, where no sound
@@ -41,11 +44,10 @@ class Bands:
         (2_048, 0.452, 0.576), (2_560, 0.452, 0.561), (3_072, 0.445, 0.539), (4_096, 0.439, 0.527), (5_120, 0.429, 0.522), (6_144, 0.427, 0.500), (8_192, 0.418, 0.484),
         (12_288, 0.408, 0.471), (16_384, 0.406, 0.461), (32_768, 0.395, 0.449), (65_536, 0.385, 0.441), (131_072, 0.375, 0.441), (float("inf"), 0.365, 0.441),
     )
-    chunk: int = 4_096
-    chunk_low: float = 0.431
-    chunk_high: float = 0.508
-    bad_chunks: float = 0.34
-    """Share of chunks out of their band above which the text goes."""
+    chunks: tuple[tuple[int, float, float], ...] = ((4_096, 0.431, 0.508), (1_024, 0.487, 0.631), (256, 0.574, 0.829))
+    """Chunk sizes, largest first, each with its lowest and highest ratio; a text takes the first that fits in it twice."""
+    bad_chunks: int = 0
+    """Chunks out of their band above which the text goes."""
 
 
 MEASURES = T.StructType([
@@ -98,12 +100,10 @@ def compress(raw: memoryview, bands: Bands, packer) -> tuple[float, int, int, bo
         return 0.0, 0, 0, False
     ratio = len(packer.compress(raw)) / size
     low, high = next((lo, hi) for most, lo, hi in bands.whole if size < most)
-    chunks = bad = 0
-    for at in range(0, size - bands.chunk + 1, bands.chunk):
-        chunks += 1
-        part = len(packer.compress(raw[at : at + bands.chunk])) / bands.chunk
-        bad += not bands.chunk_low <= part <= bands.chunk_high
-    return ratio, chunks, bad, low <= ratio <= high and bad <= bands.bad_chunks * chunks
+    chunk, least, most = next((c for c in bands.chunks if size >= 2 * c[0]), (0, 0.0, 0.0))
+    starts = [*range(0, size - chunk, chunk), size - chunk] if chunk else []
+    bad = sum(not least <= len(packer.compress(raw[at : at + chunk])) / chunk <= most for at in starts)
+    return ratio, len(starts), bad, low <= ratio <= high and bad <= bands.bad_chunks
 
 
 def annotate(docs: DataFrame, bands: Bands = Bands(), columns: list[str] | None = None) -> DataFrame:
