@@ -1,9 +1,11 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import annotate, corpus, jobs, near, qc, report, sample, select, stats, vector
+from textloom.plans import catalogue
 from textloom.profile import DEVA, Profile
 from textloom.sources import readers, sinks
 from textloom.streaming import state
@@ -66,6 +68,24 @@ def test_selection(spark):
         assert sorted(cells) == ["c0"] * 3 + ["c1"] * 3 + ["c2"] * 3
 
 
+def test_candidates_of_selections(spark, tmp_path):
+    """Best rows are found among many: neither five rows a cell nor the shortest rows of a token bound them."""
+    words = [a + b for a in "bdfgkl" for b in "aeiou"]
+    texts = [words[i % 30] for i in range(400)] + [" ".join(words)]
+    rows = [(i, x, "en", "s", len(x)) for i, x in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, [float(i == k) + 0.1 for k in range(8)], 0) for i in range(8)], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert [r["doc_id"] for r in catalogue.coverage_seed(spark, str(tmp_path)).collect()] == [400]
+    assert 400 in [r["doc_id"] for r in catalogue.balanced_selection(spark, str(tmp_path)).collect()]
+    assert catalogue.balanced_selection(spark, str(tmp_path)).count() == 100
+    assert catalogue.diverse_selection(spark, str(tmp_path)).count() == 8
+
+
+def test_cover_takes_the_rarest_token_first():
+    pdf = pd.DataFrame({"id": [0, 1, 2, 3], "tokens": [["a", "b", "c"], ["z", "a"], ["a", "b", "c"], ["b", "c"]], "m": ["x", "x", "x", "y"]})
+    assert select.greedy_cover(pdf, "id", "tokens", 1, ["m"]) == [1, 3]
+
+
 def test_speaker_split_is_disjoint(spark):
     rows = spark.createDataFrame([(f"s{i // 2}", i) for i in range(24)], "speaker string, u long")
     got = sample.speaker_split(rows, "speaker").collect()

@@ -5,43 +5,56 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-
-
-def greedy_cover(pdf: pd.DataFrame, key: str, tokens: str, want: int) -> list:
-    """Rows until each token has ``want`` rows or all it can: most missing tokens, then least key."""
-    sets = [set(t) for t in pdf[tokens]]
-    have: dict[str, int] = {}
-    supply: dict[str, int] = {}
-    for s in sets:
-        for t in s:
-            supply[t] = supply.get(t, 0) + 1
-    need = {t: min(want, n) for t, n in supply.items()}
-    left, chosen = set(range(len(sets))), []
-    while True:
-        gain = {i: sum(have.get(t, 0) < need[t] for t in sets[i]) for i in left}
-        best = max(gain, key=lambda i: (gain[i], -i), default=None)
-        if best is None or not gain[best]:
-            return [pdf[key].iloc[i] for i in chosen]
-        left.discard(best)
+from pyspark.sql import functions as F
+
+
+PER_CELL, PER_TOKEN, SHORTLIST = 2_000, 256, 1_200_000
+"""The reference's bounds of candidates: rows a cell, rows a token, rows of the diverse selection."""
+
+
+def greedy_cover(pdf: pd.DataFrame, key: str, tokens: str, want: int, metadata: list[str] | None = None) -> list:
+    """Rows until each token has ``want`` rows or all it can: for the open token with the fewest rows,
+    the row with most open tokens, then with the least-held metadata, then with the least key."""
+    names = np.unique(np.concatenate([np.asarray(list(t), object) for t in pdf[tokens]] or [np.zeros(0, object)]))
+    has = np.zeros((len(pdf), len(names)), bool)
+    for i, t in enumerate(pdf[tokens]):
+        has[i, np.searchsorted(names, np.asarray(list(t), object))] = True
+    supply = has.sum(0)
+    need = np.minimum(want, supply)
+    labels = [pd.factorize(pdf[c].astype(str))[0] for c in metadata or []]
+    held = [np.zeros(len(pdf), np.int64) for _ in labels]
+    free, chosen = np.ones(len(pdf), bool), []
+    while need.any():
+        target = min(np.flatnonzero(need), key=lambda t: (supply[t], t))
+        rows = np.flatnonzero(has[:, target] & free)
+        gain = has[rows][:, need > 0].sum(1)
+        rows = rows[gain == gain.max()]
+        count = sum((h[v[rows]] for h, v in zip(held, labels, strict=True)), np.zeros(len(rows), np.int64))
+        best = int(rows[np.argmin(count)])
+        free[best] = False
         chosen.append(best)
-        for t in sets[best]:
-            have[t] = have.get(t, 0) + 1
+        need[has[best] & (need > 0)] -= 1
+        supply -= has[best]
+        for h, v in zip(held, labels, strict=True):
+            h[v[best]] += 1
+    return [pdf[key].iloc[i] for i in chosen]
 
 
-def coverage_seed(rows: DataFrame, key: str, tokens: str, want: int = 1) -> DataFrame:
+def coverage_seed(rows: DataFrame, key: str, tokens: str, want: int = 1, metadata: list[str] | None = None) -> DataFrame:
     """Rows that cover every token ``want`` times; rows must be bounded beforehand."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key).reset_index(drop=True)
-        return pd.DataFrame({key: greedy_cover(pdf, key, tokens, want)}).assign(step=lambda d: range(len(d)))
+        return pd.DataFrame({key: greedy_cover(pdf, key, tokens, want, metadata)}).assign(step=lambda d: range(len(d)))
 
-    return rows.select(key, tokens).groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
+    got = rows.select(key, *(metadata or []), F.array_distinct(tokens).alias(tokens))
+    return got.groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
 
 
-def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, target: float, snapshot: bool = False) -> DataFrame:
+def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, target: float, snapshot: bool = False, look: int = 200, seed: int = 7) -> DataFrame:
     """n rows, cells with the fewest rows first, each time the row whose tokens lack most.
 
-    ``snapshot`` scores all cells of a round against the same counts.
+    A pick looks at ``look`` rows of its cell, drawn by ``seed`` and step.  ``snapshot`` scores all cells of a round against the same counts.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -50,7 +63,7 @@ def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, ta
         for i, c in enumerate(pdf[cell].itertuples(index=False, name=None)):
             cells.setdefault(tuple(map(str, c)), []).append(i)
         count, held, out = dict.fromkeys(cells, 0), {}, []
-        toks = [set(t) for t in pdf[tokens]]
+        toks = [set(t.tolist()) for t in pdf[tokens]]
         score = lambda i, seen: sum(max(0.0, target - seen.get(t, 0)) for t in toks[i])
         while len(out) < n and any(cells.values()):
             least = min(count[c] for c, some in cells.items() if some)
@@ -58,7 +71,10 @@ def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, ta
             for c in sorted(k for k, some in cells.items() if some and count[k] == least):
                 if len(out) == n:
                     break
-                best = max(cells[c], key=lambda i: (score(i, seen), -i))
+                some = cells[c]
+                if len(some) > look:
+                    some = [some[i] for i in np.random.default_rng([seed, len(out)]).choice(len(some), look, replace=False)]
+                best = max(some, key=lambda i: (score(i, seen), -i))
                 cells[c].remove(best)
                 count[c] += 1
                 out.append(best)
@@ -66,7 +82,7 @@ def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, ta
                     held[t] = held.get(t, 0) + 1
         return pd.DataFrame({key: pdf[key].iloc[out].to_numpy(), "step": np.arange(len(out), dtype=np.int32)})
 
-    return rows.select(key, *cell, tokens).groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
+    return rows.select(key, *cell, F.transform(tokens, lambda t: F.xxhash64(t)).alias(tokens)).groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
 
 
 def diverse(rows: DataFrame, key: str, tokens: str, vector: str, cluster: str, n: int, floor: int = 5, limit: float = 0.95, cap: int = 7, weights: tuple[float, float] = (0.6, 0.4)) -> DataFrame:

@@ -318,21 +318,24 @@ def round_robin_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def balanced_selection(spark: SparkSession, d: str) -> DataFrame:
-    rows = sample.per_cell(doc_tokens(spark, d), ["lang", "source"], 5, "doc_id")
+    rows = sample.per_cell(doc_tokens(spark, d), ["lang", "source"], select.PER_CELL, "doc_id")
     return select.balanced(rows, "doc_id", ["lang", "source"], "tokens", 100, 50.0)
 
 
 @query()
 def coverage_seed(spark: SparkSession, d: str) -> DataFrame:
-    rows = sample.top_per_token(doc_tokens(spark, d).withColumn("n", F.size("tokens")), "tokens", 3, ["n", "doc_id"]).select("doc_id", "tokens").dropDuplicates(["doc_id"])
-    return select.coverage_seed(rows, "doc_id", "tokens")
+    rows = doc_tokens(spark, d)
+    some = sample.top_per_token(rows.select("doc_id", "tokens"), "tokens", select.PER_TOKEN, [sample.hash_order("doc_id", "7"), "doc_id"]).select("doc_id").distinct()
+    return select.coverage_seed(rows.join(some, "doc_id"), "doc_id", "tokens", metadata=["lang", "source"])
 
 
 @query()
 def diverse_selection(spark: SparkSession, d: str) -> DataFrame:
+    """The vectors stand for the texts of the same ids; a vector without a text has no tokens."""
     rows = t(spark, d, "embeddings")
-    rows = rows.join(vector.clusters(rows, "vec_id", "embedding", 8), "vec_id").withColumn("tokens", F.array(F.col("label").cast("string")))
-    return select.diverse(sample.per_cell(rows, ["cluster"], 200, "vec_id"), "vec_id", "tokens", "embedding", "cluster", 100)
+    texts = doc_tokens(spark, d).select(F.col("doc_id").alias("vec_id"), F.array_distinct("tokens").alias("tokens"))
+    rows = rows.join(vector.clusters(rows, "vec_id", "embedding", 8), "vec_id").join(texts, "vec_id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    return select.diverse(sample.per_cell(rows, ["cluster"], select.SHORTLIST // 8, "vec_id"), "vec_id", "tokens", "embedding", "cluster", 100)
 
 
 @query()
