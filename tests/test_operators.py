@@ -86,6 +86,17 @@ def test_cover_takes_the_rarest_token_first():
     assert select.greedy_cover(pdf, "id", "tokens", 1, ["m"]) == [1, 3]
 
 
+def test_diverse_leaves_near_duplicates(spark):
+    """Copies of a vector and rows of a chosen root are not taken to reach n; metadata breaks ties."""
+    e = np.eye(12)
+    rows = [(i, ["a", "b"], [float(y) for y in e[i % 6]], 0, "xy"[i >= 6], i % 6) for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, v array<double>, cluster int, m string, root long")
+    got = [r["id"] for r in select.diverse(df, "id", "tokens", "v", "cluster", 10, floor=1, limit=0.9, metadata=["m"]).collect()]
+    assert len(got) == 6 and len({i % 6 for i in got}) == 6 and {i >= 6 for i in got} == {False, True}
+    got = [r["id"] for r in select.diverse(df, "id", "tokens", "v", "cluster", 10, floor=1, limit=2.0, root="root").collect()]
+    assert len(got) == 6
+
+
 def test_speaker_split_is_disjoint(spark):
     rows = spark.createDataFrame([(f"s{i // 2}", i) for i in range(24)], "speaker string, u long")
     got = sample.speaker_split(rows, "speaker").collect()

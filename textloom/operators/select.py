@@ -85,44 +85,87 @@ def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, ta
     return rows.select(key, *cell, F.transform(tokens, lambda t: F.xxhash64(t)).alias(tokens)).groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
 
 
-def diverse(rows: DataFrame, key: str, tokens: str, vector: str, cluster: str, n: int, floor: int = 5, limit: float = 0.95, cap: int = 7, weights: tuple[float, float] = (0.6, 0.4)) -> DataFrame:
-    """Rare support first, then clusters in turn: balance gain and distance to what is chosen."""
+def diverse(rows: DataFrame, key: str, tokens: str, vector: str, cluster: str, n: int, floor: int = 5, limit: float | None = None, cap: int = 7, weights: tuple[float, float, float] = (0.6, 0.35, 0.05), metadata: list[str] | None = None, root: str | None = None, rates: tuple[float, ...] = (0.02, 0.01, 0.005), power: float = 0.5, seed: int = 7) -> DataFrame:
+    """Rare support first, then clusters in turn; at most n rows, fewer if the rest is too near.
+
+    Support: each token in ``floor`` rows or all it can, the open token with the fewest rows first, and of
+    its rows the one of the highest priority (sum of 1 / sqrt(rows with the token) / sqrt(length));
+    these rows may be near others.  Then the clusters take turns up to ``cap`` rows, one more a level.
+    A row is open while its greatest cosine to the chosen is within the step of the ladder: the upper
+    tails ``rates`` of cosines of random pairs, strictest first, or ``limit`` alone.  Rows beyond it wait for
+    the next step.  A row whose ``root`` (near-duplicate text) is chosen is blocked.  Gain: what a row
+    gives of the deficits to the tempered target, over the target and the root of its length; novelty: share
+    of random pairs with a greater cosine; metadata: mean of 1 / (1 + rows with the value).
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key).reset_index(drop=True)
+        m = len(pdf)
         x = np.stack(pdf[vector].map(np.asarray)).astype(np.float32)
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-        toks = [set(t) for t in pdf[tokens]]
-        at = {k: i for i, k in enumerate(pdf[key])}
-        out = [at[k] for k in greedy_cover(pdf, key, tokens, floor)][:n]
-        near = (x @ x[out].T).max(1) if out else np.full(len(x), -1.0, np.float32)
-        held: dict[str, int] = {}
-        for i in out:
-            for t in toks[i]:
-                held[t] = held.get(t, 0) + 1
+        pairs = np.random.default_rng(seed).integers(0, m, (100_000, 2))
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        background = np.sort(np.concatenate([(x[p[:, 0]] * x[p[:, 1]]).sum(1) for p in np.array_split(pairs, 20)])) if len(pairs) else np.zeros(1, np.float32)
+        ladder = [limit] if limit is not None else sorted(np.quantile(background, [1 - r for r in rates]))
+        size = pdf[tokens].map(len).to_numpy()
+        owner = np.repeat(np.arange(m), size)
+        names, flat = np.unique(np.concatenate([np.asarray(list(t), object) for t in pdf[tokens]]), return_inverse=True)
+        cell, amount = np.unique(owner * max(1, len(names)) + flat, return_counts=True)
+        owner, token = cell // max(1, len(names)), cell % max(1, len(names))
+        start = np.searchsorted(owner, np.arange(m + 1))
+        of = np.argsort(token, kind="stable")
+        at = np.searchsorted(token[of], np.arange(len(names) + 1))
+        df = np.diff(at)
+        root_len = np.sqrt(np.maximum(size, 1))
+        priority = np.bincount(owner, 1 / np.sqrt(df[token]), m) / root_len
+        freq = np.bincount(token, amount, len(names))
+        target = freq**power / max((freq**power).sum(), 1e-9) * n * (size.mean() if m else 0)
+        held, has = np.zeros(len(names)), np.zeros(len(names), np.int64)
+        labels = [pd.factorize(pdf[c].astype(str))[0] for c in metadata or []]
+        count = [np.zeros(m, np.int64) for _ in labels]
+        roots = pd.factorize(pdf[root].astype(str))[0] if root else np.arange(m)
         clusters = pdf[cluster].to_numpy()
-        used = {c: int((clusters[out] == c).sum()) if out else 0 for c in np.unique(clusters)}
-        taken = np.zeros(len(x), bool)
-        taken[out] = True
-        level, near_limit = cap, limit
-        while len(out) < n and not taken.all():
-            any_ = False
-            for c in sorted(used):
-                open_ = np.flatnonzero(~taken & (clusters == c) & (near <= near_limit))
-                if len(out) == n or used[c] >= level or not len(open_):
-                    continue
-                gain = np.array([sum(1 / (1 + held.get(t, 0)) for t in toks[i]) / max(1, len(toks[i])) for i in open_])
-                best = int(open_[np.argmax(weights[0] * gain + weights[1] * (1 - near[open_]))])
-                taken[best] = any_ = True
-                used[c] += 1
-                out.append(best)
-                near = np.maximum(near, x @ x[best])
-                for t in toks[best]:
-                    held[t] = held.get(t, 0) + 1
-            if not any_:
+        used = dict.fromkeys(np.unique(clusters), 0)
+        free, near, out = np.ones(m, bool), np.full(m, -1.0, np.float32), []
+
+        def take(i: int) -> None:
+            out.append(i)
+            free[roots == roots[i]] = False
+            used[clusters[i]] += 1
+            np.maximum(near, x @ x[i], out=near)
+            mine = slice(start[i], start[i + 1])
+            held[token[mine]] += amount[mine]
+            has[token[mine]] += 1
+            for c, v in zip(count, labels, strict=True):
+                c[v[i]] += 1
+
+        chosen = np.zeros(m, bool)
+        for t in sorted(range(len(names)), key=lambda t: (df[t], t)):
+            mine = owner[of[at[t] : at[t + 1]]]
+            while has[t] < min(floor, df[t]) and len(out) < n:
+                some = mine[~chosen[mine]]
+                some = some[free[some]] if free[some].any() else some  # support comes before nearness and roots
+                best = int(some[np.argmax(priority[some])])
+                chosen[best] = True
+                take(best)
+        for most in ladder:
+            level, idle = cap, False
+            while len(out) < n and not idle:
+                any_ = False
+                for c in sorted(used):
+                    open_ = np.flatnonzero(free & (clusters == c) & (near <= most))
+                    if len(out) == n or used[c] >= level or not len(open_):
+                        continue
+                    lack = np.maximum(target - held, 0)
+                    part = np.minimum(amount, lack[token]) / np.maximum(target[token], 1)
+                    gain = np.bincount(owner, part, m)[open_] / root_len[open_]
+                    novel = 1 - np.searchsorted(background, near[open_], "right") / len(background)
+                    meta = np.mean([1 / (1 + k[v[open_]]) for k, v in zip(count, labels, strict=True)], 0) if labels else np.zeros(len(open_))
+                    take(int(open_[np.argmax(weights[0] * gain + weights[1] * novel + weights[2] * meta)]))
+                    any_ = True
                 level += 1
-                if level > 4 * cap + n:
-                    near_limit = 2.0  # nothing fits any more: take the rest
+                idle = not any_ and not any(used[c] >= level - 1 and (free & (clusters == c) & (near <= most)).any() for c in used)
         return pd.DataFrame({key: pdf[key].iloc[out].to_numpy(), "step": np.arange(len(out), dtype=np.int32)})
 
-    return rows.select(key, tokens, vector, cluster).groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
+    got = rows.select(key, F.transform(tokens, lambda t: F.xxhash64(t)).alias(tokens), vector, cluster, *(metadata or []), *([root] if root else []))
+    return got.groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")

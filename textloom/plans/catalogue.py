@@ -333,9 +333,9 @@ def coverage_seed(spark: SparkSession, d: str) -> DataFrame:
 def diverse_selection(spark: SparkSession, d: str) -> DataFrame:
     """The vectors stand for the texts of the same ids; a vector without a text has no tokens."""
     rows = t(spark, d, "embeddings")
-    texts = doc_tokens(spark, d).select(F.col("doc_id").alias("vec_id"), F.array_distinct("tokens").alias("tokens"))
+    texts = doc_tokens(spark, d).select(F.col("doc_id").alias("vec_id"), "lang", "source", "tokens")
     rows = rows.join(vector.clusters(rows, "vec_id", "embedding", 8), "vec_id").join(texts, "vec_id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
-    return select.diverse(sample.per_cell(rows, ["cluster"], select.SHORTLIST // 8, "vec_id"), "vec_id", "tokens", "embedding", "cluster", 100)
+    return select.diverse(sample.per_cell(rows, ["cluster"], select.SHORTLIST // 8, "vec_id"), "vec_id", "tokens", "embedding", "cluster", 100, metadata=["lang", "source"])
 
 
 @query()
