@@ -97,6 +97,15 @@ def test_diverse_leaves_near_duplicates(spark):
     assert len(got) == 6
 
 
+def test_shortlist_fails_when_tops_exceed_the_limit(spark):
+    rows = spark.createDataFrame([(i, [f"t{i}"], float(i)) for i in range(6)], "id long, tokens array<string>, priority double")
+    assert sample.shortlist(rows, "tokens", "id", 1, 6).count() == 6
+    got = sample.shortlist(rows.union(spark.createDataFrame([(9, ["t0"], -1.0)], rows.schema)), "tokens", "id", 1, 6).collect()
+    assert sorted(r["id"] for r in got) == list(range(6))
+    with pytest.raises(Exception, match="more than 5 rows"):
+        sample.shortlist(rows, "tokens", "id", 1, 5).collect()
+
+
 def test_speaker_split_is_disjoint(spark):
     rows = spark.createDataFrame([(f"s{i // 2}", i) for i in range(24)], "speaker string, u long")
     got = sample.speaker_split(rows, "speaker").collect()

@@ -41,11 +41,13 @@ def top_per_token(rows: DataFrame, tokens: str, k: int, order: list) -> DataFram
 
 
 def shortlist(rows: DataFrame, tokens: str, key: str, per_token: int, limit: int) -> DataFrame:
-    """All per-token tops, then the best of the rest, up to ``limit`` rows."""
+    """All per-token tops, then the best of the rest, up to ``limit`` rows; fails if the tops alone are more."""
     order = [F.desc("priority"), F.desc(key)]
     must = top_per_token(rows, tokens, per_token, order).select(key).distinct().withColumn("required", F.lit(True))
     got = rows.join(must, key, "left").withColumn("required", F.coalesce("required", F.lit(False)))
-    return got.orderBy(F.desc("required"), *order).limit(limit)
+    got = got.orderBy(F.desc("required"), *order).limit(limit + 1).withColumn("place", F.row_number().over(Window.orderBy(F.desc("required"), *order)))
+    over = F.raise_error(F.lit(f"more than {limit} rows are required by their tokens")).cast("int")
+    return got.withColumn("place", F.when((F.col("place") > limit) & F.col("required"), over).otherwise(F.col("place"))).filter(F.col("place") <= limit).drop("place")
 
 
 def speaker_split(rows: DataFrame, speaker: str, shares: tuple[tuple[str, float], ...] = (("train", 0.8), ("dev", 0.1), ("test", 0.1)), seed: str = "7") -> DataFrame:
