@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
@@ -100,6 +101,67 @@ def test_near_duplicates_edge_rows(docs, empty):
     assert neardup.unique_rows(docs).columns == docs.columns
 
 
+def families(rng, n):
+    """Near copies of n different texts, with null ids, ids that several texts share, and repeated rows."""
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(600)]
+    out = []
+    for f in range(n):
+        base = rng.choices(words, k=80)
+        for _ in range(6):
+            w = list(base)
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(80)] = rng.choice(words)
+            out.append((rng.choice([None, None, f, 7, rng.randint(0, 9)]), " ".join(w)))
+    return out + out[:5] + [(None, ""), (None, ""), (7, None), (7, " "), (5, "A b"), (7, "a B"), (7, "z z"), (9, "z  z")]
+
+
+def test_classes_are_linked_and_not_ids(spark):
+    from collections import Counter
+
+    rows = families(random.Random(8), 20)
+    sets = [frozenset(shingles(t or "", 2)) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    ids = {}
+    for i, (d, _) in enumerate(rows):
+        ids.setdefault(find(i), []).append(d)
+    want = []
+    for i, (d, t) in enumerate(rows):
+        c = min((x for x in ids[find(i)] if x is not None), default=None)
+        want.append((d, len(sets[i]), c, d == c))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("label", F.lit("x")).repartition(7)
+    for block in (512, 3):
+        got = neardup.resolve(docs, neardup.Settings(words=2, block=block))
+        assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()) == Counter(want)
+    kept = [(r["doc_id"], r["text"]) for r in neardup.unique_rows(docs).collect()]
+    at = {}
+    for i, r in enumerate(rows):
+        at.setdefault(r, i)
+    full = [find(at[r]) for r in kept if sets[at[r]]]
+    assert sorted(full) == sorted({find(i) for i, s in enumerate(sets) if s})  # one row of each component
+    assert sum(not sets[at[r]] for r in kept) == sum(not s for s in sets)
+    for r in kept:
+        assert not sets[at[r]] or r[0] == min((x for x in ids[find(at[r])] if x is not None), default=None)
+
+
+def test_unrelated_rows_under_one_id_stay(spark):
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    for one, two in ((None, None), (7, 7)):
+        docs = spark.createDataFrame([(5, a), (one, a + " end"), (two, b), (9 if two else None, b + " end")], "doc_id long, text string")
+        want = [(0, "b"), (5, "a")] if two is None else [(5, "a"), (7, "b")]
+        assert sorted((r["doc_id"] or 0, r["text"][0]) for r in neardup.unique_rows(docs).collect()) == want
+
+
 def test_blocks_find_what_the_centres_miss(unique):
     _, want = near_components(data(unique), 2)
     got = table(neardup.resolve(unique, neardup.Settings(words=2, block=4)))

@@ -16,9 +16,13 @@
 
 At similarity 0.8 a link shares no band with probability 2e-5.  A text with fewer than k
 words has its whole sequence as its one shingle; null, empty and blank texts have an empty
-set, link with nothing and stay.  Rows with a null doc_id take part; a component of such
-rows alone has a null component_id.  Repeated rows get the same answer each.  An empty table
-gives an empty result.  Other columns are ignored, or kept as they are by ``unique_rows``.
+set, link with nothing and stay.  Links and components are between classes, never between
+ids: rows with a null doc_id, and different texts under one doc_id, are told apart.  The
+component_id is the smallest doc_id in the component, null if it has none.  Repeated rows get
+the same answer each from ``resolve``; ``unique_rows`` keeps one row of each component (the
+smallest doc_id, then by a hash of the text; null ids last) and each row with an empty set.
+An empty table gives an empty result.  Other columns are ignored, or kept as they are by
+``unique_rows``; their names must not begin with two underscores.
 """
 
 from __future__ import annotations
@@ -120,12 +124,12 @@ def _band_keys(low: np.ndarray, s: Settings) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n_shingles, cls (set digest), packed, bands; the last three null for empty sets."""
+    """doc_id, x (text hash), n_shingles, cls (set digest), packed, bands; the last three null for empty sets."""
     common.ship(docs.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for a, b, data, offsets in textkit.batches(part.column(1)):
+            for a, b, data, offsets in textkit.batches(part.column(2)):
                 t, h = sets_of(data, offsets, s.words)
                 n = np.bincount(t, minlength=b - a)
                 full = np.flatnonzero(n)
@@ -137,16 +141,28 @@ def sketch(docs: DataFrame, s: Settings) -> DataFrame:
                     low = minima(h, first, last, s)
                     for i, c, p, k in zip(full, digests(h, first), pack_bits(low), _band_keys(low, s), strict=True):
                         cls[i], packed[i], bands[i] = c.tobytes(), p.tobytes(), k
-                yield pa.RecordBatch.from_arrays([part.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "cls", "packed", "bands"])
+                kept = [part.column(i).slice(a, b - a) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "x", "n_shingles", "cls", "packed", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, cls binary, packed binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), _text_hash().alias("x"), "text").mapInArrow(run, "doc_id long, x long, n_shingles long, cls binary, packed binary, bands array<long>")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(common.utf8())
+
+
+def _row_id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, s: Settings, most_broadcast: int = 200_000) -> DataFrame:
-    """cls and its sorted shingles (uint64 bytes) for the wanted (cls, rep); texts are read again."""
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    ids = F.broadcast(ids) if wanted.count() <= most_broadcast else ids  # 8 bytes a row
-    some = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    """k and its sorted shingles (uint64 bytes) for the wanted classes (k, cls, d, x).
+
+    Texts are read again, one row that stands for each class (by id and text hash).
+    """
+    rows = wanted.select("d", "x").distinct()
+    rows = F.broadcast(rows) if wanted.count() <= most_broadcast else rows  # 16 bytes a row
+    some = docs.select(_row_id().alias("d"), _text_hash().alias("x"), "text").join(rows, ["d", "x"], "left_semi")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -157,7 +173,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, s: Settings, most_broadcast: i
                     yield pa.RecordBatch.from_arrays([pa.array([d.tobytes() for d in digests(h, first)], pa.binary()), pa.array([x.tobytes() for x in np.split(h, first[1:])], pa.binary())], ["cls", "members"])
 
     found = some.select("text").mapInArrow(run, "cls binary, members binary")
-    return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    return found.join(wanted.select("cls", "k"), "cls").select("k", "members").dropDuplicates(["k"])
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
@@ -169,14 +185,14 @@ def _plausible(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
                 x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(part.num_rows, -1) for i in (2, 3))
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(estimate(x, y, s) >= s.floor)) for c in part.columns[:2]], ["a", "b"])
 
-    sig = classes.select("cls", "packed")
-    both = pairs.join(sig.withColumnsRenamed({"cls": "a", "packed": "x"}), "a").join(sig.withColumnsRenamed({"cls": "b", "packed": "y"}), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    sig = classes.select("k", "packed")
+    both = pairs.join(sig.withColumnsRenamed({"k": "a", "packed": "x"}), "a").join(sig.withColumnsRenamed({"k": "b", "packed": "y"}), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls")
+    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct().join(classes.select("k", "cls", "d", "x"), "k")
     sets = common.table(full_sets(docs, common.table(wanted, "near-wanted"), s), "near-sets")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,33 +204,30 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Setting
                 ok.append(100 * both >= s.percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in part.columns[:2]], ["a", "b"])
 
-    joined = pairs.join(sets.withColumnsRenamed({"cls": "a", "members": "x"}), "a").join(sets.withColumnsRenamed({"cls": "b", "members": "y"}), "b")
-    return common.table(joined.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary"), "near-links")
+    joined = pairs.join(sets.withColumnsRenamed({"k": "a", "members": "x"}), "a").join(sets.withColumnsRenamed({"k": "b", "members": "y"}), "b")
+    return common.table(joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "near-links")
 
 
 def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """cls, label (smallest rep reachable) for the classes that have links.
+def components(links: DataFrame) -> DataFrame:
+    """k, label (smallest k reachable) for the classes that have links.
 
     Labels spread along links and then jump to their label's label, so the rounds grow
-    with the logarithm of a component's width; nothing comes to the driver but two numbers.
+    with the logarithm of a component's width; nothing comes to the driver but one number.
     """
     both = common.table(links.select("a", "b").union(links.select("b", "a")), "near-both")
-    lab = common.table(both.select(F.col("a").alias("cls")).distinct().join(nodes.select("cls", "rep"), "cls").withColumn("label", F.col("rep")), "near-labels")
-    before = None
+    lab = common.table(both.select(F.col("a").alias("k")).distinct().withColumn("label", F.col("k")), "near-labels")
     while True:
-        total = lab.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        if total == before:
-            return lab.select("cls", "label")
-        before = total
-        heard = both.join(lab.select(F.col("cls").alias("a"), "label"), "a").groupBy("b").agg(F.min("label").alias("heard"))
-        lab = lab.join(heard, lab["cls"] == heard["b"], "left").select("cls", "rep", F.least("label", "heard").alias("label"))
-        lab = common.table(lab, "near-labels")
-        jump = lab.groupBy(F.col("rep").alias("at")).agg(F.min("label").alias("to"))
-        lab = common.table(lab.join(jump, lab["label"] == jump["at"], "left").select("cls", "rep", F.least("label", "to").alias("label")), "near-labels")
+        heard = both.join(lab.withColumnRenamed("k", "a"), "a").groupBy("b").agg(F.min("label").alias("heard"))
+        new = common.table(lab.join(heard, lab["k"] == heard["b"]).select("k", F.col("label").alias("old"), F.least("label", "heard").alias("label")), "near-heard")
+        jump = new.select(F.col("k").alias("at"), F.col("label").alias("to"))
+        new = common.table(new.join(jump, new["label"] == jump["at"]).select("k", "old", F.least("label", "to").alias("label")), "near-labels")
+        lab = new.select("k", "label")
+        if new.filter("label <> old").isEmpty():
+            return lab
 
 
 def _inside(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -243,15 +256,15 @@ def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings
     both share, and a block gives at most one link for each component that it joins.
     """
     size = members.groupBy("bk").agg(F.count(F.lit(1)).alias("n"))
-    rows = members.join(size, "bk").join(classes.select("cls", "packed", "bands"), "cls").join(sets, "cls")
-    rows = rows.withColumn("parts", F.ceil(F.col("n") / s.block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    rows = members.join(size, "bk").join(classes.select("k", "packed", "bands"), "k").join(sets, "k")
+    rows = rows.withColumn("parts", F.ceil(F.col("n") / s.block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("bk", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "label", "packed", "bands", "members")
+    rows = rows.select("bk", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "label", "packed", "bands", "members")
 
     def run(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        mine, label, cls = group["mine"].to_numpy(), group["label"].to_numpy(), group["cls"].to_pylist()
-        bits = np.frombuffer(b"".join(group["packed"].to_pylist()), np.uint8).reshape(len(cls), -1)
+        mine, label, own = (group[c].to_numpy() for c in ("mine", "label", "k"))
+        bits = np.frombuffer(b"".join(group["packed"].to_pylist()), np.uint8).reshape(len(own), -1)
         keys = np.array(group["bands"].to_pylist(), np.int64)
         here = int(np.flatnonzero((keys == group["bk"][0].as_py()).all(0))[0])
         sets_ = [np.frombuffer(x, np.uint64) for x in group["members"].to_pylist()]
@@ -265,8 +278,8 @@ def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings
                 v = root[v]
             return v
 
-        a: list[bytes] = []
-        b: list[bytes] = []
+        a: list[int] = []
+        b: list[int] = []
         for at in range(0, len(left), 32):
             some = left[at : at + 32]
             tops = np.array([find(int(v)) for v in label])
@@ -281,50 +294,70 @@ def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings
                 u, v = some[x[p]], right[y[q]]
                 if (m := find(int(label[u]))) != (n := find(int(label[v]))):
                     root[max(m, n)] = min(m, n)
-                    a.append(min(cls[u], cls[v]))
-                    b.append(max(cls[u], cls[v]))
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+                    a.append(int(min(own[u], own[v])))
+                    b.append(int(max(own[u], own[v])))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("bk", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
+    return rows.groupBy("bk", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
-def _open_groups(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _open_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the groups that span several components, with their labels."""
-    got = members.select("bk", "cls").join(classes.select("cls", "rep"), "cls").join(labels, "cls", "left").select("bk", "cls", F.coalesce("label", "rep").alias("label"))
-    got = common.table(got, "near-grouped")
+    got = common.table(members.select("bk", "k").join(labels, "k", "left").select("bk", "k", F.coalesce("label", "k").alias("label")), "near-grouped")
     spans = got.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bk")
     return common.table(got.join(spans, "bk", "left_semi"), "near-open")
 
 
-def resolve(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, cls for every row of ``docs``."""
+def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """cls, component (the smallest doc_id, null if there is none), and whether the class holds
+    the row that stays, with that row's id and text hash (d, x)."""
+    own = classes.select("k", "cls", "least", "d", "x").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
+    own = common.table(own, "near-named")
+    of = own.groupBy("label").agg(F.min("least").alias("component"), F.min(F.struct("d", "x", "k")).alias("head"))
+    return own.join(of, "label").select("cls", "component", (F.col("head.k") == F.col("k")).alias("head"), "d", "x")
+
+
+def _resolved(docs: DataFrame, s: Settings) -> DataFrame:
+    """doc_id, x, n_shingles, cls, component_id, head (the row, or a copy of it, stays) for every row."""
     docs = docs.select("doc_id", "text")
     rows = common.table(sketch(docs, s), "near-sketches")
-    classes = rows.filter("n_shingles > 0").groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.first("packed").alias("packed"), F.first("bands").alias("bands"))
-    classes = common.table(classes, "near-classes")
-    banded = classes.select("cls", F.explode("bands").alias("bk"))
+    first = F.min(F.struct(_row_id().alias("d"), "x")).alias("rep")
+    classes = rows.filter("n_shingles > 0").groupBy("cls").agg(first, F.min("doc_id").alias("least"), F.first("packed").alias("packed"), F.first("bands").alias("bands"))
+    # k numbers the classes; it is fixed as soon as the table is written
+    classes = common.table(classes.select("cls", "rep.d", "rep.x", "least", "packed", "bands", F.monotonically_increasing_id().alias("k")), "near-classes")
     # a centre for each group: another order of the classes in every fourth of the groups
-    order = F.struct(F.xxhash64(F.pmod(F.col("bk"), F.lit(4)), F.col("cls")).alias("o"), F.col("cls").alias("centre"))
-    centres = banded.groupBy("bk").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("m")).filter("n > 1").select("bk", F.col("m.centre").alias("centre"))
-    members = common.table(banded.join(common.table(centres, "near-centres"), "bk"), "near-members")
-    star = members.filter(F.col("cls") != F.col("centre")).select(*_ordered(F.col("cls"), F.col("centre"))).distinct()
+    banded = classes.select("k", "cls", F.explode("bands").alias("bk")).withColumn("o", F.xxhash64(F.pmod(F.col("bk"), F.lit(4)), F.col("cls"))).drop("cls")
+    centres = banded.groupBy("bk").agg(F.count(F.lit(1)).alias("n"), F.min_by("k", "o").alias("centre")).filter("n > 1").drop("n")
+    members = common.table(banded.select("bk", "k").join(common.table(centres, "near-centres"), "bk"), "near-members")
+    star = members.filter(F.col("k") != F.col("centre")).select(*_ordered(F.col("k"), F.col("centre"))).distinct()
     tried = common.table(_plausible(star, classes, s), "near-pairs")
     links = _confirmed(tried, classes, docs, s)
-    labels = components(classes, links)
-    open_ = _open_groups(members, labels, classes)
+    labels = components(links)
+    open_ = _open_groups(members, labels)
     if not open_.isEmpty():
-        wanted = common.table(open_.select("cls").distinct().join(classes.select("cls", "rep"), "cls"), "near-wanted")
+        wanted = common.table(open_.select("k").distinct().join(classes.select("k", "cls", "d", "x"), "k"), "near-wanted")
         sets = common.table(full_sets(docs, wanted, s), "near-sets")
         links = links.unionByName(common.table(_across(open_, classes, sets, s), "near-more"))
-        labels = components(classes, links)
-    named = common.table(classes.select("cls", "rep").join(labels, "cls", "left").select("cls", F.coalesce("label", "rep").alias("label")), "near-named")
-    got = rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
-    component = F.when(F.col("cls").isNull(), F.col("doc_id")).when(F.col("label") != NO_ID, F.col("label"))
-    return got.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "cls")
+        labels = components(links)
+    named = common.table(_named(classes, labels), "near-components").withColumnsRenamed({"d": "hd", "x": "hx"})
+    got = rows.select("doc_id", "x", "n_shingles", "cls").join(named, "cls", "left")
+    mine = F.col("head") & (_row_id() == F.col("hd")) & (F.col("x") == F.col("hx"))
+    component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    return got.select("doc_id", "x", "n_shingles", "cls", component.alias("component_id"), (F.col("cls").isNull() | mine).alias("head"))
+
+
+def resolve(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, cls for every row of ``docs``."""
+    return _resolved(docs, s).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "cls")
 
 
 def unique_rows(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` whose document stays, with all their columns."""
-    keep = resolve(docs, s).filter("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")).distinct()
-    keep = common.table(keep, "near-kept")
-    return docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keep, "__id", "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns: one of each component."""
+    keep = _resolved(docs, s).filter("head").groupBy(_row_id().alias("__d"), F.col("x").alias("__x"))
+    keep = common.table(keep.agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("n_shingles") > 0).alias("full")), "near-kept")
+    rows = docs.withColumns({"__d": _row_id(), "__x": _text_hash()})
+    got = rows.join(keep.filter("n = 1 or not full"), ["__d", "__x"], "left_semi")
+    more = keep.filter("n > 1 and full")
+    if not more.isEmpty():  # repeated rows
+        got = got.unionByName(rows.join(more, ["__d", "__x"], "left_semi").dropDuplicates(["__d", "__x"]))
+    return got.select(*docs.columns)
