@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from textloom.llm import classifier, common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, suffix_dedup, textkit, token_counts, token_files, tokenizing
+from textloom.llm import classifier, common, exact_dedup, mixing, neardup, packing, quality_rules, queries, sharding, suffix_dedup, textkit, token_counts, token_files, tokenizing
 
 WORD, BYTE = tokenizing.public("word_bpe_49k.json"), tokenizing.public("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words string"
@@ -453,6 +453,53 @@ def test_mixing(docs, empty):
         mixing.mix(docs, mixing.Target())
 
 
+@pytest.mark.parametrize("target", [mixing.Target(entropy=0.95), mixing.Target(repeats=1.3), mixing.Target(entropy=0.97, budget=2.5)])
+def test_drawn_rows_by_brute_force(docs, target):
+    from collections import Counter
+
+    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    rows = docs.select("doc_id", "source", "text", crc.alias("c"), *(F.xxhash64(F.lit(target.seed), F.lit(b), "doc_id", crc).alias(f"h{b}") for b in range(9))).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+    n = {k: sum(len(re.findall(SPACE, r["text"] or "")) for r in some) for k, some in by.items()}
+    whole = sum(n.values())
+    got = mixing.mix(docs, target).collect()
+    a = got[0]["exponent"]
+    assert 0 < a < 1
+    z = sum((v / whole) ** a for v in n.values())
+    want = Counter()
+    for k, some in by.items():
+        goal = (n[k] / whole) ** a / z * whole * target.budget
+        full = int(goal / n[k] + 1e-9)
+        for b in range(full + 1):
+            at = 0
+            for i, r in enumerate(sorted(some, key=lambda r: (r[f"h{b}"], r["doc_id"] is not None, r["doc_id"], r["c"]))):
+                size = len(re.findall(SPACE, r["text"] or ""))
+                if b == full and at + size > int(goal - full * n[k] + 1e-6):
+                    break
+                want[r["doc_id"], k, size, b, i, at] += 1
+                at += size
+    assert Counter((r["doc_id"], r["source"], r["n_tokens"], r["block"], r["row_in_block"], r["tokens_before"]) for r in got) == want
+    drawn = Counter(r["doc_id"] for r in mixing.mixed_rows(docs, target).collect())
+    assert sum((Counter(r["doc_id"] for r in got) - drawn).values()) <= 2 and not drawn - Counter(r["doc_id"] for r in got)
+
+
+def test_mixing_limits_and_clashing_names(spark, docs):
+    tiny = spark.createDataFrame([(i, "a b c d", "big") for i in range(500)] + [(900, "a", "small")], "doc_id long, text string, source string")
+    got = mixing.mix(tiny, mixing.Target(entropy=1.0)).collect()
+    assert sum(r["source"] == "small" for r in got) <= 4 and got[0]["exponent"] < 1
+    clash = docs.withColumns({c: F.lit(c) for c in ("cut_tokens", "whole_blocks", "weight", "block", "n_tokens", "source_rows", "p", "exponent")})
+    out = mixing.mixed_rows(clash, mixing.Target(entropy=0.95))
+    assert out.columns == clash.columns and {r["cut_tokens"] for r in out.collect()} == {"cut_tokens"} and out.count() == mixing.mixed_rows(docs, mixing.Target(entropy=0.95)).count()
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_the_query_mixes(spark, scale):
+    got = queries.op1_mixing(spark, f"/root/testdata/{scale}")
+    assert 0 < got.first()["exponent"] < 1 and got.filter("block > 0").count() > 0
+
+
 def test_kernels_on_null_and_empty_texts():
     import pyarrow as pa
 

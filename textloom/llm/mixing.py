@@ -2,8 +2,10 @@
 
 A source with token share p gets weight p**a / sum(p**a).  The exponent a in [0, 1] is
 bisected: with a target entropy, the largest a whose weights reach it; with a repetition
-limit, the smallest a at which no source is read more often than the limit.  Each pass over
-the per-source totals tries 31 inner points of the interval, five halvings at once.
+limit, the smallest a at which no source is read more often than the limit.  A target entropy
+has a limit beside it (``at_most``), so that no tiny source is repeated without end: where
+both can't be had, the limit wins.  Each pass over the per-source totals tries 31 inner points
+of the interval, five halvings at once.
 
 The weights are realised as blocks: block e of a source is a seeded permutation of all its
 rows; as many whole blocks as the budget gives, then one block cut where the next row would
@@ -12,15 +14,18 @@ only counts per bucket are summed up (``common.ranked``).
 
 A null source is a source of its own; null and empty texts have 0 tokens and come along in
 every block (the cut block, up to the cut).  Sources without tokens have weight 0 and come
-once.  Repeated rows are separate rows.  An empty table gives an empty result.
+once.  Repeated rows are separate rows.  An empty table gives an empty result.  Other columns
+are ignored by ``mix`` and kept as they are by ``mixed_rows``, whatever their names, as long
+as these don't begin with two underscores.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from textloom.llm import common
@@ -37,6 +42,8 @@ class Target:
     budget: float = 1.0
     """Tokens to draw, as a multiple of the tokens there are."""
     seed: int = 11
+    at_most: float = 4.0
+    """Times that a source is read at most where the target is an entropy (never below the budget)."""
 
 
 def tokens(text: str = "text") -> Column:
@@ -55,32 +62,40 @@ def totals(rows: DataFrame) -> DataFrame:
 
 
 def exponent(per: DataFrame, target: Target, passes: int = 8) -> float:
-    """Bisected on the driver over two numbers a point; the sources stay distributed."""
+    """Bisected on the driver over a few numbers a point; the sources stay distributed."""
     if (target.entropy is None) == (target.repeats is None):
         raise ValueError("give a target entropy or a repetition limit")
     per = per.filter("p > 0").select(F.log("p").alias("lp"))
     n = per.count()
     if n < 2:
         return 1.0
+
+    def least(limit: float) -> float:
+        """The smallest exponent at which no source is read more often; it is read less as a rises."""
+        return _bisect(per, passes, lambda x: target.budget * math.exp(x["most"]) / x["z"] <= limit + 1e-12)
+
+    if target.repeats is not None:
+        return least(target.repeats)
+    goal = target.entropy * math.log(n) - 1e-12
+    # entropy falls as a rises: the largest a that reaches it is where falling short begins
+    reached = _bisect(per, passes, lambda x: math.log(x["z"]) - x["s"] / x["z"] < goal, below=True)
+    return max(reached, least(max(target.at_most, target.budget)))
+
+
+def _bisect(per: DataFrame, passes: int, holds: Callable[[Row], bool], below: bool = False) -> float:
+    """Where ``holds`` turns from false to true in [0, 1]: the upper end of the last interval, or
+    (``below``) the lower one; 0 if it holds throughout, 1 if nowhere."""
     low, high = 0.0, 1.0
     for _ in range(passes):
         points = [low + (high - low) * i / 32 for i in range(33)]
         at = per.select("lp", F.explode(F.array(*(F.lit(a) for a in points))).alias("a"))
         power = F.exp(F.col("a") * F.col("lp"))
         got = {r["a"]: r for r in at.groupBy("a").agg(F.sum(power).alias("z"), F.sum(power * F.col("a") * F.col("lp")).alias("s"), F.max((F.col("a") - 1) * F.col("lp")).alias("most")).collect()}
-        if target.entropy is not None:  # entropy falls as a rises: keep the last point that reaches it
-            fits = [math.log(got[a]["z"]) - got[a]["s"] / got[a]["z"] >= target.entropy * math.log(n) - 1e-12 for a in points]
-            last = max((i for i, ok in enumerate(fits) if ok), default=0)
-            if last == 32:
-                return high
-            low, high = points[last], points[last + 1]
-        else:  # the most repeated source is repeated less as a rises: keep the first point within the limit
-            fits = [target.budget * math.exp(got[a]["most"]) / got[a]["z"] <= target.repeats + 1e-12 for a in points]
-            first = min((i for i, ok in enumerate(fits) if ok), default=32)
-            if first == 0:
-                return low
-            low, high = points[first - 1], points[first]
-    return low if target.entropy is not None else high
+        first = next((i for i, a in enumerate(points) if holds(got[a])), 33)
+        if first in (0, 33):
+            return low if first == 0 else high
+        low, high = points[first - 1], points[first]
+    return low if below else high
 
 
 def weighted(per: DataFrame, target: Target) -> DataFrame:
@@ -132,11 +147,10 @@ def mixed_rows(docs: DataFrame, target: Target) -> DataFrame:
     cut = common.attach(rows, per.filter("cut_tokens > 0").select("__g", "whole_blocks", "cut_tokens", "source_rows"), "__g").withColumnRenamed("whole_blocks", "block")
     cut = permute(cut, target.seed)
     out = cut.filter(F.col("tokens_before") + F.col("n_tokens") > F.col("cut_tokens")).groupBy("__g").agg(F.min("__h").alias("__stop"))
-    plan = common.table(per.select("__g", "whole_blocks", "cut_tokens").join(out, "__g", "left"), "mix-cuts")
-    cols = docs.columns
-    got = docs.withColumn("__g", source_key()).withColumn("__c", F.crc32(common.utf8()))
-    got = common.attach(got, plan, "__g")
-    partial = (F.col("cut_tokens") > 0) & (F.col("__stop").isNull() | (block_key(target.seed, F.col("whole_blocks")) < F.col("__stop")))
-    times = F.col("whole_blocks") + F.when(partial, 1).otherwise(0)
+    plan = per.select("__g", F.col("whole_blocks").alias("__whole"), F.col("cut_tokens").alias("__cut")).join(out, "__g", "left")
+    got = docs.withColumns({"__g": source_key(), "__c": F.crc32(common.utf8())})
+    got = common.attach(got, common.table(plan, "mix-cuts"), "__g")
+    partial = (F.col("__cut") > 0) & (F.col("__stop").isNull() | (block_key(target.seed, F.col("__whole")) < F.col("__stop")))
+    times = F.col("__whole") + F.when(partial, 1).otherwise(0)
     got = got.withColumn("__n", times).filter("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    return got.select(*cols)
+    return got.select(*docs.columns)

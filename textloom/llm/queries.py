@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from textloom.llm import classifier, common, exact_dedup, mixing, neardup, packing, quality_rules, sharding, suffix_dedup, token_counts, token_files, tokenizing
 from textloom.llm.common import documents
 
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir), mixing.Target(entropy=0.97, budget=1.0))
+    """Almost even sources; the exponent is below 1 wherever sources aren't all but even already."""
+    return mixing.mix(documents(spark, sf_dir), mixing.Target(entropy=0.9999, budget=1.0))
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
