@@ -24,7 +24,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_rows(docs, mixing.Target(entropy=0.97, budget=1.0))
+    return mixing.mixed_rows(docs, mixing.Target(repeats=1.25, budget=1.0))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
