@@ -5,9 +5,11 @@ whose hash falls into it and, beside them, one 3-wise binary-fuse filter of 8-bi
 fingerprints (about 9 bits a digest) that is built once and never changes.  A new batch is
 first grouped by digest among itself; what the filter lets through is joined with the exact
 bucket and then compared byte by byte with the stored text.  Most rows of a batch are new
-and never touch the exact digests.
+and never touch the exact digests.  Where digests agree and bytes don't, both groups stay
+apart, each known by its digest and its side.
 
-Digest: SHA-256 of the UTF-8 text.  Null texts count as empty.  Rows with a null doc_id
+Digest: SHA-256 of the UTF-8 text; within one side equal digests are equal texts.  Null texts
+count as empty.  Rows with a null doc_id
 take part; they lose to any row with one.  Of equal texts the row with the largest doc_id
 stays, and of repeated rows (same doc_id, same text) all carry the same verdict
 (``unique_rows`` keeps one of them).  An empty table gives an empty result.  Further
@@ -19,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import common
@@ -98,10 +100,13 @@ class FuseFilter:
         return cls(int(seed), int(segment), int(segments), np.frombuffer(raw, np.uint8, offset=24))
 
 
+def digest(raw: Column) -> Column:
+    return F.sha2(raw, 256)
+
+
 def digested(docs: DataFrame) -> DataFrame:
-    """doc_id, SHA-256 of the whole text, and its first 64 bits as the filters' key."""
-    raw = common.utf8()
-    return docs.select("doc_id", F.sha2(raw, 256).alias("text_sha256")).withColumn("fkey", F.conv(F.substring("text_sha256", 1, 15), 16, 10).cast("long"))
+    """doc_id, digest of the whole text, and its first 60 bits as the filters' key."""
+    return docs.select("doc_id", digest(common.utf8()).alias("text_sha256")).withColumn("fkey", F.conv(F.substring("text_sha256", 1, 15), 16, 10).cast("long"))
 
 
 def grouped(rows: DataFrame) -> DataFrame:
@@ -147,12 +152,12 @@ class Snapshot:
 
 def _texts_of(docs: DataFrame, groups: DataFrame, out: str) -> DataFrame:
     """The stored text of each group, read back through the row that stands for it."""
-    raw = docs.select(F.col("doc_id").alias("keep_id"), common.utf8().alias(out)).withColumn("text_sha256", F.sha2(out, 256))
+    raw = docs.select(F.col("doc_id").alias("keep_id"), common.utf8().alias(out)).withColumn("text_sha256", digest(F.col(out)))
     return groups.select("text_sha256", "keep_id").join(raw, (raw.keep_id.eqNullSafe(groups.keep_id)) & (raw.text_sha256 == groups.text_sha256), "left").select(groups.text_sha256, out).dropDuplicates(["text_sha256"])
 
 
 def merge_batch(snapshot: Snapshot, stored: DataFrame, batch: DataFrame) -> DataFrame:
-    """Groups of snapshot and batch together: text_sha256, keep_id, group_size.
+    """Groups of snapshot and batch together: text_sha256, keep_id, group_size, in_stored, in_batch.
 
     ``stored`` and ``batch`` are the documents behind either side; they serve the byte check.
     """
@@ -166,15 +171,19 @@ def merge_batch(snapshot: Snapshot, stored: DataFrame, batch: DataFrame) -> Data
     sure = hits.join(mine, "text_sha256").join(theirs, "text_sha256")
     same = sure.filter(F.col("new_bytes") == F.col("old_bytes")).select("text_sha256", F.greatest("keep_id", "old_id").alias("keep_id"), (F.col("group_size") + F.col("old_size")).alias("group_size"))
     same = common.table(same, "batch-same")
+    sides = lambda rows, in_stored, in_batch: rows.withColumns({"in_stored": F.lit(in_stored), "in_batch": F.lit(in_batch)})
     fresh = screened.select("text_sha256", "keep_id", "group_size").join(same.select("text_sha256"), "text_sha256", "left_anti")
     rest = snapshot.exact.select("text_sha256", "keep_id", "group_size").join(same.select("text_sha256"), "text_sha256", "left_anti")
-    return common.table(same.unionByName(fresh).unionByName(rest), "exact-merged")
+    return common.table(sides(same, True, True).unionByName(sides(fresh, False, True)).unionByName(sides(rest, True, False)), "exact-merged")
+
+
+def _is_stored() -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(2)) == 0
 
 
 def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A standing snapshot and an incoming batch out of one table, by a hash of doc_id."""
-    side = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(2)) == 0
-    return docs.filter(side), docs.filter(~side)
+    return docs.filter(_is_stored()), docs.filter(~_is_stored())
 
 
 def resolve(docs: DataFrame) -> DataFrame:
@@ -185,8 +194,10 @@ def resolve(docs: DataFrame) -> DataFrame:
     stored, batch = halves(docs)
     snapshot = Snapshot.write(grouped(digested(stored)))
     merged = merge_batch(snapshot, stored, batch)
-    rows = digested(docs).select("doc_id", "text_sha256")
-    return rows.join(merged, "text_sha256").select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    rows = digested(docs).select("doc_id", "text_sha256", _is_stored().alias("__stored"))
+    own = F.when(F.col("__stored"), F.col("in_stored")).otherwise(F.col("in_batch"))
+    got = rows.join(merged, (rows["text_sha256"] == merged["text_sha256"]) & own).drop(merged["text_sha256"])
+    return got.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def unique_rows(docs: DataFrame) -> DataFrame:
