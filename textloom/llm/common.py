@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gc
 import io
+import math
 import tempfile
 import uuid
 import zipfile
@@ -36,12 +37,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where the setting is absent (tests)."""
+    """The cluster's shared folder; one of our own only in local mode (tests), where one machine has all."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not found and sc._jsc.sc().getCheckpointDir().isDefined():
         found = sc._jsc.sc().getCheckpointDir().get()
     if not found:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="textloom-shared-")
         sc.setCheckpointDir(found)
     return found
@@ -73,6 +76,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def parts_for(size: int, each: int = 16_000_000, up_to: int = 64_000_000_000, power: float = 0.5) -> int:
+    """Partitions for ``size`` bytes: of ``each`` bytes up to ``up_to``, beyond that larger ones,
+    so that their number grows as ``size ** (1 - power)`` (100 TB: 158,000 of 632 MB at 0.5)."""
+    return max(1, math.ceil(size / (each * max(1.0, size / up_to) ** power)))
+
+
 def slots_for(rows: int, rows_per_bucket: int = 1_000) -> int:
     """Buckets that hold about ``rows_per_bucket`` rows each; grows with the data."""
     return max(16, -(-rows // rows_per_bucket))

@@ -12,8 +12,9 @@ Spark's committer, so blocks work on any store that Spark reaches and a lost exe
 no torn file.  Files hold ascending ranges of doc_id, blocks ascend within a file.
 
 A null doc_id sorts first; null and empty texts hold the end id alone; rows with equal
-doc_id follow one another in any order; a long text is never split between blocks.  An empty
-table gives a store without blocks and an empty result.
+doc_id follow one another in any order, those without one by a hash of the text, so that they
+may fill many files; a long text is never split between blocks.  An empty table gives a store
+without blocks and an empty result.  Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -121,7 +122,8 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0, per_block: int =
         if keys:
             yield _block(file, block, held, to_plain(keys, raws))
 
-    return rows.repartitionByRange(max(1, -(-size // bytes_per_file)), "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, _BLOCKS)
+    order = ["doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))]
+    return rows.repartitionByRange(common.parts_for(size, bytes_per_file), *order).sortWithinPartitions("doc_id").mapInArrow(run, _BLOCKS)
 
 
 def to_plain(keys: list, raws: list[bytes]) -> bytes:

@@ -9,10 +9,14 @@ that close a word are parted from it, as the tokenizer's own pattern does; the l
 all other characters.  ``bytes``: white space leads the word after it; chunks are runs of
 white space with the run of other characters that follows, where white space is Unicode's
 White_Space, and closing marks and a lone line feed before a word are chunks themselves.
+
+Which of the two holds is read from the file (``_kind``); with any other normaliser or
+pre-tokenizer a text is a chunk as a whole.  Null texts are empty and have no ids.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -28,6 +32,26 @@ _CHUNK = re.compile(f"\\n(?=[{LETTERS}])|[{WHITE}]*[{LETTERS}]+(?=[{_MARKS}]+(?:
 _CLOSING = re.compile(f"(?<=[A-Za-z])([{_MARKS}]+)(?=[ \\n]|$)")
 KEEP, LONGEST = 800_000, 64
 _open: dict[str, "Encoder"] = {}
+# The word pattern of the ``lower`` vocabulary.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _kind(spec: dict) -> str:
+    """``lower`` or ``bytes`` if texts may be cut at white space as described above, else ``whole``."""
+    pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    level = {"type": "ByteLevel", "add_prefix_space": False}
+    plain = [t for t in spec.get("added_tokens", []) if not t.get("special")]
+    if plain or spec.get("truncation") or spec["model"]["type"] != "BPE" or spec["model"].get("dropout"):
+        return "whole"
+    if norm is None and pre.items() >= (level | {"use_regex": True}).items():
+        return "bytes"
+    steps = pre.get("pretokenizers", [{}])
+    cuts = {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True}
+    lowers = [n["type"] for n in (norm or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+    spaces = lowers and norm["normalizers"][1].items() >= {"pattern": {"Regex": r"\s+"}, "content": " "}.items()
+    if spaces and len(steps) == 2 and steps[0].items() >= cuts.items() and steps[1].items() >= (level | {"use_regex": False}).items():
+        return "lower"
+    return "whole"
 
 
 class Encoder:
@@ -39,7 +63,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.lower = self.tokenizer.normalizer is not None
+        kind = _kind(json.loads(self.tokenizer.to_str()))
+        self.lower, self.whole = kind == "lower", kind == "whole"
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -83,6 +108,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if self.whole:
+            return self._one_by_one([t or "" for t in texts])
         out: list[bytes] = []
         for at in range(0, len(texts), 64):
             split = [self._chunks(t or "") for t in texts[at : at + 64]]
@@ -98,8 +125,9 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process and vocabulary file."""
+    """One encoder a worker process: that of the last vocabulary file, so tables don't add up."""
     if path not in _open:
+        _open.clear()
         _open[path] = Encoder(path)
     return _open[path]
 
