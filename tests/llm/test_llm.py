@@ -249,6 +249,19 @@ def test_chunks_give_the_tokenizer_ids(path):
     assert coder.encode(texts) == want and coder.encode(texts) == want
 
 
+def test_other_tokenizers_take_whole_texts(tmp_path):
+    import json
+
+    for name, change in (("a", {"pre_tokenizer": {"type": "WhitespaceSplit"}, "normalizer": None}), ("b", {"normalizer": {"type": "NFKC"}})):
+        spec = json.load(open(WORD if name == "a" else BYTE)) | change
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(spec))
+        coder = tokenizing.Encoder(str(path))
+        texts = ["a b", "", "x\u2460 y's", None, "ﬁ  ne\n"]
+        assert coder.whole and coder.encode(texts) == [np.array(coder.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert not tokenizing.Encoder(WORD).whole and not tokenizing.Encoder(BYTE).whole
+
+
 def test_packing(docs, unique, empty):
     got = packing.pack(unique, WORD, with_ids=True).collect()
     assert [(p["doc_id"], p["piece"]) for p in sorted(got, key=lambda p: (p["doc_id"], p["piece"]))] == [(d, k) for d, t in data(unique) for k in range(-(-len(ids_of(WORD, t)) // 2048))]
@@ -293,7 +306,8 @@ def test_token_files(spark, docs, unique, empty):
         ids = ids_of(BYTE, t)
         assert (got[d]["start"], got[d]["n_tokens"], bytes(got[d]["ids"])) == (at, len(ids), ids.tobytes())
         at += len(ids)
-    for some, n in ((docs, docs.count()), (empty, 0)):
+    nameless = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    for some, n in ((docs, docs.count()), (empty, 0), (nameless, docs.count())):
         path = common.new_table_path(spark, "test")
         token_files.write(some, path, BYTE)
         assert token_files.read(spark, path).count() == n
@@ -329,6 +343,25 @@ def test_exact_dedup(docs, empty):
     assert kept.columns == docs.columns and kept.count() == len(by) and exact_dedup.unique_rows(empty).count() == 0
 
 
+def test_equal_digests_of_different_bytes_stay_apart(spark, monkeypatch):
+    """With a digest of 8 bits, texts of either side meet in it; only equal bytes join."""
+    monkeypatch.setattr(exact_dedup, "digest", lambda raw: F.substring(F.sha2(raw, 256), 1, 2))
+    ids = spark.range(1000).withColumnRenamed("id", "doc_id").select("doc_id", exact_dedup._is_stored().alias("s")).collect()
+    stored, batch = ([r["doc_id"] for r in ids if r["s"] == s] for s in (True, False))
+    short = lambda t: hashlib.sha256(t.encode()).hexdigest()[:2]
+    one, two = {}, {}
+    for k in range(3000):
+        (one if k % 2 else two).setdefault(short(f"text {k}"), f"text {k}")
+    both = sorted(set(one) & set(two))[:60]
+    texts = [(stored[i], one[d]) for i, d in enumerate(both)] + [(batch[i], (two if i % 3 else one)[d]) for i, d in enumerate(both)]
+    texts += [(stored[-1], one[both[0]]), (batch[-1], two[both[1]])]
+    got = exact_dedup.resolve(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    by = {}
+    for d, t in texts:
+        by.setdefault(t, []).append(d)
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == sorted((d, max(by[t]), len(by[t])) for d, t in texts)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_fuse_filter(n):
     rng = np.random.default_rng(n)
@@ -373,6 +406,24 @@ def test_edges_of_shared_passages(spark, most):
     assert {d: tuple(r)[1:] for d, r in table(suffix_dedup.remove(docs, most=most)).items()} == want
 
 
+def test_rows_without_ids_and_hot_anchors(spark, monkeypatch):
+    """Small slices, so that a task meets hot anchors again and again; equal texts stand for one row each."""
+    rng = random.Random(12)
+    some = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    passage = some(300)
+    texts = sorted({some(rng.randint(0, 200)) + passage[: rng.randint(150, 300)] + some(rng.randint(0, 200)) for _ in range(120)})
+    rows = [(None, t) for t in texts[:60] for _ in range(3)] + [(i, t) for i, t in enumerate(texts[60:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes = {r["text"]: r["x"] for r in docs.select("text", F.xxhash64(F.encode("text", "UTF-8")).alias("x")).distinct().collect()}
+    order = sorted(texts[:60], key=hashes.get) + texts[60:]
+    want = removed(list(enumerate(order)))
+    monkeypatch.setattr(suffix_dedup, "SLICE", 2_000)
+    for hot in (1_000_000, 20):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        got = sorted(tuple(r)[1:] for r in suffix_dedup.remove(docs).collect())
+        assert got == sorted(v for i, v in want.items() for _ in range(3 if i < 60 else 1))
+
+
 def test_suffix_order_is_right():
     rng = np.random.default_rng(3)
     for letters in (1, 2, 4):

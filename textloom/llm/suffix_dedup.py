@@ -25,8 +25,9 @@ doc_id, or earlier in its own text.  Matches never cross texts.
 
 Null doc_ids count as smaller than all others; null and empty texts, and texts below 100
 bytes, lose nothing.  Rows with one doc_id are ordered by a hash of their text; repeated rows
-(same doc_id, same text) are one document and get the same answer each.  Long texts are
-taken whole.  An empty table gives an empty result.  Only doc_id and text are read.
+(same doc_id, same text) are one document and get the same answer each.  Rows without a doc_id
+are dealt out by the hash of their text.  Long texts are taken whole.  An empty table gives an
+empty result.  Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ COVER = np.array([0, 1, 3, 8, 12, 18])
 WIDTHS = (35, 7, 1)
 NO_ID = -(2**63)
 SLICE = 2_000_000
+HOT = 1_000_000
+"""Most repeated anchors that a task remembers from one slice to the next."""
 _MASK = np.uint64((1 << 24) - 1)
 
 
@@ -197,35 +200,44 @@ def repeats_in_block(text: np.ndarray, starts: np.ndarray, age: np.ndarray) -> n
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """d orders the rows; u names the text in shuffles, where many rows may have no doc_id."""
     raw = common.utf8()
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(raw).alias("x"), raw.alias("raw"))
+    doc_id, x = F.col("doc_id").cast("long"), F.xxhash64(raw)
+    return docs.select(F.coalesce(doc_id, F.lit(NO_ID)).alias("d"), x.alias("x"), F.coalesce(doc_id, x).alias("u"), raw.alias("raw"))
 
 
-def _partitions(docs: DataFrame, bytes_each: int = 16_000_000) -> int:
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, -(-size // bytes_each))
+def _partitions(docs: DataFrame) -> int:
+    return common.parts_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, power=0.4)  # 100 TB: 328,000
 
 
 def _shared(docs: DataFrame, parts: int) -> DataFrame:
-    """d, hs: the anchors of each text that occur again anywhere.
+    """u, hs: the anchors of each text that occur again anywhere.
 
-    Within a slice of a task's texts all but the first row of an anchor are known to repeat:
-    they are dealt out at random, so a hot anchor sends one row a slice to its partition.
+    Within a slice of a task's texts all but the first row of an anchor are known to repeat,
+    and in later slices of the task all rows of the anchors that did: they are dealt out at
+    random, so a hot anchor sends about one row a task to its partition.
     """
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = np.zeros(0, np.uint64)
         for part in rows:
             ids = part.column(0).to_numpy(zero_copy_only=False)
             for a, b, data, offsets in textkit.batches(part.column(1), SLICE):
                 p, _, _, h = anchors(data, offsets)
                 d = ids[a:b][np.searchsorted(offsets, p, "right") - 1]
-                order = np.argsort(h, kind="stable")
+                order = np.lexsort((d, h))
                 h, d = h[order], d[order]
-                again = np.concatenate(([False], h[1:] == h[:-1])) if len(h) else np.zeros(0, bool)
+                same = np.concatenate(([False], h[1:] == h[:-1])) if len(h) else np.zeros(0, bool)
+                again = same | (hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h) if len(hot) else same
+                found = np.unique(h[same])
+                hot = np.union1d(hot, found) if len(hot) + len(found) <= HOT else found[:HOT]
                 sure = again.copy()
-                sure[:-1] |= again[1:]
+                sure[:-1] |= same[1:]
+                new = np.ones(len(h), bool)  # rows of one text and anchor go one way: once is enough
+                new[1:] = ~(same[1:] & (d[1:] == d[:-1]) & again[:-1])
+                h, d, again, sure = h[new], d[new], again[new], sure[new]
                 route = np.where(again, textkit.mix(h ^ textkit.mix(d.astype(np.uint64))), h)
-                yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(h.view(np.int64)), pa.array(d), pa.array(sure)], ["r", "h", "d", "sure"])
+                yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(h.view(np.int64)), pa.array(d), pa.array(sure)], ["r", "h", "u", "sure"])
 
     def repeated(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(rows)  # a partition: one row an anchor and slice, 25 bytes each
@@ -239,7 +251,7 @@ def _shared(docs: DataFrame, parts: int) -> DataFrame:
         keep[order[:-1]] |= same[1:]
         for at in range(0, len(held := np.flatnonzero(keep)), 100_000):
             some = held[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(d[some])], ["h", "d"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(d[some])], ["h", "u"])
 
     def listed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(rows)  # a partition of texts: their anchors, 16 bytes each
@@ -252,11 +264,11 @@ def _shared(docs: DataFrame, parts: int) -> DataFrame:
         edges = np.append(first, len(d)).astype(np.int32)
         for at in range(0, len(first), 2_000):
             e = edges[at : at + 2_001]
-            yield pa.RecordBatch.from_arrays([pa.array(d[first[at : at + 2_000]]), pa.ListArray.from_arrays(pa.array(e - e[0]), pa.array(h[e[0] : e[-1]]))], ["d", "hs"])
+            yield pa.RecordBatch.from_arrays([pa.array(d[first[at : at + 2_000]]), pa.ListArray.from_arrays(pa.array(e - e[0]), pa.array(h[e[0] : e[-1]]))], ["u", "hs"])
 
-    rows = _keyed(docs).filter(F.octet_length("raw") >= LENGTH).select("d", "raw").mapInArrow(cut, "r long, h long, d long, sure boolean")
-    rows = rows.repartition(parts, "r").mapInArrow(repeated, "h long, d long")
-    return rows.repartition(parts, "d").mapInArrow(listed, "d long, hs array<long>")
+    rows = _keyed(docs).filter(F.octet_length("raw") >= LENGTH).select("u", "raw").mapInArrow(cut, "r long, h long, u long, sure boolean")
+    rows = rows.repartition(parts, "r").mapInArrow(repeated, "h long, u long")
+    return rows.repartition(parts, "u").mapInArrow(listed, "u long, hs array<long>")
 
 
 _CONTEXT = "h long, c long, d long, x long, lo long, n int, t int, ctx binary"
@@ -265,7 +277,7 @@ _CONTEXT = "h long, c long, d long, x long, lo long, n int, t int, ctx binary"
 def _contexts(docs: DataFrame, wanted: DataFrame, with_bytes: bool) -> DataFrame:
     """A row for each wanted anchor: its first window, windows, distance, digest of its context.
 
-    ``wanted``: d and hs, anchors; or, ``with_bytes``, d, x and los, first windows whose
+    ``wanted``: u and hs, anchors; or, ``with_bytes``, d, x and los, first windows whose
     context bytes are to be read.  Digest and anchor together have 128 bits.
     """
 
@@ -292,7 +304,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, with_bytes: bool) -> DataFrame
                 bytes_ = pa.array(ctx, pa.binary()) if with_bytes else pa.nulls(len(ctx), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), ids, xs, pa.array(lo - offsets[owner]), pa.array(n), pa.array(t), bytes_], ["h", "c", "d", "x", "lo", "n", "t", "ctx"])
 
-    keys, seek = (["d", "x"], "los") if with_bytes else (["d"], "hs")
+    keys, seek = (["d", "x"], "los") if with_bytes else (["u"], "hs")
     got = _keyed(docs).join(wanted, keys).select("d", "x", "raw", seek).mapInArrow(run, _CONTEXT)
     return got if with_bytes else got.drop("ctx")
 
