@@ -449,11 +449,40 @@ def test_classifier(spark, docs, empty):
     none = classifier.train(empty, labels.limit(0), "quality")
     assert {round(r["score"], 6) for r in classifier.score(train, none).collect()} == {0.5}
     data_, offsets = np.frombuffer(b"a b a c d", np.uint8), np.array([0, 9])
-    start, col, value = classifier.features(data_, offsets, classifier.Settings())
+    start, col, value = classifier.features(data_, offsets, np.array([9]), classifier.Settings())
     slow = machine.bias + machine.w[col] @ value + sum(float(machine.v[col[i]] @ machine.v[col[j]]) * value[i] * value[j] for i in range(len(col)) for j in range(i))
     assert abs(machine.raw(start, col, value)[0] - slow) < 1e-3
 
 
+def test_classifier_reads_n_chars_and_gives_true_odds(spark):
+    """Texts that say nothing: the score is the share of label 1; then n_chars alone tells the labels."""
+    rng = random.Random(3)
+    texts = [(i, "some words " * 30, int(rng.random() < 0.8), 0) for i in range(900)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, quality int, n_chars long").withColumn("n_chars", F.when(F.col("quality") == 1, 100).when(F.col("doc_id") % 2 == 0, 40_000))
+    labels = rows.select("doc_id", "quality")
+    plain = rows.drop("n_chars")
+    got = classifier.score(plain, classifier.train(plain, labels, "quality")).collect()
+    seen = [y for i, _, y, _ in texts if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert abs(got[0]["score"] - np.mean(seen)) < 0.05 and len({r["score"] for r in got}) == 1
+    got = classifier.score(rows, classifier.train(rows, labels, "quality")).collect()
+    assert all(r["predicted"] == texts[r["doc_id"]][2] for r in got)
+    assert classifier.octave(np.array([-1, 0, 1, 2, 3, 2**40])).tolist() == [0, 1, 2, 2, 3, 24]
+
+
+def test_training_sample_is_bounded(spark):
+    rows = spark.createDataFrame([(i, f"word{i} " * 20, i % 2) for i in range(300)], "doc_id long, text string, quality int")
+    seen = []
+    real = classifier.fit
+    for s in (classifier.Settings(sample=50), classifier.Settings(sample_bytes=4 * 17 * 20 + 3), classifier.Settings()):
+        classifier.fit = lambda start, col, value, label, _, s=s: (seen.append((len(label), 2 * len(col) + 2 * len(value))), real(start, col, value, label, s))[1]
+        try:
+            classifier.train(rows, rows.select("doc_id", "quality"), "quality", s)
+        finally:
+            classifier.fit = real
+    held = sum(zlib.crc32(str(i).encode()) % 3 == 1 for i in range(300))
+    assert seen[0][0] == 50 and seen[1][1] <= 4 * 17 * 20 + 3 and 0 < seen[1][0] < 50 and seen[2][0] == 300 - held
+
+
 def test_token_counts(spark, docs, empty):
     store = token_counts.new_store(spark)
     t = token_counts

@@ -2,17 +2,18 @@
 
 Features of a text: its hashed lower-cased words (term frequencies, square-root scaled, unit
 length), structure statistics (lengths, shares of symbols, capitals, digits, marks, repeated
-lines and words) and metadata of the row that is allowed in (its size class).  The machine is
+lines and words) and one metadata column, ``n_chars``: its octave (a feature each, one more
+where it is null or there is no such column).  The machine is
 
     y = w0 + <w, x> + 1/2 * sum_f [ (sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2 ]
 
 whose pairwise part costs rank * (features present) by the sum-of-squares identity.  The
 score is 1 / (1 + exp(-y)).
 
-Training reads a bounded sample: at most ``sample`` labelled rows, those with the smallest
-hash of their id, so the same rows at any partitioning.  Everything else covers every row.
-Labels are joined by doc_id for training only; labels, lang, source and doc_id are no
-features.  Rows with a null label or doc_id are not trained on; null and empty texts have no
+Training reads a bounded sample: at most ``sample`` labelled rows and ``sample_bytes`` of
+features, those with the smallest hash of their id, so the same rows at any partitioning.
+Everything else covers every row.  Labels are joined by doc_id for training only; labels,
+lang, source and doc_id are no features; other columns are ignored.  Rows with a null label or doc_id are not trained on; null and empty texts have no
 words and get the score of their structure statistics.  Of an id with several labels each
 counts.  With no training rows, or one class alone, the score is the class share (0.5 if
 none).  Repeated rows get the same score; an empty table gives an empty result.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm import common, quality_rules, textkit
@@ -37,20 +38,33 @@ class Settings:
     rank: int = 8
     epochs: int = 8
     batch: int = 256
+    steps: int = 300
+    """Least number of batches that training takes, so that a small sample is read more often."""
     rate: float = 0.02
     decay: float = 1e-4
     seed: int = 3
-    sample: int = 20_000
+    sample: int = 10_000
     """Most labelled rows that training reads."""
+    sample_bytes: int = 64_000_000
+    """Most bytes of their features (four a feature) that come to the driver."""
 
 
-STRUCTURE = 14
+STRUCTURE, OCTAVES = 14, 25
+EXTRA = STRUCTURE + OCTAVES
 _CLASS = {"upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "mark": [ord(c) for c in ".,;:!?'\"()-"], "symbol": [ord(c) for c in "#*$%&|<>=+~^_{}[]\\/@"]}
 _MASKS = {k: np.isin(np.arange(256), list(v)) for k, v in _CLASS.items()}
 
 
-def features(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row starts, feature ids, values) of a batch in compressed rows; structure features last."""
+def octave(n_chars: np.ndarray) -> np.ndarray:
+    """Size class of each n_chars: 1 + its bits, up to 24; 0 for missing ones (below 0)."""
+    return np.where(n_chars < 0, 0, np.minimum(1 + np.floor(np.log2(np.maximum(n_chars, 0) + 1.0)), OCTAVES - 1)).astype(np.int64)
+
+
+def features(data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row starts, feature ids, values) of a batch in compressed rows; structure and metadata last.
+
+    Ids fit in 16 bits; values are rounded to 16 bits, so that training and scoring see the same.
+    """
     n = len(offsets) - 1
     low = textkit.LOWER[data]
     text_of, start, end = textkit.word_spans(low, offsets)
@@ -73,11 +87,11 @@ def features(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.nda
         m["n_symbols"] / words, m["n_dup_lines"] / (1 + m["n_dup_lines"]), m["n_repeat_words"] / words, unique, (m["n_words"] < 50).astype(float), np.minimum(size / np.maximum(m["word_chars"], 1) / 2, 2), np.ones(n),
     ), 1)
     dense = np.clip(dense, 0, 3)
-    row = np.concatenate((row, np.repeat(np.arange(n), STRUCTURE)))
-    col = np.concatenate((col, np.tile(s.buckets + np.arange(STRUCTURE), n)))
-    value = np.concatenate((value, dense.ravel()))
+    row = np.concatenate((row, np.repeat(np.arange(n), STRUCTURE), np.arange(n)))
+    col = np.concatenate((col, np.tile(s.buckets + np.arange(STRUCTURE), n), s.buckets + STRUCTURE + octave(n_chars)))
+    value = np.concatenate((value, dense.ravel(), np.ones(n)))
     order = np.argsort(row, kind="stable")
-    return np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))), col[order].astype(np.int32), value[order].astype(np.float32)
+    return np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))), col[order].astype(np.uint16), value[order].astype(np.float16).astype(np.float32)
 
 
 class Machine:
@@ -99,8 +113,12 @@ class Machine:
 
 
 def fit(start: np.ndarray, col: np.ndarray, value: np.ndarray, label: np.ndarray, s: Settings) -> Machine:
-    """Adagrad on the log loss, classes weighted to be even; then the bias is set back to the true odds."""
-    n, size = len(label), s.buckets + STRUCTURE
+    """Adagrad on the log loss, classes weighted to be even.
+
+    The weights multiply the odds of label 1 by (1 - share) / share, so the log of that is
+    taken from the bias afterwards and the scores are chances among the rows as they are.
+    """
+    n, size = len(label), s.buckets + EXTRA
     rng = np.random.default_rng(s.seed)
     share = float(label.mean()) if n else 0.5
     if not n or not 0 < share < 1:
@@ -109,8 +127,9 @@ def fit(start: np.ndarray, col: np.ndarray, value: np.ndarray, label: np.ndarray
     w, v = np.zeros(size, np.float32), rng.normal(0, 0.02, (size, s.rank)).astype(np.float32)
     gw, gv, g0, bias = np.full(size, 1e-6, np.float32), np.full((size, s.rank), 1e-6, np.float32), 1e-6, 0.0
     weight = np.where(label == 1, 0.5 / share, 0.5 / (1 - share))
-    for _ in range(s.epochs):
-        for rows in np.array_split(rng.permutation(n), max(1, n // s.batch)):
+    batches = max(1, n // s.batch)
+    for _ in range(max(s.epochs, -(-s.steps // batches))):
+        for rows in np.array_split(rng.permutation(n), batches):
             count = start[rows + 1] - start[rows]
             at = np.cumsum(count) - count
             pick = np.repeat(start[rows] - at, count) + np.arange(count.sum())
@@ -130,7 +149,7 @@ def fit(start: np.ndarray, col: np.ndarray, value: np.ndarray, label: np.ndarray
             w[used] -= s.rate * 5 * dw / np.sqrt(gw[used])
             v[used] -= s.rate * dv / np.sqrt(gv[used])
             bias -= s.rate * 5 * float(slope.sum()) / np.sqrt(g0)
-    return Machine(bias + float(np.log(share / (1 - share))) * 0.5, w, v)
+    return Machine(bias + float(np.log(share / (1 - share))), w, v)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -138,36 +157,47 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _size_class(docs: DataFrame) -> Column:
+    """n_chars, -1 where it is null or missing."""
+    return F.coalesce(F.col("n_chars").cast("long"), F.lit(-1)) if "n_chars" in docs.columns else F.lit(-1).cast("long")
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str, s: Settings = Settings()) -> Machine:
     common.ship(docs.sparkSession)
     known = labels.select("doc_id", F.col(label).cast("int").alias("__y")).filter(F.col("doc_id").isNotNull() & F.col("__y").isNotNull() & ~held_out())
     chosen = known.orderBy(F.xxhash64(F.lit(s.seed), "doc_id"), "doc_id", "__y").limit(s.sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.xxhash64(F.lit(s.seed), "doc_id").alias("k"), "__y", "text")  # at most s.sample rows are sent
+    rows = docs.select("doc_id", "text", _size_class(docs).alias("__n")).join(F.broadcast(chosen), "doc_id")  # at most s.sample rows are sent
+    rows = rows.select(F.xxhash64(F.lit(s.seed), "doc_id").alias("k"), "__y", "text", "__n")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for a, b, data, offsets in textkit.batches(part.column(2)):
-                start, col, value = features(data, offsets, s)
+                start, col, value = features(data, offsets, part.column(3).slice(a, b - a).to_numpy(), s)
                 split = start[1:-1]
-                yield pa.RecordBatch.from_arrays([part.column(0).slice(a, b - a), part.column(1).slice(a, b - a), pa.array([x.tobytes() for x in np.split(col, split)], pa.binary()), pa.array([x.tobytes() for x in np.split(value, split)], pa.binary())], ["k", "y", "col", "value"])
-
-    got = sorted(rows.mapInArrow(run, "k long, y int, col binary, value binary").collect(), key=lambda r: (r["k"], r["y"], r["col"]))
-    col = np.frombuffer(b"".join(r["col"] for r in got), np.int32)
-    value = np.frombuffer(b"".join(r["value"] for r in got), np.float32)
-    start = np.concatenate(([0], np.cumsum([len(r["col"]) // 4 for r in got]))).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0).slice(a, b - a), part.column(1).slice(a, b - a), pa.array([x.tobytes() for x in np.split(col, split)], pa.binary()), pa.array([x.tobytes() for x in np.split(value.astype(np.float16), split)], pa.binary())], ["k", "y", "col", "value"])
+
+    made = common.table(rows.mapInArrow(run, "k long, y int, col binary, value binary"), "classifier-features")
+    # an id may stand for several rows: the bounds hold for the rows there are
+    size = (F.octet_length("col") + F.octet_length("value")).cast("long")
+    first = made.orderBy("k", "y", "col").limit(s.sample)
+    upto = first.withColumn("__to", F.sum(size).over(Window.orderBy("k", "y", "col").rowsBetween(Window.unboundedPreceding, 0)))
+    got = upto.filter(F.col("__to") <= s.sample_bytes).orderBy("__to").collect()
+    col = np.frombuffer(b"".join(r["col"] for r in got), np.uint16)
+    value = np.frombuffer(b"".join(r["value"] for r in got), np.float16).astype(np.float32)
+    start = np.concatenate(([0], np.cumsum([len(r["col"]) // 2 for r in got]))).astype(np.int64)
     return fit(start, col, value, np.array([r["y"] for r in got], np.int64), s)
 
 
 def score(docs: DataFrame, machine: Machine, s: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, score, predicted for every row; one narrow pass."""
     common.ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.w, machine.v))  # (buckets + 14) * (rank + 1) floats
+    sent = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.w, machine.v))  # (buckets + EXTRA) * (rank + 1) floats
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fm = Machine(*sent.value)
         for part in parts:
             for a, b, data, offsets in textkit.batches(part.column(2)):
-                p = fm.score(*features(data, offsets, s)).astype(float)
+                p = fm.score(*features(data, offsets, part.column(3).slice(a, b - a).to_numpy(), s)).astype(float)
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(a, b - a), part.column(1).slice(a, b - a), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", held_out().alias("held_out"), "text", _size_class(docs).alias("__n")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
