@@ -177,6 +177,23 @@ def test_estimate_follows_jaccard():
     assert abs(neardup.estimate(m[0], m[1], s) - 2400 / 3300) < 0.15 and s.floor < 0.7
 
 
+def bands_hold(raw):
+    """The verdict of the bands, by the library alone."""
+    import zstandard
+
+    bands = quality_rules.Bands()
+    ratio = lambda x: len(zstandard.ZstdCompressor(level=bands.level, write_content_size=False).compress(x)) / len(x)
+    if not raw:
+        return False
+    low, high = [(lo, hi) for most, lo, hi in bands.whole if len(raw) < most][0]
+    held = [(raw, low, high)]
+    for size, least, most in bands.chunks:
+        if len(raw) >= 2 * size:
+            held += [(raw[at : at + size] if at + size <= len(raw) else raw[-size:], least, most) for at in range(0, len(raw), size)]
+            break
+    return all(lo <= ratio(x) <= hi for x, lo, hi in held)
+
+
 def test_quality_rules(docs, unique, empty):
     got = table(quality_rules.annotate(unique, columns=["doc_id"]))
     for d, t in data(unique):
@@ -188,7 +205,8 @@ def test_quality_rules(docs, unique, empty):
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"]) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)))
         if hit is not None:
             assert r["n_repeat_words"] == len(hit) and r["base_failed"] == (len(w) < 50 or 100 * len(hit) > 50 * len(w))
-        assert not (r["kept"] and r["base_failed"])
+        assert r["kept"] == (not r["base_failed"] and bands_hold(t.encode()))
+    assert len({(r["base_failed"], r["kept"]) for r in got.values()}) == 3
     kept = quality_rules.filter_rows(docs)
     assert kept.columns == docs.columns and {r["kept"] for r in kept.collect()} == {"clash"}
     assert quality_rules.filter_rows(empty).count() == 0
@@ -329,6 +347,23 @@ def test_sharding(docs, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_interleaved_order_by_brute_force(docs):
+    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    rows = docs.select("doc_id", "source", crc.alias("c"), F.xxhash64(F.lit(7), "doc_id", crc).alias("h"), F.octet_length("text").alias("n")).collect()
+    key = lambda r: (r["h"], r["doc_id"] is not None, r["doc_id"] or 0, r["c"])
+    line = []
+    for source in {r["source"] for r in rows}:
+        mine = sorted((r for r in rows if r["source"] == source), key=key)
+        line += [((2 * i + 1) / (2 * len(mine)), key(r), r) for i, r in enumerate(mine)]
+    line = [r for *_, r in sorted(line, key=lambda x: x[:2])]
+    want = []
+    for s in range(8):
+        cut = line[-(-s * len(line) // 8) : -(-(s + 1) * len(line) // 8)]
+        want += [(r["doc_id"], r["source"], (r["n"] or 0) + 1, r["c"], s, k) for k, r in enumerate(cut)]
+    order = lambda rows: sorted(rows, key=lambda r: (r[4], r[5]))
+    assert order((r["doc_id"], r["source"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in sharding.shard(docs).collect()) == order(want)
+
+
 def test_exact_dedup(docs, empty):
     got = exact_dedup.resolve(docs).collect()
     by = {}
@@ -502,6 +537,48 @@ def test_token_counts(spark, docs, empty):
     assert store.totals().count() == 0
 
 
+def test_token_totals_by_the_library(spark, docs, tmp_path):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for r in docs.collect():
+        if len(re.findall(SPACE, r["text"] or "")) >= 50:
+            for name, path in (("word_bpe_49k", WORD), ("byte_bpe_50k", BYTE)):
+                n = want.setdefault((r["source"], r["lang"], name), [0, 0])
+                n[0] += 1
+                n[1] += len(ids_of(path, r["text"]))
+    got = queries.op3_token_counts(spark, str(tmp_path)).collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): [r["n_docs"], r["n_tokens"]] for r in got} == want
+
+
+def test_rollup_compacts_and_knows_its_batches(spark):
+    t = token_counts
+    store = t.Rollup(spark, common.new_table_path(spark, "rollup"), most_deltas=3)
+    rows = spark.createDataFrame([("a", "en", "x y z"), (None, None, None), ("a", "en", "x")], "source string, lang string, text string")
+    one = lambda n: t.inserts(rows.limit(n), "w", t.words)
+    total = lambda: sorted((r["source"] or "", r["n_docs"], r["n_tokens"]) for r in store.totals().collect())
+    assert store.commit("a", one(3)) and store.commit("none", one(0)) and total() == [("", 1, 0), ("a", 2, 4)]
+    for _ in range(2):  # before and after the batches went into a base
+        assert not store.commit("a", one(3).repartition(3)) and not store.commit("none", one(0))
+        with pytest.raises(ValueError, match="other changes"):
+            store.commit("a", one(1))
+        with pytest.raises(ValueError, match="other changes"):
+            store.commit("none", one(1))
+        store.compact()
+        assert total() == [("", 1, 0), ("a", 2, 4)] and not store._pending()
+    # a compaction that died before its mark counts for nothing; folders left after it count once
+    store.commit("b", one(3))
+    store.deltas().limit(0).write.parquet(f"{store.path}/base-00000009/totals")
+    assert total() == [("", 2, 0), ("a", 4, 8)]
+    t.Rollup(spark, store.path).commit("c", one(3))
+    left = spark.read.schema(t.SCHEMA).parquet(f"{store.path}/{store._name('c')}").collect()
+    store.compact()
+    spark.createDataFrame(left, t.SCHEMA).write.parquet(f"{store.path}/{store._name('c')}")
+    assert total() == [("", 3, 0), ("a", 6, 12)]
+    for k in range(5):
+        store.commit(f"d{k}", one(3))
+    assert len(store._pending()) < 4 and total() == [("", 8, 0), ("a", 16, 32)]
+
+
 def test_mixing(docs, empty):
     n = {}
     for r in docs.collect():

@@ -15,7 +15,8 @@ length) and look their place up in the plan.
 
 Null and empty texts are one piece of the end id alone.  Texts longer than the capacity are
 cut at multiples of it; no other piece is cut.  Repeated rows are packed each.  Rows with a
-null doc_id are packed like others.  An empty table gives no pieces.
+null doc_id are packed like others.  An empty table gives no pieces.  Columns other than
+doc_id and text are ignored.
 """
 
 from __future__ import annotations

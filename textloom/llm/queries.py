@@ -21,29 +21,22 @@ def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load, the load again, a second tokenizer, a revision of counts and a deletion."""
-    docs = documents(spark, sf_dir).select("source", "lang", "text")
-    t, store = token_counts, token_counts.new_store(spark)
-    store.commit("load", t.inserts(docs, "words", t.words))
-    store.commit("load", t.inserts(docs, "words", t.words))
-    store.commit("second tokenizer", t.inserts(docs, "plain", t.plain_words))
-    store.commit("marks count", t.revisions(docs, "words", t.words, t.marked_words))
-    store.commit("short ones go", t.deletes(docs.filter(t.words(F.col("text")) < 50), "words", t.marked_words))
+    """A load under two tokenizer versions, the load again, a revision of counts (an end id more
+    each), a compaction, the load once more, and the documents below 50 words deleted."""
+    docs, t = documents(spark, sf_dir).withColumn("n_words", token_counts.words(F.col("text"))), token_counts
+    store = t.new_store(spark)
+    n, ended = (lambda _: F.col("n_tokens")), (lambda _: F.col("n_tokens") + 1)
+    for name in ("word_bpe_49k", "byte_bpe_50k"):
+        rows = common.table(t.counted(docs, tokenizing.public(f"{name}.json"), ["source", "lang", "n_words"]), "token-counts")
+        store.commit(f"load {name}", t.inserts(rows, name, n))
+        store.commit(f"load {name}", t.inserts(rows, name, n))
+        store.commit(f"end ids {name}", t.revisions(rows, name, n, ended))
+        store.compact()
+        store.commit(f"load {name}", t.inserts(rows, name, n))
+        store.commit(f"short ones go {name}", t.deletes(rows.filter("n_words < 50"), name, ended))
     return store.totals()
 
 
-OP3_SQL = r"""
-WITH d AS (
-  SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
-         len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS m,
-         len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+')) AS p
-  FROM documents)
-SELECT source, lang, 'words' AS tokenizer, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(w + m) AS BIGINT) AS n_tokens FROM d WHERE w >= 50 GROUP BY ALL
-UNION ALL
-SELECT source, lang, 'plain', CAST(count(*) AS BIGINT), CAST(sum(p) AS BIGINT) FROM d GROUP BY ALL
-"""
-
-
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.annotate(documents(spark, sf_dir), columns=["doc_id"])
 
@@ -86,4 +79,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing, "op2_neardup": op2_neardup, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op5_packing": op5_packing,
     "op6_classifier": op6_classifier, "op7_sharding": op7_sharding, "op8_exact_dedup": op8_exact_dedup, "op9_token_files": op9_token_files, "op10_suffix_dedup": op10_suffix_dedup,
 }
-ORACLE_SQL: dict[str, str] = {"op3_token_counts": OP3_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
