@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import annotate, corpus, jobs, near, qc, report, sample, select, stats, vector
+from textloom.operators import analysis, annotate, corpus, jobs, near, qc, report, sample, select, stats, vector
 from textloom.plans import catalogue
 from textloom.profile import DEVA, Profile
 from textloom.sources import readers, sinks
@@ -151,7 +151,7 @@ def test_readers(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"text": "a"}\n\n{"text": null}\n')
     assert readers.read(spark, "jsonl", str(tmp_path / "a.jsonl"), schema="text string").count() == 3
     (tmp_path / "b.txt").write_text("title\nx/१२\ny\r\n")
-    assert [r["text"] for r in readers.book(spark, str(tmp_path / "b.txt"), skip=((1, 1),)).orderBy("line").collect()] == ["x", "y", ""]
+    assert [r["text"] for r in readers.book(spark, str(tmp_path / "b.txt"), skip=((1, 1),)).orderBy("line").collect()] == ["x", "y"]
     (tmp_path / "s.tsv").write_text("file_id\tspeaker_id\ttext\nf\ts\tone\ttwo\n")
     assert tuple(readers.speakers(spark, str(tmp_path / "s.tsv")).first()) == ("f", "s", "one\ttwo")
     sinks.index(spark.createDataFrame([("k", "a b")], "k string, v string"), "k", "v", str(tmp_path / "i"))
@@ -304,3 +304,185 @@ def test_targets_vocabulary_and_sources(spark, tmp_path):
         readers.validated(spark, "ids", "parquet", str(tmp_path / "p"), ("text",))
     with pytest.raises(FileNotFoundError):
         readers.validated(spark, "ids", "text", str(tmp_path / "none"))
+
+
+def test_text_lines_are_numbered_over_splits(spark, tmp_path):
+    want = []
+    for name, n in (("a.txt", 5000), ("b.txt", 3)):
+        lines = [f"{name} {i} " + "x" * (i % 40) for i in range(n)]
+        (tmp_path / name).write_bytes("\r\n".join(lines).encode() + (b"\n" if n == 3 else b""))
+        want += [(name, i + 1, x) for i, x in enumerate(lines)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        got = readers.text_lines(spark, str(tmp_path)).collect()
+        first = readers.read(spark, "text_lines", str(tmp_path), limit=5002).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r["file"].rsplit("/", 1)[1], r["line"], r["text"]) for r in got) == want
+    assert sorted((r["file"].rsplit("/", 1)[1], r["line"]) for r in first) == [w[:2] for w in want[:5002]]
+
+
+def test_more_readers(spark, tmp_path):
+    put = lambda name, content: ((tmp_path / name).write_text(content), str(tmp_path / name))[1]
+    assert readers.jsonl(spark, put("a.jsonl", '{"text": "a"}\n \t\n{"text": "b"}\n'), "text string", keep_blank=False).count() == 2
+    assert [r["text"] for r in readers.jsonl(spark, str(tmp_path / "a.jsonl"), "text string", limit=2).collect()] == ["a", None]
+    with pytest.raises(Exception):  # noqa: B017
+        readers.jsonl(spark, put("bad.jsonl", "{nothing"), "text string").collect()
+    assert [r["text"] for r in readers.stripped_lines(spark, put("t.txt", " a \n\t\n b\tc\n")).orderBy("line").collect()] == ["a", "b\tc"]
+    assert {r["hash"] for r in readers.hashes(spark, put("h.txt", "x 1\n\n y\nx 2\n")).collect()} == {"x", "y"}
+    assert readers.hashes(spark, str(tmp_path / "none")).count() == 0
+    assert [r["text"] for r in readers.read(spark, "html_paragraphs", put("p.html", "<p>one</p><p>two</p>"), limit=1).collect()] == ["one"]
+    with pytest.raises(ValueError, match="no paragraphs"):
+        readers.html_paragraphs(spark, put("q.html", "<div>x</div>"))
+    with pytest.raises(Exception, match="three fields"):
+        readers.speakers(spark, put("s.tsv", "a\tb\n")).collect()
+    assert [tuple(r) for r in readers.speakers(spark, put("s2.tsv", "a\ts\tx\nfile_id\ts\ty\n \ts\tz\n\n")).orderBy("file_id").collect()] == [("a", "s", "x"), ("file_id", "s", "y")]
+    for name in ("train-2", "train-1", "test-1"):
+        spark.createDataFrame([(f"{name} {i}", "web") for i in range(3)], "Article string, Source string").coalesce(1).write.parquet(str(tmp_path / "one"))
+        next((tmp_path / "one").glob("part-*")).rename(tmp_path / f"{name}.parquet")
+        __import__("shutil").rmtree(tmp_path / "one")
+    (tmp_path / "train-0.parquet").write_bytes(b"torn")
+    assert {r["text"][:7] for r in readers.articles(spark, str(tmp_path), "train").collect()} == {"train-1", "train-2"}
+    assert [tuple(r) for r in readers.articles(spark, str(tmp_path), "train", shards=2, limit=2).collect()] == [("train-1 0", "web"), ("train-1 1", "web")]
+    with pytest.raises(FileNotFoundError):
+        readers.articles(spark, str(tmp_path), "dev")
+
+
+def test_configured_corpora(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"body": "x", "site": 1}\n\n')
+    (tmp_path / "b.txt").write_text("y\nz\n")
+    (tmp_path / "c.yaml").write_text("corpora:\n- {name: A, slug: a, kind: jsonl, path: a.jsonl, text_column: body, metadata_columns: {source: site}, other: 1}\n- {name: B, slug: b, kind: text_lines, path: b.txt}\n")
+    found = readers.load_corpora(spark, str(tmp_path / "c.yaml"))
+    rows = readers.union_in_order([(c.slug, c.rows(spark, str(tmp_path))) for c in found])
+    assert sorted((r["corpus"], r["text"] or "", r["prio"], str(r["metadata"])) for r in rows.collect()) == [("a", "", 0, "{'source': None}"), ("a", "x", 0, "{'source': '1'}"), ("b", "y", 1, "{}"), ("b", "z", 1, "{}")]
+    one = {"name": "A", "slug": "a", "kind": "jsonl", "path": "x"}
+    for bad in ({}, {"corpora": []}, {"corpora": [{"name": "A"}]}, {"corpora": [one, one]}, {"corpora": [one | {"kind": "odd"}]}):
+        with pytest.raises(ValueError):
+            readers.corpora(bad)
+
+
+def test_two_corpora_side_by_side(spark):
+    rows = spark.createDataFrame([*TWO, (None, "क")], "c string, t string")
+    rec = analysis.records(rows, SMALL, "c", "t")
+    got = {r["view"]: r for r in analysis.counts(rec).collect()}
+    assert [(r["input"], r["usable"], r["empty"], r["rejected"]) for r in (got["a"], got["b"], got["source_native"], got["deduplicated"], got[None])] == [(5, 3, 1, 1), (3, 3, 0, 0), (9, 7, 1, 1), (3, 3, 0, 0), (1, 1, 0, 0)]
+    freq = analysis.frequencies(rec)
+    assert {r["token"]: r["n"] for r in freq.filter("view = 'deduplicated'").collect()} == dict.fromkeys("न े प ा ल क ख".split(), 1)
+    assert analysis.same_tokens([freq.filter("view = 'source_native'"), freq.filter("view = 'deduplicated'")]) and not analysis.same_tokens([freq.filter("view = 'a'"), freq.filter("view = 'b'")])
+    vocabulary = spark.createDataFrame([(v,) for v in SMALL.vocabulary], "token string")
+    line = {r["token"]: r for r in analysis.comparison(freq, vocabulary).collect()}
+    assert (line["न"]["native"], line["न"]["deduplicated"], line["न"]["removed"], line["ग"]["native"]) == (3, 1, 2, 0) and len(line) == 9
+    s = {r["view"]: r for r in analysis.summary(freq, vocabulary).collect()}
+    assert (s["deduplicated"]["types"], s["deduplicated"]["unobserved"], s["deduplicated"]["hapax"], s["deduplicated"]["gini"]) == (7, 2, 7, 0.0)
+    empty = analysis.records(rows.limit(0), SMALL, "c", "t")
+    assert analysis.counts(empty).count() == 0 and analysis.frequencies(empty).count() == 0
+    assert analysis.lengths(empty).count() == 0 and analysis.inventory(rows.limit(0).select(F.array("t").alias("tokens"))).first()["unique_tokens"] == 0
+
+
+def test_selection_scores(spark):
+    rows = spark.createDataFrame([(1, ["a", "a", "b"]), (2, []), (3, None), (4, ["z"])], "id long, tokens array<string>")
+    held = spark.createDataFrame([("a", 3), ("b", 12)], "token string, n long")
+    assert {r["id"]: r["score"] for r in select.deficits(rows, "id", "tokens", held, 10.0, 0.5).collect()} == {1: 7.0, 2: 0.0, 3: 0.0, 4: 15.0}
+    target = spark.createDataFrame([("a", 4.0), ("b", 4.0), ("z", 0.5)], "token string, target double")
+    gain = {r["id"]: r["gain"] for r in select.balance_gain(rows, "id", "tokens", held, target).collect()}
+    assert abs(gain[1] - 0.25 / np.sqrt(3)) < 1e-12 and gain[2] == gain[3] == 0.0 and gain[4] == 0.5
+    assert select.score_target(held, rows.select(F.size("tokens").alias("len")), "len", 10).first()["target"] == (15 + 10 * 2) / 500
+    counts = spark.createDataFrame([("x", "u", 3)], "axis string, value string, n long")
+    got = select.metadata_scores(spark.createDataFrame([(1, "u"), (2, None)], "id long, x string"), "id", ["x"], counts)
+    assert {r["id"]: (r["novelty"], r["scarcity"]) for r in got.collect()} == {1: (0.25, -3), 2: (1.0, 0)}
+    df = spark.createDataFrame([(i, ["a"] if i else ["new"], "c") for i in range(5)], "id long, tokens array<string>, cell string")
+    carried = spark.createDataFrame([("a", 0)], "token string, n long")
+    assert select.balanced(df, "id", ["cell"], "tokens", 1, 5.0, held=spark.createDataFrame([("a", 99)], "token string, n long")).first()["id"] == 0
+    assert select.balanced(df, "id", ["cell"], "tokens", 5, held=carried, bonus=1.0).count() == 5
+
+
+def test_rare_support(spark):
+    rows = spark.createDataFrame([("u1", ["a", "b", "x"]), ("u2", ["a"]), ("u3", ["b", "c"]), ("u4", ["x"])], "uid string, tokens array<string>")
+    got = select.rare_support(rows, "uid", "tokens", ["a", "b", "c"], 2).orderBy("step").collect()
+    best = lambda step, ids: min(ids, key=lambda u: __import__("hashlib").sha256(f"7:{step}:{u}".encode()).hexdigest())
+    assert got[0]["uid"] == best(0, ["u1", "u3"]) and sorted(t for r in got for t in r["required"]) == ["a", "a", "b", "b", "c", "c"]
+    with pytest.raises(Exception, match="no row holds d"):
+        select.rare_support(rows, "uid", "tokens", ["a", "d"], 1).collect()
+    with pytest.raises(Exception, match="no row holds d"):
+        select.rare_support(rows.limit(0), "uid", "tokens", ["d"], 1).collect()
+    assert select.rare_support(rows, "uid", "tokens", [], 2).count() == 0
+
+
+def test_batches_and_shortlists(spark):
+    a = spark.createDataFrame([("i1", "p1", 2), ("i1", "p1", 1), (None, "p2", 5)], "id string, pool_id string, v int")
+    b = spark.createDataFrame([("p2", 0), ("p3", 0)], "pool_id string, v int")
+    for n in (1, 4):
+        assert sorted((r["id"] or r["pool_id"], r["v"]) for r in corpus.merge_batches([a.repartition(n), b]).collect()) == [("i1", 1), ("p2", 5), ("p3", 0)]
+    pool = spark.createDataFrame([(1, "x"), (2, "y")], "id long, text string")
+    assert tuple(corpus.hydrated(pool.select("id").limit(1), pool, "id").first()) == (1, "x")
+    with pytest.raises(Exception, match="not in the pool: 9"):
+        corpus.hydrated(spark.createDataFrame([(9,)], "id long"), pool, "id").collect()
+    assert [r["id"] for r in corpus.unselected(pool, pool.filter("id = 1"), "id").collect()] == [2]
+    few = sample.stratified(pool, ["text"], 5, "id")
+    assert few.count() == 2 and few.filter("round IS NULL").count() == 2 and sample.stratified(pool, ["text"], 1, "id").count() == 1
+    stale = spark.createDataFrame([(1, "क ख", ["old"], "old")], "id long, text string, tokens array<string>, hash string")
+    assert corpus.retokenised(stale, SMALL).first()["tokens"] == ["क", "ख"]
+    with pytest.raises(Exception, match="more than 2 archives"):
+        sample.budget_bins(spark.createDataFrame([(i, 4) for i in range(9)], "id long, n long"), "n", "id", 4, most=2).collect()
+    with pytest.raises(Exception, match="ambiguous: x"):
+        qc.align(spark.createDataFrame([("x",)], "k string"), spark.createDataFrame([("x", "t"), ("x", "u")], "k string, t string"), "k", "t").collect()
+
+
+def test_lost_tokens(spark):
+    count = lambda **n: spark.createDataFrame(list(n.items()), "token string, n long")
+    report.demand_none_lost(count(a=1, d=2, z=0), count(a=4), ("d",))
+    with pytest.raises(ValueError, match="tokens were lost: b"):
+        report.demand_none_lost(count(a=1, b=2), count(a=4, b=0))
+
+
+def test_judged_flow(spark):
+    jobs_ = spark.createDataFrame([("full_u1", "u1", "canonical", []), ("regen1_u1", "u1", "regeneration_1", []), ("full_u2", "u2", "canonical", ["r"]), ("full_u3", "u3", "canonical", []), ("regen2_u3", "u3", "regeneration_2", [])], "job_id string, uid string, realisation string, required_rare array<string>")
+    cpu = spark.createDataFrame([(j, True, j, 1.0) for j in ("full_u1", "regen1_u1", "full_u2", "full_u3")], "job_id string, cpu_pass boolean, audio_sha256 string, duration_seconds double")
+    first = spark.createDataFrame([("full_u1", 0.2, 0.1, 1.0), ("regen1_u1", 0.1, 0.1, 1.0), ("full_u2", 0.1, 0.1, 0.5), ("full_u3", 0.36, 0.1, 1.0)], "job_id string, cer double, wer double, recall double")
+    judged = qc.verdicts(jobs_, cpu, first, first.limit(0)).cache()
+    assert {r["job_id"]: r["reasons"] for r in judged.collect()} == {
+        "full_u1": [], "regen1_u1": [], "full_u2": ["missing_mms", "whisper_rare_recall"], "full_u3": ["whisper_accuracy", "missing_mms_disputed"], "regen2_u3": ["cpu_qc", "missing_whisper"],
+    }
+    assert {r["uid"]: r["job_id"] for r in qc.canonical(judged, "uid").collect()} == {"u1": "regen1_u1"}
+    texts = spark.createDataFrame([("u1",), ("u2",), ("u3",), ("u4",)], "uid string")
+    assert {tuple(r) for r in qc.regenerations(texts, judged, "uid").collect()} == {("u2", 1, "full_u2"), ("u4", 1, "ful_u4")}
+
+
+def test_token_edits(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [([rng.choice("abcé") * rng.randint(1, 2) for _ in range(rng.randint(0, 9))], [rng.choice("abcé") * rng.randint(1, 2) for _ in range(rng.randint(0, 9))]) for _ in range(60)]
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, p in enumerate(x, 1):
+            new = [i]
+            for j, q in enumerate(y, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p != q)))
+            row = new
+        return row[-1]
+
+    df = spark.createDataFrame([*rows, (None, ["a"]), (["a"], None)], "x array<string>, y array<string>")
+    got = [r["d"] for r in df.select(qc.token_edits(F.col("x"), F.col("y")).alias("d")).collect()]
+    assert got == [*(distance(x, y) for x, y in rows), 1, 1]
+    assert qc.corpus_rates(spark.createDataFrame([(None, None)], "r string, h string"), "r", "h").first()["cer"] == 0.0
+
+
+def test_ranks_and_quantiles(spark):
+    rows = spark.createDataFrame([(i, float(i * 37 % 101) if i % 9 else None) for i in range(300)], "id long, v double")
+    values = sorted(r["v"] for r in rows.collect() if r["v"] is not None)
+    for share in (0.0, 0.5, 0.95, 1.0):
+        assert stats.rank_quantile(rows, "v", share).first()["v"] == values[int(np.round((len(values) - 1) * share))]
+    assert stats.rank_quantile(rows.limit(0), "v", 0.5).first()["v"] is None
+    assert stats.rank_quantile(rows.withColumnRenamed("v", "r"), "r", 1.0).first()["r"] == 100.0
+    got = stats.ranked(rows, ["v", "id"]).orderBy("v", "id").collect()
+    assert [r["r"] for r in got] == list(range(1, 301))
+
+
+def test_tokens_are_made_once(spark, tmp_path):
+    """The plans evaluate the tokenising pattern once a text."""
+    spark.createDataFrame([(1, "a b", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    for q in (catalogue.token_frequency, catalogue.document_frequency, catalogue.distribution_by_lang, catalogue.sentence_pool, catalogue.rejection_reasons):
+        plan = q(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1, (q.__name__, plan)

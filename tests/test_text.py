@@ -46,13 +46,29 @@ def test_tokens_in_spark(spark):
 
 
 def test_spoken_forms():
-    status, said, _ = spoken.speak("मूल्य रु १२.५ र छुट १०%")
-    assert status == "ok" and "एक दुई दशमलव पाँच रुपैयाँ" in said and "एक शून्य प्रतिशत" in said and said.endswith("।")
-    assert spoken.speak("मिति ०१/०२/८१")[::2] == ("quarantine", "ambiguous_numeric_form")
-    said = spoken.speak("मिति २०८१/०२/०१")[1]
+    got = spoken.speak("मूल्य रु १२.५ र छुट १०%")
+    assert got.status == "ok" and "एक दुई दशमलव पाँच रुपैयाँ" in got.tts and "एक शून्य प्रतिशत" in got.tts and got.tts == got.asr + "।"
+    assert got.steps == ("expanded_currency", "expanded_decimal", "expanded_digits", "expanded_percentage")
+    assert spoken.speak("मिति ०१/०२/८१")[:2] == ("quarantine", "ambiguous_numeric_form")
+    said = spoken.speak("मिति २०८१/०२/०१").tts
     assert all(w in said for w in ("साल", "महिना", "गते"))
 
 
+@pytest.mark.parametrize(("text", "asr"), [
+    ("NPR ५००", "पाँच शून्य शून्य रुपैयाँ"), ("₨ ५", "पाँच रुपैयाँ"), ("रू १,५", "एक दशमलव पाँच रुपैयाँ"), ("रु. 10", "एक शून्य रुपैयाँ"), ("2081 - 1 - 2", "दुई शून्य आठ एक साल एक महिना दुई गते"),
+    ("२०८१.०२.०१", "दुई शून्य आठ एक दशमलव शून्य दुई शून्य एक"), ("क, ख! ग।", "क ख ग"), ("३.५ %", "तीन दशमलव पाँच प्रतिशत"), ("१०:३०", None), ("1-2", None), ("abc !", ""), (None, ""),
+])
+def test_spoken_rules(text, asr):
+    got = spoken.speak(text)
+    want = {None: ("quarantine", "ambiguous_numeric_form"), "": ("quarantine", "empty_after_normalization")}.get(asr, ("ok", None))
+    assert got[:2] == want and (got.status != "ok" or (got.asr, got.tts) == (asr, asr + "।"))
+
+
+def test_spoken_column(spark):
+    rows = spark.createDataFrame([("रु ५",), (None,)], "t string").select(spoken.spoken("t").alias("s")).select("s.*").collect()
+    assert [(r["status"], r["asr"], r["steps"]) for r in rows] == [("ok", "पाँच रुपैयाँ", ["expanded_currency", "expanded_digits"]), ("quarantine", None, [])]
+
+
 def test_near_pair(spark):
     a, b = "नेपालको सुन्दर प्राकृतिक वातावरण सबैका लागि महत्वपूर्ण छ", "नेपालको सुन्दर प्राकृतिक वातावरण सबैका लागि महत्वपूर्ण छन्"
     j = T.jaccard(T.char_ngrams(F.col("a")), T.char_ngrams(F.col("b")))
@@ -65,4 +81,8 @@ def test_hints_and_ids(spark):
     assert one(spark, T.sector_of(F.col("d")), d=" BizShala.com ") == "business"
     assert one(spark, T.sector_hint(F.col("d")), d="techkhel.com") == "sports"
     assert one(spark, T.to_ids(F.array(F.lit("a"), F.lit("?")), ["a"]), d="") == [2, 4, 1, 3]
+    assert one(spark, T.to_ids(F.lit(None).cast("array<string>"), ["a"]), d="") is None
+    assert DEVA.vocabulary[:6] == ("क", "क्", "कँ", "क्र", "क्रँ", "का") and DEVA.vocabulary[6:9] == ("काँ", "क्रा", "क्राँ")
+    assert one(spark, T.metadata_value(F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.lit(2)), nested=True), d="") == '{"a":2,"b":1}'
+    assert one(spark, T.char_ngrams(F.col("d")), d=" ") == [] and one(spark, T.within_bytes(F.col("d"), 3), d="नै") is False
     assert Profile("x", "a", ".", ".", ("ab", "a")).tokens("aba") == ["ab", "a"]

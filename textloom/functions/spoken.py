@@ -3,39 +3,86 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-# Words for digits and signs.
+# Digits, words for digits and signs, marks of rupees, reasons and names of steps.
+DIGITS = "०१२३४५६७८९"
 DIGIT_WORDS = ("शून्य", "एक", "दुई", "तीन", "चार", "पाँच", "छ", "सात", "आठ", "नौ")
 POINT, PERCENT, RUPEES, YEAR, MONTH, DAY, DANDA = "दशमलव", "प्रतिशत", "रुपैयाँ", "साल", "महिना", "गते", "।"
-_DIGITS = "०१२३४५६७८९"
-_LATIN = str.maketrans("0123456789", _DIGITS)
-_DATE = re.compile(rf"([{_DIGITS}]{{4}})[/\-.]([{_DIGITS}]{{1,2}})[/\-.]([{_DIGITS}]{{1,2}})")
-_UNCLEAR = re.compile(rf"[{_DIGITS}]\s*[/:\-]\s*[{_DIGITS}]")
-_MONEY = re.compile(rf"(?:रु\.?|Rs\.?|₹)\s*([{_DIGITS}][{_DIGITS},]*(?:\.[{_DIGITS}]+)?)")
-_NUMBER = re.compile(rf"[{_DIGITS}][{_DIGITS},]*(?:\.[{_DIGITS}]+)?")
+CURRENCY = r"(?:रु\.?|रू\.?|₨|NPR)"
+UNCLEAR, NOTHING = "ambiguous_numeric_form", "empty_after_normalization"
+STEPS = {"date": "expanded_date_ymd", "percent": "expanded_percentage", "money": "expanded_currency", "decimal": "expanded_decimal", "digits": "expanded_digits"}
 
+_D = "[०-९0-9]"
+_N = rf"{_D}+(?:[.,]{_D}+)?"
+_DATE = re.compile(rf"(?<!{_D})({_D}{{4}})\s*[-/]\s*({_D}{{1,2}})\s*[-/]\s*({_D}{{1,2}})(?!{_D})")
+_TWO_WAYS = re.compile(rf"{_D}\s*[/:-]\s*{_D}")
+_PERCENT, _MONEY, _NUMBER = re.compile(rf"({_N})\s*%"), re.compile(rf"{CURRENCY}\s*({_N})"), re.compile(_N)
+_WORDS = {ord(c): f" {w} " for i, w in enumerate(DIGIT_WORDS) for c in (DIGITS[i], str(i))}
 
-def _say(number: str) -> str:
-    return " ".join(POINT if c == "." else DIGIT_WORDS[_DIGITS.index(c)] for c in number if c in _DIGITS or c == ".")
 
+class Spoken(NamedTuple):
+    """status is ok, or quarantine with a reason; tts ends in a danda, asr has no marks."""
 
-def speak(text: str) -> tuple[str, str, str]:
-    """(status, spoken text, reason); a numeric form that can be read in two ways is quarantined."""
-    t = text.translate(_LATIN)
-    t = _DATE.sub(lambda m: f" {_say(m[1])} {YEAR} {_say(m[2])} {MONTH} {_say(m[3])} {DAY} ", t)
-    if _UNCLEAR.search(t):
-        return "quarantine", "", "ambiguous_numeric_form"
-    t = _MONEY.sub(lambda m: f" {_say(m[1])} {RUPEES} ", t)
-    t = _NUMBER.sub(lambda m: f" {_say(m[0])} ", t).replace("%", f" {PERCENT} ")
-    t = re.sub(r"[^ऀ-ॿ\s]|[।॥]", " ", t)
-    t = " ".join(t.split())
-    return ("ok", f"{t} {DANDA}", "") if t else ("quarantine", "", "empty")
+    status: str
+    reason: str | None
+    source: str
+    tts: str | None = None
+    asr: str | None = None
+    steps: tuple[str, ...] = ()
 
 
-@F.pandas_udf(StructType([StructField(c, StringType()) for c in ("status", "spoken", "reason")]))
+def _spell(number: str) -> str:
+    return " ".join(number.translate(_WORDS).split())
+
+
+def _spaced(text: str) -> str:
+    return " ".join(unicodedata.normalize("NFC", text).split())
+
+
+def plain(text: str) -> str:
+    """The form that recognition is scored on: Devanagari without marks and dandas."""
+    return _spaced(re.sub(r"[^ऀ-ॿ\s]|[।॥]", " ", text))
+
+
+def speak(text: str | None) -> Spoken:
+    """Numbers are spelled digit by digit; a date needs its year first.  Two numbers with a slash,
+    colon or hyphen between them that are no date can be read in two ways: such a text waits
+    for a person.  No text counts as an empty one."""
+    source = _spaced(text or "")
+    steps: set[str] = set()
+
+    def put(pattern: re.Pattern, said, step: str, value: str) -> str:
+        value, n = pattern.subn(said, value)
+        if n and step:
+            steps.add(STEPS[step])
+        return value
+
+    def number(m: re.Match) -> str:
+        whole, *part = re.split("[.,]", m[0], maxsplit=1)
+        steps.add(STEPS["decimal" if part else "digits"])
+        return " ".join([_spell(whole), POINT, _spell(part[0])] if part else [_spell(whole)])
+
+    value = put(_DATE, lambda m: f"{_spell(m[1])} {YEAR} {_spell(m[2])} {MONTH} {_spell(m[3])} {DAY}", "date", source)
+    if _TWO_WAYS.search(value):
+        return Spoken("quarantine", UNCLEAR, source)
+    value = put(_PERCENT, lambda m: f"{m[1]} {PERCENT}", "percent", value)
+    value = put(_MONEY, lambda m: f"{m[1]} {RUPEES}", "money", value)
+    asr = plain(put(_NUMBER, number, "", value))
+    if not asr:
+        return Spoken("quarantine", NOTHING, source)
+    return Spoken("ok", None, source, asr + DANDA, asr, tuple(sorted(steps)))
+
+
+_SCHEMA = StructType([StructField(c, StringType()) for c in ("status", "reason", "source", "tts", "asr")] + [StructField("steps", ArrayType(StringType()))])
+
+
+@F.pandas_udf(_SCHEMA)
 def spoken(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([speak(t or "") for t in text], columns=["status", "spoken", "reason"])
+    said = [speak(t) for t in text]
+    return pd.DataFrame([s._replace(steps=list(s.steps)) for s in said], columns=list(Spoken._fields))

@@ -1,4 +1,4 @@
-"""Text expressions over a script profile; all but the two Arrow functions stay in the JVM."""
+"""Text expressions over a script profile; all but ``unescape_nfc`` stay in the JVM."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import StringType
 
 from textloom.profile import WHITE, Profile
 
@@ -58,6 +58,21 @@ def content(tokens: Column, profile: Profile) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(*profile.skip))
 
 
+def lettered(tokens: Column, profile: Profile) -> Column:
+    """The tokens that hold a letter of the profile (the analysis counts these)."""
+    without = [t for t in profile.vocabulary if not profile.has_letter(t)]
+    return F.filter(tokens, lambda t: ~t.isin(*without))
+
+
+def once(value: Column) -> Column:
+    """``value`` as a generator of one row: what is built on it does not evaluate it again.
+
+    Projects and filters above are not merged into its expression, as they would be with a
+    plain column.  Costly expressions (tokenising) that are used several times go through it.
+    """
+    return F.explode_outer(F.array(value))
+
+
 def unmatched(cleaned: Column, tokens: Column, profile: Profile) -> Column:
     """Letters of the profile that no token covers."""
     matched = F.length(F.regexp_replace(F.array_join(tokens, ""), f"[^{profile.letters}]", ""))
@@ -72,11 +87,11 @@ def unknown_ratio(cleaned: Column, tokens: Column) -> Column:
 
 
 def char_ngrams(text: Column, size: int = 5) -> Column:
-    """Distinct character n-grams of whitespace-compacted text; a short text is one gram."""
+    """Distinct character n-grams of whitespace-compacted text; a short text is one gram, an empty one has none."""
 
     def grams(t: Column) -> Column:  # bound by a lambda, so that the text is compacted once
         many = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - (size - 1))), lambda i: F.substring(t, i, size))
-        return F.when(F.length(t) <= size, F.array(t)).otherwise(many)
+        return F.when(t == "", F.array().cast("array<string>")).when(F.length(t) <= size, F.array(t)).otherwise(many)
 
     return F.array_distinct(F.flatten(F.transform(F.array(compact(text)), grams)))
 
@@ -86,10 +101,23 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
-def metadata_value(value: Column) -> Column:
+def metadata_value(value: Column, nested: bool = False) -> Column:
+    """A value as text: null and empty are ``unknown``; a map (``nested``) is JSON in order of its keys."""
+    if nested:
+        value = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(value))))
     return F.coalesce(F.nullif(value.cast("string"), F.lit("")), F.lit("unknown"))
 
 
+def status(text: Column, normalised: Column) -> Column:
+    """rejected (no text), empty (nothing is left of it) or usable."""
+    return F.when(text.isNull(), "rejected").when(F.coalesce(normalised, F.lit("")) == "", "empty").otherwise("usable")
+
+
+def within_bytes(text: Column, most: int) -> Column:
+    """Whether a text may be sent as it is: its UTF-8 bytes are within the limit (no text is not)."""
+    return F.coalesce(F.octet_length(text) <= most, F.lit(False))
+
+
 def style(sector: Column, rare: Column) -> Column:
     """Speaking style by sector; texts taken for their rare tokens are read neutrally."""
     formal = sector.isin("formal", "news", "education", "business", "health")
@@ -127,14 +155,13 @@ def punctuation_free(text: Column) -> Column:
 
 
 def to_ids(tokens: Column, vocabulary: list[str], unknown: int = 1, start: int = 2, end: int = 3, first: int = 4) -> Column:
-    """Start id, the id of each token (or the unknown id), end id: one table look-up a token."""
-    table = {t: first + i for i, t in enumerate(vocabulary)}
-
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def ids(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda ts: None if ts is None else [start, *(table.get(t, unknown) for t in ts), end])
+    """Start id, the id of each token (or the unknown id), end id; null tokens have null ids.
 
-    return ids(tokens)
+    A look-up in one constant map a token, which stays in the JVM.
+    """
+    table = F.create_map(*(F.lit(x) for i, t in enumerate(dict.fromkeys(vocabulary)) for x in (t, first + i)))
+    ids = F.transform(tokens, lambda t: F.coalesce(F.element_at(table, t), F.lit(unknown)))
+    return F.when(tokens.isNotNull(), F.concat(F.array(F.lit(start)), ids, F.array(F.lit(end))))
 
 
 def quality_reason(n: Column, distinct: Column, unknown: Column, least: int, most: int, least_distinct: int, most_unknown: float) -> Column:

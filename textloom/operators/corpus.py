@@ -20,8 +20,7 @@ def sentences(docs: DataFrame, profile: Profile, raw_first: bool = False, keep:
 
 def measured(rows: DataFrame, profile: Profile, col: str = "sentence") -> DataFrame:
     """Adds tokens, n_tokens, n_unique, unknown and reason (null: accepted)."""
-    raw = T.tokenize(F.col(col), profile)
-    rows = rows.withColumn("__all", raw).withColumn("tokens", T.content(F.col("__all"), profile))
+    rows = rows.withColumn("__all", T.once(T.tokenize(F.col(col), profile))).withColumn("tokens", T.content(F.col("__all"), profile))
     rows = rows.withColumn("n_tokens", F.size("tokens")).withColumn("n_unique", F.size(F.array_distinct("tokens"))).withColumn("unknown", T.unknown_ratio(F.col(col), F.col("__all")))
     return rows.drop("__all").withColumn("reason", T.quality_reason(F.col("n_tokens"), F.col("n_unique"), F.col("unknown"), MIN_TOKENS, MAX_TOKENS, MIN_UNIQUE, MAX_UNKNOWN))
 
@@ -61,11 +60,38 @@ def contribution(rows: DataFrame, corpus: str, key: str = "hash") -> DataFrame:
     return per.groupBy("corpus").agg(F.sum("n").alias("n_usable"), F.count(F.lit(1)).alias("n_distinct"), F.sum(F.col("n") - 1).alias("n_within"), yes(F.col("first") == F.col("corpus")).alias("n_retained"), yes(F.col("k") == 1).alias("n_exclusive"), yes(F.col("k") > 1).alias("n_shared"))
 
 
-def merge_batches(batches: list[DataFrame], key: Column) -> DataFrame:
-    """First row of each key over batches in order."""
+def merge_batches(batches: list[DataFrame], key: Column | None = None) -> DataFrame:
+    """First row of each key over batches in order; inside a batch the first by all its columns.
+
+    Without a key it is ``id``, else ``pool_id`` where there are such columns.  Rows without a
+    key are one row."""
     rows = None
     for i, b in enumerate(batches):
         b = b.withColumn("__batch", F.lit(i))
         rows = b if rows is None else rows.unionByName(b, allowMissingColumns=True)
-    rows = rows.withColumn("__key", key)
-    return first_seen(rows, "__key", ["__batch"]).drop("__key", "__batch")
+    if key is None:
+        key = F.coalesce(*(F.col(c).cast("string") for c in ("id", "pool_id") if c in rows.columns))
+    order = [F.col(c) for c in rows.columns if c != "__batch" and not rows.schema[c].dataType.simpleString().startswith("map")]
+    rows = rows.withColumns({"__key": key, "__row": F.struct(*order)})
+    return first_seen(rows, "__key", ["__batch", "__row"]).drop("__key", "__batch", "__row")
+
+
+def unselected(rows: DataFrame, selected: DataFrame, key: str) -> DataFrame:
+    """The rows whose key was not selected before; rows without a key stay."""
+    return rows.join(selected.select(key).distinct(), key, "left_anti")
+
+
+def retokenised(rows: DataFrame, profile: Profile, normalise=T.normalize) -> DataFrame:
+    """Rows with text, tokens, unique_tokens and hash made anew; what was stored of these is ignored."""
+    keep = [c for c in rows.columns if c not in ("text", "tokens", "unique_tokens", "hash")]
+    got = rows.select(*keep, T.once(normalise(F.coalesce("text", F.lit("")), profile)).alias("text"))
+    got = got.withColumn("tokens", T.once(T.content(T.tokenize(F.col("text"), profile), profile)))
+    return got.withColumns({"unique_tokens": F.array_sort(F.array_distinct("tokens")), "hash": F.sha2(F.col("text").cast("binary"), 256)})
+
+
+def hydrated(short: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The shortlist's rows with the columns of the pool that it lacks; a key that the pool lacks is an error."""
+    more = [c for c in rows.columns if c not in short.columns]
+    got = short.join(rows.select(key, *more, F.lit(True).alias("__there")), key, "left")
+    got = got.withColumn("__there", F.when(F.col("__there").isNull(), F.raise_error(F.concat(F.lit("not in the pool: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))).otherwise(F.lit(True)))
+    return got.filter("__there").drop("__there")

@@ -2,31 +2,25 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 
 def edits(a: Column, b: Column) -> Column:
-    """Edit distance in code points."""
-    return F.levenshtein(a, b)
+    """Edit distance in code points; null counts as empty."""
+    return F.levenshtein(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
 
 
-@F.pandas_udf(LongType())
-def token_edits(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Edit distance between arrays of tokens."""
+def token_edits(a: Column, b: Column) -> Column:
+    """Edit distance between arrays of tokens (null counts as empty): each distinct token of the
+    two becomes a character of its own and the strings are compared, which stays in the JVM.
 
-    def distance(x, y) -> int:
-        row = list(range(len(y) + 1))
-        for i, p in enumerate(x, 1):
-            new = [i]
-            for j, q in enumerate(y, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p != q)))
-            row = new
-        return row[-1]
-
-    return pd.Series([distance(list(x), list(y)) for x, y in zip(a, b, strict=True)])
+    Characters are taken from U+0100 on, around the surrogates: 55,000 distinct tokens, more are an error."""
+    a, b = (F.coalesce(c, F.array().cast("array<string>")) for c in (a, b))
+    names = F.array_distinct(F.concat(a, b))
+    places = F.map_from_entries(F.transform(names, lambda t, i: F.struct(t, F.when(i >= 55_000, F.raise_error(F.lit("too many distinct tokens")).cast("int")).otherwise(i + 256))))
+    said = lambda tokens, of: F.array_join(F.transform(tokens, lambda t: F.decode(F.unhex(F.lpad(F.hex(F.element_at(of, t)), 4, "0")), "UTF-16BE")), "")
+    return F.element_at(F.transform(F.array(places), lambda of: F.levenshtein(said(a, of), said(b, of))), 1).cast("long")
 
 
 def error_rate(n_edits: Column, length: Column) -> Column:
@@ -34,7 +28,8 @@ def error_rate(n_edits: Column, length: Column) -> Column:
 
 
 def corpus_rates(rows: DataFrame, ref: str, hyp: str) -> DataFrame:
-    """Micro-averaged character and word error rates."""
+    """Micro-averaged character and word error rates; a null text counts as an empty one."""
+    rows = rows.select(F.coalesce(ref, F.lit("")).alias(ref), F.coalesce(hyp, F.lit("")).alias(hyp))
     x = rows.select(edits(F.col(ref), F.col(hyp)).alias("ce"), F.length(ref).alias("cn"), token_edits(F.split(ref, " "), F.split(hyp, " ")).alias("we"), F.size(F.split(ref, " ")).alias("wn"))
     return x.agg(F.round(F.sum("ce") / F.greatest(F.lit(1), F.sum("cn")), 8).alias("cer"), F.round(F.sum("we") / F.greatest(F.lit(1), F.sum("wn")), 8).alias("wer"))
 
@@ -68,24 +63,79 @@ def best_candidate(rows: DataFrame, key: str, score: str, tie: str) -> DataFrame
 
 
 def align(left: DataFrame, right: DataFrame, key: str, text: str) -> DataFrame:
-    """Left rows with their transcript, or the reason why there is none."""
-    got = left.join(right.select(key, text, F.lit(True).alias("__there")), key, "left")
+    """Left rows with their transcript, or the reason why there is none; a key that stands for
+    several rows on the right is an error."""
+    one = right.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.min(text).alias(text), F.lit(True).alias("__there"))
+    one = one.withColumn("__there", F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("ambiguous: "), F.col(key).cast("string"))).cast("boolean")).otherwise(F.col("__there"))).drop("__n")
+    got = left.join(one, key, "left")
     reason = F.when(F.col("__there").isNull(), "missing").when(F.trim(F.coalesce(F.col(text), F.lit(""))) == "", "empty_transcript")
     return got.withColumn("reason", reason).drop("__there")
 
 
 def repeated(rows: DataFrame, key: str) -> DataFrame:
-    return rows.withColumn("is_repeated", F.count(F.lit(1)).over(Window.partitionBy(key)) > 1)
+    """Adds is_repeated: whether another row has the same key (nulls are one key).
+
+    Counted before the join, so one key with very many rows is no task's burden."""
+    counted = rows.groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__k", F.lit(True).alias("__more"))
+    got = rows.join(counted, F.col(key).eqNullSafe(F.col("__k")), "left")
+    return got.withColumn("is_repeated", F.coalesce("__more", F.lit(False))).drop("__k", "__more")
 
 
 def spend(rows: DataFrame, phase: str, cost: str) -> DataFrame:
     return rows.groupBy(phase).agg(F.coalesce(F.round(F.sum(cost), 4), F.lit(0.0)).alias("spent"))
 
 
-def forecast(text: Column, per_char: float, bytes_per_second: int = 32_000) -> dict[str, Column]:
-    """Bytes of input, seconds of speech (rounded up) and cost of a text."""
-    size = F.octet_length(text)
-    return {"n_bytes": size.cast("long"), "seconds": F.ceil(size / 15).cast("long"), "cost": F.round(size * F.lit(per_char), 6)}
+def forecast(jobs: DataFrame, text: str, tokens: str, seconds_per_token: float, audio_per_second: float, input_price: float, audio_price: float, keys: list[str] | None = None) -> DataFrame:
+    """Forecast by ``keys`` (or one row): input_tokens (a quarter of the bytes, rounded up), seconds of
+    speech, audio_tokens (rounded up), and the cost of either and of both at prices a million tokens."""
+    size = F.coalesce(F.sum(F.coalesce(F.octet_length(text), F.lit(0))), F.lit(0))
+    n = F.coalesce(F.sum(F.greatest(F.size(tokens), F.lit(0))), F.lit(0))
+    got = jobs.groupBy(*(keys or [])).agg(F.ceil(size / 4).cast("long").alias("input_tokens"), (n * F.lit(float(seconds_per_token))).alias("seconds"))
+    got = got.withColumn("audio_tokens", F.ceil(F.col("seconds") * F.lit(float(audio_per_second))).cast("long"))
+    got = got.withColumns({"input_cost": F.col("input_tokens") / 1_000_000 * F.lit(float(input_price)), "audio_cost": F.col("audio_tokens") / 1_000_000 * F.lit(float(audio_price))})
+    return got.withColumn("total_cost", F.col("input_cost") + F.col("audio_cost"))
+
+
+def verdicts(jobs: DataFrame, cpu: DataFrame, first: DataFrame, second: DataFrame, max_cer: float = 0.35, max_wer: float = 0.6, names: tuple[str, str] = ("whisper", "mms")) -> DataFrame:
+    """``jobs`` with what the checks of audio (cpu) and two recognisers found, reasons and accepted.
+
+    Left joins on job_id; each side has at most one row a job.  cpu: cpu_pass, audio_sha256,
+    duration_seconds; recognisers: cer, wer, recall; jobs: required_rare (array).  A missing cer or
+    wer counts as 1, a missing recall as 0.  The second recogniser is needed where the first one
+    is over the limit of cer or within 0.05 of it, and for rare tokens.
+    """
+    a, b = names
+    own = lambda rows, cols, pre: rows.select("job_id", *(F.col(c).alias(f"{pre}{c}") for c in cols), F.lit(True).alias(f"{pre}there"))
+    x = jobs.join(own(cpu, ["cpu_pass", "audio_sha256", "duration_seconds"], "cpu_"), "job_id", "left")
+    x = x.join(own(first, ["cer", "wer", "recall"], "a_"), "job_id", "left").join(own(second, ["cer", "wer", "recall"], "b_"), "job_id", "left")
+    has = {k: F.coalesce(F.col(f"{k}_there"), F.lit(False)) for k in ("cpu", "a", "b")}
+    cer, wer = F.coalesce("a_cer", F.lit(1.0)), F.coalesce("a_wer", F.lit(1.0))
+    rare = F.coalesce(F.size("required_rare") > 0, F.lit(False))
+    disputed = has["a"] & ((cer > max_cer) | (F.abs(cer - max_cer) <= 0.05)) & ~has["b"]
+    why = F.array_compact(F.array(
+        F.when(~has["cpu"] | ~F.coalesce("cpu_cpu_pass", F.lit(False)), "cpu_qc"), F.when(~has["a"], f"missing_{a}").when((cer > max_cer) | (wer > max_wer), f"{a}_accuracy"),
+        F.when(disputed, f"missing_{b}_disputed"), F.when(rare & ~has["b"], f"missing_{b}").when(rare & (F.coalesce("b_recall", F.lit(0.0)) < 1), f"{b}_rare_recall"),
+        F.when(rare & has["a"] & (F.coalesce("a_recall", F.lit(0.0)) < 1), f"{a}_rare_recall"),
+    ))
+    got = x.withColumn("reasons", why).withColumn("accepted", F.size("reasons") == 0)
+    return got.select(*jobs.columns, F.col("cpu_audio_sha256").alias("audio_sha256"), F.col("cpu_duration_seconds").alias("duration_seconds"), F.col("a_cer").alias(f"{a}_cer"), F.col("a_wer").alias(f"{a}_wer"), F.col("b_cer").alias(f"{b}_cer"), "reasons", "accepted")
+
+
+def canonical(judged: DataFrame, key: str, cer: str = "whisper_cer") -> DataFrame:
+    """The accepted recording of each text with the least (cer, job_id): its canonical job or a later attempt."""
+    own = (F.col("realisation") == "canonical") | F.col("realisation").startswith("regeneration")
+    return best_candidate(judged.filter("accepted").filter(own).withColumn("__cer", F.coalesce(cer, F.lit(1.0))), key, "__cer", "job_id").drop("__cer")
+
+
+def regenerations(texts: DataFrame, judged: DataFrame, key: str, most: int = 2, prefix: str = "ful_") -> DataFrame:
+    """key, attempt, failed_job_id for the texts without an accepted recording that have attempts left."""
+    done = canonical(judged, key).select(key)
+    own = (F.col("realisation") == "canonical") | F.col("realisation").startswith("regeneration")
+    tried = F.coalesce(F.nullif(F.regexp_extract("realisation", r"^regeneration_(\d+)", 1), F.lit("")).cast("int"), F.lit(0))
+    failed = judged.filter("NOT accepted").filter(own).groupBy(key).agg(F.max(tried).alias("__k"), F.max("job_id").alias("__job"))
+    left = texts.select(key).distinct().join(done, key, "left_anti").join(failed, key, "left")
+    got = left.select(key, (F.coalesce("__k", F.lit(0)) + 1).alias("attempt"), F.coalesce("__job", F.concat(F.lit(prefix), F.col(key).cast("string"))).alias("failed_job_id"))
+    return got.filter(F.col("attempt") <= most)
 
 
 def structural(m: DataFrame, rate: int = 16_000, least: float = 0.2, most: float = 655.0, max_clipping: float = 0.001) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.operators import stats
+from textloom.operators.tables import settled
 
 
 def invariants(rows: DataFrame, key: str, tokens: str, freq: DataFrame, support: DataFrame, vocabulary: DataFrame, size: int, floor: int = 5) -> dict[str, bool]:
@@ -95,7 +96,7 @@ def voice_scores(rows: DataFrame, voice: str, gender: str, cer: str, recall: str
 def calibration(rows: DataFrame, seconds: str, n: str, least: float = 0.35) -> DataFrame:
     """Seconds a token: mean, 95th percentile (by rank) and a cautious value of 1.2 times that, ``least`` at least."""
     ratio = rows.select((F.col(seconds) / F.greatest(F.lit(1), F.col(n))).alias("r"))
-    got = ratio.agg(F.avg("r").alias("mean"), stats.rank_quantile("r", 0.95).alias("p95"))
+    got = ratio.agg(F.avg("r").alias("mean")).crossJoin(stats.rank_quantile(ratio, "r", 0.95).select(F.col("r").alias("p95")))  # one row each
     return got.withColumn("cautious", F.greatest(F.lit(least), F.col("p95") * 1.2))
 
 
@@ -104,6 +105,46 @@ def next_step(accepted: Column, attempts: Column, most: int = 2) -> Column:
     return F.when(F.coalesce(accepted, F.lit(False)), "accept").when(F.coalesce(attempts, F.lit(0)) < most, "regenerate").otherwise("quarantine")
 
 
+def lost_tokens(before: DataFrame, after: DataFrame, allowed: tuple[str, ...] = ()) -> DataFrame:
+    """token: what ``before`` (token, n) has and ``after`` lacks, but for the allowed ones."""
+    seen = after.filter("n > 0").select("token")
+    return before.filter("n > 0").select("token").distinct().join(seen, "token", "left_anti").filter(~F.col("token").isin(*allowed) if allowed else F.lit(True))
+
+
+def demand_none_lost(before: DataFrame, after: DataFrame, allowed: tuple[str, ...] = ()) -> None:
+    """Spoken forms may do without digits; any other token that they lose is an error."""
+    lost = sorted(r["token"] for r in lost_tokens(before, after, allowed).collect())  # a vocabulary at most
+    if lost:
+        raise ValueError(f"tokens were lost: {', '.join(lost)}")
+
+
+def missing(targets: DataFrame, rows: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """token: the targets that no row holds."""
+    covered = rows.select(F.explode_outer(tokens).alias("token")).filter("token IS NOT NULL").distinct()
+    return targets.select("token").distinct().join(covered, "token", "left_anti")
+
+
+def final_counts(rows: DataFrame, sources: str, axes: list[str], labels: str | None = None) -> DataFrame:
+    """axis, value, n: rows by each of ``axes``, by source (an array of them; none is unknown), and by each entry of a map of labels."""
+    pairs = [F.array(*(F.struct(F.lit(a).alias("axis"), F.col(a).cast("string").alias("value")) for a in axes))]
+    listed = F.when(F.size(sources) > 0, F.col(sources)).otherwise(F.array(F.lit("unknown")))
+    pairs.append(F.transform(listed, lambda v: F.struct(F.lit("source").alias("axis"), v.cast("string").alias("value"))))
+    if labels:
+        entries = F.coalesce(F.map_entries(labels), F.array().cast("array<struct<key:string,value:string>>"))
+        pairs.append(F.transform(entries, lambda e: F.struct(F.concat(F.lit("label."), e["key"]).alias("axis"), e["value"].cast("string").alias("value"))))
+    return rows.select(F.explode(F.concat(*pairs)).alias("x")).groupBy("x.axis", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def final_totals(rows: DataFrame, tokens: str, inventory: DataFrame, seconds: str, exception: str) -> DataFrame:
+    """One row: tokens, types, inventory, whether the counts add up, hours and rows taken in spite of their similarity."""
+    freq = settled(stats.token_frequency(rows, [], tokens), "final-counts")
+    own = rows.agg(F.coalesce(F.sum(F.greatest(F.size(tokens), F.lit(0))), F.lit(0)).alias("__own"), (F.coalesce(F.sum(seconds), F.lit(0.0)) / 3600).alias("__h"), F.count_if(F.coalesce(F.col(exception), F.lit(False))).alias("exceptions"))
+    whole = freq.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("types"))
+    size = inventory.select("token").distinct().agg(F.count(F.lit(1)).alias("inventory"))
+    got = whole.crossJoin(own).crossJoin(size)  # one row each
+    return got.select("tokens", "types", "inventory", (F.col("tokens") == F.col("__own")).alias("reconciled"), F.round("__h", 6).alias("hours"), "exceptions")
+
+
 def _file(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -17,18 +17,29 @@ def per_cell(rows: DataFrame, cell: list[str], cap: int, id_col: str, seed: str
 
 
 def round_robin(rows: DataFrame, cell: list[str], n: int, id_col: str, seed: str = "7") -> DataFrame:
-    """One row of each stratum a round, strata in order, until n rows."""
+    """One row of each stratum a round, strata in order, until n rows; null strata come first.
+
+    No stratum gives more than n rows, so each task keeps n a stratum before the shuffle.
+    """
     w = Window.partitionBy(*cell).orderBy(hash_order(id_col, seed), id_col)
-    return rows.withColumn("round", F.row_number().over(w)).orderBy("round", *cell).limit(n)
+    return rows.withColumn("round", F.row_number().over(w)).filter(F.col("round") <= n).orderBy("round", *cell).limit(n)
 
 
 def priority(rows: DataFrame, tokens: str, freq: DataFrame, key: str) -> DataFrame:
-    """Rarity: sum of 1 / sqrt(rows with the token) over distinct tokens / sqrt(length), and a
-    hash of the key against ties."""
-    n = F.size(tokens)
-    x = rows.select(key, n.alias("len"), F.explode(F.array_distinct(tokens)).alias("token")).join(freq, "token")
+    """Rarity: sum of 1 / sqrt(rows with the token) over distinct tokens / sqrt(length), rounded
+    to six places, and against ties the first 12 hex digits of a hash of the key as a fraction
+    of a billionth.  Rows without tokens have no priority; rows of one key are one row."""
+    x = rows.select(key, F.size(tokens).alias("len"), F.explode_outer(F.array_distinct(tokens)).alias("token")).filter("token IS NOT NULL").join(freq, "token")
     score = F.sum(1 / F.sqrt("n")) / F.sqrt(F.greatest(F.max("len"), F.lit(1)))
-    return x.groupBy(key).agg(F.round(score, 6).alias("priority"))
+    jitter = F.conv(F.substring(F.sha2(F.col(key).cast("string").cast("binary"), 256), 1, 12), 16, 10).cast("double") / F.lit(16.0**12)
+    return x.groupBy(key).agg(F.round(score, 6).alias("priority")).withColumn("priority", F.col("priority") + jitter * F.lit(1e-9))
+
+
+def stratified(rows: DataFrame, cell: list[str], n: int, id_col: str, seed: str = "7") -> DataFrame:
+    """``round_robin``, but a table of n rows or fewer stays whole, as it is (``round`` null)."""
+    if rows.count() <= n:
+        return rows.withColumn("round", F.lit(None).cast("int"))
+    return round_robin(rows, cell, n, id_col, seed)
 
 
 def top(rows: DataFrame, n: int, *order) -> DataFrame:
@@ -36,7 +47,8 @@ def top(rows: DataFrame, n: int, *order) -> DataFrame:
 
 
 def top_per_token(rows: DataFrame, tokens: str, k: int, order: list) -> DataFrame:
-    x = rows.withColumn("token", F.explode(F.array_distinct(tokens)))
+    """The first k rows of each token in ``order``; each task keeps k a token before the shuffle."""
+    x = rows.withColumn("token", F.explode_outer(F.array_distinct(tokens))).filter("token IS NOT NULL")
     return x.withColumn("rank", F.row_number().over(Window.partitionBy("token").orderBy(*order))).filter(F.col("rank") <= k)
 
 
@@ -72,8 +84,11 @@ def speaker_split(rows: DataFrame, speaker: str, shares: tuple[tuple[str, float]
     return sizes.groupBy().applyInPandas(deal, f"{speaker} {kind}, split string")
 
 
-def budget_bins(rows: DataFrame, size: str, order: str, budget: int) -> DataFrame:
-    """Archives filled in order up to a byte budget: bin of each row (one archive list, one task)."""
+def budget_bins(rows: DataFrame, size: str, order: str, budget: int, most: int = 40) -> DataFrame:
+    """Archives filled in order up to a byte budget: bin of each row.
+
+    Where a bin ends depends on all before, so the list of sizes is one task's; more than
+    ``most`` archives are an error, which bounds what they hold."""
     import pandas as pd
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -82,6 +97,8 @@ def budget_bins(rows: DataFrame, size: str, order: str, budget: int) -> DataFram
         for n in pdf[size]:
             if held and held + n > budget:
                 at, held = at + 1, 0
+            if at >= most:
+                raise ValueError(f"more than {most} archives are needed")
             held += n
             out.append(at)
         return pd.DataFrame({order: pdf[order], "bin": out})

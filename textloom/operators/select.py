@@ -12,6 +12,81 @@ PER_CELL, PER_TOKEN, SHORTLIST = 2_000, 256, 1_200_000
 """The reference's bounds of candidates: rows a cell, rows a token, rows of the diverse selection."""
 
 
+def deficits(rows: DataFrame, key: str, tokens: str, freq: DataFrame, target: float, bonus: float = 0.0) -> DataFrame:
+    """key, score: what the distinct tokens of a row lack of ``target`` in all (token, n), and
+    ``bonus`` targets more for each that has not been seen.  Rows without tokens score 0."""
+    x = rows.select(key, F.explode_outer(F.array_distinct(tokens)).alias("token")).join(freq.select("token", "n"), "token", "left")
+    n = F.coalesce("n", F.lit(0))
+    part = F.greatest(F.lit(0.0), F.lit(float(target)) - n) + F.when(n == 0, F.lit(float(bonus) * target)).otherwise(0.0)
+    return x.groupBy(key).agg(F.sum(F.when(F.col("token").isNotNull(), part).otherwise(0.0)).alias("score"))
+
+
+def score_target(freq: DataFrame, rows: DataFrame, length: str, n: int, targets: int = 0) -> DataFrame:
+    """One row, target: the tokens there will be after n more rows of mean ``length`` (above 0; 15 if
+    there is none), spread over the types seen, or ``targets`` types if more, and 500 at least."""
+    seen = freq.agg(F.coalesce(F.sum("n"), F.lit(1)).alias("__t"), F.count(F.lit(1)).alias("__k"))
+    mean = rows.filter(F.col(length) > 0).agg(F.coalesce(F.avg(length), F.lit(15.0)).alias("__m"))
+    return seen.crossJoin(mean).select(((F.col("__t") + n * F.col("__m")) / F.greatest(F.col("__k"), F.lit(max(targets, 500)))).alias("target"))  # one row each
+
+
+def balance_gain(rows: DataFrame, key: str, tokens: str, held: DataFrame, target: DataFrame) -> DataFrame:
+    """key, gain: for each token of a row what it adds up to the deficit (target - n held), over
+    the target (1 at least), in all over the root of the row's length.  ``held``: token, n; ``target``: token, target."""
+    x = rows.select(key, F.greatest(F.size(tokens), F.lit(1)).alias("len"), F.explode_outer(tokens).alias("token")).groupBy(key, "len", "token").agg(F.count("token").alias("amount"))
+    x = x.join(target.select("token", "target"), "token", "left").join(held.select("token", "n"), "token", "left")
+    lack = F.greatest(F.lit(0.0), F.coalesce("target", F.lit(0.0)) - F.coalesce("n", F.lit(0)))
+    part = F.least(F.col("amount").cast("double"), lack) / F.greatest(F.lit(1.0), F.coalesce("target", F.lit(1.0)))
+    return x.groupBy(key).agg((F.sum(part) / F.sqrt(F.max("len"))).alias("gain"))
+
+
+def metadata_scores(rows: DataFrame, key: str, axes: list[str], counts: DataFrame) -> DataFrame:
+    """key, novelty (mean of 1 / (1 + rows that have the label)) and scarcity (minus their sum).
+
+    ``counts``: axis, value, n, a few labels an axis; a null label counts as unknown."""
+    got = rows.select(key, *(F.coalesce(F.col(a).cast("string"), F.lit("unknown")).alias(a) for a in axes))
+    for i, a in enumerate(axes):
+        one = counts.filter(F.col("axis") == a).select(F.col("value").alias(a), F.col("n").alias(f"__n{i}"))
+        got = got.join(one, a, "left").withColumn(f"__n{i}", F.coalesce(f"__n{i}", F.lit(0)))
+    n = [F.col(f"__n{i}") for i in range(len(axes))]
+    return got.select(key, (sum(1 / (1 + c) for c in n) / len(axes)).alias("novelty"), (-sum(n)).alias("scarcity"))
+
+
+def rare_support(rows: DataFrame, key: str, tokens: str, rare: list[str], times: int, seed: str = "7") -> DataFrame:
+    """Rows, again and again, until each rare token has been taken ``times`` times: each time the
+    row with most open tokens, of those the one with the least sha256 of seed, step and key.
+
+    key, step, required (the open tokens that it was taken for).  A token that no row holds is an
+    error.  Each choice depends on those before, so the rows that hold rare tokens go in one
+    group, with those tokens only; rarity bounds them.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import hashlib
+
+        pdf = pdf.sort_values(key).reset_index(drop=True)
+        has = [sorted(t) for t in pdf[tokens]]
+        open_, out = dict.fromkeys(sorted(set(rare)), times), []
+        while any(open_.values()):
+            gain = [sum(open_[t] > 0 for t in some) for some in has]
+            most = max(gain, default=0)
+            if not most:
+                raise ValueError(f"no row holds {', '.join(t for t, n in open_.items() if n)[:200]}")
+            best = min((i for i, g in enumerate(gain) if g == most), key=lambda i: hashlib.sha256(f"{seed}:{len(out)}:{pdf[key].iloc[i]}".encode()).hexdigest())
+            took = [t for t in has[best] if open_[t] > 0]
+            out.append((pdf[key].iloc[best], len(out), took))
+            for t in took:
+                open_[t] -= 1
+        return pd.DataFrame(out, columns=[key, "step", "required"])
+
+    kind = dict(rows.dtypes)[key]
+    if not rare or times <= 0:
+        return rows.sparkSession.createDataFrame([], f"{key} {kind}, step int, required array<string>")
+    wanted = F.array(*(F.lit(t) for t in sorted(set(rare))))
+    some = rows.select(key, F.array_intersect(tokens, wanted).alias(tokens)).filter(F.size(tokens) > 0)
+    some = some.unionByName(rows.sparkSession.createDataFrame([(None, [])], f"{key} {kind}, {tokens} array<string>"))  # so that the group is there, and can fail
+    return some.groupBy().applyInPandas(run, f"{key} {kind}, step int, required array<string>")
+
+
 def greedy_cover(pdf: pd.DataFrame, key: str, tokens: str, want: int, metadata: list[str] | None = None) -> list:
     """Rows until each token has ``want`` rows or all it can: for the open token with the fewest rows,
     the row with most open tokens, then with the least-held metadata, then with the least key."""
@@ -47,24 +122,33 @@ def coverage_seed(rows: DataFrame, key: str, tokens: str, want: int = 1, metadat
         pdf = pdf.sort_values(key).reset_index(drop=True)
         return pd.DataFrame({key: greedy_cover(pdf, key, tokens, want, metadata)}).assign(step=lambda d: range(len(d)))
 
-    got = rows.select(key, *(metadata or []), F.array_distinct(tokens).alias(tokens))
+    got = rows.select(key, *(metadata or []), F.coalesce(F.array_distinct(tokens), F.array().cast("array<string>")).alias(tokens))
     return got.groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
 
 
-def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, target: float, snapshot: bool = False, look: int = 200, seed: int = 7) -> DataFrame:
+def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, target: float | None = None, snapshot: bool = False, look: int = 200, seed: int = 7, held: DataFrame | None = None, bonus: float = 0.0, targets: int = 0) -> DataFrame:
     """n rows, cells with the fewest rows first, each time the row whose tokens lack most.
 
     A pick looks at ``look`` rows of its cell, drawn by ``seed`` and step.  ``snapshot`` scores all cells of a round against the same counts.
+    ``held`` (token, n; a vocabulary) carries the counts of earlier batches on; ``bonus`` targets
+    more are given for each token not held yet.  Without a ``target`` it is ``score_target``'s.
+    Rows without tokens (null or empty) score 0; a table without rows gives none.
     """
+    rows = rows.withColumn(tokens, F.coalesce(tokens, F.array().cast("array<string>")))
+    spark = rows.sparkSession
+    held = spark.createDataFrame([], "token string, n long") if held is None else held.select("token", "n")
+    if target is None:
+        target = score_target(held, rows.select(F.size(tokens).alias("len")), "len", n, targets).first()["target"]
+    before = {r["t"]: r["n"] for r in held.select(F.xxhash64("token").alias("t"), "n").collect()}  # a vocabulary
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key).reset_index(drop=True)
         cells: dict[tuple, list[int]] = {}
         for i, c in enumerate(pdf[cell].itertuples(index=False, name=None)):
             cells.setdefault(tuple(map(str, c)), []).append(i)
-        count, held, out = dict.fromkeys(cells, 0), {}, []
+        count, held, out = dict.fromkeys(cells, 0), dict(before), []
         toks = [set(t.tolist()) for t in pdf[tokens]]
-        score = lambda i, seen: sum(max(0.0, target - seen.get(t, 0)) for t in toks[i])
+        score = lambda i, seen: sum(max(0.0, target - seen.get(t, 0)) + bonus * target * (not seen.get(t, 0)) for t in toks[i])
         while len(out) < n and any(cells.values()):
             least = min(count[c] for c, some in cells.items() if some)
             seen = dict(held) if snapshot else held
@@ -167,5 +251,6 @@ def diverse(rows: DataFrame, key: str, tokens: str, vector: str, cluster: str, n
                 idle = not any_ and not any(used[c] >= level - 1 and (free & (clusters == c) & (near <= most)).any() for c in used)
         return pd.DataFrame({key: pdf[key].iloc[out].to_numpy(), "step": np.arange(len(out), dtype=np.int32)})
 
-    got = rows.select(key, F.transform(tokens, lambda t: F.xxhash64(t)).alias(tokens), vector, cluster, *(metadata or []), *([root] if root else []))
+    rows = rows.filter(F.col(vector).isNotNull())  # a row without a vector can't be placed
+    got = rows.select(key, F.transform(F.coalesce(tokens, F.array().cast("array<string>")), lambda t: F.xxhash64(t)).alias(tokens), vector, cluster, *(metadata or []), *([root] if root else []))
     return got.groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.tables import settled
+
 
 def token_frequency(rows: DataFrame, keys: list[str], tokens: str = "tokens", per_row: bool = False) -> DataFrame:
-    """Occurrences (or, ``per_row``, rows) of each token by ``keys``."""
+    """Occurrences (or, ``per_row``, rows) of each token by ``keys``; null and empty arrays count nothing.
+
+    ``explode_outer`` and a filter on the token: with ``explode`` Spark would infer a filter on
+    the array and evaluate the tokenising behind it a second time.
+    """
     source = F.array_distinct(tokens) if per_row else F.col(tokens)
-    return rows.select(*keys, F.explode(source).alias("token")).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(*keys, F.explode_outer(source).alias("token")).filter("token IS NOT NULL").groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def zero_filled(freq: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -98,21 +104,41 @@ def breakdown(rows: DataFrame, axes: list[str]) -> DataFrame:
     return per.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("axis")), 8))
 
 
-def tempered(freq: DataFrame, tokens: int, power: float = 0.5) -> DataFrame:
-    """Target counts: n ** power, scaled to ``tokens`` in all."""
+def tempered(freq: DataFrame, tokens: int, power: float = 0.5, places: int | None = 6) -> DataFrame:
+    """Target counts: n ** power, scaled to ``tokens`` in all, to ``places`` (None: as they are)."""
     weight = F.pow(F.greatest(F.lit(1), F.col("n")).cast("double"), F.lit(power))
-    return freq.withColumn("w", weight).crossJoin(freq.agg(F.sum(weight).alias("t"))).select("token", "n", F.round(F.lit(float(tokens)) * F.col("w") / F.col("t"), 6).alias("target"))
+    return freq.withColumn("w", weight).crossJoin(freq.agg(F.sum(weight).alias("t"))).select("token", "n", (F.lit(float(tokens)) * F.col("w") / F.col("t")).alias("target")).withColumn("target", F.col("target") if places is None else F.round("target", places))
 
 
 def auc(rows: DataFrame, score: str, label: str, tie: str) -> DataFrame:
-    """ROC-AUC by rank sum; ties ranked by ``tie``."""
-    r = rows.withColumn("r", F.row_number().over(Window.orderBy(score, tie)))
+    """ROC-AUC by rank sum; ties ranked by ``tie``.  Null if a class is missing."""
+    r = ranked(rows.select(score, label, tie), [score, tie], "__r")
     y = F.col(label) == 1
-    a = r.agg(F.sum(F.when(y, F.col("r"))).alias("s"), F.sum(y.cast("long")).alias("p"), F.sum((~y).cast("long")).alias("q"))
+    a = r.agg(F.sum(F.when(y, F.col("__r"))).alias("s"), F.sum(y.cast("long")).alias("p"), F.sum((~y).cast("long")).alias("q"))
     return a.select(F.round((F.col("s") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * F.col("q")), 6).alias("auc"))
 
 
-def rank_quantile(col: str, share: float) -> Column:
-    """The value at 0-based rank round-half-even((n - 1) * share)."""
-    a = F.array_sort(F.collect_list(col))
-    return F.element_at(a, (F.bround((F.size(a) - 1) * F.lit(share)) + 1).cast("int"))
+def ranked(rows: DataFrame, order: list[str | Column], out: str = "r") -> DataFrame:
+    """Adds the 1-based rank in ``order``: rows are ranged by it and counts per range shift the
+    ranks within, so no task sees all rows.  Equal rows are ranked in any order."""
+    rows = settled(rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()), "ranked")
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__n")).select("__p", before.alias("__b"))  # one row a partition
+    inside = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
+    return rows.withColumn(out, inside).join(F.broadcast(shift), "__p").withColumn(out, F.col(out) + F.col("__b")).drop("__p", "__b")
+
+
+def rank_quantile(rows: DataFrame, col: str, share: float) -> DataFrame:
+    """One row: the value of ``col`` at 0-based rank round-half-even((n - 1) * share) of the rows that have one."""
+    rows = rows.filter(F.col(col).isNotNull()).select(col)
+    r = ranked(rows, [col], "__r")
+    n = r.agg(F.count(F.lit(1)).alias("__n"))
+    at = F.bround((F.col("__n") - 1) * F.lit(share)) + 1
+    return r.crossJoin(F.broadcast(n)).filter(F.col("__r") == at).agg(F.max(col).alias(col))  # one row
+
+
+def first_seen_tokens(rows: DataFrame, order: list[str], tokens: str = "tokens") -> DataFrame:
+    """token, place: each token once, in the order in which the rows (by ``order``) first show it."""
+    x = rows.select(*order, F.posexplode_outer(tokens).alias("__pos", "token")).filter("token IS NOT NULL")
+    first = x.groupBy("token").agg(F.min(F.struct(*order, "__pos")).alias("__first"))  # a vocabulary
+    return first.select("token", (F.row_number().over(Window.orderBy("__first")) - 1).alias("place"))

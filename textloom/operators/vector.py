@@ -20,9 +20,12 @@ def unit(v: Column) -> Column:
 def nearest(rows: DataFrame, key: str, vector: str, block: int = 2048, most: int = 50_000) -> DataFrame:
     """Each row's nearest other row by inner product: key, nn, cosine.
 
-    Up to ``most`` rows the matrix is broadcast.  Beyond, rows are dealt into blocks and each
-    pair of blocks is one group: no task holds more than two blocks.
+    Exact: all pairs are compared.  Up to ``most`` rows both sides are one group, in one task.
+    Beyond, rows are dealt into blocks and each pair of blocks is one group: no task holds more
+    than two blocks, and each row is sent to as many groups as there are blocks.  Rows without
+    a vector are nobody's neighbours and have none; a row alone has none.
     """
+    rows = rows.filter(F.col(vector).isNotNull())
     n = rows.count()
     parts = max(1, -(-n // (block if n > most else max(n, 1))))
     own = rows.select(F.col(key).alias("k"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("p"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import annotate, corpus, near, qc, report, sample, select, stats, vector
+from textloom.operators import analysis, annotate, corpus, near, qc, report, sample, select, stats, vector
+from textloom.operators.tables import new_path, settled
 from textloom.profile import LATIN, MAX_TOKENS, MAX_UNKNOWN, MIN_TOKENS, MIN_UNIQUE, WHITE
 from textloom.sources import readers, sinks
 
@@ -44,7 +45,12 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("doc_id", "lang", "source", T.content(T.tokenize(T.clean(F.col("text"), LATIN), LATIN), LATIN).alias("tokens"))
+    return docs(spark, d).select("doc_id", "lang", "source", T.once(T.content(T.tokenize(T.clean(F.col("text"), LATIN), LATIN), LATIN)).alias("tokens"))
+
+
+def lang_frequency(spark: SparkSession, d: str) -> DataFrame:
+    """lang, token, n: counted once, whatever is made of it."""
+    return settled(token_frequency(spark, d), "lang-frequency")
 
 
 def pool(spark: SparkSession, d: str) -> DataFrame:
@@ -129,12 +135,33 @@ def source_sectors(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", F.lit("sector").alias("axis"), T.sector_hint(F.col("source")).alias("hint"), T.sector_of(F.col("source")).alias("sector"), T.metadata_value(F.col("lang")).alias("lang_value"))
 
 
-@query()
+def _listed(tokens) -> str:
+    return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in tokens) + "]"
+
+
+@query(f"{_T}, v AS (SELECT unnest({_listed(LATIN.vocabulary)}) AS token, 3 + generate_subscripts({_listed(LATIN.vocabulary)}, 1) AS id), x AS (SELECT doc_id, unnest(tokens) AS token FROM t) SELECT doc_id, CAST(len(t.tokens) + 2 AS INT) AS n_ids, CAST(5 + coalesce(s, 0) AS BIGINT) AS id_sum FROM t LEFT JOIN (SELECT doc_id, sum(coalesce(id, 1)) AS s FROM x LEFT JOIN v USING (token) GROUP BY doc_id) USING (doc_id)")
 def token_ids(spark: SparkSession, d: str) -> DataFrame:
-    ids = T.to_ids(F.col("tokens"), list(LATIN.vocabulary))
+    ids = T.once(T.to_ids(F.col("tokens"), list(LATIN.vocabulary)))
     return doc_tokens(spark, d).select("doc_id", ids.alias("ids")).select("doc_id", F.size("ids").alias("n_ids"), F.aggregate("ids", F.lit(0).cast("long"), lambda s, x: s + x).alias("id_sum"))
 
 
+@query(f"{_T} SELECT token, CAST(row_number() OVER (ORDER BY doc_id, pos) - 1 AS INT) AS place FROM (SELECT token, min(doc_id) AS doc_id, arg_min(pos, (doc_id, pos)) AS pos FROM (SELECT doc_id, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token FROM t) GROUP BY token)")
+def first_seen_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return stats.first_seen_tokens(doc_tokens(spark, d), ["doc_id"])
+
+
+@query(f"{_T}, c2 AS (SELECT doc_id, clean FROM c) SELECT doc_id, sha256(clean) AS hash, CAST(len(tokens) AS INT) AS n_tokens, array_to_string(list_sort(list_distinct(tokens)), ' ') AS unique_tokens FROM t JOIN c2 USING (doc_id)")
+def retokenised(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with stale tokens, made anew."""
+    rows = docs(spark, d).select("doc_id", "text", F.array(F.lit("stale")).alias("tokens"), F.lit("stale").alias("hash"))
+    return corpus.retokenised(rows, LATIN, T.clean).select("doc_id", "hash", F.size("tokens").alias("n_tokens"), F.array_join("unique_tokens", " ").alias("unique_tokens"))
+
+
+@query("SELECT doc_id, strlen(text) <= 2000 AS sendable FROM documents")
+def sendable_texts(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "documents").select("doc_id", T.within_bytes(F.col("text"), 2000).alias("sendable"))
+
+
 # -- dedup, overlap ------------------------------------------------------------------------
 
 
@@ -193,7 +220,7 @@ def distribution_by_lang(spark: SparkSession, d: str) -> DataFrame:
 x AS (SELECT l.lang, g.token, coalesce(tf.n, 0) / sum(coalesce(tf.n, 0)) OVER (PARTITION BY l.lang) AS p, g.n / sum(g.n) OVER (PARTITION BY l.lang) AS q FROM l CROSS JOIN g LEFT JOIN tf ON tf.lang = l.lang AND tf.token = g.token)
 SELECT lang, round(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + q * log2(q / ((p + q) / 2))) / 2, 6) AS jsd FROM x GROUP BY lang""")
 def divergence_by_lang(spark: SparkSession, d: str) -> DataFrame:
-    f = token_frequency(spark, d)
+    f = lang_frequency(spark, d)
     return stats.divergence(f, f.groupBy("token").agg(F.sum("n").alias("n")), ["lang"])
 
 
@@ -239,7 +266,10 @@ def _inventory(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, LATIN.tokens(k) == [k]) for k in LATIN.selectable], "token string, emittable boolean")
 
 
-@query()
+_INV = f"v AS (SELECT unnest({_listed(LATIN.selectable)}) AS token, unnest([{', '.join('true' if LATIN.tokens(k) == [k] else 'false' for k in LATIN.selectable)}]) AS emittable)"
+
+
+@query(f"{_T}, {_INV}, n AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM t) GROUP BY token) SELECT token, emittable, CAST(coalesce(n, 0) AS BIGINT) AS n, coalesce(n, 0) > 0 AS observed FROM v LEFT JOIN n USING (token)")
 def vocabulary_coverage(spark: SparkSession, d: str) -> DataFrame:
     return stats.zero_filled(stats.token_frequency(doc_tokens(spark, d), []), _inventory(spark)).withColumn("observed", F.col("n") > 0)
 
@@ -280,30 +310,50 @@ def annotated_documents(spark: SparkSession, d: str) -> DataFrame:
 # -- sampling, selection -------------------------------------------------------------------
 
 
+# DuckDB needs no second pass; the document frequencies are counted from the same tokens
 @query(f"{_T}, df AS (SELECT token, count(*) AS n FROM (SELECT unnest(list_distinct(tokens)) AS token FROM t) GROUP BY token), x AS (SELECT doc_id, len(tokens) AS len, unnest(list_distinct(tokens)) AS token FROM t) SELECT doc_id, round(sum(1 / sqrt(n)) / sqrt(greatest(max(len), 1)), 6) AS priority FROM x JOIN df USING (token) GROUP BY doc_id")
 def rarity_priority(spark: SparkSession, d: str) -> DataFrame:
     rows = doc_tokens(spark, d)
-    return sample.priority(rows, "tokens", stats.token_frequency(rows, [], per_row=True), "doc_id")
+    return _priorities(settled(rows, "doc-tokens")).withColumn("priority", F.round("priority", 6))
 
 
-_PRI = ORACLE_SQL["rarity_priority"]
+def _priorities(rows: DataFrame) -> DataFrame:
+    """doc_id, priority of tokenised rows (a table); document frequencies are vocabulary-sized."""
+    return sample.priority(rows, "tokens", F.broadcast(settled(stats.token_frequency(rows, [], per_row=True), "doc-frequency")), "doc_id")
 
 
-@query(f"WITH pr AS ({_PRI}) SELECT doc_id, priority FROM pr ORDER BY priority DESC, doc_id DESC LIMIT 100")
+# the hash part against ties counts in orders and is rounded away in results
+_PRI = "SELECT doc_id, priority + CAST('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) / 281474976710656.0 * 1e-9 AS priority FROM (" + ORACLE_SQL["rarity_priority"] + ")"
+
+
+@query(f"WITH pr AS ({_PRI}) SELECT doc_id, round(priority, 6) AS priority FROM pr ORDER BY pr.priority DESC, doc_id DESC LIMIT 100")
 def top_priority(spark: SparkSession, d: str) -> DataFrame:
-    return sample.top(rarity_priority(spark, d), 100, F.desc("priority"), F.desc("doc_id"))
+    best = sample.top(_priorities(settled(doc_tokens(spark, d), "doc-tokens")), 100, F.desc("priority"), F.desc("doc_id"))
+    return best.withColumn("priority", F.round("priority", 6))
 
 
 @query(f"{_T}, pr AS ({_PRI}), x AS (SELECT doc_id, priority, unnest(list_distinct(tokens)) AS token FROM t JOIN pr USING (doc_id)) SELECT token, doc_id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY priority DESC, doc_id DESC) AS rank FROM x) WHERE rank <= 3")
 def top_per_token(spark: SparkSession, d: str) -> DataFrame:
-    rows = doc_tokens(spark, d).join(rarity_priority(spark, d), "doc_id")
+    rows = settled(doc_tokens(spark, d).select("doc_id", "tokens"), "doc-tokens")
+    rows = rows.join(_priorities(rows), "doc_id")
     return sample.top_per_token(rows, "tokens", 3, [F.desc("priority"), F.desc("doc_id")]).select("token", "doc_id", "rank")
 
 
-@query()
+_SHORT = f"""{_T}, pr AS ({_PRI}), x AS (SELECT doc_id, priority, unnest(list_distinct(tokens)) AS token FROM t JOIN pr USING (doc_id)),
+must AS (SELECT DISTINCT doc_id FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY priority DESC, doc_id DESC) AS rank FROM x) WHERE rank <= 2)"""
+
+
+@query(f"{_SHORT} SELECT doc_id, round(pr.priority, 6) AS priority, doc_id IN (SELECT doc_id FROM must) AS required FROM pr ORDER BY 3 DESC, pr.priority DESC, doc_id DESC LIMIT 500")
 def candidate_shortlist(spark: SparkSession, d: str) -> DataFrame:
-    rows = doc_tokens(spark, d).join(rarity_priority(spark, d), "doc_id")
-    return sample.shortlist(rows, "tokens", "doc_id", 2, 500).select("doc_id", "priority", "required")
+    rows = settled(doc_tokens(spark, d).select("doc_id", "tokens"), "doc-tokens")
+    short = sample.shortlist(settled(rows.join(_priorities(rows), "doc_id"), "doc-priorities"), "tokens", "doc_id", 2, 500)
+    return short.select("doc_id", F.round("priority", 6).alias("priority"), "required")
+
+
+@query(f"{_SHORT} SELECT doc_id, lang, source, sha256(text) AS hash FROM documents WHERE doc_id IN (SELECT doc_id FROM (SELECT doc_id FROM pr ORDER BY doc_id IN (SELECT doc_id FROM must) DESC, priority DESC, doc_id DESC LIMIT 500))")
+def hydrated_shortlist(spark: SparkSession, d: str) -> DataFrame:
+    rows = t(spark, d, "documents").select("doc_id", "lang", "source", F.sha2(F.col("text").cast("binary"), 256).alias("hash"))
+    return corpus.hydrated(candidate_shortlist(spark, d).select("doc_id"), rows, "doc_id")
 
 
 @query("SELECT doc_id, lang, source, CAST(k AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY sha256('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS k FROM documents) WHERE k <= 5")
@@ -373,10 +423,9 @@ _PAIRS = "WITH o AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, row_number
 
 @query(f"{_PAIRS} SELECT round(quantile_cont(cosine, 0.98), 6) AS t_2pc, round(quantile_cont(cosine, 0.99), 6) AS t_1pc, round(quantile_cont(cosine, 0.995), 6) AS t_05pc, round(avg(CASE WHEN cosine <= 0.1 THEN 1.0 ELSE 0.0 END), 6) AS below_01 FROM p")
 def similarity_thresholds(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.orderBy(sample.hash_order("vec_id", "7"), "vec_id")  # the calibration sample, bounded by the caller
-    o = t(spark, d, "embeddings").select("embedding", F.lead("embedding").over(w).alias("next")).filter("next is not null").select(vector.dot(F.col("embedding"), F.col("next")).alias("cosine"))
+    e = t(spark, d, "embeddings").select("vec_id", "embedding").withColumn("o", sample.hash_order("vec_id", "7"))
+    r = settled(stats.ranked(e, ["o", "vec_id"]), "calibration").select("r", "embedding")
+    o = r.join(r.select((F.col("r") - 1).alias("r"), F.col("embedding").alias("next")), "r").select(vector.dot(F.col("embedding"), F.col("next")).alias("cosine"))
     q = lambda f: F.round(F.percentile("cosine", F.lit(f)), 6)
     return o.agg(q(0.98).alias("t_2pc"), q(0.99).alias("t_1pc"), q(0.995).alias("t_05pc"), F.round(vector.percentile_of(F.lit(0.1) + F.col("cosine") * 0, F.col("cosine")), 6).alias("below_01"))
 
@@ -453,9 +502,13 @@ def spend_ledger(spark: SparkSession, d: str) -> DataFrame:
     return qc.spend(t(spark, d, "events"), "event_type", "value")
 
 
-@query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, CAST(ceil(strlen(text) / 15) AS BIGINT) AS seconds, round(strlen(text) * 0.000125, 6) AS cost FROM documents")
+@query(f"""{_T}, x AS (SELECT source, ceil(sum(strlen(text)) / 4) AS i, sum(len(tokens)) * 0.25 AS s FROM t JOIN (SELECT doc_id, text FROM documents) USING (doc_id) GROUP BY source), y AS (SELECT *, ceil(s * 25.0) AS a FROM x)
+SELECT source, CAST(i AS BIGINT) AS input_tokens, round(s, 4) AS seconds, CAST(a AS BIGINT) AS audio_tokens, round(i / 1e6 * 0.5, 8) AS input_cost, round(a / 1e6 * 10.0, 8) AS audio_cost, round(i / 1e6 * 0.5 + a / 1e6 * 10.0, 8) AS total_cost FROM y""")
 def cost_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("doc_id", *(v.alias(k) for k, v in qc.forecast(F.col("text"), 0.000125).items()))
+    """By source: a quarter of a second a token, 25 audio tokens a second."""
+    rows = docs(spark, d).select("source", "text", T.once(T.content(T.tokenize(T.clean(F.col("text"), LATIN), LATIN), LATIN)).alias("tokens"))
+    got = qc.forecast(rows, "text", "tokens", 0.25, 25.0, 0.5, 10.0, ["source"])
+    return got.select("source", "input_tokens", F.round("seconds", 4).alias("seconds"), "audio_tokens", *(F.round(c, 8).alias(c) for c in ("input_cost", "audio_cost", "total_cost")))
 
 
 @query()
@@ -471,3 +524,294 @@ def audition_plan(spark: SparkSession, d: str) -> DataFrame:
     x = t(spark, d, "documents")
     plan = x.select("source").distinct().crossJoin(x.select("lang").distinct())  # voices x texts: two small dimensions
     return plan.withColumn("slot", F.pmod(F.row_number().over(Window.orderBy("source", "lang")) - 1, F.lit(3)).cast("int"))
+
+
+# -- corpora side by side --------------------------------------------------------------------
+
+_BLANKED = "CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN ' ? ' ELSE text END"
+_NONE = "(" + ", ".join(f"'{k}'" for k in LATIN.vocabulary if not LATIN.has_letter(k)) + ")"
+
+
+def _n_letters(x: str) -> str:
+    return f"length(regexp_replace({x}, '[^{LATIN.letters}]', '', 'g'))"
+
+
+_REC = f"""WITH raw AS (SELECT doc_id, source AS corpus, {_BLANKED} AS text FROM documents), x AS (SELECT corpus, text, {_clean('text')} AS norm FROM raw),
+y AS (SELECT *, [k FOR k IN regexp_extract_all(norm, '{_PAT}') IF k NOT IN {_NONE}] AS tokens FROM x),
+rec AS (SELECT corpus, CASE WHEN text IS NULL THEN 'rejected' WHEN norm = '' THEN 'empty' ELSE 'usable' END AS status, norm, tokens, length(norm) AS n_chars, {_n_letters('norm')} AS n_letters, len(tokens) AS n_tokens,
+  greatest(0, {_n_letters('norm')} - {_n_letters("array_to_string(tokens, '')")}) AS n_unmatched FROM y),
+one AS (SELECT 'deduplicated' AS corpus, status, norm, any_value(tokens) AS tokens, any_value(n_chars) AS n_chars, any_value(n_letters) AS n_letters, any_value(n_tokens) AS n_tokens, any_value(n_unmatched) AS n_unmatched FROM rec WHERE status = 'usable' GROUP BY status, norm),
+every AS (SELECT corpus AS view, * EXCLUDE corpus FROM rec UNION ALL SELECT 'source_native', * EXCLUDE corpus FROM rec UNION ALL SELECT corpus, * EXCLUDE corpus FROM one),
+vf AS (SELECT view, token, count(*) AS n FROM (SELECT view, unnest(tokens) AS token FROM every WHERE status = 'usable') GROUP BY ALL)"""
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    """Records with some texts missing and some blank, by source."""
+    text = F.when(F.col("doc_id") % 13 == 0, F.lit(None)).when(F.col("doc_id") % 17 == 0, " ? ").otherwise(F.col("text"))
+    return analysis.records(docs(spark, d).withColumn("text", text), LATIN, "source", normalise=T.clean)
+
+
+def _vocabulary(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k,) for k in LATIN.vocabulary], "token string")
+
+
+@query(f"""{_REC} SELECT view, CAST(count(*) AS BIGINT) AS input, CAST(sum((status = 'usable')::INT) AS BIGINT) AS usable, CAST(sum((status = 'empty')::INT) AS BIGINT) AS empty, CAST(sum((status = 'rejected')::INT) AS BIGINT) AS rejected,
+CAST(sum(CASE WHEN status = 'usable' THEN n_tokens ELSE 0 END) AS BIGINT) AS tokens, CAST(sum(CASE WHEN status = 'usable' THEN n_letters ELSE 0 END) AS BIGINT) AS letters, CAST(sum(CASE WHEN status = 'usable' THEN n_unmatched ELSE 0 END) AS BIGINT) AS unmatched,
+round(sum(CASE WHEN status = 'usable' THEN n_unmatched ELSE 0 END) / sum(CASE WHEN status = 'usable' THEN n_letters ELSE 0 END), 8) AS unmatched_ratio FROM every GROUP BY view""")
+def view_counts(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.counts(settled(_records(spark, d), "records"))
+
+
+@query(f"""{_REC}, l AS (SELECT view, unnest(['n_chars', 'n_letters', 'n_tokens']) AS measure, unnest([n_chars, n_letters, n_tokens]) AS v FROM every WHERE status = 'usable')
+SELECT view, measure, CAST(count(*) AS BIGINT) AS rows, CAST(min(v) AS BIGINT) AS least, CAST(max(v) AS BIGINT) AS most, round(avg(v), 4) AS mean, CAST(quantile_disc(v, 0.5) AS BIGINT) AS median, CAST(quantile_disc(v, 0.95) AS BIGINT) AS p95, round(stddev_pop(v), 4) AS sd FROM l GROUP BY ALL""")
+def view_lengths(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.lengths(settled(_records(spark, d), "records"))
+
+
+@query(f"{_REC} SELECT view, token, CAST(n AS BIGINT) AS n FROM vf")
+def view_frequencies(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.frequencies(settled(_records(spark, d), "records"))
+
+
+@query(f"""{_REC}, w AS (SELECT *, row_number() OVER (PARTITION BY view ORDER BY n, token) AS i, row_number() OVER (PARTITION BY view ORDER BY n DESC, token) AS k, sum(n) OVER (PARTITION BY view) AS t, sum(n) OVER (PARTITION BY view ORDER BY n DESC, token ROWS UNBOUNDED PRECEDING) AS r FROM vf)
+SELECT view, CAST(count(*) AS BIGINT) AS types, CAST(max(t) AS BIGINT) AS total, round(stddev_pop(n) / avg(n), 4) AS cv, round(sum(-(n / t) * log2(n / t)), 6) AS entropy, round(sum(-(n / t) * log2(n / t)) / log2(count(*)), 6) AS entropy_share,
+round(greatest(0.0, 2.0 * sum(i * n) / (count(*) * max(t)) - (count(*) + 1) / count(*)), 6) AS gini, CAST(sum((n = 1)::INT) AS BIGINT) AS hapax, {', '.join(f"CAST(min(CASE WHEN round(r / t, 8) * 100 >= {p} - 1e-7 THEN k END) AS INT) AS top_{p}" for p in (50, 80, 90, 95, 99))},
+CAST({len(LATIN.vocabulary)} AS BIGINT) AS vocabulary, round(count(*) / {len(LATIN.vocabulary)}, 6) AS coverage, round(count(*) / {len(LATIN.vocabulary)} * 100, 4) AS coverage_pct, CAST({len(LATIN.vocabulary)} - count(*) AS BIGINT) AS unobserved FROM w GROUP BY view""")
+def analysis_summary(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.summary(view_frequencies(spark, d), _vocabulary(spark))
+
+
+@query(f"""{_REC}, v AS (SELECT unnest({_listed(LATIN.vocabulary)}) AS token), a AS (SELECT token, n, sum(n) OVER () AS t FROM vf WHERE view = 'source_native'), b AS (SELECT token, n, sum(n) OVER () AS t FROM vf WHERE view = 'deduplicated')
+SELECT token, CAST(coalesce(a.n, 0) AS BIGINT) AS native, CAST(coalesce(b.n, 0) AS BIGINT) AS deduplicated, round(coalesce(a.n / a.t, 0.0), 8) AS native_share, round(coalesce(b.n / b.t, 0.0), 8) AS deduplicated_share, CAST(coalesce(a.n, 0) - coalesce(b.n, 0) AS BIGINT) AS removed FROM v LEFT JOIN a USING (token) LEFT JOIN b USING (token)""")
+def native_vs_deduplicated(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.comparison(view_frequencies(spark, d), _vocabulary(spark))
+
+
+@query(f"{_REC}, w AS (SELECT *, row_number() OVER (PARTITION BY view ORDER BY n DESC, token) AS hi, row_number() OVER (PARTITION BY view ORDER BY n, token) AS lo FROM vf) SELECT view, true AS most, CAST(hi AS INT) AS rank, token, CAST(n AS BIGINT) AS n FROM w WHERE hi <= 20 UNION ALL SELECT view, false, CAST(lo AS INT), token, CAST(n AS BIGINT) FROM w WHERE lo <= 20")
+def view_extremes(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.extremes(settled(view_frequencies(spark, d), "view-frequencies"), ["view"])
+
+
+@query(f"{_REC}, k AS (SELECT token, count(DISTINCT view) AS v FROM vf WHERE view IN ('source_native', 'deduplicated') GROUP BY token) SELECT (SELECT count(*) FROM k WHERE v < 2) = 0 AS same_tokens")
+def union_check(spark: SparkSession, d: str) -> DataFrame:
+    f = settled(view_frequencies(spark, d), "view-frequencies")
+    return spark.createDataFrame([(analysis.same_tokens([f.filter(F.col("view") == v) for v in (analysis.NATIVE, analysis.UNION)]),)], "same_tokens boolean")
+
+
+@query(f"{_T}, df AS (SELECT token, count(*) AS n FROM (SELECT unnest(list_distinct(tokens)) AS token FROM t) GROUP BY token) SELECT (SELECT count(*) FROM t) AS records, CAST((SELECT count(*) FROM df) AS INT) AS unique_tokens, (SELECT string_agg(token, ' ' ORDER BY encode(token)) FROM df) AS tokens, (SELECT string_agg(token || ':' || n, ' ' ORDER BY encode(token)) FROM df) AS frequency")
+def source_inventory(spark: SparkSession, d: str) -> DataFrame:
+    got = analysis.inventory(settled(doc_tokens(spark, d), "doc-tokens"))
+    pairs = F.transform(F.map_entries("frequency"), lambda e: F.concat_ws(":", e["key"], e["value"]))
+    return got.select("records", "unique_tokens", F.array_join("tokens", " ").alias("tokens"), F.array_join(pairs, " ").alias("frequency"))
+
+
+@query(f"""{_TF}, g AS (SELECT token, sum(n) AS n FROM tf GROUP BY token), s AS (SELECT sum(n) AS t, count(*) AS k, greatest(1.0, sum(n) / count(*) / 10) AS lim FROM g)
+SELECT CAST(t AS BIGINT) AS total, CAST(k AS BIGINT) AS types, CAST({len(LATIN.selectable)} AS BIGINT) AS vocabulary, round((SELECT count(*) FROM g WHERE token IN {"(" + _listed(LATIN.selectable)[1:-1] + ")"}) / {len(LATIN.selectable)}, 4) AS coverage, round(lim, 1) AS rare_threshold, (SELECT count(*) FROM g, s s2 WHERE g.n < s2.lim) AS rare FROM s""")
+def rare_summary(spark: SparkSession, d: str) -> DataFrame:
+    f = settled(stats.token_frequency(doc_tokens(spark, d), []), "frequency")
+    return analysis.rare_summary(f, _inventory(spark))
+
+
+@query(f"{_S}, k AS (SELECT lang, n_tokens, row_number() OVER (PARTITION BY lang ORDER BY n_tokens) - 1 AS i, count(*) OVER (PARTITION BY lang) AS c FROM pool) SELECT lang, CAST(min(n_tokens) AS INT) AS least, CAST(max(n_tokens) AS INT) AS most, CAST(min(CASE WHEN i = c // 2 THEN n_tokens END) AS INT) AS median, round(avg(n_tokens), 1) AS mean FROM k GROUP BY lang")
+def length_medians(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.upper_median(pool(spark, d), ["lang"], "n_tokens")
+
+
+@query("""WITH f AS (SELECT 'lang' AS axis, unnest(['en', 'fr', 'de', 'es', 'it']) AS label, 20.0 AS ideal UNION ALL SELECT 'source_kind', unnest(['s0', 's1']), 50.0), x AS (SELECT 'lang' AS axis, lang AS label FROM documents UNION ALL SELECT 'source_kind', 's' || (doc_id % 2) FROM documents),
+y AS (SELECT axis, label, count(*) AS n, sum(count(*)) OVER (PARTITION BY axis) AS t FROM x GROUP BY axis, label), z AS (SELECT f.axis, f.label, coalesce(n, 0) AS n, ideal, round(abs(coalesce(n, 0) / max(t) OVER (PARTITION BY f.axis) * 100 - ideal), 4) AS deviation FROM f LEFT JOIN y ON y.axis = f.axis AND y.label = f.label)
+SELECT axis, label, CAST(n AS BIGINT) AS n, round(ideal, 4) AS ideal_pct, deviation, max(deviation) OVER (PARTITION BY axis) AS largest FROM z""")
+def balance_deviations(spark: SparkSession, d: str) -> DataFrame:
+    rows = t(spark, d, "documents").select("lang", F.concat(F.lit("s"), F.col("doc_id") % 2).alias("source_kind"))
+    return analysis.balance(rows, {"lang": [*LANGS, "it"], "source_kind": ["s0", "s1"]})
+
+
+@query(f"{_S}, u AS (SELECT hash, list_distinct(list(source)) AS corpora FROM pool GROUP BY hash) SELECT value, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(corpora) AS value FROM u) GROUP BY value")
+def source_memberships(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.memberships(corpus.priority_union(pool(spark, d), "source"), "corpora")
+
+
+@query(f"{_T}, targets AS (SELECT unnest({_listed(LATIN.selectable)}) AS token), held AS (SELECT DISTINCT unnest(tokens) AS token FROM t WHERE lang = 'es') SELECT token FROM targets WHERE token NOT IN (SELECT token FROM held)")
+def missing_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Vocabulary tokens that no Spanish document holds."""
+    return report.missing(_inventory(spark), doc_tokens(spark, d).filter("lang = 'es'"))
+
+
+@query(f"{_T}, a AS (SELECT DISTINCT unnest(tokens) AS token FROM t), b AS (SELECT DISTINCT unnest(tokens) AS token FROM t WHERE lang = 'en') SELECT token FROM a WHERE token NOT IN (SELECT token FROM b) AND token NOT IN ('é', 'ä')")
+def lost_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens of the corpus that its English part lacks, but for two allowed ones."""
+    f = lang_frequency(spark, d)
+    return report.lost_tokens(f.select("token", "n"), f.filter("lang = 'en'").select("token", "n"), ("é", "ä"))
+
+
+# -- scores of selections ----------------------------------------------------------------------
+
+
+@query(f"{_T}, f AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM t WHERE lang = 'en') GROUP BY token), x AS (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM t) SELECT doc_id, round(coalesce(sum(CASE WHEN token IS NOT NULL THEN greatest(0.0, 40.0 - coalesce(n, 0)) + CASE WHEN coalesce(n, 0) = 0 THEN 20.0 ELSE 0.0 END END), 0.0), 6) AS score FROM t LEFT JOIN x USING (doc_id) LEFT JOIN f USING (token) GROUP BY doc_id")
+def deficit_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Against what the English documents hold; half a target more for what they lack."""
+    rows = settled(doc_tokens(spark, d), "doc-tokens")
+    held = stats.token_frequency(rows.filter("lang = 'en'"), [])
+    return select.deficits(rows, "doc_id", "tokens", held, 40.0, 0.5).withColumn("score", F.round("score", 6))
+
+
+@query(f"{_T}, f AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM t WHERE lang = 'en') GROUP BY token) SELECT round(((SELECT sum(n) FROM f) + 300 * (SELECT avg(len(tokens)) FROM t WHERE len(tokens) > 0)) / greatest((SELECT count(*) FROM f), 600, 500), 6) AS target")
+def score_target(spark: SparkSession, d: str) -> DataFrame:
+    rows = settled(doc_tokens(spark, d), "doc-tokens")
+    held = stats.token_frequency(rows.filter("lang = 'en'"), [])
+    return select.score_target(held, rows.select(F.size("tokens").alias("len")), "len", 300, 600).select(F.round("target", 6).alias("target"))
+
+
+@query(f"""{_T}, f AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM t WHERE lang = 'en') GROUP BY token), g AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM t) GROUP BY token), tg AS (SELECT token, 500000.0 * sqrt(n) / (SELECT sum(sqrt(n)) FROM g) AS target FROM g),
+x AS (SELECT doc_id, token, count(*) AS amount FROM (SELECT doc_id, unnest(tokens) AS token FROM t) GROUP BY ALL), y AS (SELECT doc_id, sum(least(amount, greatest(0.0, coalesce(target, 0.0) - coalesce(n, 0))) / greatest(1.0, coalesce(target, 1.0))) AS s FROM x LEFT JOIN tg USING (token) LEFT JOIN f USING (token) GROUP BY doc_id)
+SELECT doc_id, round(coalesce(s, 0.0) / sqrt(greatest(1, len(tokens))), 6) AS gain FROM t LEFT JOIN y USING (doc_id)""")
+def balance_gain(spark: SparkSession, d: str) -> DataFrame:
+    rows = settled(doc_tokens(spark, d), "doc-tokens")
+    target = settled(stats.tempered(stats.token_frequency(rows, []), 500_000, places=None), "targets")
+    held = settled(stats.token_frequency(rows.filter("lang = 'en'"), []), "held")
+    return select.balance_gain(rows, "doc_id", "tokens", held, target).withColumn("gain", F.round("gain", 6))
+
+
+@query("WITH s AS (SELECT * FROM documents WHERE doc_id % 3 = 0), a AS (SELECT lang AS v, count(*) AS n FROM s GROUP BY 1), b AS (SELECT source AS v, count(*) AS n FROM s GROUP BY 1) SELECT doc_id, round((1 / (1 + coalesce(a.n, 0)) + 1 / (1 + coalesce(b.n, 0))) / 2, 8) AS novelty, CAST(-(coalesce(a.n, 0) + coalesce(b.n, 0)) AS BIGINT) AS scarcity FROM documents d LEFT JOIN a ON a.v = d.lang LEFT JOIN b ON b.v = d.source")
+def metadata_scores(spark: SparkSession, d: str) -> DataFrame:
+    rows = t(spark, d, "documents").select("doc_id", "lang", "source")
+    counts = stats.breakdown(rows.filter("doc_id % 3 = 0"), ["lang", "source"])
+    return select.metadata_scores(rows, "doc_id", ["lang", "source"], counts).withColumn("novelty", F.round("novelty", 8))
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unselected_documents(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.unselected(t(spark, d, "documents").select("doc_id", "lang"), t(spark, d, "labels"), "doc_id")
+
+
+# -- speech jobs judged together ---------------------------------------------------------------
+
+_J = """j AS (SELECT 'job_' || doc_id AS job_id, 'u' || (doc_id // 3) AS uid, CASE WHEN doc_id % 3 = 0 THEN 'canonical' ELSE 'regeneration_' || (doc_id % 3) END AS realisation, doc_id % 5 = 0 AS rare, n_chars, doc_id FROM documents WHERE doc_id % 7 < 4),
+p AS (SELECT job_id, n_chars % 11 <> 0 AS cpu_pass FROM j WHERE n_chars % 29 <> 0), a AS (SELECT job_id, (n_chars % 97) / 240.0 AS cer, (n_chars % 89) / 140.0 AS wer, 1 - (n_chars % 3) / 20.0 AS recall FROM j WHERE n_chars % 23 <> 0), b AS (SELECT job_id, (n_chars % 83) / 240.0 AS cer, 1 - (n_chars % 4) / 20.0 AS recall FROM j WHERE n_chars % 4 <> 3),
+x AS (SELECT j.*, p.job_id IS NOT NULL AS hp, coalesce(cpu_pass, false) AS cpu_pass, a.job_id IS NOT NULL AS ha, coalesce(a.cer, 1.0) AS cer, coalesce(a.wer, 1.0) AS wer, coalesce(a.recall, 0.0) AS ra, b.job_id IS NOT NULL AS hb, coalesce(b.recall, 0.0) AS rb FROM j LEFT JOIN p USING (job_id) LEFT JOIN a USING (job_id) LEFT JOIN b USING (job_id)),
+v AS (SELECT *, [r FOR r IN [CASE WHEN NOT cpu_pass THEN 'cpu_qc' END, CASE WHEN NOT ha THEN 'missing_whisper' WHEN cer > 0.35 OR wer > 0.6 THEN 'whisper_accuracy' END, CASE WHEN ha AND NOT hb AND (cer > 0.35 OR abs(cer - 0.35) <= 0.05) THEN 'missing_mms_disputed' END,
+  CASE WHEN rare AND NOT hb THEN 'missing_mms' WHEN rare AND rb < 1 THEN 'mms_rare_recall' END, CASE WHEN rare AND ha AND ra < 1 THEN 'whisper_rare_recall' END] IF r IS NOT NULL] AS reasons FROM x)"""
+
+
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    n, i = F.col("n_chars"), F.col("doc_id")
+    jobs = t(spark, d, "documents").filter("doc_id % 7 < 4").select(
+        F.concat(F.lit("job_"), i).alias("job_id"), F.concat(F.lit("u"), F.floor(i / 3)).alias("uid"), F.when(i % 3 == 0, "canonical").otherwise(F.concat(F.lit("regeneration_"), i % 3)).alias("realisation"),
+        F.when(i % 5 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("required_rare"), "n_chars",
+    )
+    cpu = jobs.filter(n % 29 != 0).select("job_id", (n % 11 != 0).alias("cpu_pass"), F.lit("h").alias("audio_sha256"), F.lit(1.0).alias("duration_seconds"))
+    first = jobs.filter(n % 23 != 0).select("job_id", (n % 97 / 240.0).alias("cer"), (n % 89 / 140.0).alias("wer"), (1 - n % 3 / 20.0).alias("recall"))
+    second = jobs.filter(n % 4 != 3).select("job_id", (n % 83 / 240.0).alias("cer"), F.lit(0.0).alias("wer"), (1 - n % 4 / 20.0).alias("recall"))
+    return settled(qc.verdicts(jobs, cpu, first, second), "judged")
+
+
+@query(f"WITH {_J} SELECT job_id, array_to_string(reasons, ',') AS reasons, len(reasons) = 0 AS accepted FROM v")
+def joined_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return _judged(spark, d).select("job_id", F.array_join("reasons", ",").alias("reasons"), "accepted")
+
+
+@query(f"WITH {_J} SELECT uid, job_id FROM (SELECT uid, job_id, row_number() OVER (PARTITION BY uid ORDER BY cer, job_id) AS k FROM v WHERE len(reasons) = 0) WHERE k = 1")
+def canonical_recordings(spark: SparkSession, d: str) -> DataFrame:
+    return qc.canonical(_judged(spark, d), "uid").select("uid", "job_id")
+
+
+@query(f"WITH {_J}, f AS (SELECT uid, max(CASE WHEN realisation = 'canonical' THEN 0 ELSE CAST(right(realisation, 1) AS INT) END) + 1 AS attempt, max(job_id) AS failed_job_id FROM v WHERE uid NOT IN (SELECT uid FROM v WHERE len(reasons) = 0) GROUP BY uid) SELECT uid, attempt, failed_job_id FROM f WHERE attempt <= 2")
+def regeneration_requests(spark: SparkSession, d: str) -> DataFrame:
+    judged = _judged(spark, d)
+    return qc.regenerations(judged.select("uid"), judged, "uid")
+
+
+@query("WITH x AS (SELECT 'voice' AS axis, lang AS value FROM documents UNION ALL SELECT 'style', CASE WHEN n_chars < 500 THEN 'neutral' ELSE 'formal' END FROM documents UNION ALL SELECT 'source', source FROM documents UNION ALL SELECT 'source', 'all' FROM documents UNION ALL SELECT 'label.parity', CAST(doc_id % 2 AS VARCHAR) FROM documents) SELECT axis, value, CAST(count(*) AS BIGINT) AS n FROM x GROUP BY ALL")
+def final_counts(spark: SparkSession, d: str) -> DataFrame:
+    rows = t(spark, d, "documents").select(F.col("lang").alias("voice"), F.when(F.col("n_chars") < 500, "neutral").otherwise("formal").alias("style"), F.array("source", F.lit("all")).alias("sources"), F.create_map(F.lit("parity"), (F.col("doc_id") % 2).cast("string")).alias("labels"))
+    return report.final_counts(rows, "sources", ["voice", "style"], "labels")
+
+
+@query(f"{_T}, f AS (SELECT DISTINCT unnest(tokens) AS token FROM t) SELECT CAST((SELECT sum(len(tokens)) FROM t) AS BIGINT) AS tokens, (SELECT count(*) FROM f) AS types, CAST({len(LATIN.selectable)} AS BIGINT) AS inventory, true AS reconciled, round((SELECT sum(n_chars / 15.0) FROM documents) / 3600, 6) AS hours, (SELECT count(*) FROM documents WHERE doc_id % 10 = 0) AS exceptions")
+def final_totals(spark: SparkSession, d: str) -> DataFrame:
+    more = t(spark, d, "documents").select("doc_id", (F.col("n_chars") / 15.0).alias("seconds"), (F.col("doc_id") % 10 == 0).alias("exception"))
+    return report.final_totals(settled(doc_tokens(spark, d).join(more, "doc_id"), "final"), "tokens", _inventory(spark), "seconds", "exception")
+
+
+# -- files written and read again ----------------------------------------------------------------
+
+
+@query("SELECT doc_id, sha256(text) AS hash, lang FROM documents UNION ALL SELECT -1, NULL, NULL")
+def jsonl_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """JSON lines in shards and a blank line, which is an empty record."""
+    path = new_path(spark, "jsonl")
+    sinks.jsonl(t(spark, d, "documents").select("doc_id", "text", "lang"), path, per_file=300)
+    spark.createDataFrame([(" \t ",)], "value string").write.mode("append").text(path)
+    return readers.read(spark, "jsonl", path, schema="doc_id long, text string, lang string").select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), F.sha2(F.col("text").cast("binary"), 256).alias("hash"), "lang")
+
+
+@query("SELECT o_orderkey, 'b7_' || lpad(CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS VARCHAR), 8, '0') AS id, 'b7' AS batch_id FROM orders WHERE o_orderkey % 4 = 0")
+def batch_files(spark: SparkSession, d: str) -> DataFrame:
+    path = new_path(spark, "batch")
+    sinks.batch(t(spark, d, "orders").filter("o_orderkey % 4 = 0").select("o_orderkey"), ["o_orderkey"], "b7", path)
+    return readers.jsonl(spark, path, "o_orderkey long, id string, batch_id string", keep_blank=False)
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS line, CAST(c_custkey AS VARCHAR) AS text FROM customer QUALIFY line NOT BETWEEN 5 AND 9")
+def numbered_lines(spark: SparkSession, d: str) -> DataFrame:
+    path = new_path(spark, "lines")
+    t(spark, d, "customer").orderBy("c_custkey").select(F.col("c_custkey").cast("string").alias("value")).coalesce(1).write.text(path)
+    return readers.text_lines(spark, path, skip=((5, 9),)).select(F.col("line").cast("long").alias("line"), "text")
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer ORDER BY c_custkey LIMIT 40")
+def first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The first rows of a file, by their place in it."""
+    path = new_path(spark, "rows")
+    t(spark, d, "customer").select("c_custkey", "c_nationkey").orderBy("c_custkey").coalesce(1).write.parquet(path)
+    return readers.read(spark, "parquet", path, 40, columns=["c_custkey", "c_nationkey"])
+
+
+@query("SELECT 'p' AS corpus, sha256(text) AS hash, lang AS kind FROM documents UNION ALL SELECT 'j', sha256(text), CAST(conv_id AS VARCHAR) FROM conversations")
+def configured_corpora(spark: SparkSession, d: str) -> DataFrame:
+    """A configuration of a Parquet and a JSON-lines corpus, with metadata under names of its own."""
+    path = new_path(spark, "corpus")
+    sinks.jsonl(t(spark, d, "conversations"), path)
+    found = readers.corpora({"corpora": [
+        {"name": "P", "slug": "p", "kind": "parquet", "path": "documents.parquet", "metadata_columns": {"kind": "lang"}},
+        {"name": "J", "slug": "j", "kind": "jsonl", "path": path, "metadata_columns": {"kind": "conv_id"}},
+    ]})
+    rows = readers.union_in_order([(c.slug, c.rows(spark, d)) for c in found])
+    return rows.select("corpus", F.sha2(F.col("text").cast("binary"), 256).alias("hash"), F.element_at("metadata", "kind").alias("kind"))
+
+
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS key, CAST(n_regionkey AS VARCHAR) AS value FROM nation")
+def index_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    path = new_path(spark, "index")
+    sinks.index(t(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("k"), F.col("n_regionkey").cast("string").alias("v")), "k", "v", path)
+    return readers.index(spark, path)
+
+
+@query(f"{_TF} SELECT lang, token, CAST(n AS BIGINT) AS n FROM tf WHERE n >= 5")
+def frequency_file(spark: SparkSession, d: str) -> DataFrame:
+    path = new_path(spark, "frequency")
+    sinks.frequency_table(token_frequency(spark, d), path)
+    return readers.parquet(spark, path, ["lang", "token", "n"]).filter("n >= 5")
+
+
+@query("SELECT DISTINCT p_name AS token FROM (SELECT CAST(p_partkey % 500 AS VARCHAR) AS p_name FROM part)")
+def vocabulary_file(spark: SparkSession, d: str) -> DataFrame:
+    path = new_path(spark, "vocabulary")
+    sinks.text_list(t(spark, d, "part").select((F.col("p_partkey") % 500).cast("string").alias("v")).distinct(), "v", path)
+    return spark.createDataFrame([(v,) for v in readers.vocabulary(spark, path)], "token string")
+
+
+@query("SELECT DISTINCT 'x' || (o_orderkey % 700) AS hash FROM orders")
+def hash_file(spark: SparkSession, d: str) -> DataFrame:
+    path = new_path(spark, "hashes")
+    t(spark, d, "orders").select(F.concat(F.lit("  x"), F.col("o_orderkey") % 700, F.lit("\tmore")).alias("value")).write.text(path)
+    return readers.hashes(spark, path)
+
+
+@query("SELECT 'f' || o_orderkey AS file_id, 's' || (o_custkey % 40) AS speaker_id, 'said\t' || o_orderstatus AS transcript FROM orders WHERE o_orderkey % 8 <> 0")
+def speaker_file(spark: SparkSession, d: str) -> DataFrame:
+    """A header, transcripts with a tab and rows without a speaker, which are passed over."""
+    path = new_path(spark, "speakers")
+    rows = t(spark, d, "orders").select("o_orderkey", F.concat_ws("\t", F.concat(F.lit("f"), "o_orderkey"), F.when(F.col("o_orderkey") % 8 != 0, F.concat(F.lit("s"), F.col("o_custkey") % 40)).otherwise(" "), F.lit("said"), "o_orderstatus").alias("value"))
+    head = spark.createDataFrame([(-1, "File_id\tspeaker\ttext")], "o_orderkey long, value string")
+    head.unionByName(rows).orderBy("o_orderkey").select("value").coalesce(1).write.text(path)
+    return readers.speakers(spark, path)

@@ -57,6 +57,10 @@ class Profile:
         """
         return trie_pattern(t for t in self.vocabulary if t and len(t) <= self.reach)
 
+    def has_letter(self, token: str) -> bool:
+        letters = re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: re.escape(chr(int(m[1], 16))), self.letters)
+        return bool(re.search(f"[{letters}]", token))
+
     def tokens(self, text: str) -> list[str]:
         """Driver-side tokenisation of short strings (vocabularies, tests)."""
         return re.findall(self.pattern, text)
@@ -106,9 +110,14 @@ LATIN_CODAS = ("", "n", "r", "s", "t", "l")
 
 
 def devanagari_vocabulary() -> tuple[str, ...]:
-    """Every onset bare, halved, nasal or with repha, and with each vowel sign likewise."""
-    rimes = [m + v + n for v in ("", *DEVA_VOWEL_SIGNS) for m in ("", DEVA_REPHA) for n in ("", DEVA_NASAL)]
-    return syllables(DEVA_ONSETS, (*rimes, DEVA_HALANT), DEVA_VOWELS + DEVA_EXTRAS + DEVA_DIGITS)
+    """Every onset bare, halved, nasal or with repha, and with each vowel sign likewise.
+
+    The order is part of the vocabulary, since ids follow it: bare, halved, nasal, repha, and
+    with each sign bare and nasal before repha; the halved form stands in its first place only.
+    """
+    with_sign = [m + v + n for v in DEVA_VOWEL_SIGNS for m in ("", DEVA_REPHA) for n in ("", DEVA_NASAL)]
+    bare = ("", DEVA_HALANT, DEVA_NASAL, DEVA_REPHA, DEVA_REPHA + DEVA_NASAL)
+    return syllables(DEVA_ONSETS, (*bare, *with_sign), DEVA_VOWELS + DEVA_EXTRAS + DEVA_DIGITS)
 
 
 def latin_vocabulary() -> tuple[str, ...]:

@@ -4,43 +4,84 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from textloom.functions import text as T
+from textloom.profile import WHITE
 
-def parquet(spark: SparkSession, path: str, columns: list[str] | None = None, skip_corrupt: bool = False) -> DataFrame:
+
+def _first(rows: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """The first rows by file and place; a limit of 0 or less is none."""
+    return rows.orderBy(*order).limit(limit) if limit > 0 else rows
+
+
+def parquet(spark: SparkSession, path: str | list[str], columns: list[str] | None = None, skip_corrupt: bool = False, limit: int = 0) -> DataFrame:
     """Projected scan; missing columns are an error before any row is read."""
-    df = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path)
+    df = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(*([path] if isinstance(path, str) else path))
     if missing := set(columns or []) - set(df.columns):
         raise ValueError(f"columns not found: {sorted(missing)}")
-    return df.select(*columns) if columns else df
+    names = columns or df.columns
+    if limit <= 0:
+        return df.select(*names)
+    at = {"__file": F.col("_metadata.file_path"), "__at": F.col("_metadata.row_index")}
+    return _first(df.select(*names, *(v.alias(k) for k, v in at.items())), list(at), limit).select(*names)
 
 
-def jsonl(spark: SparkSession, path: str, schema: str, keep_blank: bool = True) -> DataFrame:
-    """One object a line; a blank line is an empty record, anything malformed an error."""
-    lines = spark.read.text(path)
-    blank = F.trim("value") == ""
+def articles(spark: SparkSession, path: str, split: str = "", shards: int = 0, limit: int = 0) -> DataFrame:
+    """text, source of Parquet shards with Article and Source, whose names begin with ``split``;
+    the first ``shards`` of them by name (0: all).  Unreadable shards are passed over; no shard is an error."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path, f"{split}*.parquet")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
+    files = sorted(f.getPath().toString() for f in found)
+    files = files[:shards] if shards > 0 else files
+    if not files:
+        raise FileNotFoundError(f"no shards {split}*.parquet at {path}")
+    rows = spark.read.schema("Article string, Source string").option("ignoreCorruptFiles", "true").parquet(*files)
+    at = {"__file": F.col("_metadata.file_path"), "__at": F.col("_metadata.row_index")}
+    rows = rows.select(F.col("Article").alias("text"), F.col("Source").alias("source"), *(v.alias(k) for k, v in at.items()))
+    return _first(rows, list(at), limit).select("text", "source")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, file, block (where its split begins) and at (rising within the split)."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+
+
+def jsonl(spark: SparkSession, path: str, schema: str, keep_blank: bool = True, limit: int = 0) -> DataFrame:
+    """One object a line; a blank line (white space alone) is an empty record, anything malformed an error."""
+    lines = _lines(spark, path)
+    blank = T.compact(F.col("value")) == ""
     if not keep_blank:
         lines = lines.filter(~blank)
+    lines = _first(lines, ["file", "block", "at"], limit)
     return lines.select(F.when(~blank, F.from_json("value", schema, {"mode": "FAILFAST"})).alias("r")).select("r.*")
 
 
-def text_lines(spark: SparkSession, path: str, skip: tuple[tuple[int, int], ...] = ()) -> DataFrame:
-    """file, line (from 1), text without its line end; ``skip`` lists ranges of lines."""
-    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "text"))
-    rows = rows.select("file", (F.col("n") + 1).alias("line"), F.regexp_replace("text", "[\r\n]+$", "").alias("text"))
+def text_lines(spark: SparkSession, path: str, skip: tuple[tuple[int, int], ...] = (), limit: int = 0) -> DataFrame:
+    """file, line (from 1), text without its line end; ``skip`` lists ranges of lines.
+
+    Files are split as Spark splits them: lines are numbered within a split and shifted by the
+    lines of the splits before it, so a large file is many tasks' work."""
+    rows = _lines(spark, path)
+    w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n")).select("file", "block", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
+    rows = rows.withColumn("line", F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))).join(shift, ["file", "block"])
+    rows = rows.select("file", (F.col("line") + F.col("before")).alias("line"), F.regexp_replace("value", "[\r\n]+$", "").alias("text"))
     for a, b in skip:
         rows = rows.filter(~F.col("line").between(a, b))
-    return rows
+    return _first(rows, ["file", "line"], limit)
 
 
-def book(spark: SparkSession, path: str, skip: tuple[tuple[int, int], ...] = ((1, 1), (782, 786))) -> DataFrame:
+def book(spark: SparkSession, path: str, skip: tuple[tuple[int, int], ...] = ((1, 1), (782, 786)), limit: int = 0) -> DataFrame:
     """Text lines without their page marks (a slash and digits)."""
-    return text_lines(spark, path, skip).withColumn("text", F.regexp_replace("text", "/[०-९]+", ""))
+    return text_lines(spark, path, skip, limit).withColumn("text", F.regexp_replace("text", "/[०-९]+", ""))
 
 
 def paragraphs_by_pattern(pages: DataFrame, html: str, keep: list[str]) -> DataFrame:
@@ -84,6 +125,28 @@ def paragraphs(pages: DataFrame, html: str, keep: list[str]) -> DataFrame:
     return pages.select(*keep, F.posexplode(_paragraphs(html)).alias("pos", "text"))
 
 
+def html_paragraphs(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
+    """file, pos, text of the paragraphs of HTML files; none at all is an error."""
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    rows = paragraphs(pages, "value", ["file"])
+    if rows.isEmpty():
+        raise ValueError(f"no paragraphs in {path}")
+    return _first(rows, ["file", "pos"], limit)
+
+
+def stripped_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, text: lines without white space around them; blank ones are passed over."""
+    return text_lines(spark, path).withColumn("text", F.regexp_replace("text", f"^[{WHITE}]+|[{WHITE}]+$", "")).filter("text <> ''")
+
+
+def hashes(spark: SparkSession, path: str) -> DataFrame:
+    """hash: the first field of each line, once; a file that is not there holds none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], "hash string")
+    return spark.read.text(path).select(F.get(F.split(T.compact(F.col("value")), " "), F.lit(0)).alias("hash")).filter("hash <> ''").distinct()
+
+
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """The third field of each tab-separated line, else the last; distinct, sorted."""
     f = F.split("value", "\t")
@@ -91,10 +154,15 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def speakers(spark: SparkSession, path: str) -> DataFrame:
-    """file_id, speaker_id, transcript; a line with fewer than three fields is an error."""
-    rows = spark.read.text(path).filter(F.trim("value") != "").select(F.split("value", "\t", 3).alias("f"))
-    rows = rows.filter(F.col("f")[0] != "file_id").withColumn("ok", F.assert_true(F.size("f") >= 3, F.lit("three fields are needed")))
-    return rows.filter(F.col("ok").isNull()).select(F.col("f")[0].alias("file_id"), F.col("f")[1].alias("speaker_id"), F.trim(F.col("f")[2]).alias("transcript")).filter("transcript <> ''")
+    """file_id, speaker_id, transcript, trimmed; rows that lack one are passed over.  A line with
+    fewer than three fields is an error; the first line of a file is a header if its first
+    field speaks of a file.  Tabs beyond the second belong to the transcript."""
+    rows = text_lines(spark, path).filter(T.compact(F.col("text")) != "").select("line", F.split(F.regexp_replace("text", "^\ufeff", ""), "\t", 3).alias("f"))
+    header = (F.col("line") == 1) & F.lower(F.col("f")[0]).contains("file")
+    rows = rows.filter(~header).withColumn("ok", F.assert_true(F.size("f") >= 3, F.lit("three fields are needed")))
+    part = lambda i: F.regexp_replace(F.col("f")[i], f"^[{WHITE}]+|[{WHITE}]+$", "")
+    rows = rows.filter(F.col("ok").isNull()).select(part(0).alias("file_id"), part(1).alias("speaker_id"), part(2).alias("transcript"))
+    return rows.filter("file_id <> '' AND speaker_id <> '' AND transcript <> ''")
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -193,13 +261,63 @@ def validated(spark: SparkSession, name: str, kind: str, path: str, columns: tup
     return {"name": name, "kind": kind, "files": len(found), "bytes": sum(f.getLen() for f in found)}
 
 
-KINDS = {"parquet": parquet, "jsonl": jsonl, "text": text_lines, "book": book}
+KINDS = {"parquet": parquet, "jsonl": jsonl, "text_lines": text_lines, "text": text_lines, "html_paragraphs": html_paragraphs, "book": book, "articles": articles}
 
 
 def read(spark: SparkSession, kind: str, path: str, limit: int = 0, **options) -> DataFrame:
-    """Dispatch by kind; ``limit`` of 0 or less reads everything."""
-    rows = KINDS[kind](spark, path, **options)
-    return rows.limit(limit) if limit > 0 else rows
+    """Dispatch by kind; the first ``limit`` rows by file and place, all if it is 0 or less."""
+    if kind not in KINDS:
+        raise ValueError(f"unknown kind {kind!r}")
+    return KINDS[kind](spark, path, limit=limit, **options)
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """A corpus of a configuration; unknown keys are ignored."""
+
+    name: str
+    slug: str
+    kind: str
+    path: str
+    text_column: str = "text"
+    file_glob: str = "**/*.parquet"
+    metadata_columns: dict[str, str] = field(default_factory=dict)
+
+    def rows(self, spark: SparkSession, root: str = "", limit: int = 0) -> DataFrame:
+        """corpus (the slug), text and metadata (a map, by the names that the configuration gives)."""
+        path = self.path if "://" in self.path or self.path.startswith("/") or not root else f"{root.rstrip('/')}/{self.path}"
+        columns = list(dict.fromkeys([self.text_column, *self.metadata_columns.values()]))
+        if self.kind == "jsonl":
+            got = read(spark, "jsonl", path, limit, schema=", ".join(f"`{c}` string" for c in columns))
+        else:
+            got = read(spark, self.kind, path, limit, **({"columns": columns} if self.kind == "parquet" else {}))
+        entries = [x for k, c in self.metadata_columns.items() if c in got.columns for x in (F.lit(k), F.col(c).cast("string"))]
+        metadata = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
+        return got.select(F.lit(self.slug).alias("corpus"), F.col(self.text_column if self.text_column in got.columns else "text").alias("text"), metadata.alias("metadata"))
+
+
+def corpora(config: dict) -> list[Corpus]:
+    """The corpora of a configuration, in its order.  None, one without name, slug, kind or path,
+    an unknown kind or a slug that comes twice is an error."""
+    found = []
+    for item in (config or {}).get("corpora") or []:
+        if lacking := sorted({"name", "slug", "kind", "path"} - set(item)):
+            raise ValueError(f"a corpus lacks {', '.join(lacking)}")
+        if item["kind"] not in KINDS:
+            raise ValueError(f"{item['name']}: unknown kind {item['kind']!r}")
+        found.append(Corpus(**{k: v for k, v in item.items() if k in Corpus.__dataclass_fields__}))
+    if not found:
+        raise ValueError("no corpora are configured")
+    if len({c.slug for c in found}) < len(found):
+        raise ValueError("slugs of corpora must be unique")
+    return found
+
+
+def load_corpora(spark: SparkSession, path: str) -> list[Corpus]:
+    """``corpora`` of a YAML file, wherever Spark can read it."""
+    import yaml
+
+    return corpora(yaml.safe_load("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())))  # one file
 
 
 def union_in_order(sources: list[tuple[str, DataFrame]]) -> DataFrame:

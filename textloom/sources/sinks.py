@@ -37,8 +37,20 @@ def text_list(rows: DataFrame, col: str, path: str) -> None:
     rows.select(F.col(col).alias("value")).orderBy("value").coalesce(1).write.mode("overwrite").text(path)
 
 
+def batch(rows: DataFrame, order: list[str], batch_id: str, path: str, per_file: int = 50_000) -> None:
+    """JSON lines with gapless ids in ``order`` and the batch that they belong to."""
+    jsonl(numbered(rows, order, "id", f"{batch_id}_").withColumn("batch_id", F.lit(batch_id)), path, per_file)
+
+
 def index(rows: DataFrame, key: str, value: str, path: str) -> None:
-    rows.select(F.concat_ws(" ", key, value).alias("value")).write.mode("overwrite").text(path)
+    """``key value`` lines, written beside their place and then renamed: a reader sees all or the old ones."""
+    spark = rows.sparkSession
+    rows.select(F.concat_ws(" ", key, value).alias("value")).write.mode("overwrite").text(f"{path}.tmp")
+    at, beside = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.tmp"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(at, True)
+    if not fs.rename(beside, at):
+        raise OSError(f"could not rename to {path}")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
