@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Rules = dict[str, dict[str, list[str]]]
@@ -16,11 +16,12 @@ LATIN_RULES: Rules = {
 }
 
 
-def load_rules(path: str) -> Rules:
+def load_rules(path: str, spark: SparkSession) -> Rules:
+    """Rules of a YAML file, wherever Spark can read it."""
     import yaml
 
-    with open(path, encoding="utf-8") as f:
-        return {a: {k: [str(p) for p in v or []] for k, v in labels.items()} for a, labels in yaml.safe_load(f).items()}
+    content = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())  # one file
+    return {a: {k: [str(p) for p in v or []] for k, v in (labels or {}).items()} for a, labels in (yaml.safe_load(content) or {}).items()}
 
 
 def any_of(text: Column, patterns: list[str]) -> Column:
@@ -69,5 +70,11 @@ def annotate(rows: DataFrame, text: str, hint: str, rules: Rules) -> DataFrame:
     return rows.withColumns({"tense": tense(t, rules), "polarity": polarity(t, rules), "gender": gender(t, rules), "sector": sector(t, h, rules)})
 
 
+def label_counts(rows: DataFrame, axes: list[str]) -> DataFrame:
+    """axis, label, n; a null label is unknown."""
+    pairs = F.array(*(F.struct(F.lit(a).alias("axis"), F.coalesce(F.col(a).cast("string"), F.lit("unknown")).alias("label")) for a in axes))
+    return rows.select(F.explode(pairs).alias("x")).groupBy("x.axis", "x.label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def annotated(rows: DataFrame) -> bool:
     return {"tense", "polarity", "gender", "sector"} <= set(rows.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.tables import settled
 from textloom.profile import MAX_TOKENS, MAX_UNKNOWN, MIN_TOKENS, MIN_UNIQUE, Profile
 
 
@@ -21,8 +22,9 @@ def sentences(docs: DataFrame, profile: Profile, raw_first: bool = False, keep:
 def measured(rows: DataFrame, profile: Profile, col: str = "sentence") -> DataFrame:
     """Adds tokens, n_tokens, n_unique, unknown and reason (null: accepted)."""
     rows = rows.withColumn("__all", T.once(T.tokenize(F.col(col), profile))).withColumn("tokens", T.content(F.col("__all"), profile))
-    rows = rows.withColumn("n_tokens", F.size("tokens")).withColumn("n_unique", F.size(F.array_distinct("tokens"))).withColumn("unknown", T.unknown_ratio(F.col(col), F.col("__all")))
-    return rows.drop("__all").withColumn("reason", T.quality_reason(F.col("n_tokens"), F.col("n_unique"), F.col("unknown"), MIN_TOKENS, MAX_TOKENS, MIN_UNIQUE, MAX_UNKNOWN))
+    one = F.struct(F.size("tokens").alias("n_tokens"), F.size(F.array_distinct("tokens")).alias("n_unique"), T.unknown_ratio(F.col(col), F.col("__all")).alias("unknown"))
+    rows = rows.withColumn("__m", T.once(one)).select(*(c for c in rows.columns if c != "__all"), "__m.*")
+    return rows.withColumn("reason", T.quality_reason(F.col("n_tokens"), F.col("n_unique"), F.col("unknown"), MIN_TOKENS, MAX_TOKENS, MIN_UNIQUE, MAX_UNKNOWN))
 
 
 def pool(docs: DataFrame, profile: Profile) -> DataFrame:
@@ -43,7 +45,7 @@ def priority_union(rows: DataFrame, corpus: str, key: str = "hash") -> DataFrame
 
 def overlap(rows: DataFrame, corpus: str, key: str = "hash") -> DataFrame:
     """Intersection, union and Jaccard of every pair of corpora that share a text."""
-    member = rows.select(key, F.col(corpus).alias("c")).distinct()
+    member = settled(rows.select(key, F.col(corpus).alias("c")).distinct(), "members")  # read three times
     sizes = member.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     sets = member.groupBy(key).agg(F.array_sort(F.collect_set("c")).alias("cs")).filter(F.size("cs") > 1)  # as long as there are corpora
     pairs = sets.select(F.explode(F.flatten(F.transform("cs", lambda a: F.transform(F.filter("cs", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n_both"))

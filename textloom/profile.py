@@ -70,7 +70,11 @@ class Profile:
 
 
 def trie_pattern(tokens) -> str:
-    """A pattern without capturing groups that matches the longest of the tokens at a place."""
+    """A pattern without capturing groups that matches the longest of the tokens at a place.
+
+    Branches of a node begin with different characters, so their order doesn't matter; those
+    that go on alike are one character class, which keeps the pattern short and fast.
+    """
     root: dict = {}
     for token in tokens:
         node = root
@@ -79,7 +83,10 @@ def trie_pattern(tokens) -> str:
         node[""] = {}
 
     def build(node: dict) -> str:
-        branches = [re.escape(ch) + build(node[ch]) for ch in sorted(k for k in node if k)]
+        alike: dict[str, list[str]] = {}
+        for ch in sorted(k for k in node if k):
+            alike.setdefault(build(node[ch]), []).append(re.escape(ch))
+        branches = [(chs[0] if len(chs) == 1 else f"[{''.join(chs)}]") + rest for rest, chs in alike.items()]
         if not branches:
             return ""
         body = branches[0] if len(branches) == 1 and "" not in node else f"(?:{'|'.join(branches)})"
