@@ -255,7 +255,7 @@ def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings
     Blocks of at most about s.block rows meet.  A pair is looked at in the first group that
     both share, and a block gives at most one link for each component that it joins.
     """
-    size = members.groupBy("bk").agg(F.count(F.lit(1)).alias("n"))
+    size = common.table(members.groupBy("bk").agg(F.count(F.lit(1)).alias("n")), "near-sizes")  # a table, so that a hot group can be split in the join
     rows = members.join(size, "bk").join(classes.select("k", "packed", "bands"), "k").join(sets, "k")
     rows = rows.withColumn("parts", F.ceil(F.col("n") / s.block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -305,7 +305,7 @@ def _open_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the groups that span several components, with their labels."""
     got = common.table(members.select("bk", "k").join(labels, "k", "left").select("bk", "k", F.coalesce("label", "k").alias("label")), "near-grouped")
     spans = got.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bk")
-    return common.table(got.join(spans, "bk", "left_semi"), "near-open")
+    return common.table(got.join(common.table(spans, "near-spans"), "bk", "left_semi"), "near-open")
 
 
 def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
