@@ -408,7 +408,7 @@ def _hot_spans(rows: DataFrame, most: int, block: int) -> Iterator[DataFrame]:
         copied = firsts.filter("k > 1").select("h", "c", F.struct("f.d", "f.x", "f.lo").alias("f"))
         again = parts.drop("ctx").join(copied, ["h", "c"]).filter(F.struct("d", "x", "lo") != F.col("f"))
         yield again.select("d", "x", "lo", (F.col("lo") + F.col("n") - 1 + LENGTH).alias("hi"))
-        sizes = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+        sizes = common.table(firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), f"suffix-part-sizes-{width}")
         open_ = common.table(firsts.join(sizes, "h").select("h", "m", "f.*"), f"suffix-part-open-{width}")
         yield _sorted_spans(open_.filter(F.col("m") <= most), block)
         rows = open_.filter(F.col("m") > most)
@@ -423,7 +423,8 @@ def spans(docs: DataFrame, most: int = 1024, block: int = 2_000_000) -> DataFram
     found = common.table(_contexts(docs, shared, with_bytes=False), "suffix-contexts")
     common.release(spark)
     firsts = common.table(found.groupBy("h", "c").agg(F.min(F.struct("d", "x", "lo")).alias("f"), F.count(F.lit(1)).alias("k")), "suffix-firsts")
-    sizes = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # sizes are tables, so that the joins on them have plain exchanges and a hot bucket can be split
+    sizes = common.table(firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "suffix-sizes")
     open_ = common.table(firsts.join(sizes, "h").select("h", "m", "f.d", "f.x", "f.lo"), "suffix-open")
     copied = firsts.filter("k > 1").select("h", "c", "f")
     whole = found.join(copied, ["h", "c"]).filter(F.struct("d", "x", "lo") != F.col("f"))
