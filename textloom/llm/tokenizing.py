@@ -27,7 +27,8 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _MARKS = ".,;:!?"
 #: A lone line feed before a letter; a word up to its closing marks; else white space and what follows.
-_CHUNK = re.compile(f"\\n(?=[{LETTERS}])|[{WHITE}]*[{LETTERS}]+(?=[{_MARKS}]+(?:[{WHITE}]|$))|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+#: Possessive, since a shorter run of the same characters never lets the rest match.
+_CHUNK = re.compile(f"\\n(?=[{LETTERS}])|[{WHITE}]*+(?:[{LETTERS}]++(?=[{_MARKS}]++(?:[{WHITE}]|$))|[^{WHITE}]++)|[{WHITE}]++")
 #: Marks that close a word of unaccented letters: parted from it, they stay the pieces they were.
 _CLOSING = re.compile(f"(?<=[A-Za-z])([{_MARKS}]+)(?=[ \\n]|$)")
 KEEP, LONGEST = 800_000, 64
@@ -112,13 +113,19 @@ class Encoder:
             return self._one_by_one([t or "" for t in texts])
         out: list[bytes] = []
         for at in range(0, len(texts), 64):
-            split = [self._chunks(t or "") for t in texts[at : at + 64]]
-            found = [list(map(self.known.get, chunks)) for chunks in split]
-            missing = {c for chunks, ids in zip(split, found, strict=True) for c, i in zip(chunks, ids, strict=True) if i is None}
-            got = self._learn(missing) if missing else {}
-            for chunks, ids in zip(split, found, strict=True):
-                out.append(b"".join([got[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]))
-            self.known.update((k, v) for k, v in got.items() if len(k) <= LONGEST)
+            chunks: list[str] = []
+            ends = [0]
+            for t in texts[at : at + 64]:
+                chunks += self._chunks(t or "")
+                ends.append(len(chunks))
+            ids = list(map(self.known.get, chunks))
+            missing = [k for k, i in enumerate(ids) if i is None]
+            if missing:
+                got = self._learn({chunks[k] for k in missing})
+                for k in missing:
+                    ids[k] = got[chunks[k]]
+                self.known.update((k, v) for k, v in got.items() if len(k) <= LONGEST)
+            out += [b"".join(ids[i:j]) for i, j in zip(ends, ends[1:], strict=False)]
             if len(self.known) > KEEP:
                 self.older, self.known = self.known, {}
         return out
