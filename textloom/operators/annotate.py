@@ -1,4 +1,8 @@
-"""Rule-based labels.  Rules are a parameter: label axis -> label -> patterns (YAML)."""
+"""Rule-based labels.  Rules are a parameter: label axis -> label -> patterns (YAML).
+
+A null text matches nothing and gets each axis's default label; repeated rows get the same
+labels; an empty table gives none.  Columns of the labels' names are replaced.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +11,6 @@ from pyspark.sql import functions as F
 
 Rules = dict[str, dict[str, list[str]]]
 
-#: A small rule set for Latin text.
-LATIN_RULES: Rules = {
-    "tense": {"past": ["ed ", "was "], "present": ["is ", "are "], "future": ["will ", "with "]},
-    "polarity": {"negative": ["no", "nt "], "positive": ["on", "an "]},
-    "gender": {"feminine": ["her", "la "], "masculine": ["him", "der "]},
-    "sector": {"formal": ["license", "copyright"], "conversational": ["you ", "hey "], "sports": ["sh", "st"], "technology": ["te", "tion"], "health": ["he", "al"]},
-}
-
-
 def load_rules(path: str, spark: SparkSession) -> Rules:
     """Rules of a YAML file, wherever Spark can read it."""
     import yaml
@@ -27,7 +22,7 @@ def load_rules(path: str, spark: SparkSession) -> Rules:
 def any_of(text: Column, patterns: list[str]) -> Column:
     hit = F.lit(False)
     for p in patterns:
-        hit = hit | text.rlike(p)
+        hit = hit | F.coalesce(text.rlike(p), F.lit(False))
     return hit
 
 
@@ -35,7 +30,7 @@ def hits(text: Column, patterns: list[str]) -> Column:
     """Matches of each pattern on its own, added up (overlaps between patterns count twice)."""
     n = F.lit(0)
     for p in patterns:
-        n = n + F.regexp_count(text, F.lit(p))
+        n = n + F.coalesce(F.regexp_count(text, F.lit(p)), F.lit(0))
     return n
 
 

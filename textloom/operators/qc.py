@@ -1,4 +1,9 @@
-"""Quality control: error rates, gates, acceptance, ledgers, voice scores."""
+"""Quality control: error rates, gates, acceptance, ledgers, voice scores.
+
+A missing figure never accepts a row; null texts count as empty; null keys are one key in
+counts and match nothing in joins, unless a function says otherwise; empty tables give
+empty results (one row where a result is one row).
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,8 @@
-"""Bounded candidates and samples; every order is a hash or a stated key, never chance."""
+"""Bounded candidates and samples; every order is a hash or a stated key, never chance.
+
+Null cells are cells of their own; rows without tokens have no per-token rank; repeated rows
+are separate rows; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

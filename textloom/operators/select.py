@@ -1,4 +1,9 @@
-"""Greedy selection over bounded candidates: one group, one task, ids and token ids only."""
+"""Greedy selection over bounded candidates: one group, one task, ids and token ids only.
+
+Each choice depends on those before, so the candidates, which the caller bounds, go to one
+task.  Null and empty token arrays hold no tokens; ties fall to the smallest key; keys are
+taken to be unique; no candidates give no rows.
+"""
 
 from __future__ import annotations
 
@@ -147,7 +152,7 @@ def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, ta
         for i, c in enumerate(pdf[cell].itertuples(index=False, name=None)):
             cells.setdefault(tuple(map(str, c)), []).append(i)
         count, held, out = dict.fromkeys(cells, 0), dict(before), []
-        toks = [set(t.tolist()) for t in pdf[tokens]]
+        toks = [t.tolist() for t in pdf[tokens]]
         score = lambda i, seen: sum(max(0.0, target - seen.get(t, 0)) + bonus * target * (not seen.get(t, 0)) for t in toks[i])
         while len(out) < n and any(cells.values()):
             least = min(count[c] for c, some in cells.items() if some)
@@ -162,11 +167,15 @@ def balanced(rows: DataFrame, key: str, cell: list[str], tokens: str, n: int, ta
                 cells[c].remove(best)
                 count[c] += 1
                 out.append(best)
-                for t in pdf[tokens].iloc[best]:
-                    held[t] = held.get(t, 0) + 1
+                for t, k in zip(toks[best], pdf["__n"].iloc[best], strict=True):
+                    held[t] = held.get(t, 0) + int(k)
         return pd.DataFrame({key: pdf[key].iloc[out].to_numpy(), "step": np.arange(len(out), dtype=np.int32)})
 
-    return rows.select(key, *cell, F.transform(tokens, lambda t: F.xxhash64(t)).alias(tokens)).groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
+    # distinct tokens and how often each comes: a text's repeats are counted where it is, and not sent
+    x = rows.select(key, *cell, F.explode_outer(tokens).alias("__t")).groupBy(key, *cell, "__t").agg(F.count("__t").alias("__k"))
+    per = F.collect_list(F.when(F.col("__k") > 0, F.struct(F.xxhash64("__t").alias("t"), F.col("__k").cast("int").alias("n"))))
+    rows = x.groupBy(key, *cell).agg(F.array_sort(per).alias("__p")).select(key, *cell, F.col("__p.t").alias(tokens), F.col("__p.n").alias("__n"))
+    return rows.groupBy().applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, step int")
 
 
 def diverse(rows: DataFrame, key: str, tokens: str, vector: str, cluster: str, n: int, floor: int = 5, limit: float | None = None, cap: int = 7, weights: tuple[float, float, float] = (0.6, 0.35, 0.05), metadata: list[str] | None = None, root: str | None = None, rates: tuple[float, ...] = (0.02, 0.01, 0.005), power: float = 0.5, seed: int = 7) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Frequencies and distribution statistics.  Windows run over vocabulary-sized tables only."""
+"""Frequencies and distribution statistics.  Windows run over vocabulary-sized tables only.
+
+Null and empty token arrays count nothing, null keys are a group of their own, ties are
+ordered by token, repeated rows count each, and an empty table gives no rows (one row of
+nulls where a result is one row).
+"""
 
 from __future__ import annotations
 

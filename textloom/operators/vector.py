@@ -1,4 +1,8 @@
-"""Embeddings as arrays: normalising, nearest neighbours, calibration, clusters."""
+"""Embeddings as arrays: normalising, nearest neighbours, calibration, clusters.
+
+Rows without a vector take no part.  Of equal cosines (to six places) the smallest key is
+nearest; rows of one key are not each other's neighbours.  An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.tables import settled
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -17,6 +23,25 @@ def unit(v: Column) -> Column:
     return F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(x))
 
 
+def _best(a: pa.Table, b: pa.Table) -> pa.Table:
+    """For each k of ``a`` the nearest other k2 of ``b``; of equals the smallest."""
+    if not a.num_rows or not b.num_rows:
+        return pa.table({"k": pa.array([], pa.int64()), "nn": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
+    x, y = (np.stack(v.to_numpy(zero_copy_only=False)).astype(np.float64) for v in (a["v"], b["v2"]))
+    i, j = a["k"].to_numpy(), b["k2"].to_numpy()
+    order = np.argsort(j)
+    y, j = y[order], j[order]
+    out = []
+    for at in range(0, len(i), 512):
+        s = np.round(x[at : at + 512] @ y.T, 6)
+        s[i[at : at + 512, None] == j[None]] = -np.inf
+        k = s.argmax(1)
+        out.append((j[k], s[np.arange(len(k)), k]))
+    nn, c = (np.concatenate(z) for z in zip(*out, strict=True))
+    ok = np.isfinite(c)
+    return pa.table({"k": i[ok], "nn": nn[ok], "cosine": c[ok]})
+
+
 def nearest(rows: DataFrame, key: str, vector: str, block: int = 2048, most: int = 50_000) -> DataFrame:
     """Each row's nearest other row by inner product: key, nn, cosine.
 
@@ -33,24 +58,43 @@ def nearest(rows: DataFrame, key: str, vector: str, block: int = 2048, most: int
     # names and expressions of its own: the two sides of a group must not share any
     right = own.select(F.col("k").alias("k2"), F.col("v").alias("v2"), F.col("p").alias("o2")).withColumn("p2", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-    def best(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return pa.table({"k": pa.array([], pa.int64()), "nn": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
-        x, y = (np.stack(v.to_numpy(zero_copy_only=False)).astype(np.float64) for v in (a["v"], b["v2"]))
-        i, j = a["k"].to_numpy(), b["k2"].to_numpy()
-        order = np.argsort(j)
-        y, j = y[order], j[order]
-        out = []
-        for at in range(0, len(i), 512):
-            s = np.round(x[at : at + 512] @ y.T, 6)
-            s[i[at : at + 512, None] == j[None]] = -np.inf
-            k = s.argmax(1)
-            out.append((j[k], s[np.arange(len(k)), k]))
-        nn, c = (np.concatenate(z) for z in zip(*out, strict=True))
-        ok = np.isfinite(c)
-        return pa.table({"k": i[ok], "nn": nn[ok], "cosine": c[ok]})
-
-    got = left.groupBy("p", "o").cogroup(right.groupBy("p2", "o2")).applyInArrow(best, "k long, nn long, cosine double")
+    got = left.groupBy("p", "o").cogroup(right.groupBy("p2", "o2")).applyInArrow(_best, "k long, nn long, cosine double")
+    return got.groupBy(F.col("k").alias(key)).agg(F.max_by("nn", F.struct("cosine", -F.col("nn"))).alias("nn"), F.max("cosine").alias("cosine"))
+
+
+def nearest_pruned(rows: DataFrame, key: str, vector: str, cells: int, probes: int, fit: int = 100_000, seed: int = 7) -> DataFrame:
+    """``nearest`` without comparing all pairs: key, nn, cosine.
+
+    Rows belong to the cell of the nearest of ``cells`` centres, which are fitted on at most
+    ``fit`` rows (those of the smallest hash); every row is looked for in the ``probes`` cells
+    nearest to it, against all their rows.  With as many probes as cells it is exact.  Cells
+    are compared in blocks of their rows as ``nearest`` does, so no task holds a hot cell.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rows = settled(rows.filter(F.col(vector).isNotNull()).select(F.col(key).alias("k"), F.transform(vector, lambda x: x.cast("double")).alias("v")), "vectors")
+    some = rows.orderBy(F.xxhash64(F.lit(seed), "k"), "k").limit(fit).select(array_to_vector("v").alias("features"))
+    if not some.take(1):
+        return rows.select(F.col("k").alias(key), F.col("k").alias("nn"), F.lit(0.0).alias("cosine")).limit(0)
+    centres = np.array(KMeans(k=cells, seed=seed, distanceMeasure="cosine", maxIter=10).fit(some).clusterCenters())  # cells rows
+    centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+
+    def near(parts):
+        for part in parts:
+            if part.num_rows:
+                s = np.stack(part.column("v").to_numpy(zero_copy_only=False)) @ centres.T
+                order = np.argsort(-s, axis=1, kind="stable")[:, : min(probes, len(centres))].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("k"), part.column("v"), pa.array(list(order), pa.list_(pa.int32()))], ["k", "v", "cells"])
+
+    own = settled(rows.mapInArrow(near, f"k {dict(rows.dtypes)['k']}, v array<double>, cells array<int>"), "vector-cells")
+    size = settled(own.groupBy(F.get("cells", F.lit(0)).alias("c")).agg(F.ceil(F.count(F.lit(1)) / 2048).cast("int").alias("blocks")), "cell-sizes")
+    there = own.select("k", "v", F.get("cells", F.lit(0)).alias("c")).join(F.broadcast(size), "c")  # a row a cell
+    there = there.select("c", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int").alias("b"), F.col("k").alias("k2"), F.col("v").alias("v2"))
+    asked = own.select("k", "v", F.explode("cells").alias("c")).join(F.broadcast(size), "c")
+    asked = asked.select("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int").alias("p"), "k", "v")
+    there = there.join(F.broadcast(size), "c").select(F.col("c").alias("c2"), F.col("b").alias("b2"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("p2"), "k2", "v2")
+    got = asked.groupBy("c", "b", "p").cogroup(there.groupBy("c2", "b2", "p2")).applyInArrow(_best, "k long, nn long, cosine double")
     return got.groupBy(F.col("k").alias(key)).agg(F.max_by("nn", F.struct("cosine", -F.col("nn"))).alias("nn"), F.max("cosine").alias("cosine"))
 
 

@@ -295,7 +295,13 @@ def _hits(patterns: list[str], x: str = "clean") -> str:
     return "(" + " + ".join(f"len(regexp_extract_all({x}, '{p}'))" for p in patterns) + ")"
 
 
-_R = annotate.LATIN_RULES
+#: Fragments that make every label appear in the driver's invented prose; they are no labels of real text.
+_R: annotate.Rules = {
+    "tense": {"past": ["ed ", "was "], "present": ["is ", "are "], "future": ["will ", "with "]},
+    "polarity": {"negative": ["no", "nt "], "positive": ["on", "an "]},
+    "gender": {"feminine": ["her", "la "], "masculine": ["him", "der "]},
+    "sector": {"formal": ["license", "copyright"], "conversational": ["you ", "hey "], "sports": ["sh", "st"], "technology": ["te", "tion"], "health": ["he", "al"]},
+}
 
 
 @query(f"""WITH {_C}, h AS (SELECT doc_id, {', '.join(f"CAST({_any(_R['tense'][k])} AS INT) AS {k}" for k in _R['tense'])}, {', '.join(f"{_hits(p)} AS {k}" for ax in ('polarity', 'gender') for k, p in _R[ax].items())}, {', '.join(f"{_hits(p)} AS s_{k}" for k, p in _R['sector'].items())} FROM c)
@@ -368,15 +374,18 @@ def round_robin_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def balanced_selection(spark: SparkSession, d: str) -> DataFrame:
-    rows = sample.per_cell(doc_tokens(spark, d), ["lang", "source"], select.PER_CELL, "doc_id")
-    return select.balanced(rows, "doc_id", ["lang", "source"], "tokens", 100, 50.0)
+    """Cells are drawn by id; only the rows drawn are tokenised."""
+    drawn = sample.per_cell(t(spark, d, "documents").select("doc_id", "lang", "source"), ["lang", "source"], select.PER_CELL, "doc_id")
+    drawn = settled(drawn.select("doc_id"), "drawn")
+    return select.balanced(doc_tokens(spark, d).join(drawn, "doc_id", "left_semi"), "doc_id", ["lang", "source"], "tokens", 100, 50.0)
 
 
 @query()
 def coverage_seed(spark: SparkSession, d: str) -> DataFrame:
-    rows = doc_tokens(spark, d)
-    some = sample.top_per_token(rows.select("doc_id", "tokens"), "tokens", select.PER_TOKEN, [sample.hash_order("doc_id", "7"), "doc_id"]).select("doc_id").distinct()
-    return select.coverage_seed(rows.join(some, "doc_id"), "doc_id", "tokens", metadata=["lang", "source"])
+    rows = settled(doc_tokens(spark, d).withColumn("tokens", F.array_distinct("tokens")), "doc-types")
+    order = F.conv(F.substring(sample.hash_order("doc_id", "7"), 1, 15), 16, 10).cast("long")  # once a row, and short
+    some = sample.top_per_token(rows.select("doc_id", order.alias("o"), "tokens"), "tokens", select.PER_TOKEN, ["o", "doc_id"]).select("doc_id").distinct()
+    return select.coverage_seed(rows.join(settled(some, "candidates"), "doc_id", "left_semi"), "doc_id", "tokens", metadata=["lang", "source"])
 
 
 @query()

@@ -65,6 +65,13 @@ def streamed_counts(spark: SparkSession, d: str) -> DataFrame:
     return state.totals(spark, held)
 
 
+@query("SELECT doc_id, lang || ' é é & ñ' AS text FROM documents")
+def composed_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Entities decoded and characters composed."""
+    raw = F.concat("lang", F.lit(" e\u0301 &eacute; &amp; n\u0303"))
+    return t(spark, d, "documents").select("doc_id", T.unescape_nfc(raw).alias("text"))
+
+
 # -- rules -----------------------------------------------------------------------------------------
 
 
@@ -189,6 +196,16 @@ def unit_vectors(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("vec_id", F.round(vector.dot(F.col("u"), F.col("u")), 6).alias("length"), total("u").alias("total"), total("p").alias("pooled"))
 
 
+@query("SELECT true AS exact, true AS recalled")
+def pruned_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """Against the exact form: all cells probed give the same, 11 of 16 nine in ten of the same cosines (these vectors hardly cluster)."""
+    e = t(spark, d, "embeddings")
+    want = settled(vector.nearest(e, "vec_id", "embedding"), "nearest")
+    same = lambda probes: vector.nearest_pruned(e, "vec_id", "embedding", 16, probes).withColumnRenamed("cosine", "c").join(want, "vec_id").filter("c = cosine").count()
+    n = want.count()
+    return spark.createDataFrame([(same(16) == n, same(11) >= 0.9 * n)], "exact boolean, recalled boolean")
+
+
 # -- selections judged -------------------------------------------------------------------------------
 
 
@@ -275,6 +292,29 @@ def result_files(spark: SparkSession, d: str) -> DataFrame:
     return readers.results(spark, path, "job_id long, cer double")
 
 
+@query("SELECT * FROM (VALUES ('one', CAST(4000 AS BIGINT), CAST(16000 AS BIGINT), 0.25, 0.5, 0.05, 0.1, 0.0125), ('still', 800, 8000, 0.1, 0.0, 0.1, 0.1, 0.1)) w(name, frames, rate, duration, peak, lead, gap, trail)")
+def sound_files(spark: SparkSession, d: str) -> DataFrame:
+    """A tone with silence around and within it, and a file that is all silence."""
+    import io
+    import wave
+
+    path = new_path(spark, "sound")
+    jvm = spark.sparkContext._jvm
+    for name, rate, runs in (("one", 16_000, ((800, 0), (1000, 16_384), (1600, 0), (400, 16_384), (200, 0))), ("still", 8_000, ((800, 0),))):
+        held = io.BytesIO()
+        with wave.open(held, "wb") as w:
+            w.setnchannels(1)
+            w.setsampwidth(2)
+            w.setframerate(rate)
+            w.writeframes(b"".join(v.to_bytes(2, "little") * n for n, v in runs))
+        at = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}.wav")
+        out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+        out.write(bytearray(held.getvalue()))
+        out.close()
+    got = readers.wav_metrics(spark, path)
+    return got.select(F.regexp_extract("file", "([a-z]+)[.]wav$", 1).alias("name"), "frames", "rate", "duration", "peak", "lead", "gap", "trail")
+
+
 @query("SELECT DISTINCT lang || '-' || source AS text FROM documents")
 def transcript_file(spark: SparkSession, d: str) -> DataFrame:
     """The third field, or the last where there are fewer."""
