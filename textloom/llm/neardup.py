@@ -9,10 +9,11 @@
    collisions (1/16 a lane).  A pair more than six deviations below the threshold is dropped;
    any other is confirmed by the exact intersection of the full sets.
 4. Confirmed links join into components.  Groups that still span several components are
-   compared once more without centres: blocks of their classes, with full sets, each pair of
-   different components in the first group that it shares; plausible pairs are confirmed in
-   place and a block returns one link at most for each component that it joins.  So no link
-   within a group is lost for having met the wrong centre, and no pairs are written out.
+   compared once more without centres, by blocks of their classes: packed bits first, each pair
+   of different components in the first group that it shares; full sets follow for classes
+   with a plausible partner, pairs are confirmed in place and a pair of blocks returns one link
+   at most for each component that it joins.  So no link within a group is lost for having met
+   the wrong centre, and no pairs are written out.
 
 At similarity 0.8 a link shares no band with probability 2e-5.  A text with fewer than k
 words has its whole sequence as its one shingle; null, empty and blank texts have an empty
@@ -249,27 +250,57 @@ def _inside(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Links between different labels in the same group, confirmed on full sets in place.
+def _blocks(members: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """Rows (bk, i, j, mine, k, label, packed, bands) dealt into blocks of about s.block rows that
+    meet in pairs (i, j), thinned to those with a plausible partner of another label in their pair.
 
-    Blocks of at most about s.block rows meet.  A pair is looked at in the first group that
-    both share, and a block gives at most one link for each component that it joins.
-    """
+    Only bits are sent to all pairs of blocks; full sets follow for what is left."""
     size = common.table(members.groupBy("bk").agg(F.count(F.lit(1)).alias("n")), "near-sizes")  # a table, so that a hot group can be split in the join
-    rows = members.join(size, "bk").join(classes.select("k", "packed", "bands"), "k").join(sets, "k")
+    rows = members.join(size, "bk").join(classes.select("k", "packed", "bands"), "k")
     rows = rows.withColumn("parts", F.ceil(F.col("n") / s.block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("bk", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "label", "packed", "bands", "members")
+    rows = rows.select("bk", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "label", "packed", "bands")
+
+    def screen(group: pa.Table) -> pa.Table:
+        left, right, label, bits, keys, here = _sides(group)
+        wanted = np.zeros(len(label), bool)
+        for at in range(0, len(left), 32):
+            some = left[at : at + 32]
+            ok = _open_pairs(some, right, label, bits, keys, here, s)
+            wanted[some] |= ok.any(1)
+            wanted[right] |= ok.any(0)
+        return group.filter(pa.array(wanted))
+
+    return rows.groupBy("bk", "i", "j").applyInArrow(screen, rows.schema)
+
+
+def _sides(group: pa.Table) -> tuple:
+    """Rows of block i and of block j, and labels, bits, band keys and the place of the group's own key."""
+    i, j, mine = group["i"][0].as_py(), group["j"][0].as_py(), group["mine"].to_numpy()
+    bits = np.frombuffer(b"".join(group["packed"].to_pylist()), np.uint8).reshape(len(mine), -1)
+    keys = np.array(group["bands"].to_pylist(), np.int64)
+    here = int(np.flatnonzero((keys == group["bk"][0].as_py()).all(0))[0])
+    return np.flatnonzero(mine == i), np.flatnonzero(mine == j), group["label"].to_numpy(), bits, keys, here
+
+
+def _open_pairs(some: np.ndarray, right: np.ndarray, tops: np.ndarray, bits: np.ndarray, keys: np.ndarray, here: int, s: Settings) -> np.ndarray:
+    """Which pairs have different labels and plausible bits, and share no earlier group."""
+    ok = (tops[some][:, None] != tops[right][None]) & (estimate(bits[some][:, None], bits[right][None], s) >= s.floor)
+    return ok & ~(keys[some, None, :here] == keys[None, right, :here]).any(-1)
+
+
+def _across(blocks: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Links between different labels in the same group, confirmed on full sets in place.
+
+    A pair is looked at in the first group that both share, and a pair of blocks gives at most
+    one link for each component that it joins.
+    """
 
     def run(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        mine, label, own = (group[c].to_numpy() for c in ("mine", "label", "k"))
-        bits = np.frombuffer(b"".join(group["packed"].to_pylist()), np.uint8).reshape(len(own), -1)
-        keys = np.array(group["bands"].to_pylist(), np.int64)
-        here = int(np.flatnonzero((keys == group["bk"][0].as_py()).all(0))[0])
+        left, right, label, bits, keys, here = _sides(group)
+        own = group["k"].to_numpy()
         sets_ = [np.frombuffer(x, np.uint64) for x in group["members"].to_pylist()]
         size = np.array([len(x) for x in sets_])
-        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
         root = {int(v): int(v) for v in np.unique(label)}
 
         def find(v: int) -> int:
@@ -283,8 +314,7 @@ def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings
         for at in range(0, len(left), 32):
             some = left[at : at + 32]
             tops = np.array([find(int(v)) for v in label])
-            ok = (tops[some][:, None] != tops[right][None]) & (estimate(bits[some][:, None], bits[right][None], s) >= s.floor)
-            ok &= ~(keys[some, None, :here] == keys[None, right, :here]).any(-1)
+            ok = _open_pairs(some, right, tops, bits, keys, here, s)
             x, y = (np.flatnonzero(ok.any(k)) for k in (1, 0))
             if not len(x):
                 continue
@@ -298,7 +328,7 @@ def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings
                     b.append(int(max(own[u], own[v])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("bk", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return blocks.join(sets, "k").groupBy("bk", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def _open_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -335,9 +365,10 @@ def _resolved(docs: DataFrame, s: Settings) -> DataFrame:
     labels = components(links)
     open_ = _open_groups(members, labels)
     if not open_.isEmpty():
-        wanted = common.table(open_.select("k").distinct().join(classes.select("k", "cls", "d", "x"), "k"), "near-wanted")
+        blocks = common.table(_blocks(open_, classes, s), "near-blocks")
+        wanted = common.table(blocks.select("k").distinct().join(classes.select("k", "cls", "d", "x"), "k"), "near-wanted")
         sets = common.table(full_sets(docs, wanted, s), "near-sets")
-        links = links.unionByName(common.table(_across(open_, classes, sets, s), "near-more"))
+        links = links.unionByName(common.table(_across(blocks, sets, s), "near-more"))
         labels = components(links)
     named = common.table(_named(classes, labels), "near-components").withColumnsRenamed({"d": "hd", "x": "hx"})
     got = rows.select("doc_id", "x", "n_shingles", "cls").join(named, "cls", "left")
