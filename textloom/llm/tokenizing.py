@@ -32,6 +32,8 @@ _CHUNK = re.compile(f"\\n(?=[{LETTERS}])|[{WHITE}]*+(?:[{LETTERS}]++(?=[{_MARKS}
 #: Marks that close a word of unaccented letters: parted from it, they stay the pieces they were.
 _CLOSING = re.compile(f"(?<=[A-Za-z])([{_MARKS}]+)(?=[ \\n]|$)")
 KEEP, LONGEST = 800_000, 64
+#: Texts and new words that are handled at once: few, so that they stay in a core's cache.
+BATCH, JOINED = 16, 250
 _open: dict[str, "Encoder"] = {}
 # The word pattern of the ``lower`` vocabulary.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -83,8 +85,8 @@ class Encoder:
         """Words of letters alone, each one piece of the tokenizer's pattern, encoded as one text
         and parted at the pieces.  Should the pattern see more pieces, each is encoded alone."""
         out: list[bytes] = []
-        for at in range(0, len(words), 2_000):
-            some = words[at : at + 2_000]
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
             e = self.tokenizer.encode(between.join(some), add_special_tokens=False)
             piece = np.array(e.word_ids, np.int64)
             cut = np.concatenate(([0], np.flatnonzero(np.diff(piece)) + 1, [len(piece)])) * 4
@@ -112,10 +114,10 @@ class Encoder:
         if self.whole:
             return self._one_by_one([t or "" for t in texts])
         out: list[bytes] = []
-        for at in range(0, len(texts), 64):
+        for at in range(0, len(texts), BATCH):
             chunks: list[str] = []
             ends = [0]
-            for t in texts[at : at + 64]:
+            for t in texts[at : at + BATCH]:
                 chunks += self._chunks(t or "")
                 ends.append(len(chunks))
             ids = list(map(self.known.get, chunks))
