@@ -96,10 +96,11 @@ def _block(file: int, block: int, n: int, image: bytes) -> pa.RecordBatch:
 
 def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0, per_block: int = 500_000, bytes_per_file: int = 16_000_000) -> DataFrame:
     """Blocks of plain ids in ascending doc_id: ranges of doc_id are dealt out and sorted as
-    texts, so ids are made once, in place, and never shuffled."""
+    texts, so ids are made once, in place, and never shuffled.  Each file has a block -1 besides,
+    with how often each id comes in it."""
     common.ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size, nameless = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(F.col("doc_id").isNull())).first()
     end = int(end_id).to_bytes(4, "little")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,6 +110,14 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0, per_block: int =
         file, block, held = TaskContext.get().partitionId(), 0, 0
         keys: list = []
         raws: list[bytes] = []
+        total = np.zeros(0, np.int64)
+
+        def full() -> pa.RecordBatch:
+            nonlocal total
+            ids = np.frombuffer(b"".join(raws), "<u4")
+            total = _added(total, np.bincount(ids))
+            return _block(file, block, held, to_plain(keys, raws, ids))
+
         for part in parts:
             for at in range(0, part.num_rows, 64):
                 some = part.slice(at, 64)
@@ -117,18 +126,28 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0, per_block: int =
                     raws.append(raw + end)
                     held += len(raws[-1]) // 4
                     if held >= per_block:
-                        yield _block(file, block, held, to_plain(keys, raws))
+                        yield full()
                         keys, raws, held, block = [], [], 0, block + 1
         if keys:
-            yield _block(file, block, held, to_plain(keys, raws))
+            yield full()
+        if len(total):
+            yield _block(file, -1, 0, total.astype("<i8").tobytes())
 
-    order = ["doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))]
+    order = ["doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))] if nameless else ["doc_id"]
     return rows.repartitionByRange(common.parts_for(size, bytes_per_file), *order).sortWithinPartitions("doc_id").mapInArrow(run, _BLOCKS)
 
 
-def to_plain(keys: list, raws: list[bytes]) -> bytes:
+def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of two arrays of counts; the shorter one ends in zeros."""
+    if len(a) < len(b):
+        a, b = b, a
+    a = a.copy()
+    a[: len(b)] += b
+    return a
+
+
+def to_plain(keys: list, raws: list[bytes], ids: np.ndarray) -> bytes:
     """A block image whose values are plain: two bytes each if all fit, else four."""
-    ids = np.frombuffer(b"".join(raws), "<u4")
     wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
     key, null = _keys(keys)
     return b"".join((b"W" if wide else b"S", np.uint32(len(keys)).tobytes(), key, null, np.array([len(r) // 4 for r in raws], "<u8").tobytes(), ids.astype("<u4" if wide else "<u2").tobytes()))
@@ -148,14 +167,11 @@ def frequencies(blocks: DataFrame) -> np.ndarray:
         total = np.zeros(0, np.int64)
         for part in parts:
             for image in part.column(0):
-                got = np.bincount(from_plain(image.as_py())[2])
-                if len(got) > len(total):
-                    got, total = total, got
-                total[: len(got)] += got
+                total = _added(total, np.frombuffer(image.as_py(), "<i8"))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    per = blocks.select("image").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    per = blocks.filter("block = -1").select("image").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = per.collect()
     ids, n = np.array([r["id"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
     return ids[np.lexsort((ids, -n))]
@@ -177,7 +193,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, per_block: int = 500_000)
                 keys, lengths, ids = from_plain(image.as_py())
                 yield _block(file, block, len(ids), to_image(keys, lengths, rank_of[ids]))
 
-    plain.select("file", "block", "image").mapInArrow(run, _BLOCKS).write.parquet(f"{path}/blocks")
+    plain.filter("block >= 0").select("file", "block", "image").mapInArrow(run, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, most_broadcast: int = 200_000) -> DataFrame:
