@@ -343,7 +343,7 @@ def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
     the row that stays, with that row's id and text hash (d, x)."""
     own = classes.select("k", "cls", "least", "d", "x").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
     own = common.table(own, "near-named")
-    of = own.groupBy("label").agg(F.min("least").alias("component"), F.min(F.struct("d", "x", "k")).alias("head"))
+    of = common.table(own.groupBy("label").agg(F.min("least").alias("component"), F.min(F.struct("d", "x", "k")).alias("head")), "near-heads")
     return own.join(of, "label").select("cls", "component", (F.col("head.k") == F.col("k")).alias("head"), "d", "x")
 
 
