@@ -187,7 +187,8 @@ def test_near_representatives(spark):
     for i, x, s in rows:
         h = got[i]["hash"]
         text[h], score[h] = " ".join((x or "").split()), max(score.get(h, 0), s or 0)
-    like = lambda a, b: (lambda p, q: len(p & q) / len(p | q))(near._grams(text[a]), near._grams(text[b]))
+    grams = lambda x: {x[i : i + 5] for i in range(max(1, len(x) - 4))}
+    like = lambda a, b: (lambda p, q: len(p & q) / len(p | q))(grams(text[a]), grams(text[b]))
     kept: list[str] = []
     for h in sorted(text, key=lambda h: (-score[h], h)):
         if not any(like(h, k) >= 0.85 for k in kept):
@@ -396,6 +397,15 @@ def test_selection_scores(spark):
     assert select.balanced(df, "id", ["cell"], "tokens", 5, held=carried, bonus=1.0).count() == 5
 
 
+def test_coverage_of_targets(spark):
+    rows = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, None)], "id long, tokens array<string>")
+    assert [r["id"] for r in select.coverage_seed(rows, "id", "tokens", targets=["a", "z"]).collect()] == [1]
+    assert sorted(r["id"] for r in select.coverage_seed(rows, "id", "tokens", targets=["a", "c"], strict=True).collect()) == [1, 2]
+    with pytest.raises(ValueError, match="no row holds z"):
+        select.coverage_seed(rows, "id", "tokens", targets=["a", "z"], strict=True)
+    assert select.coverage_seed(rows, "id", "tokens", targets=[]).count() == 0
+
+
 def test_rare_support(spark):
     rows = spark.createDataFrame([("u1", ["a", "b", "x"]), ("u2", ["a"]), ("u3", ["b", "c"]), ("u4", ["x"])], "uid string, tokens array<string>")
     got = select.rare_support(rows, "uid", "tokens", ["a", "b", "c"], 2).orderBy("step").collect()

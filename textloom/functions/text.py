@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column
@@ -157,10 +158,16 @@ def punctuation_free(text: Column) -> Column:
 def to_ids(tokens: Column, vocabulary: list[str], unknown: int = 1, start: int = 2, end: int = 3, first: int = 4) -> Column:
     """Start id, the id of each token (or the unknown id), end id; null tokens have null ids.
 
-    A look-up in one constant map a token, which stays in the JVM.
+    It stays in the JVM, where a map is searched from its start: tokens are dealt by crc32 into
+    small constant maps, and each token is looked for in the one that can hold it.
     """
-    table = F.create_map(*(F.lit(x) for i, t in enumerate(dict.fromkeys(vocabulary)) for x in (t, first + i)))
-    ids = F.transform(tokens, lambda t: F.coalesce(F.element_at(table, t), F.lit(unknown)))
+    places = {t: first + i for i, t in enumerate(dict.fromkeys(vocabulary))}
+    dealt: list[list] = [[] for _ in range(max(1, len(places) // 8))]
+    for t, i in places.items():
+        dealt[zlib.crc32(t.encode()) % len(dealt)] += [F.lit(t), F.lit(i)]
+    tables = F.array(*(F.create_map(*(pairs or [F.lit(""), F.lit(unknown)])) for pairs in dealt))
+    mine = lambda t: F.get(tables, (F.crc32(t.cast("binary")) % len(dealt)).cast("int"))
+    ids = F.transform(tokens, lambda t: F.coalesce(F.element_at(mine(t), t), F.lit(unknown)))
     return F.when(tokens.isNotNull(), F.concat(F.array(F.lit(start)), ids, F.array(F.lit(end))))
 
 

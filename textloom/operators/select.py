@@ -120,8 +120,17 @@ def greedy_cover(pdf: pd.DataFrame, key: str, tokens: str, want: int, metadata:
     return [pdf[key].iloc[i] for i in chosen]
 
 
-def coverage_seed(rows: DataFrame, key: str, tokens: str, want: int = 1, metadata: list[str] | None = None) -> DataFrame:
-    """Rows that cover every token ``want`` times; rows must be bounded beforehand."""
+def coverage_seed(rows: DataFrame, key: str, tokens: str, want: int = 1, metadata: list[str] | None = None, targets: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """Rows that cover every token, or every one of ``targets``, ``want`` times; rows must be bounded
+    beforehand.  ``strict``: a target that no row holds is an error; else it is passed over."""
+    if targets is not None:
+        wanted = F.array(*(F.lit(t) for t in sorted(set(targets)))) if targets else F.array().cast("array<string>")
+        rows = rows.withColumn(tokens, F.array_intersect(tokens, wanted))
+        if strict:
+            held = {r["t"] for r in rows.select(F.explode_outer(tokens).alias("t")).distinct().collect()}  # targets at most
+            if lacking := sorted(set(targets) - held):
+                raise ValueError(f"no row holds {', '.join(lacking)[:200]}")
+        rows = rows.filter(F.size(tokens) > 0)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key).reset_index(drop=True)

@@ -390,11 +390,13 @@ def coverage_seed(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def diverse_selection(spark: SparkSession, d: str) -> DataFrame:
-    """The vectors stand for the texts of the same ids; a vector without a text has no tokens."""
+    """The vectors stand for the texts of the same ids; a vector without a text has no tokens and
+    is its own root, other roots are the near-duplicate representatives of the texts."""
     rows = t(spark, d, "embeddings")
-    texts = doc_tokens(spark, d).select(F.col("doc_id").alias("vec_id"), "lang", "source", "tokens")
-    rows = rows.join(vector.clusters(rows, "vec_id", "embedding", 8), "vec_id").join(texts, "vec_id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
-    return select.diverse(sample.per_cell(rows, ["cluster"], select.SHORTLIST // 8, "vec_id"), "vec_id", "tokens", "embedding", "cluster", 100, metadata=["lang", "source"])
+    roots = near_representatives(spark, d).select("doc_id", "representative")
+    texts = doc_tokens(spark, d).join(roots, "doc_id").select(F.col("doc_id").alias("vec_id"), "lang", "source", "tokens", F.col("representative").alias("root"))
+    rows = rows.join(vector.clusters(rows, "vec_id", "embedding", 8), "vec_id").join(texts, "vec_id", "left").withColumns({"tokens": F.coalesce("tokens", F.array().cast("array<string>")), "root": F.coalesce("root", F.concat(F.lit("vector "), F.col("vec_id")))})
+    return select.diverse(sample.per_cell(rows, ["cluster"], select.SHORTLIST // 8, "vec_id"), "vec_id", "tokens", "embedding", "cluster", 100, metadata=["lang", "source"], root="root")
 
 
 @query()
