@@ -514,7 +514,7 @@ def spend_ledger(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""{_T}, x AS (SELECT source, ceil(sum(strlen(text)) / 4) AS i, sum(len(tokens)) * 0.25 AS s FROM t JOIN (SELECT doc_id, text FROM documents) USING (doc_id) GROUP BY source), y AS (SELECT *, ceil(s * 25.0) AS a FROM x)
-SELECT source, CAST(i AS BIGINT) AS input_tokens, round(s, 4) AS seconds, CAST(a AS BIGINT) AS audio_tokens, round(i / 1e6 * 0.5, 8) AS input_cost, round(a / 1e6 * 10.0, 8) AS audio_cost, round(i / 1e6 * 0.5 + a / 1e6 * 10.0, 8) AS total_cost FROM y""")
+SELECT source, CAST(i AS BIGINT) AS input_tokens, CAST(round(s, 4) AS DOUBLE) AS seconds, CAST(a AS BIGINT) AS audio_tokens, round(i / 1e6 * 0.5, 8) AS input_cost, round(a / 1e6 * 10.0, 8) AS audio_cost, round(i / 1e6 * 0.5 + a / 1e6 * 10.0, 8) AS total_cost FROM y""")
 def cost_forecast(spark: SparkSession, d: str) -> DataFrame:
     """By source: a quarter of a second a token, 25 audio tokens a second."""
     rows = docs(spark, d).select("source", "text", T.once(T.content(T.tokenize(T.clean(F.col("text"), LATIN), LATIN), LATIN)).alias("tokens"))
@@ -628,7 +628,7 @@ def length_medians(spark: SparkSession, d: str) -> DataFrame:
     return analysis.upper_median(pool(spark, d), ["lang"], "n_tokens")
 
 
-@query("""WITH f AS (SELECT 'lang' AS axis, unnest(['en', 'fr', 'de', 'es', 'it']) AS label, 20.0 AS ideal UNION ALL SELECT 'source_kind', unnest(['s0', 's1']), 50.0), x AS (SELECT 'lang' AS axis, lang AS label FROM documents UNION ALL SELECT 'source_kind', 's' || (doc_id % 2) FROM documents),
+@query("""WITH f AS (SELECT 'lang' AS axis, unnest(['en', 'fr', 'de', 'es', 'it']) AS label, CAST(20.0 AS DOUBLE) AS ideal UNION ALL SELECT 'source_kind', unnest(['s0', 's1']), 50.0), x AS (SELECT 'lang' AS axis, lang AS label FROM documents UNION ALL SELECT 'source_kind', 's' || (doc_id % 2) FROM documents),
 y AS (SELECT axis, label, count(*) AS n, sum(count(*)) OVER (PARTITION BY axis) AS t FROM x GROUP BY axis, label), z AS (SELECT f.axis, f.label, coalesce(n, 0) AS n, ideal, round(abs(coalesce(n, 0) / max(t) OVER (PARTITION BY f.axis) * 100 - ideal), 4) AS deviation FROM f LEFT JOIN y ON y.axis = f.axis AND y.label = f.label)
 SELECT axis, label, CAST(n AS BIGINT) AS n, round(ideal, 4) AS ideal_pct, deviation, max(deviation) OVER (PARTITION BY axis) AS largest FROM z""")
 def balance_deviations(spark: SparkSession, d: str) -> DataFrame:
@@ -657,7 +657,7 @@ def lost_tokens(spark: SparkSession, d: str) -> DataFrame:
 # -- scores of selections ----------------------------------------------------------------------
 
 
-@query(f"{_T}, f AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM t WHERE lang = 'en') GROUP BY token), x AS (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM t) SELECT doc_id, round(coalesce(sum(CASE WHEN token IS NOT NULL THEN greatest(0.0, 40.0 - coalesce(n, 0)) + CASE WHEN coalesce(n, 0) = 0 THEN 20.0 ELSE 0.0 END END), 0.0), 6) AS score FROM t LEFT JOIN x USING (doc_id) LEFT JOIN f USING (token) GROUP BY doc_id")
+@query(f"{_T}, f AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM t WHERE lang = 'en') GROUP BY token), x AS (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM t) SELECT doc_id, CAST(round(coalesce(sum(CASE WHEN token IS NOT NULL THEN greatest(0.0, 40.0 - coalesce(n, 0)) + CASE WHEN coalesce(n, 0) = 0 THEN 20.0 ELSE 0.0 END END), 0.0), 6) AS DOUBLE) AS score FROM t LEFT JOIN x USING (doc_id) LEFT JOIN f USING (token) GROUP BY doc_id")
 def deficit_scores(spark: SparkSession, d: str) -> DataFrame:
     """Against what the English documents hold; half a target more for what they lack."""
     rows = settled(doc_tokens(spark, d), "doc-tokens")

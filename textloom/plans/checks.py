@@ -292,7 +292,7 @@ def result_files(spark: SparkSession, d: str) -> DataFrame:
     return readers.results(spark, path, "job_id long, cer double")
 
 
-@query("SELECT * FROM (VALUES ('one', CAST(4000 AS BIGINT), CAST(16000 AS BIGINT), 0.25, 0.5, 0.05, 0.1, 0.0125), ('still', 800, 8000, 0.1, 0.0, 0.1, 0.1, 0.1)) w(name, frames, rate, duration, peak, lead, gap, trail)")
+@query("SELECT name, frames, rate, CAST(duration AS DOUBLE) AS duration, CAST(peak AS DOUBLE) AS peak, CAST(lead AS DOUBLE) AS lead, CAST(gap AS DOUBLE) AS gap, CAST(trail AS DOUBLE) AS trail FROM (VALUES ('one', CAST(4000 AS BIGINT), CAST(16000 AS BIGINT), 0.25, 0.5, 0.05, 0.1, 0.0125), ('still', 800, 8000, 0.1, 0.0, 0.1, 0.1, 0.1)) w(name, frames, rate, duration, peak, lead, gap, trail)")
 def sound_files(spark: SparkSession, d: str) -> DataFrame:
     """A tone with silence around and within it, and a file that is all silence."""
     import io
