@@ -240,9 +240,9 @@ def archive_bins(spark: SparkSession, d: str) -> DataFrame:
     return got.select("n_nationkey", "bin")
 
 
-@query("SELECT doc_id, CAST(CASE WHEN (SELECT count(*) FROM documents) <= 300 THEN NULL ELSE round END AS INT) AS round FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS round FROM documents) ORDER BY 2, lang LIMIT 300")
+@query("SELECT doc_id, CAST(CASE WHEN (SELECT count(*) FROM documents) <= 300 THEN 0 ELSE round END AS INT) AS round FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256('7:' || CAST(doc_id AS VARCHAR)), doc_id) AS round FROM documents) ORDER BY 2, lang LIMIT 300")
 def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
-    return sample.stratified(t(spark, d, "documents").select("doc_id", "lang"), ["lang"], 300, "doc_id").select("doc_id", "round")
+    return sample.stratified(t(spark, d, "documents").select("doc_id", "lang"), ["lang"], 300, "doc_id").select("doc_id", F.coalesce("round", F.lit(0)).alias("round"))
 
 
 # -- documents about a run, and other files ----------------------------------------------------------
