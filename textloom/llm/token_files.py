@@ -19,7 +19,6 @@ without blocks and an empty result.  Columns other than doc_id and text are igno
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
