@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import annotate, jobs, qc, report, sample, select, stats, vector
+from textloom.operators import annotate, jobs, qc, report, sample, stats, vector
 from textloom.operators.tables import new_path, settled
-from textloom.plans.catalogue import _T, _TF, WHITE, _inventory, _listed, doc_tokens, lang_frequency, pool, query, t
+from textloom.plans.catalogue import _T, _TF, WHITE, _inventory, _listed, customer_split, doc_tokens, lang_frequency, query, t
 from textloom.profile import LATIN
 from textloom.sources import readers, sinks
 from textloom.streaming import state
@@ -228,10 +228,8 @@ def build_gates(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(list(got.items()), "name string, ok boolean")
 
 
-@query("WITH RECURSIVE s AS (SELECT c_nationkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, sha256('7:' || c_nationkey)) AS i, sum(count(*)) OVER () AS t FROM customer GROUP BY c_nationkey), r AS (SELECT i, c_nationkey, CASE WHEN true THEN 'train' END AS split, n AS train, CAST(0 AS BIGINT) AS dev, CAST(0 AS BIGINT) AS test FROM s WHERE i = 1 UNION ALL SELECT i, c_nationkey, split, train + CASE WHEN split = 'train' THEN n ELSE 0 END, dev + CASE WHEN split = 'dev' THEN n ELSE 0 END, test + CASE WHEN split = 'test' THEN n ELSE 0 END FROM (SELECT s.i, s.c_nationkey, s.n, r.train, r.dev, r.test, CASE WHEN 0.8 * t - r.train > greatest(0.1 * t - r.dev, 0.1 * t - r.test) THEN 'train' WHEN 0.8 * t - r.train = greatest(0.1 * t - r.dev, 0.1 * t - r.test) THEN 'train' WHEN 0.1 * t - r.test >= 0.1 * t - r.dev THEN 'test' ELSE 'dev' END AS split FROM r JOIN s ON s.i = r.i + 1)) SELECT c_nationkey, split FROM r")
-def nation_split(spark: SparkSession, d: str) -> DataFrame:
-    """Customers as utterances of their nations: nations go to one split each."""
-    return sample.speaker_split(t(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey")
+# Nations go to one split each, the largest first: a recursion over them.
+query("WITH RECURSIVE s AS (SELECT c_nationkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, sha256('7:' || c_nationkey)) AS i, sum(count(*)) OVER () AS t FROM customer GROUP BY c_nationkey), r AS (SELECT i, c_nationkey, CASE WHEN true THEN 'train' END AS split, n AS train, CAST(0 AS BIGINT) AS dev, CAST(0 AS BIGINT) AS test FROM s WHERE i = 1 UNION ALL SELECT i, c_nationkey, split, train + CASE WHEN split = 'train' THEN n ELSE 0 END, dev + CASE WHEN split = 'dev' THEN n ELSE 0 END, test + CASE WHEN split = 'test' THEN n ELSE 0 END FROM (SELECT s.i, s.c_nationkey, s.n, r.train, r.dev, r.test, CASE WHEN 0.8 * t - r.train > greatest(0.1 * t - r.dev, 0.1 * t - r.test) THEN 'train' WHEN 0.8 * t - r.train = greatest(0.1 * t - r.dev, 0.1 * t - r.test) THEN 'train' WHEN 0.1 * t - r.test >= 0.1 * t - r.dev THEN 'test' ELSE 'dev' END AS split FROM r JOIN s ON s.i = r.i + 1)) SELECT c_nationkey, split FROM r")(customer_split)
 
 
 @query("SELECT n_nationkey, CAST((row_number() OVER (ORDER BY n_nationkey) - 1) // 4 AS BIGINT) AS bin FROM nation")
