@@ -48,6 +48,12 @@ def test_same_result_for_any_partitioning(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("cell"))
     a, b = (sorted(map(tuple, sample.per_cell(rows.repartition(n), ["cell"], 3, "doc_id").collect())) for n in (1, 8))
     assert a == b and len(a) == 21
+    many = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("cell"))
+    top = sample.per_cell(many, ["cell"], 1001, "doc_id").collect()
+    import hashlib
+
+    first = sorted(range(0, 6000, 2), key=lambda i: hashlib.sha256(f"7:{i}".encode()).hexdigest())[:1001]
+    assert sorted((r["rank"], r["doc_id"]) for r in top if r["cell"] == 0) == list(enumerate(first, 1))
     ids = [sorted(map(tuple, sinks.numbered(rows.repartition(n), ["doc_id"], "i", "pool_").collect())) for n in (1, 8)]
     assert ids[0] == ids[1] and ids[0][-1][2] == "pool_00001999"
 

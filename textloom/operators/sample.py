@@ -15,8 +15,16 @@ def hash_order(id_col: str, seed: str):
 
 
 def per_cell(rows: DataFrame, cell: list[str], cap: int, id_col: str, seed: str = "7") -> DataFrame:
-    """At most ``cap`` rows a cell in hash order; Spark keeps cap rows a task before the shuffle."""
-    w = Window.partitionBy(*cell).orderBy(hash_order(id_col, seed), id_col)
+    """At most ``cap`` rows a cell in hash order.
+
+    Up to 1,000 Spark keeps cap rows a task before the shuffle; beyond, a hot cell is first cut
+    into 256 parts by a hash of the id, which keep cap rows each."""
+    order = [hash_order(id_col, seed), id_col]
+    if cap > 1000:
+        part = rows.withColumn("__part", F.pmod(F.xxhash64(id_col), F.lit(256)))
+        part = part.withColumn("__r", F.row_number().over(Window.partitionBy(*cell, "__part").orderBy(*order)))
+        rows = part.filter(F.col("__r") <= cap).drop("__part", "__r")
+    w = Window.partitionBy(*cell).orderBy(*order)
     return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cap)
 
 
