@@ -168,6 +168,48 @@ def test_blocks_find_what_the_centres_miss(unique):
     assert {d: r["component_id"] for d, r in got.items()} == want
 
 
+def test_a_common_passage_sends_sets_few_times(spark, monkeypatch):
+    """Texts that share most of a passage and don't link get their full sets a few times each, not once a band."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    passage = " ".join(word() for _ in range(85))
+    texts = [f"{passage} {' '.join(word() for _ in range(14))}" for _ in range(150)]
+    texts += [f"{t} {word()}" for t in texts[::10]]
+    texts += [" ".join(t.split(" ")[: 85 + 7] + [word() for _ in range(7)]) for t in texts[:15]]
+    rows = list(enumerate(texts))
+    _, want = near_components(rows, 2)
+    seen, across = [], neardup._across
+    monkeypatch.setattr(neardup, "_across", lambda rows, sets, s: seen.append(rows.count()) or across(rows, sets, s))
+    got = table(neardup.resolve(spark.createDataFrame(rows, "doc_id long, text string"), neardup.Settings(words=2)))
+    assert {d: r["component_id"] for d, r in got.items()} == want
+    assert 1 < len(set(want.values())) < len(texts) and seen[0] <= 3 * len(texts)
+
+
+@pytest.mark.parametrize("block", [512, 2])
+def test_rare_members_find_every_link(spark, block):
+    rng, s = random.Random(9), neardup.Settings(block=block)
+    sets = []
+    for _ in range(25):
+        base = rng.sample(range(-60, 60), rng.randint(1, 24))
+        sets += [sorted({*base[rng.randint(0, 2) :], *rng.sample(range(-60, 60), rng.randint(0, 2))}) for _ in range(5)]
+    sets = [x for x in sets if x]
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})}
+    rows = [(i, np.array(x, np.int64).astype("<i8").view("<u8")) for i, x in enumerate(sets)]
+    held = common.table(spark.createDataFrame([(i, np.sort(x).tobytes(), i) for i, x in rows], "k long, members binary, label long").repartition(3), "test")
+    close = neardup._close(neardup._spanning(neardup._postings(held, s).join(held.select("k", "label"), "k"), "t"), s)
+    got = {(r["a"], r["b"]) for r in neardup._across(close, held.select("k", "members"), s).collect()}
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in got:
+        root[find(i)] = find(j)
+    assert got <= links and len(links) > 50 and all(find(i) == find(j) for i, j in links)
+
+
 def test_estimate_follows_jaccard():
     s, rng = neardup.Settings(), np.random.default_rng(1)
     a = rng.integers(0, 2**63, 3000).astype(np.uint64)

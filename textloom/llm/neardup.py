@@ -8,12 +8,13 @@
 3. A pair's similarity is estimated from its packed bits: equal lanes, corrected for chance
    collisions (1/16 a lane).  A pair more than six deviations below the threshold is dropped;
    any other is confirmed by the exact intersection of the full sets.
-4. Confirmed links join into components.  Groups that still span several components are
-   compared once more without centres, by blocks of their classes: packed bits first, each pair
-   of different components in the first group that it shares; full sets follow for classes
-   with a plausible partner, pairs are confirmed in place and a pair of blocks returns one link
-   at most for each component that it joins.  So no link within a group is lost for having met
-   the wrong centre, and no pairs are written out.
+4. Confirmed links join into components.  The classes of groups that still span several
+   components are compared once more without centres, by an exact rule: two sets that link share
+   one of their rarest members (``_postings``), and enough members from there on.  Classes with a
+   possible partner of another component get their full sets, once or a few times each and not
+   once a group and block; pairs are confirmed in place and a pair of blocks returns one link at
+   most for each component that it joins.  So no link between them is lost, and no pairs are
+   written out.
 
 At similarity 0.8 a link shares no band with probability 2e-5.  A text with fewer than k
 words has its whole sequence as its one shingle; null, empty and blank texts have an empty
@@ -33,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm import common, textkit
@@ -51,7 +52,7 @@ class Settings:
     seed: int = 5
     deviations: float = 6.0
     block: int = 512
-    """Most classes of a group that one block of the last comparison holds."""
+    """Most classes under a key that one block of the last comparison holds (8 times as many before sets are sent)."""
 
     @property
     def lanes(self) -> int:
@@ -250,92 +251,163 @@ def _inside(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def _blocks(members: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
-    """Rows (bk, i, j, mine, k, label, packed, bands) dealt into blocks of about s.block rows that
-    meet in pairs (i, j), thinned to those with a plausible partner of another label in their pair.
+def _members_of(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(k, set size, shingle) of each member of the sets (k, members), slices of the batch at a time."""
+    keys = part.column(0).to_numpy()
+    for a, b, data, offsets in textkit.batches(part.column(1), 4_000_000):
+        n = np.diff(offsets) // 8
+        yield np.repeat(keys[a:b], n), np.repeat(n, n), np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), np.int64)
 
-    Only bits are sent to all pairs of blocks; full sets follow for what is left."""
-    size = common.table(members.groupBy("bk").agg(F.count(F.lit(1)).alias("n")), "near-sizes")  # a table, so that a hot group can be split in the join
-    rows = members.join(size, "bk").join(classes.select("k", "packed", "bands"), "k")
-    rows = rows.withColumn("parts", F.ceil(F.col("n") / s.block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+
+def _postings(sets: DataFrame, s: Settings) -> DataFrame:
+    """t, k, n (set size), rest (members from t on, itself included): the shingles t among which two
+    sets that link must share one.
+
+    Members are ordered by how many of the sets hold them, rarest first.  Sets that share none of
+    their first n - ceil(percent * n / 100) + 1 members share too few of the others, so what many
+    texts have in common is no key unless it is nearly all of them.  Members of one set alone come
+    first and are counted, not written."""
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for _, _, t in _members_of(part):
+                t, held = np.unique(t, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(held, pa.int64())], ["t", "held"])
+
+    def spread(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for k, n, t in _members_of(part):
+                yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(k, pa.int64()), pa.array(n, pa.int64())], ["t", "k", "n"])
+
+    held = sets.select("k", "members").mapInArrow(count, "t long, held long").groupBy("t").agg(F.sum("held").alias("held")).filter("held > 1")
+    rows = sets.select("k", "members").mapInArrow(spread, "t long, k long, n long").join(common.table(held, "near-held"), "t")
+    own = Window.partitionBy("k")
+    before = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("held", "t")) - 1
+    return rows.withColumn("rest", F.col("n") - before).filter(f"rest >= ({s.percent} * n + 99) div 100").select("t", "k", "n", "rest")
+
+
+def _dealt(rows: DataFrame, each: int) -> DataFrame:
+    """The rows of a key t in blocks of about ``each`` that meet in pairs (i, j), pair by pair."""
+    size = common.table(rows.groupBy("t").agg(F.count(F.lit(1)).alias("size")), "near-sizes")  # a table, so that a hot key can be split in the join
+    rows = rows.join(size, "t").withColumn("parts", F.ceil(F.col("size") / each).cast("int")).withColumn("mine", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("bk", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "label", "packed", "bands")
+    return rows.select("t", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "label", "n", "rest")
 
-    def screen(group: pa.Table) -> pa.Table:
-        left, right, label, bits, keys, here = _sides(group)
-        wanted = np.zeros(len(label), bool)
-        for at in range(0, len(left), 32):
-            some = left[at : at + 32]
-            ok = _open_pairs(some, right, label, bits, keys, here, s)
-            wanted[some] |= ok.any(1)
-            wanted[right] |= ok.any(0)
-        return group.filter(pa.array(wanted))
 
-    return rows.groupBy("bk", "i", "j").applyInArrow(screen, rows.schema)
+def _whole(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups (t, i, j), and where each begins, from batches sorted by group."""
+    held = None
+    for part in parts:
+        if not part.num_rows:
+            continue
+        got = pa.Table.from_batches([part])
+        got = pa.concat_tables([held, got]) if held is not None else got
+        keys = np.stack([got[c].to_numpy().astype(np.int64) for c in ("t", "i", "j")])
+        starts = np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1))
+        held = got.slice(starts[-1])
+        if len(starts) > 1:
+            yield got.slice(0, starts[-1]), starts[:-1]
+    if held is not None:
+        yield held, np.zeros(1, np.int64)
 
 
-def _sides(group: pa.Table) -> tuple:
-    """Rows of block i and of block j, and labels, bits, band keys and the place of the group's own key."""
-    i, j, mine = group["i"][0].as_py(), group["j"][0].as_py(), group["mine"].to_numpy()
-    bits = np.frombuffer(b"".join(group["packed"].to_pylist()), np.uint8).reshape(len(mine), -1)
-    keys = np.array(group["bands"].to_pylist(), np.int64)
-    here = int(np.flatnonzero((keys == group["bk"][0].as_py()).all(0))[0])
-    return np.flatnonzero(mine == i), np.flatnonzero(mine == j), group["label"].to_numpy(), bits, keys, here
+def _enough(n: np.ndarray, rest: np.ndarray, m: np.ndarray, more: np.ndarray, s: Settings) -> np.ndarray:
+    """Whether sets of n and m members can link that share their member before ``rest`` and ``more``
+    others, itself counted, and none earlier."""
+    return (100 + s.percent) * np.minimum(rest, more) >= s.percent * (n + m)
+
 
+def _close(rows: DataFrame, s: Settings) -> DataFrame:
+    """The rows (t, k, label, n, rest) that have a possible partner of another label under t; no
+    sets are sent, so blocks are larger here."""
 
-def _open_pairs(some: np.ndarray, right: np.ndarray, tops: np.ndarray, bits: np.ndarray, keys: np.ndarray, here: int, s: Settings) -> np.ndarray:
-    """Which pairs have different labels and plausible bits, and share no earlier group."""
-    ok = (tops[some][:, None] != tops[right][None]) & (estimate(bits[some][:, None], bits[right][None], s) >= s.floor)
-    return ok & ~(keys[some, None, :here] == keys[None, right, :here]).any(-1)
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got, starts in _whole(parts):
+            i, j, mine, label, n, rest = (got[c].to_numpy() for c in ("i", "j", "mine", "label", "n", "rest"))
+            group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(i))))
+            wanted, at, step = np.zeros(len(i), bool), np.arange(len(i)), 0
+            while len(at):  # each row with the one that follows ``step`` later in its group
+                step += 1
+                at = at[at < len(i) - step]
+                at = at[group[at] == group[at + step]]
+                to = at + step
+                ok = (label[at] != label[to]) & ((mine[at] != mine[to]) == (i[at] != j[at])) & _enough(n[at], rest[at], n[to], rest[to], s)
+                wanted[at[ok]] = wanted[to[ok]] = True
+            yield from got.filter(pa.array(wanted)).select(["t", "k", "label", "n", "rest"]).to_batches()
+
+    sorted_ = _dealt(rows, 8 * s.block).repartition("t", "i", "j").sortWithinPartitions("t", "i", "j")
+    return sorted_.mapInArrow(run, "t long, k long, label long, n long, rest long").distinct()
+
+
+def _linked(group: pa.Table, s: Settings) -> tuple[list[int], list[int]]:
+    """Links between the different labels of a group (t, i, j), one at most for each component that it joins."""
+    i, j, mine = group["i"][0].as_py(), group["j"][0].as_py(), group["mine"].to_numpy()
+    own, label, size, rest = (group[c].to_numpy() for c in ("k", "label", "n", "rest"))
+    sets = [np.frombuffer(x, np.uint64) for x in group["members"].to_pylist()]
+    left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+    root = {int(v): int(v) for v in np.unique(label)}
+
+    def find(v: int) -> int:
+        while root[v] != v:
+            root[v] = root[root[v]]
+            v = root[v]
+        return v
+
+    a: list[int] = []
+    b: list[int] = []
+    for at in range(0, len(left), 32):
+        some = left[at : at + 32]
+        tops = np.array([find(int(v)) for v in label])
+        ok = (tops[some][:, None] != tops[right][None]) & _enough(size[some][:, None], rest[some][:, None], size[right][None], rest[right][None], s)
+        if i == j:
+            ok &= some[:, None] < right[None]
+        x, y = (np.flatnonzero(ok.any(k)) for k in (1, 0))
+        if not len(x):
+            continue
+        both = _inside([sets[k] for k in some[x]], [sets[k] for k in right[y]])
+        linked = ok[np.ix_(x, y)] & (100 * both >= s.percent * (size[some[x]][:, None] + size[right[y]][None] - both))
+        for p, q in zip(*np.nonzero(linked), strict=True):
+            u, v = some[x[p]], right[y[q]]
+            if (m := find(int(label[u]))) != (n := find(int(label[v]))):
+                root[max(m, n)] = min(m, n)
+                a.append(int(min(own[u], own[v])))
+                b.append(int(max(own[u], own[v])))
+    return a, b
+
+
+def _across(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Links between different labels under the same key, confirmed on full sets in place."""
 
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got, starts in _whole(parts):
+            for lo, hi in zip(starts, [*starts[1:], got.num_rows], strict=True):
+                a, b = _linked(got.slice(lo, hi - lo), s)
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-def _across(blocks: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Links between different labels in the same group, confirmed on full sets in place.
+    sorted_ = _dealt(rows, s.block).join(sets, "k").repartition("t", "i", "j").sortWithinPartitions("t", "i", "j")
+    return sorted_.mapInArrow(run, "a long, b long").distinct()
 
-    A pair is looked at in the first group that both share, and a pair of blocks gives at most
-    one link for each component that it joins.
-    """
 
-    def run(group: pa.Table) -> pa.Table:
-        left, right, label, bits, keys, here = _sides(group)
-        own = group["k"].to_numpy()
-        sets_ = [np.frombuffer(x, np.uint64) for x in group["members"].to_pylist()]
-        size = np.array([len(x) for x in sets_])
-        root = {int(v): int(v) for v in np.unique(label)}
-
-        def find(v: int) -> int:
-            while root[v] != v:
-                root[v] = root[root[v]]
-                v = root[v]
-            return v
-
-        a: list[int] = []
-        b: list[int] = []
-        for at in range(0, len(left), 32):
-            some = left[at : at + 32]
-            tops = np.array([find(int(v)) for v in label])
-            ok = _open_pairs(some, right, tops, bits, keys, here, s)
-            x, y = (np.flatnonzero(ok.any(k)) for k in (1, 0))
-            if not len(x):
-                continue
-            both = _inside([sets_[k] for k in some[x]], [sets_[k] for k in right[y]])
-            linked = ok[np.ix_(x, y)] & (100 * both >= s.percent * (size[some[x]][:, None] + size[right[y]][None] - both))
-            for p, q in zip(*np.nonzero(linked), strict=True):
-                u, v = some[x[p]], right[y[q]]
-                if (m := find(int(label[u]))) != (n := find(int(label[v]))):
-                    root[max(m, n)] = min(m, n)
-                    a.append(int(min(own[u], own[v])))
-                    b.append(int(max(own[u], own[v])))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return blocks.join(sets, "k").groupBy("bk", "i", "j").applyInArrow(run, "a long, b long").distinct()
+def _spanning(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key has several labels."""
+    spans = rows.groupBy(key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select(key)
+    return common.table(rows.join(common.table(spans, "near-spans"), key, "left_semi"), "near-open")
 
 
 def _open_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the groups that span several components, with their labels."""
-    got = common.table(members.select("bk", "k").join(labels, "k", "left").select("bk", "k", F.coalesce("label", "k").alias("label")), "near-grouped")
-    spans = got.groupBy("bk").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bk")
-    return common.table(got.join(common.table(spans, "near-spans"), "bk", "left_semi"), "near-open")
+    got = members.select("bk", "k").join(labels, "k", "left").select("bk", "k", F.coalesce("label", "k").alias("label"))
+    return _spanning(common.table(got, "near-grouped"), "bk")
+
+
+def _more_links(open_: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """All links between different labels of the open classes, but those that join nothing new."""
+    labels = common.table(open_.select("k", "label").distinct(), "near-open-labels")
+    wanted = common.table(labels.join(classes.select("k", "cls", "d", "x"), "k").drop("label"), "near-wanted")
+    sets = common.table(full_sets(docs, wanted, s), "near-sets")
+    rows = _spanning(common.table(_postings(sets, s).join(labels, "k"), "near-postings"), "t")
+    return common.table(_across(common.table(_close(rows, s), "near-close"), sets, s), "near-more")
 
 
 def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -365,10 +437,7 @@ def _resolved(docs: DataFrame, s: Settings) -> DataFrame:
     labels = components(links)
     open_ = _open_groups(members, labels)
     if not open_.isEmpty():
-        blocks = common.table(_blocks(open_, classes, s), "near-blocks")
-        wanted = common.table(blocks.select("k").distinct().join(classes.select("k", "cls", "d", "x"), "k"), "near-wanted")
-        sets = common.table(full_sets(docs, wanted, s), "near-sets")
-        links = links.unionByName(common.table(_across(blocks, sets, s), "near-more"))
+        links = links.unionByName(_more_links(open_, classes, docs, s))
         labels = components(links)
     named = common.table(_named(classes, labels), "near-components").withColumnsRenamed({"d": "hd", "x": "hx"})
     got = rows.select("doc_id", "x", "n_shingles", "cls").join(named, "cls", "left")
