@@ -358,6 +358,20 @@ def test_plan_is_close_to_the_bound():
             assert plan.bins <= max(large, 2 * -(-sum(k * n for k, n in counts.items()) // capacity) + 1)
 
 
+def test_new_chunks_are_encoded_together(monkeypatch):
+    """Chunks after one space share a call of the library, whatever characters they hold; ids are those of whole texts."""
+    rng, coder, alone = random.Random(12), tokenizing.Encoder(BYTE), []
+    odd = "ab7-_.,'\u00e9\u0130\u01c5\u02b0\u0300\u4e2d\u0661\u00b2\u2028\u00a0\U0001f600\x1c\x1f\x85\u180e\u200b\x00#<|>\u0120\u010a"
+    texts = [" ".join("".join(rng.choices(odd, k=rng.randint(0, 7))) + rng.choice(["", "", "\n", "'s", ".", "  ", "<|endoftext|>"]) for _ in range(60)) for _ in range(150)]
+    texts += [" ".join(f"{rng.choice('abc')}-{i * 7919 + k},{k}" for k in range(300)) for i in range(3)] + [None, "", " ", "\n", " \n a", "a\nb\n\nc"]
+    for t, raw in zip(texts, coder.encode(texts), strict=True):
+        assert raw == np.array(coder.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes()
+    coder, one = tokenizing.Encoder(BYTE), tokenizing.Encoder._one_by_one
+    monkeypatch.setattr(tokenizing.Encoder, "_one_by_one", lambda self, chunks: alone.extend(chunks) or one(self, chunks))
+    coder.encode(texts[150:153])
+    assert len(alone) <= 6
+
+
 def test_token_files(spark, docs, unique, empty):
     path = common.new_table_path(spark, "test")
     token_files.write(unique, path, BYTE, per_block=700)

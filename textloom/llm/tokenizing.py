@@ -68,6 +68,11 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         kind = _kind(json.loads(self.tokenizer.to_str()))
         self.lower, self.whole = kind == "lower", kind == "whole"
+        if kind == "bytes":
+            vocabulary = self.tokenizer.get_vocab()
+            self.feed = vocabulary.get("\u010a", -1)  # byte 0x0A in the vocabulary's alphabet
+            self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+            self.leads[[i for t, i in vocabulary.items() if t[0:1] == "\u0120"]] = True  # byte 0x20
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -81,30 +86,48 @@ class Encoder:
     def _one_by_one(self, chunks: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    def _words(self, words: list[str], between: str) -> list[bytes]:
-        """Words of letters alone, each one piece of the tokenizer's pattern, encoded as one text
-        and parted at the pieces.  Should the pattern see more pieces, each is encoded alone."""
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Words of letters alone, each one piece of the ``lower`` pattern, encoded as one text and
+        parted at the pieces.  Should the pattern see more pieces, each is encoded alone."""
         out: list[bytes] = []
         for at in range(0, len(words), JOINED):
             some = words[at : at + JOINED]
-            e = self.tokenizer.encode(between.join(some), add_special_tokens=False)
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             piece = np.array(e.word_ids, np.int64)
             cut = np.concatenate(([0], np.flatnonzero(np.diff(piece)) + 1, [len(piece)])) * 4
             raw, cut = array("I", e.ids).tobytes(), cut.tolist()
             parts = [raw[i:j] for i, j in zip(cut, cut[1:], strict=False)]
-            if between == "\n":  # the line feeds are pieces themselves
-                parts = parts[::2] if len(parts) == 2 * len(some) - 1 else []
             out += parts if len(parts) == len(some) else self._one_by_one(some)
         return out
 
+    def _joined(self, chunks: list[str], between: str) -> list[bytes]:
+        """Chunks of the ``bytes`` kind encoded as one text: those that begin with their only space are
+        parted where an id begins with a space, words of letters alone at line feeds put between them."""
+        out: list[bytes] = []
+        groups = [chunks[at : at + JOINED] for at in range(0, len(chunks), JOINED)]
+        found = self.tokenizer.encode_batch_fast([between.join(some) for some in groups], add_special_tokens=False)
+        for some, e in zip(groups, found, strict=True):
+            ids = array("I", e.ids)
+            raw, values = ids.tobytes(), np.frombuffer(ids, np.uint32)
+            at = np.flatnonzero(values == self.feed if between else self.leads[values])
+            if len(at) != len(some) - len(between) or not between and at[0]:
+                out += self._one_by_one(some)
+                continue
+            first = (4 * at).tolist()
+            if between:
+                out += [raw[i:j] for i, j in zip([0, *(i + 4 for i in first)], [*first, len(raw)], strict=True)]
+            else:
+                out += [raw[i:j] for i, j in zip(first, [*first[1:], len(raw)], strict=True)]
+        return out
+
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks that aren't known."""
         got = {c: self.older[c] for c in chunks if c in self.older}
         new = chunks - got.keys()
         bare = [c for c in new if c.isalpha()]
-        spaced = [] if self.lower else [c for c in new if c[:1] == " " and c[1:].isalpha()]
-        got.update(zip(bare, self._words(bare, " " if self.lower else "\n"), strict=True))
-        got.update(zip(spaced, self._words(spaced, ""), strict=True))
+        spaced = [] if self.lower else [c for c in new if c[0] == " " and c[1:2].strip()]
+        got.update(zip(bare, self._words(bare) if self.lower else self._joined(bare, "\n"), strict=True))
+        got.update(zip(spaced, self._joined(spaced, ""), strict=True))
         others = [c for c in new if c not in got]
         got.update(zip(others, self._one_by_one(others), strict=True))
         return got
