@@ -74,6 +74,21 @@ def test_selection(spark):
         assert sorted(cells) == ["c0"] * 3 + ["c1"] * 3 + ["c2"] * 3
 
 
+def test_numbers_have_no_gaps_where_ranges_are_merged(spark):
+    """Columns beside the order make ranges larger, so adaptive execution merges fewer of them."""
+    conf = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("more"))
+        got = sinks.numbered(rows.repartition(4), ["doc_id"], "i", "", 1).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted((r["doc_id"], int(r["i"])) for r in got) == [(i, i) for i in range(20_000)]
+
+
 def test_candidates_of_selections(spark, tmp_path):
     """Best rows are found among many: neither five rows a cell nor the shortest rows of a token bound them."""
     words = [a + b for a in "bdfgkl" for b in "aeiou"]

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.tables import settled
+
 
 def numbered(rows: DataFrame, order: list[str], name: str, prefix: str, digits: int = 8) -> DataFrame:
     """Gapless ids like pool_00000000 in a stated order.
 
     Rows are ranged by the order, and counts per range shift the ranks within: no global window.
+    The ranges are a table: planned twice, adaptive execution could merge them differently each time.
     """
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    rows = settled(rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()), "numbered")
     counts = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shift = counts.select("__p", before.alias("__b"))  # one row a partition
