@@ -219,6 +219,17 @@ def test_near_representatives(spark):
     assert near.representatives(df.limit(0), "id", "text", "score").count() == 0
 
 
+def test_a_bucket_of_different_texts_takes_few_rounds(spark, monkeypatch):
+    """All in one bucket and none similar: one after the other would take as many rounds as texts."""
+    one = F.udf(lambda text: [1], "array<long>")
+    tables, rounds = near.settled, []
+    monkeypatch.setattr(near, "band_keys", one)
+    monkeypatch.setattr(near, "settled", lambda rows, name: rounds.append(name) or tables(rows, name))
+    texts = spark.createDataFrame([(i, " ".join(chr(97 + (i * 7 + k * k) % 26) * (3 + i % 5) + str(i * k) for k in range(30)), 1) for i in range(24)], "id long, text string, score int")
+    assert not any(r["near_duplicate"] for r in near.representatives(texts, "id", "text", "score").collect())
+    assert len(rounds) < 48
+
+
 def test_acceptance_of_a_selection(spark):
     rows = spark.createDataFrame([("x", ["a", "b"]), ("y", ["a", "a"])], "hash string, tokens array<string>")
     count = lambda **n: spark.createDataFrame(list(n.items()), "token string, n long")
