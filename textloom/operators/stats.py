@@ -144,6 +144,12 @@ def rank_quantile(rows: DataFrame, col: str, share: float) -> DataFrame:
 
 def first_seen_tokens(rows: DataFrame, order: list[str], tokens: str = "tokens") -> DataFrame:
     """token, place: each token once, in the order in which the rows (by ``order``) first show it."""
-    x = rows.select(*order, F.posexplode_outer(tokens).alias("__pos", "token")).filter("token IS NOT NULL")
+    first, *_ = order
+    rows = settled(rows.select(*order, F.array_distinct(tokens).alias("__t")), "distinct-tokens")  # in order of their first places
+    seen = rows.select(first, F.explode_outer("__t").alias("token")).filter("token IS NOT NULL").groupBy("token")
+    least = seen.agg(F.min(first).alias("__m"), F.bool_or(F.col(first).isNull()).alias("__n"))  # a number and a flag a token; nulls come first
+    early = settled(least.select(F.when(~F.col("__n"), F.col("__m")).alias("__first")).distinct(), "first-rows")  # a vocabulary
+    some = rows.join(F.broadcast(early), F.col(first).eqNullSafe(F.col("__first")), "left_semi")
+    x = some.select(*order, F.posexplode_outer("__t").alias("__pos", "token")).filter("token IS NOT NULL")
     first = x.groupBy("token").agg(F.min(F.struct(*order, "__pos")).alias("__first"))  # a vocabulary
     return first.select("token", (F.row_number().over(Window.orderBy("__first")) - 1).alias("place"))
