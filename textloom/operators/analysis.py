@@ -27,19 +27,22 @@ def records(docs: DataFrame, profile: Profile, corpus: str, text: str = "text",
 
     Tokens are those that hold a letter of the profile; what is not usable has none."""
     rows = docs.select(F.col(corpus).alias("corpus"), F.col(text).alias("__raw"), T.once(normalise(F.col(text), profile)).alias("__norm"))
-    rows = rows.withColumn("tokens", T.once(T.lettered(T.tokenize(F.col("__norm"), profile), profile)))
-    norm, letters = F.col("__norm"), T.letter_count(F.col("__norm"), profile)
-    matched = T.letter_count(F.array_join("tokens", ""), profile)
+    rows = rows.withColumn("__m", T.once(T.lettered_of(F.col("__norm"), profile))).select("corpus", "__raw", "__norm", "__m.*")
+    norm = F.col("__norm")
     return rows.select(
         "corpus", T.status(F.col("__raw"), norm).alias("status"), F.sha2(norm.cast("binary"), 256).alias("hash"), "tokens", F.length(norm).alias("n_chars"),
-        letters.alias("n_letters"), F.size("tokens").alias("n_tokens"), F.greatest(F.lit(0), letters - matched).alias("n_unmatched"),
+        "n_letters", F.size("tokens").alias("n_tokens"), "n_unmatched",
     )
 
 
-def _union(rec: DataFrame) -> DataFrame:
-    """One row a text of the usable ones."""
-    usable = rec.filter("status = 'usable'")
-    return usable.groupBy("hash").agg(*(F.first(c).alias(c) for c in usable.columns if c not in ("hash", "corpus"))).withColumn("corpus", F.lit(UNION))
+def _kept(rec: DataFrame) -> DataFrame:
+    """Adds kept: for one row a text of the usable ones.  Repeats are found by narrow rows (hash and
+    row), so the tokens are not sent with them."""
+    rec = settled(rec.withColumn("__row", F.monotonically_increasing_id()), "analysis-records")
+    usable = rec.filter("status = 'usable'").select("hash", "__row")
+    first = usable.groupBy("hash").agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("hash", "__first")
+    again = settled(usable.join(first, "hash").filter("__row <> __first").select("__row", F.lit(False).alias("kept")), "analysis-repeats")
+    return rec.join(again, "__row", "left").withColumn("kept", F.coalesce("kept", F.col("status") == "usable")).drop("__row")
 
 
 def _with_native(per: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
@@ -50,10 +53,19 @@ def _with_native(per: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     return per.unionByName(whole)
 
 
+def _views(per: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """Counts by view from those by corpus and kept."""
+    per = settled(per, "analysis-views")
+    others = [k for k in keys if k != "view"]
+    union = per.filter("kept").groupBy(F.lit(UNION).alias("view"), *others).agg(*(F.sum(c).alias(c) for c in sums))
+    own = per.groupBy("corpus", *others).agg(*(F.sum(c).alias(c) for c in sums))
+    return _with_native(own, ["view", *others], sums).unionByName(union)
+
+
 def frequencies(rec: DataFrame) -> DataFrame:
     """view, token, n."""
-    of = lambda rows: stats.token_frequency(rows.filter("status = 'usable'"), ["corpus"])
-    return _with_native(settled(of(rec), "analysis-counts"), ["view", "token"], ["n"]).unionByName(of(_union(rec)).withColumnRenamed("corpus", "view"))
+    rows = _kept(rec.filter("status = 'usable'").select("corpus", "status", "hash", "tokens"))
+    return _views(stats.token_frequency(rows, ["corpus", "kept"]), ["view", "token"], ["n"])
 
 
 def counts(rec: DataFrame) -> DataFrame:
@@ -64,8 +76,8 @@ def counts(rec: DataFrame) -> DataFrame:
         "input": F.count(F.lit(1)), "usable": F.count_if(usable), "empty": F.count_if(F.col("status") == "empty"), "rejected": F.count_if(F.col("status") == "rejected"),
         "tokens": some("n_tokens"), "letters": some("n_letters"), "unmatched": some("n_unmatched"),
     }
-    by = lambda rows: rows.groupBy("corpus").agg(*(v.alias(k) for k, v in sums.items()))
-    got = _with_native(settled(by(rec), "analysis-totals"), ["view"], list(sums)).unionByName(by(_union(rec)).withColumnRenamed("corpus", "view"))
+    per = _kept(rec.drop("tokens")).groupBy("corpus", "kept").agg(*(v.alias(k) for k, v in sums.items()))
+    got = _views(per, ["view"], list(sums))
     return got.withColumn("unmatched_ratio", F.when(F.col("letters") > 0, F.round(F.col("unmatched") / F.col("letters"), 8)).otherwise(F.lit(0.0)))
 
 
@@ -74,8 +86,8 @@ def lengths(rec: DataFrame) -> DataFrame:
 
     By histograms: they add up over corpora, and windows see distinct lengths only."""
     pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("value")) for c in LENGTHS)))
-    by = lambda rows: rows.filter("status = 'usable'").select("corpus", pairs.alias("x")).groupBy("corpus", "x.measure", "x.value").agg(F.count(F.lit(1)).alias("n"))
-    h = _with_native(settled(by(rec), "analysis-lengths"), ["view", "measure", "value"], ["n"]).unionByName(by(_union(rec)).withColumnRenamed("corpus", "view"))
+    rows = _kept(rec.filter("status = 'usable'").drop("tokens")).select("corpus", "kept", pairs.alias("x"))
+    h = _views(rows.groupBy("corpus", "kept", "x.measure", "x.value").agg(F.count(F.lit(1)).alias("n")), ["view", "measure", "value"], ["n"])
     return histogram_lengths(h, ["view", "measure"])
 
 

@@ -12,24 +12,19 @@ from textloom.profile import MAX_TOKENS, MAX_UNKNOWN, MIN_TOKENS, MIN_UNIQUE, Pr
 
 def sentences(docs: DataFrame, profile: Profile, raw_first: bool = False, keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
     """One row a sentence: keep, pos, sentence.  ``raw_first`` splits before cleaning."""
-    if raw_first:
-        parts = docs.select(*keep, F.posexplode(F.split("text", f"[{profile.raw_end_marks}]+")).alias("pos", "raw"))
-        return parts.select(*keep, "pos", T.clean(F.col("raw"), profile).alias("sentence")).filter("sentence <> ''")
-    marks = profile.end_marks
-    return docs.select(*keep, F.posexplode(T.split_sentences(T.clean(F.col("text"), profile), marks)).alias("pos", "sentence"))
+    parts = docs.select(*keep, F.posexplode_outer(T.sentences(F.col("text"), profile, raw_first)).alias("pos", "sentence"))
+    return parts.filter("sentence <> ''")  # outer: a filter on the array would make it twice
 
 
 def measured(rows: DataFrame, profile: Profile, col: str = "sentence") -> DataFrame:
     """Adds tokens, n_tokens, n_unique, unknown and reason (null: accepted)."""
-    rows = rows.withColumn("__all", T.once(T.tokenize(F.col(col), profile))).withColumn("tokens", T.content(F.col("__all"), profile))
-    one = F.struct(F.size("tokens").alias("n_tokens"), F.size(F.array_distinct("tokens")).alias("n_unique"), T.unknown_ratio(F.col(col), F.col("__all")).alias("unknown"))
-    rows = rows.withColumn("__m", T.once(one)).select(*(c for c in rows.columns if c != "__all"), "__m.*")
+    rows = rows.withColumn("__m", T.once(T.measures(F.col(col), profile))).select(*(c for c in rows.columns if c != "tokens"), "__m.*")
     return rows.withColumn("reason", T.quality_reason(F.col("n_tokens"), F.col("n_unique"), F.col("unknown"), MIN_TOKENS, MAX_TOKENS, MIN_UNIQUE, MAX_UNKNOWN))
 
 
 def pool(docs: DataFrame, profile: Profile) -> DataFrame:
     """Accepted sentences with their hash."""
-    return measured(sentences(docs, profile), profile).filter("reason is null").withColumn("hash", T.text_hash(F.col("sentence")))
+    return measured(sentences(docs, profile), profile).filter("reason is null").withColumn("hash", F.sha2(F.col("sentence").cast("binary"), 256))  # cleaned, so its spaces are collapsed
 
 
 def first_seen(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -87,7 +82,7 @@ def retokenised(rows: DataFrame, profile: Profile, normalise=T.normalize) -> Dat
     """Rows with text, tokens, unique_tokens and hash made anew; what was stored of these is ignored."""
     keep = [c for c in rows.columns if c not in ("text", "tokens", "unique_tokens", "hash")]
     got = rows.select(*keep, T.once(normalise(F.coalesce("text", F.lit("")), profile)).alias("text"))
-    got = got.withColumn("tokens", T.once(T.content(T.tokenize(F.col("text"), profile), profile)))
+    got = got.withColumn("tokens", T.once(T.tokenize(F.col("text"), profile, profile.skip)))
     return got.withColumns({"unique_tokens": F.array_sort(F.array_distinct("tokens")), "hash": F.sha2(F.col("text").cast("binary"), 256)})
 
 

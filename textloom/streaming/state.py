@@ -11,7 +11,7 @@ from textloom.profile import Profile
 
 
 def counts(rows: DataFrame, profile: Profile) -> DataFrame:
-    tokens = T.content(T.tokenize(T.clean(F.col("text"), profile), profile), profile)
+    tokens = T.content_of(F.col("text"), profile)
     return stats.token_frequency(rows.select(tokens.alias("tokens")), [])
 
 
