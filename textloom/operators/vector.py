@@ -23,43 +23,96 @@ def unit(v: Column) -> Column:
     return F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(x))
 
 
-def _best(a: pa.Table, b: pa.Table) -> pa.Table:
-    """For each k of ``a`` the nearest other k2 of ``b``; of equals the smallest."""
-    if not a.num_rows or not b.num_rows:
-        return pa.table({"k": pa.array([], pa.int64()), "nn": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
-    x, y = (np.stack(v.to_numpy(zero_copy_only=False)).astype(np.float64) for v in (a["v"], b["v2"]))
-    i, j = a["k"].to_numpy(), b["k2"].to_numpy()
-    order = np.argsort(j)
-    y, j = y[order], j[order]
-    out = []
-    for at in range(0, len(i), 512):
-        s = np.round(x[at : at + 512] @ y.T, 6)
-        s[i[at : at + 512, None] == j[None]] = -np.inf
-        k = s.argmax(1)
-        out.append((j[k], s[np.arange(len(k)), k]))
-    nn, c = (np.concatenate(z) for z in zip(*out, strict=True))
-    ok = np.isfinite(c)
-    return pa.table({"k": i[ok], "nn": nn[ok], "cosine": c[ok]})
-
-
-def nearest(rows: DataFrame, key: str, vector: str, block: int = 2048, most: int = 50_000) -> DataFrame:
+BLOCKS, MOST = 16, 65_536
+"""Tables are cut into so many blocks, or more where a block would have more rows than ``MOST``."""
+
+
+def _best(i: np.ndarray, x: np.ndarray, j: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of i, x the nearest other row of j, y (in order of j): key, nn, cosine to six places; of equals the smallest.
+
+    Products are taken in single precision first; what can be the nearest by their bound of error, in double."""
+    if not len(i) or not len(j):
+        return i[:0], j[:0], np.zeros(0)
+    best, at = np.full(len(i), -np.inf), np.zeros(len(i), np.int64)
+    low, high = np.searchsorted(j, i, "left"), np.searchsorted(j, i, "right")  # rows of the same key
+    x4, y4 = x.astype(np.float32), y.astype(np.float32)
+    slack = (2 * (x.shape[1] + 4) * 2.0**-23 * np.linalg.norm(x.astype(float), axis=1) * np.linalg.norm(y.astype(float), axis=1).max() + 2e-6).astype(np.float32)
+    for c in range(0, len(j), 2048):
+        part = y4[c : c + 2048].T
+        for r in range(0, len(i), 512):
+            s = x4[r : r + 512] @ part
+            for k in np.flatnonzero((high[r : r + 512] > np.maximum(low[r : r + 512], c)) & (low[r : r + 512] < c + 2048)):
+                s[k, max(low[r + k] - c, 0) : high[r + k] - c] = -np.inf
+            top = s.max(1)
+            least = np.maximum(top, best[r : r + 512].astype(np.float32)) - slack[r : r + 512]
+            rows = np.flatnonzero((top >= least) & np.isfinite(top))
+            near, col = np.nonzero(s[rows] >= least[rows, None])
+            near = rows[near]
+            exact = np.round(np.einsum("ij,ij->i", x[r + near].astype(float), y[c + col].astype(float)), 6)
+            order = np.lexsort((col, -exact, near))
+            first = order[np.unique(near[order], return_index=True)[1]]
+            first = first[exact[first] > best[r + near[first]]]  # of equals the first stays
+            best[r + near[first]], at[r + near[first]] = exact[first], c + col[first]
+    ok = np.isfinite(best)
+    return i[ok], j[at[ok]], best[ok]
+
+
+def _packed(rows: DataFrame, by: list[str], kind: str, more: str | None = None) -> DataFrame:
+    """k, v (and an array of ints) of each group in one row of bytes, in order of k."""
+
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by("k")
+        raw = lambda name, to: np.asarray(group[name].combine_chunks().flatten() if pa.types.is_list(group[name].type) else group[name], to).tobytes()
+        got = {c: group[c].slice(0, 1) for c in by} | {"k": [raw("k", np.int64)], "v": [raw("v", kind)]}
+        return pa.table(got | ({"more": [raw(more, np.int32)]} if more else {}))
+
+    kinds = dict(rows.dtypes)
+    return rows.groupBy(*by).applyInArrow(pack, ", ".join([*(f"{c} {kinds[c]}" for c in by), "k binary, v binary", *(["more binary"] if more else [])]))
+
+
+def _crossed(asked: DataFrame, there: DataFrame, of: int, key: str, kind: str, cells: bool) -> DataFrame:
+    """key, nn, cosine: the nearest for each row of the blocks ``asked`` in the blocks ``there``.
+
+    A task compares one block with one other.  Blocks meet by a Cartesian product, which reads
+    them where they are: what is shuffled are the blocks, once, and a row's nearest in each block."""
+
+    def compare(parts):
+        for part in parts:
+            for r in part.to_pylist():
+                i, j = np.frombuffer(r["k"], np.int64), np.frombuffer(r["k2"], np.int64)
+                x, y = np.frombuffer(r["v"], kind).reshape(len(i), -1), np.frombuffer(r["v2"], kind).reshape(len(j), -1)
+                if cells:
+                    mine = (np.frombuffer(r["more"], np.int32).reshape(len(i), -1) == r["c2"]).any(1)
+                    i, x = i[mine], x[mine]
+                yield pa.RecordBatch.from_arrays([pa.array(z) for z in _best(i, x, j, y)], ["k", "nn", "cosine"])
+
+    pairs = asked.repartitionByRange(of, "b").drop("b").crossJoin(there.repartitionByRange(of, "b2").drop("b2"))
+    got = pairs.mapInArrow(compare, "k long, nn long, cosine double")
+    return got.groupBy(F.col("k").alias(key)).agg(F.max_by("nn", F.struct("cosine", -F.col("nn"))).alias("nn"), F.max("cosine").alias("cosine"))
+
+
+def _kind(rows: DataFrame, vector: str) -> str:
+    return "float32" if dict(rows.dtypes)[vector] == "array<float>" else "float64"
+
+
+def _blocks(n: int, block: int) -> int:
+    return max(1, min(BLOCKS, -(-n // block)), -(-n // MOST))
+
+
+def nearest(rows: DataFrame, key: str, vector: str, block: int = 2048, most: int = 2048) -> DataFrame:
     """Each row's nearest other row by inner product: key, nn, cosine.
 
-    Exact: all pairs are compared.  Up to ``most`` rows both sides are one group, in one task.
-    Beyond, rows are dealt into blocks and each pair of blocks is one group: no task holds more
-    than two blocks, and each row is sent to as many groups as there are blocks.  Rows without
-    a vector are nobody's neighbours and have none; a row alone has none.
+    Exact: all pairs are compared.  Up to ``most`` rows are one block.  Beyond, rows are dealt into
+    blocks of ``block`` rows, but ``BLOCKS`` of them at most while they stay within ``MOST`` rows, and each
+    pair of blocks is one task.  Rows without a vector are nobody's neighbours and have none; a row alone has none.
     """
     rows = rows.filter(F.col(vector).isNotNull())
     n = rows.count()
-    parts = max(1, -(-n // (block if n > most else max(n, 1))))
-    own = rows.select(F.col(key).alias("k"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("p"))
-    left = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    # names and expressions of its own: the two sides of a group must not share any
-    right = own.select(F.col("k").alias("k2"), F.col("v").alias("v2"), F.col("p").alias("o2")).withColumn("p2", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-
-    got = left.groupBy("p", "o").cogroup(right.groupBy("p2", "o2")).applyInArrow(_best, "k long, nn long, cosine double")
-    return got.groupBy(F.col("k").alias(key)).agg(F.max_by("nn", F.struct("cosine", -F.col("nn"))).alias("nn"), F.max("cosine").alias("cosine"))
+    of = _blocks(n, block) if n > most else 1
+    own = rows.select(F.pmod(F.xxhash64(key), F.lit(of)).cast("int").alias("b"), F.col(key).cast("long").alias("k"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    kind = _kind(rows, vector)
+    own = settled(_packed(own, ["b"], kind), "vector-blocks")
+    return _crossed(own, own.toDF("b2", "k2", "v2"), of, key, kind, False)
 
 
 def nearest_pruned(rows: DataFrame, key: str, vector: str, cells: int, probes: int, fit: int = 100_000, seed: int = 7) -> DataFrame:
@@ -68,11 +121,12 @@ def nearest_pruned(rows: DataFrame, key: str, vector: str, cells: int, probes: i
     Rows belong to the cell of the nearest of ``cells`` centres, which are fitted on at most
     ``fit`` rows (those of the smallest hash); every row is looked for in the ``probes`` cells
     nearest to it, against all their rows.  With as many probes as cells it is exact.  Cells
-    are compared in blocks of their rows as ``nearest`` does, so no task holds a hot cell.
+    are cut into blocks, and blocks compared as ``nearest`` does, so no task holds a hot cell.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    kind = _kind(rows, vector)
     rows = settled(rows.filter(F.col(vector).isNotNull()).select(F.col(key).alias("k"), F.transform(vector, lambda x: x.cast("double")).alias("v")), "vectors")
     some = rows.orderBy(F.xxhash64(F.lit(seed), "k"), "k").limit(fit).select(array_to_vector("v").alias("features"))
     if not some.take(1):
@@ -87,15 +141,16 @@ def nearest_pruned(rows: DataFrame, key: str, vector: str, cells: int, probes: i
                 order = np.argsort(-s, axis=1, kind="stable")[:, : min(probes, len(centres))].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("k"), part.column("v"), pa.array(list(order), pa.list_(pa.int32()))], ["k", "v", "cells"])
 
-    own = settled(rows.mapInArrow(near, f"k {dict(rows.dtypes)['k']}, v array<double>, cells array<int>"), "vector-cells")
-    size = settled(own.groupBy(F.get("cells", F.lit(0)).alias("c")).agg(F.ceil(F.count(F.lit(1)) / 2048).cast("int").alias("blocks")), "cell-sizes")
-    there = own.select("k", "v", F.get("cells", F.lit(0)).alias("c")).join(F.broadcast(size), "c")  # a row a cell
-    there = there.select("c", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int").alias("b"), F.col("k").alias("k2"), F.col("v").alias("v2"))
-    asked = own.select("k", "v", F.explode("cells").alias("c")).join(F.broadcast(size), "c")
-    asked = asked.select("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int").alias("p"), "k", "v")
-    there = there.join(F.broadcast(size), "c").select(F.col("c").alias("c2"), F.col("b").alias("b2"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("p2"), "k2", "v2")
-    got = asked.groupBy("c", "b", "p").cogroup(there.groupBy("c2", "b2", "p2")).applyInArrow(_best, "k long, nn long, cosine double")
-    return got.groupBy(F.col("k").alias(key)).agg(F.max_by("nn", F.struct("cosine", -F.col("nn"))).alias("nn"), F.max("cosine").alias("cosine"))
+    own = rows.mapInArrow(near, f"k {dict(rows.dtypes)['k']}, v array<double>, cells array<int>")
+    per = max(1, -(-_blocks(rows.count(), 2048) // len(centres)))  # parts of a cell of the usual size
+    own = own.select(F.get("cells", F.lit(0)).alias("c"), F.col("k").cast("long").alias("k"), "v", "cells")
+    own = settled(own, "vector-cells")
+    size = own.groupBy("c").agg(F.greatest(F.lit(per), F.ceil(F.count(F.lit(1)) / F.lit(MOST))).cast("int").alias("parts"))  # a row a cell
+    own = own.join(F.broadcast(size), "c").withColumn("p", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+    own = settled(_packed(own.select("c", "p", "k", "v", "cells"), ["c", "p"], kind, "cells"), "vector-blocks").withColumn("b", F.col("p") * len(centres) + F.col("c"))
+    of = max(1, own.select("b").count())
+    there = own.select(F.col("b").alias("b2"), F.col("c").alias("c2"), F.col("k").alias("k2"), F.col("v").alias("v2"))
+    return _crossed(own.select("b", "k", "v", "more"), there, of, key, kind, True)
 
 
 def clusters(rows: DataFrame, key: str, vector: str, k: int, seed: int = 7) -> DataFrame:
